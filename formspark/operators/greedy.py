@@ -1,0 +1,45 @@
+"""The one choice that must be made in order, row after row.
+
+It runs over partitions Spark has hashed by group and sorted, and holds only the
+kept centres of the group at hand. The functions travel to the workers by value,
+so workers need no copy of this package.
+"""
+
+from __future__ import annotations
+
+import sys
+from collections.abc import Callable, Iterator
+
+import pandas as pd
+from pyspark import cloudpickle
+
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+
+def centres_apart(group: list[str], keep: list[str], apart: float) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
+    """Keeps a row unless its centre lies within ``apart`` of one kept before it in its group.
+
+    Kept centres sit in a grid of side ``apart``; a cell can hold only one of them.
+    """
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        current, kept = None, {}
+        for batch in batches:
+            chosen = []
+            columns = [batch[c].tolist() for c in (*group, "cx", "cy")]
+            for i, (*key, cx, cy) in enumerate(zip(*columns, strict=True)):
+                if key != current:
+                    current, kept = key, {}
+                gx, gy = int(cx // apart), int(cy // apart)
+                near = False
+                for ax in (gx - 1, gx, gx + 1):
+                    for ay in (gy - 1, gy, gy + 1):
+                        other = kept.get((ax, ay))
+                        if other and abs(cx - other[0]) < apart and abs(cy - other[1]) < apart:
+                            near = True
+                if not near:
+                    kept[(gx, gy)] = (cx, cy)
+                    chosen.append(i)
+            yield batch.iloc[chosen][keep]
+
+    return run

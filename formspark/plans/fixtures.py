@@ -274,9 +274,9 @@ SELECT vec_id AS page_id, CAST(floor(pos / 4) AS INT) AS box, pos % 4 AS side, l
 SELECT vec_id AS page_id, CASE WHEN pos < 32 THEN 'left' ELSE 'right' END AS side, pos % 32 AS y, CASE WHEN abs(val) < 0.15 THEN 0.0 ELSE abs(val) / 4 END AS ink FROM fx_vec
 """,
     "fx_line_sums": """
-SELECT vec_id AS page_id, CAST(100 + pos * 45 + floor(abs(val) * 150) AS INT) AS y, CAST(CASE WHEN val > -0.09 THEN 2000 ELSE 900 END AS DOUBLE) AS line_sum, CAST(2560 AS DOUBLE) AS page_w FROM fx_vec
+SELECT vec_id AS page_id, CAST(100 + pos * 70 + floor(abs(val) * 150) AS INT) AS y, CAST(CASE WHEN val > -0.2 THEN 2000 ELSE 900 END AS DOUBLE) AS line_sum, CAST(2560 AS DOUBLE) AS page_w FROM fx_vec
 UNION ALL
-SELECT vec_id, CAST(101 + pos * 45 + floor(abs(val) * 150) AS INT), CAST(1900 AS DOUBLE), CAST(2560 AS DOUBLE) FROM fx_vec WHERE val > 0
+SELECT vec_id, CAST(101 + pos * 70 + floor(abs(val) * 150) AS INT), CAST(1900 AS DOUBLE), CAST(2560 AS DOUBLE) FROM fx_vec WHERE val > 0
 """,
     "fx_cells": """
 SELECT vec_id AS page_id, CAST(floor(pos / 11) + 1 AS INT) AS grid_row, CASE WHEN pos % 11 < 6 THEN 'box' ELSE 'gap' END AS kind, pos % 11 AS idx, abs(val) AS density FROM fx_vec WHERE pos < 55
@@ -315,6 +315,27 @@ SELECT conv_id, turn, substr(text, 1, 60) AS model_text, CASE turn % 3 WHEN 0 TH
     "fx_corrections": """
 SELECT event_id AS correction_id, ts AS logged_at, 'scan' || CAST(user_id AS STRING) || '_p1.pdf' AS file_name,
        CAST(event_id % 35 + 1 AS STRING) AS question, event_type AS root_cause FROM events
+""",
+    "fx_pages": """
+SELECT 'scan' || CAST(vec_id AS STRING) || '_p1.pdf' AS file_name, vec_id AS page_id, CAST(pos + 1 AS INT) AS page, CASE WHEN val > 0.1 THEN 'A4' ELSE 'Letter' END AS paper,
+       val > -0.15 AS marks_found, CASE WHEN val > -0.15 THEN floor(abs(val) * 6000) / 100 END AS fit_residual, 1 + floor(val * 1000) / 100000 AS scale,
+       CASE WHEN val > -0.15 THEN floor(val * 4000) / 1000 END AS rotation_deg, floor(val * 400) / 10 AS offset_dx, floor(val * 300) / 10 AS offset_dy, floor(230 + val * 50) AS paper_level
+FROM fx_vec WHERE pos < 2
+""",
+    "fx_measured": """
+SELECT event_id, file_name, CASE WHEN marks_found_p1 THEN floor(abs(rotation_deg_p1) * 1000) / 1000 END AS tilt_deg, floor(fit_residual_p1 * 100) / 100 AS fit_residual_max,
+       marks_found_p1 AS marks_found_all_pages, ink_quality, floor(ink_mark_lo * 40000) / 10000 AS ink_mark_lo, floor(ink_mark_lo * 4000) / 10000 AS ink_gap, floor(ink_mark_lo * 20000) / 10000 AS ink_threshold,
+       CASE WHEN event_id % 50 > 40 THEN NULL WHEN event_id % 4 > 0 THEN CAST(1 AS DOUBLE) ELSE floor(border_rate * 10000) / 10000 END AS border_rate,
+       CASE WHEN event_id % 3 = 0 THEN NULL WHEN event_id % 5 > 0 THEN 0.9 + border_cov_min / 20 ELSE border_cov_min END AS border_cov_min,
+       floor(shadow_coverage * 10000) / 10000 AS shadow_coverage, shadow_bands, CASE WHEN event_id % 7 < 5 THEN '' WHEN overflow_kind = 0 THEN NULL WHEN overflow_kind = 1 THEN '3' ELSE '3,17' END AS overflow_text,
+       CASE WHEN event_id % 6 = 5 THEN 'self-measured' ELSE 'pdf_calibration_profile' END AS calibration_source
+FROM fx_quality_in
+""",
+    "fx_judgements": """
+SELECT event_id, CASE event_id % 8 WHEN 0 THEN 'clear' WHEN 1 THEN 'questionable' WHEN 2 THEN 'unreadable' WHEN 3 THEN '' ELSE 'clear' END AS handwriting_readable,
+       CASE WHEN event_id % 3 = 0 THEN 'row ' || CAST(user_id AS STRING) ELSE '' END AS handwriting_notes, CASE WHEN event_id % 11 = 0 THEN 'yes' ELSE 'no' END AS tears_or_damage,
+       CASE WHEN event_id % 2 = 0 THEN NULL ELSE 'corner' END AS damage_notes, CASE WHEN event_id % 13 = 5 THEN 'Timeout: 30s' ELSE NULL END AS vision_error
+FROM events WHERE event_type <> 'purchase'
 """,
 }
 

@@ -1,7 +1,10 @@
 """Registered queries by family; importing the package registers all of them."""
 
 from formspark.plans.queries import (  # noqa: F401
+    answers,
     auditing,
+    grading,
     intake,
+    measures,
     texts,
 )

@@ -9,11 +9,15 @@ partition overwrite) and none of them can end up empty.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from formspark.session import scratch_dir
+
 BUCKET = "key_bucket"
 
 
@@ -77,24 +81,54 @@ class BucketedTable:
     def create(self, df: DataFrame) -> None:
         self._with_bucket(df).hint("rebalance", BUCKET).write.mode("overwrite").partitionBy(BUCKET).parquet(self.path)
 
+    def append(self, new: DataFrame) -> None:
+        self._with_bucket(new).hint("rebalance", BUCKET).write.mode("append").partitionBy(BUCKET).parquet(self.path)
+
     def replace(self, new: DataFrame) -> int:
-        """Replace by the table's keys; returns the number of buckets rewritten.
+        """Replace by the table's keys; returns the number of buckets rewritten."""
+        return self._rewrite(new, lambda old, rows: replace_by_key(old, rows, self.keys))
+
+    def replace_folders(self, new: DataFrame) -> int:
+        """Replace every row of the non-empty leading keys (folders) that come in."""
+        return self._rewrite(new, lambda old, rows: replace_by_folder(old, rows, folder=self.keys[0]))
+
+    def _rewrite(self, new: DataFrame, merge: Callable[[DataFrame, DataFrame], DataFrame]) -> int:
+        """Rewrite the buckets the new rows fall in.
 
-        ``new`` is read three times, so it should be a stored or cheap frame.
-        The bucket list is at most ``buckets`` integers.
+        The new rows are written out first: they are read twice, and their
+        lineage may start in this very table. The bucket list is at most
+        ``buckets`` integers. A first load finds no table and just creates it.
         """
-        new = self._with_bucket(new)
+        new = saved(self._with_bucket(new))
         touched = [row[0] for row in new.select(BUCKET).distinct().collect()]
         if not touched:
             return 0
+        if self.is_empty():
+            self.create(new)
+            return len(touched)
         stored = self.spark.read.option("mergeSchema", "true").parquet(self.path)
-        merged = replace_by_key(stored.filter(F.col(BUCKET).isin(touched)), new, self.keys)
+        merged = merge(stored.filter(F.col(BUCKET).isin(touched)), new)
         (
             merged.hint("rebalance", BUCKET).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
             .partitionBy(BUCKET).parquet(self.path)
         )
         return len(touched)
 
+    def is_empty(self) -> bool:
+        try:
+            return not self.spark.read.parquet(self.path).columns
+        except AnalysisException as error:
+            if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+                return True
+            raise
+
+
+def saved(df: DataFrame) -> DataFrame:
+    """The frame written once to the shared folder and read back, cut from its lineage."""
+    path = scratch_dir(df.sparkSession, "saved")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
 
 def failure_rows(manifest: DataFrame, errors: DataFrame | None, failed_at: Column) -> DataFrame:
     """One row per rejected or review-flagged unit, and one per failed source."""
