@@ -128,7 +128,7 @@ def approved_forms(setup: DataFrame) -> tuple[DataFrame, DataFrame]:
         F.lower(F.coalesce(given("form_detection_mode"), F.lit("hybrid"))).alias("detection_mode"),
         given("form_ink_threshold").try_cast("double").cast("int").alias("ink_threshold"),
         F.from_json("grid_column_centers_json", "array<double>").alias("grid_columns"),
-        F.from_json("baseline_marks_json", "map<int,array<array<double>>>").alias("baseline_marks"),
+        F.from_json("baseline_marks_json", "map<string,array<array<double>>>").alias("baseline_marks"),
     )
     reasons = [
         F.when(F.col("status") != "APPROVED", F.lit("the form setup is still a draft")),

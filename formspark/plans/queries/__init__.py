@@ -3,8 +3,10 @@
 from formspark.plans.queries import (  # noqa: F401
     answers,
     auditing,
+    forms,
     grading,
     intake,
     measures,
+    reading,
     texts,
 )

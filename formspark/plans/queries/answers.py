@@ -6,9 +6,11 @@ from pyspark.sql import functions as F
 
 from formspark.operators import feedback as fb
 from formspark.operators import rollup
+from formspark.plans import jobs
 from formspark.plans.queries.intake import RUN_AT
 from formspark.plans.queries.texts import CATEGORY_SQL, NUMBER_SQL, PAGE_SQL
 from formspark.plans.registry import query
+from formspark.session import scratch_dir
 from formspark.sources.layouts import FILE_QUALITY, conform
 from formspark.sources.writers import replace_by_folder
 
@@ -115,6 +117,19 @@ def feedback_duplicates(v):
     return fb.sheet_duplicates(doubled)
 
 
+@query("FB-04 SRC-03 SRC-04 FB-01 FB-03", """
+SELECT r.folder_name, r.file_name, r.question_number, CASE WHEN f.correct_answer <> '' THEN f.correct_answer ELSE r.survey_answer END AS survey_answer, coalesce(f.correct_answer <> '', FALSE) AS applied_now
+FROM fx_responses r LEFT JOIN fx_feedback f ON f.folder_name = r.folder_name AND f.file_name = r.file_name AND f.question_number = r.question_number""")
+def feedback_ingest_latest(v):
+    base = scratch_dir(v.spark, "exports")
+    newest = f"{base}/review_20251130_101500.csv"
+    v["fx_feedback"].write.option("header", "true").csv(newest)
+    listing = v["fx_exports"].select(F.concat(F.lit(f"{base}/"), F.regexp_extract("object_name", "[^/]*$", 0)).alias("object_name"))
+    listing = listing.unionByName(v["region"].select(F.lit(newest).alias("object_name")))
+    return jobs.ingest_latest(v.spark, listing, "review_", v["fx_responses"], None, RUN_AT).select(
+        "folder_name", "file_name", "question_number", "survey_answer", "applied_now")
+
+
 @query("FB-05", """
 SELECT correction_id, file_name, question, root_cause, row_number() OVER (PARTITION BY question, root_cause ORDER BY logged_at, correction_id) > 1 AS recurrence
 FROM fx_corrections QUALIFY root_cause = 'error' ORDER BY logged_at DESC, correction_id DESC LIMIT 100""")

@@ -133,10 +133,22 @@ def geometry_control_pairs(v):
         "doc", "question", "layout", "label", F.round("delta", 3).alias("delta"))
 
 
-@query("GEO-09")
+# Layouts of the template hold two targets: the nearest pair is taken, then the nearest that shares nothing with it.
+@query("GEO-09", f"""
+WITH t AS ({_TARGET_ROWS}),
+d AS (SELECT page_id AS doc, control_type, x0, x1, y0, y1, row_number() OVER (PARTITION BY page_id, control_type, x0, x1, y0, y1) AS copy FROM fx_page_controls),
+p AS (SELECT d.doc, t.question, t.layout, t.label, t.target_index, d.x0, d.x1, d.y0, d.y1, d.copy,
+   sqrt(((t.x0 + t.x1) / 2 - (d.x0 + d.x1) / 2) * ((t.x0 + t.x1) / 2 - (d.x0 + d.x1) / 2) + ((t.y0 + t.y1) / 2 - (d.y0 + d.y1) / 2) * ((t.y0 + t.y1) / 2 - (d.y0 + d.y1) / 2)) AS delta
+   FROM t JOIN d ON d.control_type = t.control_type),
+f AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY doc, question, layout ORDER BY delta, target_index, y0, x0, x1, y1, copy) AS rn FROM p WHERE delta <= 80) q WHERE rn = 1),
+g AS (SELECT * FROM (SELECT p.*, row_number() OVER (PARTITION BY p.doc, p.question, p.layout ORDER BY p.delta, p.target_index, p.y0, p.x0, p.x1, p.y1, p.copy) AS rn
+   FROM p JOIN f ON f.doc = p.doc AND f.question = p.question AND f.layout = p.layout WHERE p.delta <= 80 AND p.target_index <> f.target_index
+   AND NOT (p.x0 = f.x0 AND p.x1 = f.x1 AND p.y0 = f.y0 AND p.y1 = f.y1 AND p.copy = f.copy)) q WHERE rn = 1)
+SELECT doc, question, layout, label, x0, y0, round(delta, 3) AS delta FROM (SELECT * FROM f UNION ALL SELECT * FROM g) q""")
 def geometry_matched_controls(v):
     targets, detected = _controls(v)
-    return geo.match_controls(targets, detected)
+    return geo.match_controls(targets, detected).select(
+        "doc", "question", "layout", "label", "x0", "y0", F.round("delta", 3).alias("delta"))
 
 
 @query("GEO-09 GEO-10 GEO-11")
