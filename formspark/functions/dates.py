@@ -31,17 +31,14 @@ def _lookup(table: dict[str, int], key: Column) -> Column:
 
 
 def _date(year: Column, month: Column, day: Column) -> Column:
-    """Year-month-day to a date; anything that is no real day gives null."""
-    text = F.concat_ws("-", F.lpad(year.cast("string"), 4, "0"), month.cast("string"), day.cast("string"))
-    return F.when(
-        year.isNotNull() & month.isNotNull() & day.isNotNull(),
-        F.try_to_date(text, "yyyy-M-d"),
-    )
+    """Year-month-day to a date; a part that is null or empty, or no real day, gives null."""
+    text = F.concat(year, F.lit("-"), month.cast("string"), F.lit("-"), day)
+    return F.try_to_date(text, "yyyy-M-d")
 
 
 def _group(text: Column, pattern: str, index: int) -> Column:
-    found = F.regexp_extract(text, pattern, index)
-    return F.when(found != "", found)
+    """A group of the pattern, empty where it does not match."""
+    return F.regexp_extract(text, pattern, index)
 
 
 def strict_folder_date(name: Column) -> Column:
@@ -58,7 +55,7 @@ def folder_date(name: Column, default: Column) -> Column:
     """
     text = strip(name)
     iso = _date(*(_group(text, ISO_LIKE, i) for i in (1, 2, 3)))
-    year = F.coalesce(_group(text, MONTH_DAY, 3), F.year(default).cast("string"))
+    year = F.coalesce(F.nullif(_group(text, MONTH_DAY, 3), F.lit("")), F.year(default).cast("string"))
     month = _lookup(MONTH_WORDS, F.lower(_group(text, MONTH_DAY, 1)))
     return F.coalesce(iso, _date(year, month, _group(text, MONTH_DAY, 2)), default)
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -44,6 +46,11 @@ def _unquote(text: Column) -> Column:
     return F.coalesce(F.try_url_decode(kept), text)
 
 
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """Names a value used several times, so that it is worked out once."""
+    return F.transform(F.array(value), body)[0]
+
+
 def parse_uri(uri: Column) -> Column:
     """``struct<bucket, object, error>`` of a ``gs://`` or web address."""
     hosts = "|".join(host.replace(".", r"\.") for host in WEB_HOSTS)
@@ -51,28 +58,31 @@ def parse_uri(uri: Column) -> Column:
     rest = F.when(uri.startswith("gs://"), F.substring(uri, 6, 1 << 30)).when(
         uri.rlike(rf"^[A-Za-z][A-Za-z0-9+.-]*://(?:{hosts})(?:[/?#]|$)"), web
     )
-    decoded = _unquote(rest)
-    bucket = F.nullif(F.substring_index(decoded, "/", 1), F.lit(""))
-    name = F.when(F.contains(decoded, F.lit("/")), F.regexp_extract(decoded, "(?s)^[^/]*/(.+)$", 1))
-    name = F.nullif(name, F.lit(""))
-    good = bucket.isNotNull() & name.isNotNull()
-    error = F.when(rest.isNull(), F.lit("not a recognised object address")).when(
-        ~good, F.lit("no bucket and object in the address")
-    )
-    return F.struct(
-        F.when(good, bucket).alias("bucket"), F.when(good, name).alias("object"), error.alias("error")
-    )
+    pattern = "(?s)^([^/]+)/(.+)$"
+
+    def parts(decoded: Column) -> Column:
+        good = F.coalesce(decoded.rlike(pattern), F.lit(False))
+        return F.struct(
+            F.when(good, F.regexp_extract(decoded, pattern, 1)).alias("bucket"),
+            F.when(good, F.regexp_extract(decoded, pattern, 2)).alias("object"),
+            F.when(decoded.isNull(), F.lit("not a recognised object address"))
+            .when(~good, F.lit("no bucket and object in the address")).alias("error"),
+        )
+
+    return _let(_let(rest, _unquote), parts)
 
 
 def relative_folder(uri: Column, root: Column) -> Column:
     """First folder below the swept root, null when the object lies right in it."""
-    root_object = parse_uri(root)["object"]
-    prefix = F.when(root_object.endswith("/"), root_object).otherwise(
-        F.concat(F.regexp_extract(root_object, "^(.*)/[^/]*$", 1), F.lit("/"))
-    )
-    name = parse_uri(uri)["object"]
-    rest = F.when(F.startswith(name, prefix), F.substring(name, F.length(prefix) + 1, F.length(name))).otherwise(name)
-    return F.when(F.contains(rest, F.lit("/")), F.substring_index(rest, "/", 1))
+    prefix = _let(parse_uri(root)["object"], lambda name: F.when(name.endswith("/"), name).otherwise(
+        F.concat(F.regexp_extract(name, "^(.*)/[^/]*$", 1), F.lit("/"))))
+
+    def below(pair: Column) -> Column:
+        name, start = pair["name"], pair["prefix"]
+        rest = F.when(F.startswith(name, start), F.substring(name, F.length(start) + 1, F.length(name))).otherwise(name)
+        return _let(rest, lambda r: F.when(F.contains(r, F.lit("/")), F.substring_index(r, "/", 1)))
+
+    return _let(F.struct(parse_uri(uri)["object"].alias("name"), prefix.alias("prefix")), below)
 
 
 def base_name(path: Column) -> Column:

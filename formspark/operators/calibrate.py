@@ -284,9 +284,9 @@ def with_failure_stubs(listing: DataFrame, profiles: DataFrame, errors: DataFram
     zero = F.lit(0).cast("bigint")
     folder = fx.relative_folder(F.col("gcs_uri"), F.lit(root)) if root else F.lit(None).cast("string")
     stubs = listing.select(F.col("uri").alias("gcs_uri")).join(profiles, "gcs_uri", "left_anti").join(
-        failed, "gcs_uri", "left").select(
-        "gcs_uri", base_name(F.col("gcs_uri")).alias("file_name"), folder.alias("survey_folder"),
-        fx.folder_date(folder, run_date).alias("partition_date"),
+        failed, "gcs_uri", "left").withColumn("survey_folder", folder).select(
+        "gcs_uri", base_name(F.col("gcs_uri")).alias("file_name"), "survey_folder",
+        fx.folder_date(F.col("survey_folder"), run_date).alias("partition_date"),
         zero.alias("boxes_confirmed"), zero.alias("boxes_total"),
         F.concat(F.lit("could not be profiled: "), F.coalesce("error", F.lit("no result"))).alias("warnings"))
     return profiles.unionByName(stubs, allowMissingColumns=True)

@@ -367,9 +367,9 @@ def map_controls(controls: DataFrame, words: DataFrame, questions: list[dict]) -
     seen = words.groupBy("doc", "page").agg(F.lit(True).alias("has_words"))
     offered = (
         mappable_rows(controls).select(*row)
-        .withColumn("q", F.explode(asked)).select(*row, "q.*")
+        .withColumn("q", F.explode(F.filter(asked, lambda q: (q["wanted"] == F.col("kind")) & (
+            F.abs(q["labels"] - F.col("count")) <= 1)))).select(*row, "q.*")
         .withColumn("off", F.abs(F.col("labels") - F.col("count")))
-        .filter((F.col("wanted") == F.col("kind")) & (F.col("off") <= 1))
         .join(seen, ["doc", "page"], "left")
         .join(anchor_hits(words, questions), ["doc", "page", "question"], "left")
     )
@@ -425,10 +425,12 @@ def border_coverage(sides: DataFrame) -> DataFrame:
 def margin_shadow(strips: DataFrame, bands: int = 20, band_ink: float = 0.01) -> DataFrame:
     """Worse margin of each page: its ink coverage, and how many bands are inked.
 
-    A strip has one row per pixel line, so its ordering is bounded by page height.
+    A strip is first brought to one row per pixel line, so what a side orders is
+    bounded by page height.
     """
+    lines = strips.groupBy("page_id", "side", "y").agg(F.avg("ink").alias("ink"))
     order = Window.partitionBy("page_id", "side").orderBy("y")
-    banded = strips.withColumn("band", F.ntile(bands).over(order))
+    banded = lines.withColumn("band", F.ntile(bands).over(order))
     per_band = banded.groupBy("page_id", "side", "band").agg(F.sum("ink").alias("s"), F.count("*").alias("n"))
     per_side = per_band.groupBy("page_id", "side").agg(
         (F.sum("s") / F.sum("n")).alias("coverage"), F.count_if(F.col("s") / F.col("n") > band_ink).alias("bands"))

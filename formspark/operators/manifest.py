@@ -273,16 +273,18 @@ def plan_sources(sources: DataFrame, complete: DataFrame) -> tuple[DataFrame, Da
 
 
 def run_totals(manifest: DataFrame, errors: DataFrame | None = None) -> DataFrame:
-    category = F.col("output_category")
-    totals = manifest.agg(
-        F.count("*").alias("outputs"),
+    """Counts of a run: units, units per category and flag, sources that failed."""
+    rows = manifest.select("output_category", "rejected", "needs_review", F.lit(False).alias("failed"))
+    if errors is not None:
+        rows = rows.unionByName(errors.select(F.lit(True).alias("failed")), allowMissingColumns=True)
+    unit, category = ~F.col("failed"), F.col("output_category")
+    return rows.agg(
+        F.count_if(unit).alias("outputs"),
         *[F.count_if(category == c).alias(c) for c in CATEGORY_SUBDIRS],
         F.count_if(F.col("rejected")).alias("rejected_flag"),
         F.count_if(F.col("needs_review")).alias("needs_review"),
+        F.count_if(F.col("failed")).alias("failed_sources"),
     )
-    if errors is None:
-        return totals.withColumn("failed_sources", F.lit(0).cast("bigint"))
-    return totals.crossJoin(errors.agg(F.count("*").alias("failed_sources")))
 
 
 def usage_totals(calls: DataFrame, by: tuple[str, ...] = (), rollup: bool = False) -> DataFrame:

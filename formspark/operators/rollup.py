@@ -57,18 +57,18 @@ def file_quality(responses: DataFrame, refreshed_at: Column, pages: DataFrame |
     ``list_limit`` flagged answers; a heavier file is spread over rows with
     ``list_part`` 0, 1, ... that together hold its whole list and repeat its counts.
     """
-    flagged = F.coalesce("needs_review", F.lit(False))
-    heavy = (
-        responses.groupBy(*FILE)
-        .agg(F.count_if(flagged).alias("all_flagged"), F.count("*").alias("all_rows"),
-             F.min(fx.iso_date(F.col("report_date"))).alias("all_date"))
-        .filter(F.col("all_flagged") > list_limit)
-        .select(*[F.col(c).alias(f"heavy_{c}") for c in FILE], "all_flagged", "all_rows", "all_date")
-    )
     rows = _with_issue(responses, pages)
     copies = rows.groupBy(*FILE, "flagged", "rank", "note", "issue", "area").agg(
         F.count("*").alias("n"), F.min(fx.iso_date(F.col("report_date"))).alias("report_date")
     )
+    # Reads the same exchange as the lists do, so the answers are scanned once.
+    heavy = (
+        copies.groupBy(*FILE)
+        .agg(F.sum(F.when(F.col("flagged"), F.col("n"))).alias("all_flagged"), F.sum("n").alias("all_rows"),
+             F.min("report_date").alias("all_date"))
+        .filter(F.col("all_flagged") > list_limit)
+        .select(*[F.col(c).alias(f"heavy_{c}") for c in FILE], "all_flagged", "all_rows", "all_date")
+    )
     joined = copies.join(
         heavy,
         copies.folder_name.eqNullSafe(heavy.heavy_folder_name)

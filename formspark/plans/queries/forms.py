@@ -83,7 +83,7 @@ _WIDE = """
 
 
 @query("CFG-03", f"""
-SELECT *, 2380.0 AS corner_x FROM ({_WIDE}) w WHERE status = 'APPROVED' AND pages_per_unit >= 1 AND detection_mode IN ('hybrid', 'model_only')""")
+SELECT *, CAST(2380 AS DOUBLE) AS corner_x FROM ({_WIDE}) w WHERE status = 'APPROVED' AND pages_per_unit >= 1 AND detection_mode IN ('hybrid', 'model_only')""")
 def form_approved_profiles(v):
     forms, _broken = cat.approved_forms(v["fx_form_setup"])
     return forms.select(

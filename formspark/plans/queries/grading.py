@@ -100,8 +100,10 @@ def calibration_validity(v):
 
 
 def _unresolved(v):
+    """Question 5 is planted never to confirm more than half of its boxes."""
     valid = cal.validate_geometry(v["fx_pages"], _totals(v))
-    candidates = cal.geometry_candidates(v["fx_questions_seen"], valid)
+    half = F.when(F.col("question") == "5", F.least("boxes_confirmed", F.lit(2))).otherwise(F.col("boxes_confirmed"))
+    candidates = cal.geometry_candidates(v["fx_questions_seen"].withColumn("boxes_confirmed", half), valid)
     expected = v["fx_questions_seen"].select("question_key").distinct().unionByName(
         v["region"].select(F.concat(F.lit("9"), F.col("r_regionkey"), F.lit("#0")).alias("question_key")))
     return cal.unresolved_geometry(candidates, expected), candidates
@@ -110,7 +112,7 @@ def _unresolved(v):
 _UNRESOLVED = f"""
   SELECT e.question_key, split_part(e.question_key, '#', 1) AS question, CASE WHEN c.n IS NULL THEN '{cal.NOT_SEEN}' ELSE '{cal.NOT_VALID}' END AS reason, coalesce(c.n, 0) AS observations
   FROM (SELECT DISTINCT question_key FROM fx_questions_seen UNION SELECT '9' || CAST(r_regionkey AS VARCHAR) || '#0' FROM region) e
-  LEFT JOIN (SELECT question_key, count(*) AS n, bool_or(v.valid AND boxes_confirmed / boxes_total >= 0.8) AS good FROM fx_questions_seen s JOIN ({_VALID}) v ON v.file_name = s.file_name GROUP BY question_key) c ON c.question_key = e.question_key
+  LEFT JOIN (SELECT question_key, count(*) AS n, bool_or(v.valid AND CASE WHEN question = '5' THEN least(boxes_confirmed, 2) ELSE boxes_confirmed END / boxes_total >= 0.8) AS good FROM fx_questions_seen s JOIN ({_VALID}) v ON v.file_name = s.file_name GROUP BY question_key) c ON c.question_key = e.question_key
   WHERE NOT coalesce(good, FALSE)"""
 
 

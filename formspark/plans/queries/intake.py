@@ -228,12 +228,11 @@ def manifest_superseded(v):
     return man.superseded(v["fx_manifest"], new, v["fx_listing"].unionByName(uploaded), BUCKET)
 
 
-@query("MAN-09 MAN-10", """
+@query("MAN-09", """
 WITH f AS (SELECT DISTINCT split_part(source_gcs_uri, '/', 5) AS folder FROM fx_source WHERE starts_with(split_part(source_gcs_uri, '/', 5), 'Nov '))
-SELECT folder, 2025 AS year FROM f""")
+SELECT folder, CAST('2025-11-' || split_part(folder, ' ', 2) AS DATE) AS folder_date FROM f""")
 def manifest_date_folders(v):
-    folders = man.date_folders(v["fx_source"], ROOT, "source_gcs_uri")
-    return folders.select("folder").crossJoin(man.infer_year(folders, 2024).select("year"))
+    return man.date_folders(v["fx_source"], ROOT, "source_gcs_uri")
 
 
 @query("MAN-10", """

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from formspark.operators import geometry as geo
 from formspark.plans.registry import query
+from formspark.sources.writers import saved
 
 _OK = "w BETWEEN 46 AND 102 AND h BETWEEN 46 AND 102 AND abs(w - h) <= 28 AND area >= 0.75 * w * h"
 _CORNERS_SQL = f"""
@@ -81,7 +82,7 @@ def geometry_collapsed_rects(v):
 
 
 _CHAIN = """
-  SELECT *, sum(starts) OVER (PARTITION BY page_id ORDER BY c ROWS UNBOUNDED PRECEDING) AS chain FROM (
+  SELECT *, sum(starts) OVER (PARTITION BY page_id ORDER BY c) AS chain FROM (
     SELECT *, CASE WHEN c - lag(c) OVER (PARTITION BY page_id ORDER BY c) > {gap} THEN 1 ELSE 0 END AS starts FROM (
       SELECT *, {value} AS c FROM {table}) q) q"""
 
@@ -154,7 +155,7 @@ def geometry_matched_controls(v):
 @query("GEO-09 GEO-10 GEO-11")
 def geometry_match_report(v):
     targets, detected = _controls(v)
-    matches = geo.match_controls(targets, detected)
+    matches = saved(geo.match_controls(targets, detected))
     return geo.match_metrics(geo.choose_layout(matches, targets, detected), matches, detected)
 
 

@@ -2,9 +2,9 @@
 
 The frame functions return lazy plans, so a dry run is simply not writing them.
 Parquet has no MERGE or DELETE. A table that must take replacements is laid out
-by a hash bucket of its leading key: a replaced row and its new row then share a
-bucket, so only the buckets a batch touches are read and rewritten (dynamic
-partition overwrite) and none of them can end up empty.
+by a hash bucket of its key: a replaced row and its new row then share a bucket,
+so only the buckets a batch touches are read and rewritten (dynamic partition
+overwrite) and none of them can end up empty.
 """
 
 from __future__ import annotations
@@ -67,13 +67,19 @@ def replace_by_folder(target: DataFrame, new: DataFrame, replace: bool = True,
 
 
 class BucketedTable:
-    """A Parquet table that takes keyed replacement one bucket at a time."""
+    """A Parquet table that takes keyed replacement one bucket at a time.
 
-    def __init__(self, spark: SparkSession, path: str, keys: list[str], buckets: int = 256):
+    Rows spread over the buckets by their whole key, so a dominant source does
+    not fill one bucket. A table replaced by folder is bucketed by folder alone.
+    """
+
+    def __init__(self, spark: SparkSession, path: str, keys: list[str], buckets: int = 1024,
+                 by_folder: bool = False):
         self.spark, self.path, self.keys, self.buckets = spark, path, keys, buckets
+        self.bucket_keys = keys[:1] if by_folder else keys
 
     def _with_bucket(self, df: DataFrame) -> DataFrame:
-        return df.withColumn(BUCKET, F.pmod(F.xxhash64(self.keys[0]), F.lit(self.buckets)).cast("int"))
+        return df.withColumn(BUCKET, F.pmod(F.xxhash64(*self.bucket_keys), F.lit(self.buckets)).cast("int"))
 
     def read(self) -> DataFrame:
         return self.spark.read.option("mergeSchema", "true").parquet(self.path).drop(BUCKET)
@@ -89,7 +95,9 @@ class BucketedTable:
         return self._rewrite(new, lambda old, rows: replace_by_key(old, rows, self.keys))
 
     def replace_folders(self, new: DataFrame) -> int:
-        """Replace every row of the non-empty leading keys (folders) that come in."""
+        """Replace every row of the non-empty folders that come in."""
+        if self.bucket_keys != self.keys[:1]:
+            raise ValueError("the table is not bucketed by folder")
         return self._rewrite(new, lambda old, rows: replace_by_folder(old, rows, folder=self.keys[0]))
 
     def _rewrite(self, new: DataFrame, merge: Callable[[DataFrame, DataFrame], DataFrame]) -> int:
