@@ -21,6 +21,20 @@ SELECT vec_id, i - 1 AS pos, CAST(embedding[i] AS DOUBLE) AS val
 FROM (SELECT vec_id, embedding, unnest(range(1, 65)) AS i FROM embeddings)
 """
 
+# Form set-up parameters and the value each supplier's form gives it.
+_SETUP = {
+    "FORM_SETUP_STATUS": "CASE s_suppkey % 5 WHEN 0 THEN 'DRAFT' WHEN 1 THEN 'approved' ELSE ' APPROVED ' END",
+    "FORM_NAME": "s_name",
+    "PAGES_PER_SURVEY": "CASE WHEN s_suppkey % 7 = 0 THEN '0' ELSE CAST(s_nationkey % 4 + 1 AS STRING) END",
+    "FORM_DETECTION_MODE": "CASE s_suppkey % 3 WHEN 0 THEN 'Hybrid' WHEN 1 THEN 'model_only' "
+                           "ELSE CASE WHEN s_acctbal < 0 THEN 'auto' ELSE '' END END",
+    "FORM_INK_THRESHOLD": "'18' || CAST(s_nationkey % 10 AS STRING) || '.0'",
+    "GRID_COLUMN_CENTERS_JSON": "'[100.5, 200, ' || CAST(300 + s_nationkey AS STRING) || ']'",
+    "BASELINE_MARKS_JSON": "'{\"0\": [[180, 220], [2380, 220], [180, 3110], [2380, 3110]]}'",
+}
+# (number of units, unit index) pairs: an equality join on the first lists a source's units.
+_UNITS = ", ".join(f"({n},{i})" for n in range(1, 10) for i in range(1, n + 1))
+
 VIEWS: dict[str, str] = {
     "fx_vec": """
 SELECT vec_id, pos, CAST(col AS DOUBLE) AS val FROM (SELECT vec_id, posexplode(embedding) FROM embeddings)
@@ -86,7 +100,7 @@ SELECT s.source_gcs_uri, s.doc_id, k.i AS unit_index,
                  || '/Batch ' || CAST(s.doc_id AS STRING) || '_p' || CAST(k.i AS STRING) || '.pdf' END AS destination_gcs_uri,
        CASE WHEN s.doc_id % 8 = 0 THEN 'declined' WHEN s.doc_id % 12 = 5 THEN 'rejected' ELSE 'normal' END AS output_category
 FROM fx_source s
-JOIN (VALUES (1),(2),(3),(4),(5),(6),(7),(8),(9)) AS k(i) ON 2 * k.i <= s.page_count
+JOIN (VALUES %UNITS%) AS k(n, i) ON k.n = CAST(floor(s.page_count / 2) AS INT)
 WHERE s.page_count % 2 = 0 AND NOT (s.doc_id % 11 = 0 AND k.i = 2)
 """,
     "fx_listing": """
@@ -129,7 +143,7 @@ SELECT s.source_gcs_uri, s.doc_id, k.i AS unit_index, v.language_verdict,
        CASE WHEN k.i > 1 AND (s.doc_id + k.i) % 6 = 0 THEN 'ok declined_word'
             WHEN k.i > 1 AND (s.doc_id + k.i) % 7 = 0 THEN ' BLANK  NOT_DECLINED' ELSE v.content_verdict END AS content_verdict
 FROM fx_source s JOIN fx_verdict v ON v.doc_id = s.doc_id
-JOIN (VALUES (1),(2),(3),(4),(5),(6),(7),(8),(9)) AS k(i) ON 2 * k.i <= s.page_count + 1
+JOIN (VALUES %UNITS%) AS k(n, i) ON k.n = CAST(least(floor((s.page_count + 1) / 2), 9) AS INT)
 WHERE NOT (s.doc_id % 13 = 0 AND k.i = 2)
 """,
     "fx_audited": """
@@ -155,7 +169,7 @@ SELECT source_gcs_uri, 'damaged trailer in ' || lang AS error FROM fx_source WHE
 SELECT 'gs://bucket/split/' || CASE WHEN (s.doc_id + k.i) % 8 = 0 THEN 'Declined/' WHEN (s.doc_id + k.i) % 12 = 1 THEN 'Rejected/' ELSE '' END
          || 'Batch ' || CAST(s.doc_id AS STRING) || '/Batch ' || CAST(s.doc_id AS STRING) || '_p' || CAST(k.i AS STRING) || '.pdf' AS uri
 FROM fx_source s
-JOIN (VALUES (1),(2),(3),(4),(5),(6),(7),(8),(9)) AS k(i) ON 2 * k.i <= s.page_count
+JOIN (VALUES %UNITS%) AS k(n, i) ON k.n = CAST(floor(s.page_count / 2) AS INT)
 WHERE NOT (s.lang = 'fr' AND k.i = 1)
 UNION ALL
 SELECT 'gs://bucket/split/Rejected/Batch ' || CAST(doc_id AS STRING) || '/Batch ' || CAST(doc_id AS STRING) || '_p1.pdf' AS uri
@@ -203,18 +217,9 @@ SELECT 'form' || CAST(CAST(floor(p_partkey / 40) AS BIGINT) AS STRING) AS form_i
        CASE WHEN p_size % 4 = 0 THEN NULL ELSE 'Yes | No | N/A' END AS choices
 FROM part WHERE p_brand < 'Brand#3'
 """,
-    "fx_form_setup": """
-SELECT 'form' || CAST(s.s_suppkey AS STRING) AS form_id, ' ' || k.p || ' ' AS parameter,
-       CASE k.p WHEN 'FORM_SETUP_STATUS' THEN CASE s.s_suppkey % 5 WHEN 0 THEN 'DRAFT' WHEN 1 THEN 'approved' ELSE ' APPROVED ' END
-                WHEN 'FORM_NAME' THEN s.s_name
-                WHEN 'PAGES_PER_SURVEY' THEN CASE WHEN s.s_suppkey % 7 = 0 THEN '0' ELSE CAST(s.s_nationkey % 4 + 1 AS STRING) END
-                WHEN 'FORM_DETECTION_MODE' THEN CASE s.s_suppkey % 3 WHEN 0 THEN 'Hybrid' WHEN 1 THEN 'model_only' ELSE CASE WHEN s.s_acctbal < 0 THEN 'auto' ELSE '' END END
-                WHEN 'FORM_INK_THRESHOLD' THEN '18' || CAST(s.s_nationkey % 10 AS STRING) || '.0'
-                WHEN 'GRID_COLUMN_CENTERS_JSON' THEN '[100.5, 200, ' || CAST(300 + s.s_nationkey AS STRING) || ']'
-                ELSE '{"0": [[180, 220], [2380, 220], [180, 3110], [2380, 3110]]}' END AS value
-FROM supplier s
-JOIN (VALUES ('FORM_SETUP_STATUS'),('FORM_NAME'),('PAGES_PER_SURVEY'),('FORM_DETECTION_MODE'),('FORM_INK_THRESHOLD'),('GRID_COLUMN_CENTERS_JSON'),('BASELINE_MARKS_JSON')) AS k(p) ON TRUE
-""",
+    "fx_form_setup": "UNION ALL".join(f"""
+SELECT 'form' || CAST(s_suppkey AS STRING) AS form_id, ' {parameter} ' AS parameter, {value} AS value FROM supplier
+""" for parameter, value in _SETUP.items()),
     "fx_controls": """
 SELECT 'form' || CAST(CAST(floor(p.p_partkey / 40) AS BIGINT) AS STRING) AS form_id,
        CASE WHEN p.p_partkey % 40 < 6 THEN 'H' || CAST(p.p_partkey % 40 + 1 AS STRING) ELSE CAST(p.p_partkey % 40 - 5 AS STRING) END AS question,
@@ -339,6 +344,7 @@ FROM events WHERE event_type <> 'purchase'
 """,
 }
 
+VIEWS = {name: sql.replace("%UNITS%", _UNITS) for name, sql in VIEWS.items()}
 _loaded: dict[tuple[str, str, str], DataFrame] = {}
 
 

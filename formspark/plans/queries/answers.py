@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from formspark.operators import feedback as fb
 from formspark.operators import rollup
 from formspark.plans import jobs
-from formspark.plans.queries.intake import RUN_AT
+from formspark.plans.queries.intake import run_at
 from formspark.plans.queries.texts import CATEGORY_SQL, NUMBER_SQL, PAGE_SQL
 from formspark.plans.registry import query
 from formspark.session import scratch_dir
@@ -29,7 +29,7 @@ _QUALITY = f"""
 
 
 def quality_of(v):
-    return rollup.file_quality(v["fx_responses"], RUN_AT)
+    return rollup.file_quality(v["fx_responses"], run_at())
 
 
 @query("FQ-02", f"""
@@ -104,7 +104,7 @@ FROM (SELECT s.*, f.correct_answer, f.correct_answer <> '' AND s.updated_with_fe
   LEFT JOIN fx_feedback f ON f.folder_name = s.folder_name AND f.file_name = s.file_name AND f.question_number = s.question_number) s
 LEFT JOIN fx_feedback f ON f.folder_name = s.folder_name AND f.file_name = s.file_name AND f.question_number = s.question_number""")
 def feedback_merge(v):
-    return fb.merge_feedback(synced(v), v["fx_feedback"], F.lit("export_1.csv"), RUN_AT, check=False).select(
+    return fb.merge_feedback(synced(v), v["fx_feedback"], F.lit("export_1.csv"), run_at(), check=False).select(
         "folder_name", "file_name", "question_number", "survey_answer", "correct_answer", "updated_with_feedback",
         "ingested_from", "applied_now")
 
@@ -126,7 +126,7 @@ def feedback_ingest_latest(v):
     v["fx_feedback"].write.option("header", "true").csv(newest)
     listing = v["fx_exports"].select(F.concat(F.lit(f"{base}/"), F.regexp_extract("object_name", "[^/]*$", 0)).alias("object_name"))
     listing = listing.unionByName(v["region"].select(F.lit(newest).alias("object_name")))
-    return jobs.ingest_latest(v.spark, listing, "review_", v["fx_responses"], None, RUN_AT).select(
+    return jobs.ingest_latest(v.spark, listing, "review_", v["fx_responses"], None, run_at()).select(
         "folder_name", "file_name", "question_number", "survey_answer", "applied_now")
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from formspark.operators import audit as aud
 from formspark.operators import manifest as man
-from formspark.plans.queries.intake import BUCKET, ISSUE_SQL, MARK_SQL, PAGES, PREFIX, RUN_AT, UNITS_SQL
+from formspark.plans.queries.intake import BUCKET, ISSUE_SQL, MARK_SQL, PAGES, PREFIX, run_at, UNITS_SQL
 from formspark.plans.registry import query
 from formspark.sources import writers
 
@@ -159,5 +159,5 @@ def audit_apply_reprocess(v):
     rows = v["fx_audited"]
     flags = rows.filter("needs_review").select(*man.KEY)
     replaced, _old = aud.apply_reprocess(flags, v["fx_source"], v["fx_unit_verdict"], v["fx_listing"], rows,
-                                         BUCKET, PREFIX, PAGES, RUN_AT)
+                                         BUCKET, PREFIX, PAGES, run_at())
     return replaced.select("source_gcs_uri", "source_page_range", "output_category", "destination_gcs_uri")

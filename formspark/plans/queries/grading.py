@@ -8,10 +8,9 @@ from formspark import functions as fx
 from formspark.operators import calibrate as cal
 from formspark.operators import geometry as geo
 from formspark.operators import quality as qc
-from formspark.plans.queries.intake import RUN_AT
+from formspark.plans.queries.intake import run_at
 from formspark.plans.registry import query
 
-RUN_DATE = F.lit("2025-12-01").cast("date")
 _INK_SQL = """
   WITH s AS (SELECT file_name, ratio, row_number() OVER w - 1 AS k, count(*) OVER (PARTITION BY file_name) AS n, lag(ratio) OVER w AS below FROM {table} WINDOW w AS (PARTITION BY file_name ORDER BY ratio)),
   b AS (SELECT *, ratio - below AS gap, greatest(1, n - {most}) AS lo, least(greatest(greatest(1, n - {most}) + 1, n - {least}), n - 1) AS hi FROM s WHERE n >= {samples} AND k > 0),
@@ -183,7 +182,7 @@ SELECT CASE WHEN starts_with(split_part(source_gcs_uri, '/', 5), 'Nov ') THEN sp
   CASE WHEN starts_with(split_part(source_gcs_uri, '/', 5), 'Nov ') THEN CAST('2025-11-' || split_part(split_part(source_gcs_uri, '/', 5), ' ', 2) AS DATE) ELSE DATE '2025-12-01' END AS partition_date
 FROM fx_source GROUP BY ALL""")
 def calibration_folder_counts(v):
-    return cal.folder_counts(v["fx_source"], "gs://bucket/raw/", RUN_DATE, "source_gcs_uri")
+    return cal.folder_counts(v["fx_source"], "gs://bucket/raw/", F.to_date(run_at()), "source_gcs_uri")
 
 
 @query("CAL-11", """
@@ -195,7 +194,7 @@ def calibration_failure_stubs(v):
     errors = source.filter("lang <> 'fr'").select(
         F.col("source_gcs_uri").alias("gcs_uri"), F.concat(F.lit("bad page in "), F.col("lang")).alias("error"))
     listing = source.select(F.col("source_gcs_uri").alias("uri"))
-    return cal.with_failure_stubs(listing, profiles, errors, RUN_DATE, "gs://bucket/raw/").select(
+    return cal.with_failure_stubs(listing, profiles, errors, F.to_date(run_at()), "gs://bucket/raw/").select(
         "gcs_uri", "boxes_total", "warnings")
 
 
@@ -317,5 +316,5 @@ def quality_failure_stubs(v):
 SELECT event_id, CASE WHEN event_id % 3 = 0 THEN DATE '2025-11-03' ELSE DATE '2025-12-01' END AS partition_date, nullif(overflow_text, '') AS overflow_questions, 'v1' AS classifier_version FROM fx_measured""")
 def quality_stored_rows(v):
     folder = F.when(F.col("event_id") % 3 == 0, F.lit("Nov 3 2025")).when(F.col("event_id") % 3 == 1, F.lit("misc"))
-    return qc.quality_rows(routed(v).withColumn("survey_folder", folder), RUN_DATE, "v1", RUN_AT).select(
+    return qc.quality_rows(routed(v).withColumn("survey_folder", folder), F.to_date(run_at()), "v1", run_at()).select(
         "event_id", "partition_date", "overflow_questions", "classifier_version")

@@ -11,8 +11,6 @@ from formspark.session import scratch_dir
 from formspark.sources import layouts, readers, writers
 
 BUCKET, PREFIX, PAGES, ROOT = "bucket", "split/", 2, "gs://bucket/raw/"
-# Pinned clock of every run, so that results do not depend on when they are made.
-RUN_AT = F.lit("2025-12-01 09:30:00").cast("timestamp")
 _NATURAL_SQL = """list_transform(regexp_extract_all(lower(source_gcs_uri), '[^0-9]*[0-9]+|[^0-9]+'),
   lambda c: {'t': regexp_extract(c, '^([^0-9]*)', 1), 'n': TRY_CAST(regexp_extract(c, '([0-9]+)$', 1) AS BIGINT)})"""
 UNITS_SQL = """
@@ -46,6 +44,11 @@ CATEGORISED_SQL = CATEGORISED_SQL.replace(
 )
 
 
+def run_at():
+    """Pinned clock of every run, so that results do not depend on when they are made."""
+    return F.lit("2025-12-01 09:30:00").cast("timestamp")
+
+
 def units_of(v):
     return man.expand_units(v["fx_source"].select("source_gcs_uri", "page_count"), PAGES)
 
@@ -170,7 +173,7 @@ SELECT source_gcs_uri, source_page_range, substr(source_gcs_uri, 6) AS source_fi
   rejected_reason IS NOT NULL AS rejected, needs_review_reason IS NOT NULL AS needs_review
 FROM ({CATEGORISED_SQL}) c""")
 def manifest_row_build(v):
-    rows, _both = man.manifest_rows(categorised(v), BUCKET, PREFIX, RUN_AT)
+    rows, _both = man.manifest_rows(categorised(v), BUCKET, PREFIX, run_at())
     return rows.select("source_gcs_uri", "source_page_range", "source_file", "parsed_month_day", "moved_date",
                        "destination_gcs_uri", "rejected", "needs_review")
 
@@ -326,4 +329,4 @@ SELECT source_gcs_uri AS source_uri, CASE WHEN source_page_range <> '' THEN sour
        coalesce(rejected_reason, needs_review_reason) AS error FROM fx_audited WHERE rejected OR needs_review
 UNION ALL SELECT source_gcs_uri, source_gcs_uri, error FROM fx_open_errors""")
 def sink_failure_log(v):
-    return writers.failure_rows(v["fx_audited"], v["fx_open_errors"], RUN_AT).drop("failed_at_utc")
+    return writers.failure_rows(v["fx_audited"], v["fx_open_errors"], run_at()).drop("failed_at_utc")

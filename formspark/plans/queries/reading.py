@@ -8,7 +8,7 @@ from formspark import functions as fx
 from formspark.operators import manifest as man
 from formspark.operators import reconcile as rcn
 from formspark.plans import jobs
-from formspark.plans.queries.intake import BUCKET, CATEGORISED_SQL, PAGES, PREFIX, RUN_AT
+from formspark.plans.queries.intake import BUCKET, CATEGORISED_SQL, PAGES, PREFIX, run_at
 from formspark.plans.registry import query
 from formspark.session import scratch_dir
 from formspark.sources import writers
@@ -181,7 +181,7 @@ SELECT source_gcs_uri, CASE WHEN starts_with(split_part(source_gcs_uri, '/', 5),
 def reading_report_date(v):
     folder = fx.relative_folder(F.col("source_gcs_uri"), F.lit("gs://bucket/raw/"))
     return v["fx_source"].withColumn("folder", folder).select(
-        "source_gcs_uri", rcn.report_date(F.col("folder"), F.to_date(RUN_AT)).alias("report_date"))
+        "source_gcs_uri", rcn.report_date(F.col("folder"), F.to_date(run_at())).alias("report_date"))
 
 
 @query("RCN-18", """
@@ -209,7 +209,7 @@ def intake_stream_once(v):
     for _again in range(2):
         files = stream.new_inventory(v.spark, f"{base}/landing", inventory.schema)
         stream.stream_intake(files, lambda: v["fx_unit_verdict"], table, f"{base}/checkpoint", BUCKET, PREFIX, PAGES,
-                             RUN_AT).awaitTermination()
+                             run_at()).awaitTermination()
     return table.read().select("source_gcs_uri", "source_page_range", "output_category", "rejected", "needs_review")
 
 
@@ -223,5 +223,5 @@ UNION ALL SELECT source_gcs_uri, source_page_range, ['normal','declined','reject
 def intake_full_run(v):
     rows, _broken = jobs.intake_rows(
         v["fx_source"].select("source_gcs_uri", "page_count"), v["fx_split_listing"], v["fx_unit_verdict"],
-        BUCKET, PREFIX, PAGES, RUN_AT)
+        BUCKET, PREFIX, PAGES, run_at())
     return rows.select("source_gcs_uri", "source_page_range", "output_category")
