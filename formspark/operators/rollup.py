@@ -18,34 +18,39 @@ def question_lookup(responses: DataFrame) -> DataFrame:
     return texts.withColumn("question_number", fx.question_number(F.col("survey_question")))
 
 
-def _with_issue(responses: DataFrame, pages: DataFrame | None) -> DataFrame:
-    """Answers with number, page and the two issue strings; unflagged ones carry nulls."""
-    number = fx.question_number(F.col("survey_question"))
-    rows = responses.withColumn("qnum", number)
-    override = None
-    if pages is not None:
-        rows = rows.join(
-            pages.select(F.col("question_number").alias("qnum"), (F.col("page") + 1).alias("page_override")),
-            "qnum", "left",
-        )
-        override = F.col("page_override")
-    note = F.coalesce("review_note", F.lit(""))
-    page = fx.question_page(F.col("qnum"), override)
-    place = F.coalesce(F.concat(F.lit("page "), page.cast("string")), F.lit("page unknown"))
+def _numbered(responses: DataFrame, pages: DataFrame | None) -> DataFrame:
+    """Answers with their flag; flagged ones also with question number, page and note."""
     flagged = F.coalesce("needs_review", F.lit(False))
-    return rows.select(
-        *responses.columns,
-        flagged.alias("flagged"),
-        F.when(flagged, fx.question_rank(F.col("qnum"))).alias("rank"),
-        F.when(flagged, note).alias("note"),
-        F.when(flagged, F.concat(F.lit("Q"), F.col("qnum"), F.lit(": "), fx.review_category(note))).alias("issue"),
-        F.when(flagged, F.concat(F.lit("Question "), F.col("qnum"), F.lit(" ("), place, F.lit("): "), note)).alias("area"),
-    )
+    rows = responses.withColumns({
+        "flagged": flagged, "qnum": F.when(flagged, fx.question_number(F.col("survey_question"))),
+        "note": F.when(flagged, F.coalesce("review_note", F.lit(""))),
+    })
+    if pages is None:
+        return rows.withColumn("page", fx.question_page(F.col("qnum")))
+    override = pages.select(F.col("question_number").alias("qnum"), (F.col("page") + 1).alias("page_override"))
+    return rows.join(override, "qnum", "left").withColumn(
+        "page", F.when(F.col("flagged"), fx.question_page(F.col("qnum"), F.col("page_override"))))
+
+
+def _with_texts(numbered: DataFrame) -> DataFrame:
+    """The two strings of each flagged answer, and its place in the list."""
+    number, note = F.col("qnum"), F.col("note")
+    place = F.coalesce(F.concat(F.lit("page "), F.col("page").cast("string")), F.lit("page unknown"))
+    return numbered.withColumns({
+        "rank": F.when(F.col("flagged"), fx.question_rank(number)),
+        "issue": F.when(F.col("flagged"), F.concat(F.lit("Q"), number, F.lit(": "), fx.review_category(note))),
+        "area": F.concat(F.lit("Question "), number, F.lit(" ("), place, F.lit("): "), note),
+    })
 
 
 def file_issues(responses: DataFrame, pages: DataFrame | None = None) -> DataFrame:
     """One row per flagged answer; the long form of the two lists in the roll-up."""
-    return _with_issue(responses, pages).filter("flagged").select(*FILE, "issue", "area", "note")
+    return _with_texts(_numbered(responses, pages).filter("flagged")).select(*FILE, "issue", "area", "note")
+
+
+def _report_date(responses: DataFrame) -> Column:
+    is_date = dict(responses.dtypes)["report_date"] == "date"
+    return F.col("report_date") if is_date else fx.iso_date(F.col("report_date"))
 
 
 def file_quality(responses: DataFrame, refreshed_at: Column, pages: DataFrame | None = None,
@@ -53,17 +58,18 @@ def file_quality(responses: DataFrame, refreshed_at: Column, pages: DataFrame |
     """One row per file, clean files too, with counts, lists and a summary.
 
     Equal answers are counted before anything is gathered, so unflagged ones
-    reach the file as a single row. Lists are gathered per file only up to
-    ``list_limit`` flagged answers; a heavier file is spread over rows with
-    ``list_part`` 0, 1, ... that together hold its whole list and repeat its counts.
+    reach the file as a single row, and texts are made once per distinct answer.
+    Lists are gathered per file only up to ``list_limit`` flagged answers; a
+    heavier file is spread over rows with ``list_part`` 0, 1, ... that together
+    hold its whole list and repeat its counts.
     """
-    rows = _with_issue(responses, pages)
-    copies = rows.groupBy(*FILE, "flagged", "rank", "note", "issue", "area").agg(
-        F.count("*").alias("n"), F.min(fx.iso_date(F.col("report_date"))).alias("report_date")
+    counted = _numbered(responses, pages).groupBy(*FILE, "flagged", "qnum", "page", "note").agg(
+        F.count("*").alias("n"), F.min(_report_date(responses)).alias("report_date")
     )
+    copies = _with_texts(counted)
     # Reads the same exchange as the lists do, so the answers are scanned once.
     heavy = (
-        copies.groupBy(*FILE)
+        counted.groupBy(*FILE)
         .agg(F.sum(F.when(F.col("flagged"), F.col("n"))).alias("all_flagged"), F.sum("n").alias("all_rows"),
              F.min("report_date").alias("all_date"))
         .filter(F.col("all_flagged") > list_limit)
@@ -81,7 +87,7 @@ def file_quality(responses: DataFrame, refreshed_at: Column, pages: DataFrame |
         F.array(F.lit(0).cast("bigint")))
     spread = joined.withColumn("chunk", F.explode(chunks))
     part = F.when(F.col("all_flagged").isNotNull() & F.col("flagged"),
-                  F.pmod(F.xxhash64("issue", "note") + F.col("chunk"), parts)).otherwise(0).cast("int")
+                  F.pmod(F.xxhash64("qnum", "note") + F.col("chunk"), parts)).otherwise(0).cast("int")
     share = F.when(F.col("all_flagged").isNull() | ~F.col("flagged"), F.col("n")).otherwise(
         F.least(F.lit(list_limit), F.col("n") - F.col("chunk") * list_limit))
     entry = F.struct("rank", "note", "issue", "area", F.col("share").cast("int").alias("share"))

@@ -267,7 +267,7 @@ SELECT l_suppkey AS page_id, CAST(l_orderkey % 2400 AS DOUBLE) AS x0, CAST(l_ord
 FROM lineitem
 """,
     "fx_page_controls": """
-SELECT l_orderkey AS page_id, CASE WHEN l_returnflag = 'N' AND l_linenumber > 4 THEN 'circle' ELSE 'checkbox' END AS control_type,
+SELECT l_orderkey AS page_id, CAST(floor((l_linenumber + 6) / 7) AS INT) AS page, CASE WHEN l_returnflag = 'N' AND l_linenumber > 4 THEN 'circle' ELSE 'checkbox' END AS control_type,
        CAST(300 * l_linenumber + l_partkey % 61 - 30 AS DOUBLE) AS x0, CAST(300 * l_linenumber + l_partkey % 61 + CAST(l_quantity AS INT) % 20 AS DOUBLE) AS x1,
        CAST(400 * (1 + l_linenumber % 2) + l_suppkey % 41 - 20 AS DOUBLE) AS y0, CAST(400 * (1 + l_linenumber % 2) + l_suppkey % 41 + 10 AS DOUBLE) AS y1
 FROM lineitem

@@ -116,7 +116,7 @@ _TARGET_ROWS = f"""SELECT question, control_type, page, layout, label, k AS targ
 
 def _controls(v):
     targets = v.spark.sql(_TARGET_ROWS)
-    detected = v["fx_page_controls"].withColumnRenamed("page_id", "doc").withColumn("page", F.lit(1))
+    detected = v["fx_page_controls"].withColumnRenamed("page_id", "doc")
     return targets, detected
 
 
@@ -159,24 +159,24 @@ def geometry_match_report(v):
     return geo.match_metrics(geo.choose_layout(matches, targets, detected), matches, detected)
 
 
-_LAYOUTS = "('A','F',3),('A','O',3),('N','F',2),('N','O',4),('R','F',5),('R','O',5)"
+_LAYOUTS = "('A','F',3,1),('A','O',3,1),('N','F',2,1),('N','O',4,1),('R','F',5,1),('R','O',5,1),('Z','O',1,2)"
 
 
 def _layout_choice(v):
     matches = v["lineitem"].select(
         F.col("l_orderkey").alias("doc"), F.col("l_returnflag").alias("question"), F.lit("checkbox").alias("control_type"),
-        F.lit(1).alias("page"), F.col("l_linestatus").alias("layout"), F.col("l_quantity").alias("delta"))
+        F.floor((F.col("l_linenumber") + 6) / 7).cast("int").alias("page"), F.col("l_linestatus").alias("layout"), F.col("l_quantity").alias("delta"))
     targets = v.spark.sql(
-        f"SELECT question, 'checkbox' AS control_type, 1 AS page, layout, explode(sequence(1, n)) AS i "
-        f"FROM VALUES {_LAYOUTS} AS t(question, layout, n)")
-    detected = v["fx_page_controls"].select(F.col("page_id").alias("doc"), F.lit(1).alias("page"))
+        f"SELECT question, 'checkbox' AS control_type, page, layout, explode(sequence(1, n)) AS i "
+        f"FROM VALUES {_LAYOUTS} AS t(question, layout, n, page)")
+    detected = v["fx_page_controls"].select(F.col("page_id").alias("doc"), "page")
     return matches, targets, detected
 
 
 _CHOSEN = f"""
   SELECT * FROM (SELECT d.doc, t.question, t.layout, t.n AS layout_size, count(l_orderkey) AS matches, coalesce(sum(l_quantity), 0) AS total,
       row_number() OVER (PARTITION BY d.doc, t.question ORDER BY count(l_orderkey) DESC, coalesce(sum(l_quantity), 0), t.layout DESC) AS rn
-    FROM (SELECT DISTINCT l_orderkey AS doc FROM lineitem) d CROSS JOIN (VALUES {_LAYOUTS}) AS t(question, layout, n)
+    FROM (SELECT DISTINCT l_orderkey AS doc FROM lineitem) d JOIN (VALUES {_LAYOUTS}) AS t(question, layout, n, page) ON t.page = 1
     LEFT JOIN lineitem l ON l.l_orderkey = d.doc AND l.l_returnflag = t.question AND l.l_linestatus = t.layout
     GROUP BY d.doc, t.question, t.layout, t.n) q WHERE rn = 1"""
 
@@ -210,9 +210,9 @@ MAP_QUESTIONS = [
 
 @query("GEO-12")
 def geometry_mapped_controls(v):
-    controls = v["fx_page_controls"].withColumnRenamed("page_id", "doc").withColumn("page", F.lit(1))
+    controls = v["fx_page_controls"].withColumnRenamed("page_id", "doc")
     words = v["lineitem"].select(
-        F.col("l_orderkey").alias("doc"), F.lit(1).alias("page"),
+        F.col("l_orderkey").alias("doc"), F.floor((F.col("l_linenumber") + 6) / 7).cast("int").alias("page"),
         F.when(F.col("l_returnflag") == "A", "yes").when(F.col("l_linestatus") == "F", "seldom")
         .otherwise("h3").alias("text"))
     return geo.map_controls(controls, words, MAP_QUESTIONS)
