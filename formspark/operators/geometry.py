@@ -172,11 +172,13 @@ def cluster_1d(df: DataFrame, keys: Sequence[str], value: str, tolerance: float,
     )
 
 
-def _bucket(value: Column, tolerance: float) -> Column:
-    return F.floor(value / (tolerance / 2)) if tolerance > 0 else value
+def _bucket(value: Column, tolerance: float | Column) -> Column:
+    if not isinstance(tolerance, Column) and tolerance <= 0:
+        return value
+    return F.floor(value / (tolerance / 2))
 
 
-def _bucket_chains(df: DataFrame, keys: Sequence[str], value: str, tolerance: float,
+def _bucket_chains(df: DataFrame, keys: Sequence[str], value: str, tolerance: float | Column,
                    extra: Iterable[Column] = ()) -> DataFrame:
     buckets = df.groupBy(*keys, _bucket(F.col(value), tolerance).alias("bucket")).agg(
         F.min(value).alias("bucket_min"), F.max(value).alias("bucket_max"),
@@ -195,8 +197,11 @@ def _spans() -> list[Column]:
     ]
 
 
-def control_rows(rects: DataFrame, keys: Sequence[str], y_gap: float) -> DataFrame:
-    """Controls grouped to visual rows by vertical centre; rows without extent are dropped."""
+def control_rows(rects: DataFrame, keys: Sequence[str], y_gap: float | Column) -> DataFrame:
+    """Controls grouped to visual rows by vertical centre; rows without extent are dropped.
+
+    The gap may depend on the keys, for instance on the control type.
+    """
     chains = _bucket_chains(rects.withColumn("cy", _centre("y0", "y1")), keys, "cy", y_gap, _spans())
     rows = chains.groupBy(*keys, "chain").agg(
         F.sum("bucket_n").alias("count"),
@@ -332,12 +337,13 @@ def match_metrics(chosen: DataFrame, matches: DataFrame, detected: DataFrame) ->
 
 def mappable_rows(controls: DataFrame) -> DataFrame:
     """Control rows of each page wide enough to be a question's choices."""
-    parts = []
-    for kind, control in (("yesno_box", "checkbox"), ("h3_circle", "circle")):
-        gap, span = ROW_LIMITS[kind]
-        rows = control_rows(controls.filter(F.col("control_type") == control), ["doc", "page"], gap)
-        parts.append(rows.filter((F.col("count") >= 2) & (F.col("x_span") >= span)).withColumn("kind", F.lit(kind)))
-    return parts[0].unionByName(parts[1])
+    circle = F.col("control_type") == "circle"
+    (box_gap, box_span), (circle_gap, circle_span) = ROW_LIMITS["yesno_box"], ROW_LIMITS["h3_circle"]
+    known = controls.filter(F.col("control_type").isin("checkbox", "circle"))
+    rows = control_rows(known, ["doc", "page", "control_type"], F.when(circle, circle_gap).otherwise(box_gap))
+    wide = F.col("x_span") >= F.when(circle, circle_span).otherwise(box_span)
+    return rows.filter((F.col("count") >= 2) & wide).withColumn(
+        "kind", F.when(circle, "h3_circle").otherwise("yesno_box"))
 
 
 def anchor_hits(words: DataFrame, questions: list[dict]) -> DataFrame:
@@ -390,20 +396,23 @@ def map_controls(controls: DataFrame, words: DataFrame, questions: list[dict]) -
             F.round(best["score"], 3).alias("confidence"), (best["score"] >= 0.75).alias("resolved"))
         return F.when(best.isNull(), picked).otherwise(F.array_append(picked, entry))
 
-    start = F.array().cast("array<struct<question:string,page:int,kind:string,chain:bigint,controls:bigint,"
-                           "confidence:double,resolved:boolean>>")
-    tried = per_doc.select("doc", F.explode(F.aggregate("rows", start, settle)).alias("m")).select(
-        "doc", "m.*", F.when(~F.col("m.resolved"), F.lit(
-            "count/order matched but layout confidence stayed below threshold")).alias("reason"))
-    everything = controls.select("doc").unionByName(words.select("doc")).distinct().withColumn(
-        "question", F.explode(F.array(*[F.lit(q["number"]) for q in template])))
-    open_ = everything.join(
-        tried.filter("resolved").select("doc", "question"), ["doc", "question"], "left_anti"
-    ).withColumns({
-        "confidence": F.lit(0.0), "resolved": F.lit(False),
-        "reason": F.lit("no high-confidence geometry match was found for this survey control"),
-    })
-    return tried.unionByName(open_, allowMissingColumns=True)
+    entry = ("struct<question:string,page:int,kind:string,chain:bigint,controls:bigint,"
+             "confidence:double,resolved:boolean>")
+    none = F.array().cast(f"array<{entry}>")
+    everything = controls.select("doc").unionByName(words.select("doc")).distinct()
+    settled = everything.join(
+        per_doc.select("doc", F.aggregate("rows", none, settle).alias("tried")), "doc", "left"
+    ).withColumn("tried", F.coalesce("tried", none))
+    taken = F.transform(F.filter("tried", lambda p: p["resolved"]), lambda p: p["question"])
+    numbers = F.array(*[F.lit(q["number"]) for q in template])
+    still_open = F.transform(F.array_except(numbers, taken), lambda q: F.struct(
+        q.alias("question"), F.lit(None).cast("int").alias("page"), F.lit(None).cast("string").alias("kind"),
+        F.lit(None).cast("bigint").alias("chain"), F.lit(None).cast("bigint").alias("controls"),
+        F.lit(0.0).alias("confidence"), F.lit(False).alias("resolved")))
+    lines = settled.select("doc", F.explode(F.concat("tried", still_open)).alias("m")).select("doc", "m.*")
+    return lines.withColumn("reason", F.when(F.col("resolved"), F.lit(None).cast("string")).when(
+        F.col("page").isNull(), F.lit("no high-confidence geometry match was found for this survey control")).otherwise(
+        F.lit("count/order matched but layout confidence stayed below threshold")))
 
 
 def active_layout(questions: DataFrame, key: str = "file_name") -> DataFrame:
