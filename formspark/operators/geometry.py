@@ -347,13 +347,20 @@ def mappable_rows(controls: DataFrame) -> DataFrame:
 
 
 def anchor_hits(words: DataFrame, questions: list[dict]) -> DataFrame:
-    """How often each page's words name a question or one of its choices."""
-    spark = words.sparkSession
-    terms = [(q["number"], q["number"].lower()) for q in questions]
-    terms += [("H3", w) for q in questions if q["number"] == "H3" for w in ("h3", "setting")]
-    terms += [(q["number"], " ".join(label.lower().split())) for q in questions for label in q["labels"]]
-    frame = spark.createDataFrame(terms, "question string, text string")
-    return words.join(frame, "text").groupBy("doc", "page", "question").agg(F.count("*").alias("hits"))
+    """How often each page's words name a question or one of its choices.
+
+    The template's words are a literal lookup, so no word is shuffled to meet them.
+    """
+    terms: dict[str, list[str]] = {}
+    for q in questions:
+        named = [q["number"].lower(), *(" ".join(label.lower().split()) for label in q["labels"])]
+        named += ["h3", "setting"] if q["number"] == "H3" else []
+        for text in named:
+            terms.setdefault(text, []).append(q["number"])
+    pairs = [part for text, found in terms.items() for part in (F.lit(text), F.array(*[F.lit(n) for n in found]))]
+    found = words.filter(F.col("text").isin(*terms)).withColumn(
+        "question", F.explode(F.element_at(F.create_map(*pairs), F.col("text"))))
+    return found.groupBy("doc", "page", "question").agg(F.count("*").alias("hits"))
 
 
 def map_controls(controls: DataFrame, words: DataFrame, questions: list[dict]) -> DataFrame:

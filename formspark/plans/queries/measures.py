@@ -60,7 +60,7 @@ def geometry_projected_points(v):
         "SELECT page_idx, question, label, CAST(x AS DOUBLE) AS x, CAST(y AS DOUBLE) AS y "
         f"FROM VALUES {_POINTS} AS p(page_idx, question, label, x, y)")
     fits = geo.fit_similarity(v["fx_marks"]).withColumn("page_idx", (F.col("page_id") % 3).cast("int"))
-    corrections = v.spark.createDataFrame([("31", 0.0, 23.0), ("34", 0.0, 16.0)], "question string, dx double, dy double")
+    corrections = v.spark.sql("SELECT * FROM VALUES ('31', 0D, 23D), ('34', 0D, 16D) AS c(question, dx, dy)")
     return geo.project(points, fits, corrections).select(
         "page_id", "question", "label", F.round("px", 3).alias("px"), F.round("py", 3).alias("py"))
 
