@@ -36,7 +36,7 @@ def quality_of(v):
 SELECT folder_name, file_name, report_date, DATE '2025-12-01' AS refreshed_date, flagged_question_count > 0 AS needs_review, flagged_question_count, total_question_count,
   CASE WHEN flagged_question_count > 0 THEN CAST(flagged_question_count AS VARCHAR) || ' of ' || CAST(total_question_count AS VARCHAR) || ' question(s) flagged for review in ' || file_name || ': ' || issues || '.'
        ELSE 'No issues detected in ' || file_name || ' - all ' || CAST(total_question_count AS VARCHAR) || ' question(s) passed review.' END AS issue_summary,
-  issues, unreadable_areas FROM ({_QUALITY}) q""")
+  issues, unreadable_areas FROM ({_QUALITY}) q""", dates="report_date refreshed_date")
 def file_quality_rollup(v):
     return quality_of(v).select(
         "folder_name", "file_name", "report_date", "refreshed_date", "needs_review", "flagged_question_count",
@@ -64,7 +64,7 @@ def file_quality_totals(v):
 WITH q AS ({_QUALITY}), new AS (SELECT folder_name, file_name, flagged_question_count, total_question_count, DATE '2025-12-01' AS refreshed_date FROM q WHERE flagged_question_count > 0)
 SELECT folder_name, file_name, 0 AS flagged_question_count, 1 AS total_question_count, DATE '2025-11-01' AS refreshed_date FROM q
 WHERE folder_name IS NULL OR folder_name NOT IN (SELECT folder_name FROM new WHERE folder_name IS NOT NULL)
-UNION ALL SELECT * FROM new""")
+UNION ALL SELECT * FROM new""", dates="refreshed_date")
 def file_quality_refresh(v):
     shown = ["folder_name", "file_name", "flagged_question_count", "total_question_count", "refreshed_date"]
     stored = conform(v["fx_responses"].select("folder_name", "file_name").distinct().withColumns({

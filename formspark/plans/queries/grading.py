@@ -180,7 +180,7 @@ def calibration_expected_boxes(v):
 @query("CAL-10", """
 SELECT CASE WHEN starts_with(split_part(source_gcs_uri, '/', 5), 'Nov ') THEN split_part(source_gcs_uri, '/', 5) ELSE '(no folder)' END AS folder, count(*) AS documents,
   CASE WHEN starts_with(split_part(source_gcs_uri, '/', 5), 'Nov ') THEN CAST('2025-11-' || split_part(split_part(source_gcs_uri, '/', 5), ' ', 2) AS DATE) ELSE DATE '2025-12-01' END AS partition_date
-FROM fx_source GROUP BY ALL""")
+FROM fx_source GROUP BY ALL""", dates="partition_date")
 def calibration_folder_counts(v):
     return cal.folder_counts(v["fx_source"], "gs://bucket/raw/", F.to_date(run_at()), "source_gcs_uri")
 
@@ -313,7 +313,7 @@ def quality_failure_stubs(v):
 
 
 @query("QC-09", """
-SELECT event_id, CASE WHEN event_id % 3 = 0 THEN DATE '2025-11-03' ELSE DATE '2025-12-01' END AS partition_date, nullif(overflow_text, '') AS overflow_questions, 'v1' AS classifier_version FROM fx_measured""")
+SELECT event_id, CASE WHEN event_id % 3 = 0 THEN DATE '2025-11-03' ELSE DATE '2025-12-01' END AS partition_date, nullif(overflow_text, '') AS overflow_questions, 'v1' AS classifier_version FROM fx_measured""", dates="partition_date")
 def quality_stored_rows(v):
     folder = F.when(F.col("event_id") % 3 == 0, F.lit("Nov 3 2025")).when(F.col("event_id") % 3 == 1, F.lit("misc"))
     return qc.quality_rows(routed(v).withColumn("survey_folder", folder), F.to_date(run_at()), "v1", run_at()).select(

@@ -97,7 +97,7 @@ def source_responses_in_folders(v):
 
 @query("SRC-06", """
 SELECT source_file, source_gcs_uri, destination_folder, destination_gcs_uri, source_page_range, output_category,
-       rejected, rejected_reason, needs_review, needs_review_reason, CAST(moved_at AS DATE) AS moved_at FROM fx_audited""")
+       rejected, rejected_reason, needs_review, needs_review_reason, CAST(moved_at AS DATE) AS moved_at FROM fx_audited""", dates="moved_at")
 def source_manifest_columns(v):
     return readers.manifest_projection(v["fx_audited"]).withColumn("moved_at", F.to_date("moved_at"))
 
@@ -171,7 +171,7 @@ def manifest_categories(v):
 SELECT source_gcs_uri, source_page_range, substr(source_gcs_uri, 6) AS source_file, '12/01' AS parsed_month_day, DATE '2025-12-01' AS moved_date,
   'gs://bucket/split/' || CASE output_category WHEN 'declined' THEN 'Declined/' WHEN 'rejected' THEN 'Rejected/' ELSE '' END || destination_folder || '/' || output_name AS destination_gcs_uri,
   rejected_reason IS NOT NULL AS rejected, needs_review_reason IS NOT NULL AS needs_review
-FROM ({CATEGORISED_SQL}) c""")
+FROM ({CATEGORISED_SQL}) c""", dates="moved_date")
 def manifest_row_build(v):
     rows, _both = man.manifest_rows(categorised(v), BUCKET, PREFIX, run_at())
     return rows.select("source_gcs_uri", "source_page_range", "source_file", "parsed_month_day", "moved_date",
@@ -233,7 +233,7 @@ def manifest_superseded(v):
 
 @query("MAN-09", """
 WITH f AS (SELECT DISTINCT split_part(source_gcs_uri, '/', 5) AS folder FROM fx_source WHERE starts_with(split_part(source_gcs_uri, '/', 5), 'Nov '))
-SELECT folder, CAST('2025-11-' || split_part(folder, ' ', 2) AS DATE) AS folder_date FROM f""")
+SELECT folder, CAST('2025-11-' || split_part(folder, ' ', 2) AS DATE) AS folder_date FROM f""", dates="folder_date")
 def manifest_date_folders(v):
     return man.date_folders(v["fx_source"], ROOT, "source_gcs_uri")
 
@@ -313,7 +313,7 @@ def sink_replace_folder(v):
 
 @query("SNK-04 SNK-06", """
 SELECT folder_name, file_name, CAST(report_date AS DATE) AS report_date, NULL AS survey_answer, TRY_CAST(review_note AS BOOLEAN) AS needs_review,
-       model_confidence, NULL AS ingested_from, CAST(NULL AS BOOLEAN) AS updated_with_feedback FROM fx_responses""")
+       model_confidence, NULL AS ingested_from, CAST(NULL AS BOOLEAN) AS updated_with_feedback FROM fx_responses""", dates="report_date")
 def sink_conform(v):
     raw = v["fx_responses"].select(
         "folder_name", "file_name", F.col("report_date").cast("string").alias("report_date"),

@@ -177,7 +177,7 @@ def reading_ink_floor(v):
 
 
 @query("RCN-17", """
-SELECT source_gcs_uri, CASE WHEN starts_with(split_part(source_gcs_uri, '/', 5), 'Nov ') THEN CAST('2025-11-' || split_part(split_part(source_gcs_uri, '/', 5), ' ', 2) AS DATE) ELSE DATE '2025-12-01' END AS report_date FROM fx_source""")
+SELECT source_gcs_uri, CASE WHEN starts_with(split_part(source_gcs_uri, '/', 5), 'Nov ') THEN CAST('2025-11-' || split_part(split_part(source_gcs_uri, '/', 5), ' ', 2) AS DATE) ELSE DATE '2025-12-01' END AS report_date FROM fx_source""", dates="report_date")
 def reading_report_date(v):
     folder = fx.relative_folder(F.col("source_gcs_uri"), F.lit("gs://bucket/raw/"))
     return v["fx_source"].withColumn("folder", folder).select(

@@ -104,7 +104,7 @@ SELECT folder, file_name, iso,
     DATE '2025-12-01') AS best_date,
   CASE WHEN {_MONTHS}[lower(n.m)] IS NOT NULL AND TRY_CAST(n.d AS INT) BETWEEN 1 AND 31 THEN {_MONTHS}[lower(n.m)] * 100 + TRY_CAST(n.d AS INT) END AS month_day,
   TRY_CAST(iso AS DATE) AS iso_date
-FROM x""")
+FROM x""", dates="strict_date best_date iso_date")
 def fn_name_dates(v):
     v["orders"].createOrReplaceTempView("orders")
     md = fx.file_name_month_day(F.col("file_name"))

@@ -6,6 +6,7 @@ from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from formspark.plans.fixtures import Views, oracle
 
@@ -22,12 +23,20 @@ class Query:
 QUERIES: dict[str, Query] = {}
 
 
-def query(operators: str, sql: str | None = None):
-    """Register a function of the views under its own name."""
+def query(operators: str, sql: str | None = None, dates: str = ""):
+    """Register a function of the views under its own name.
+
+    The columns named in ``dates`` are compared as text, the same in both engines.
+    """
+    named = dates.split()
+    if sql and named:
+        shown = ", ".join(f"CAST({name} AS VARCHAR) AS {name}" for name in named)
+        sql = f"SELECT * REPLACE ({shown}) FROM ({sql.strip()}) shown"
 
     def add(build: Callable[[Views], DataFrame]) -> Callable[[Views], DataFrame]:
         def run(spark: SparkSession, folder: str) -> DataFrame:
-            return build(Views(spark, folder))
+            frame = build(Views(spark, folder))
+            return frame.withColumns({name: F.col(name).cast("string") for name in named}) if named else frame
 
         if build.__name__ in QUERIES:
             raise ValueError(f"query {build.__name__} is registered twice")
