@@ -22,7 +22,7 @@ _ISSUES = f"""
     CASE WHEN qnum IN ('H1','H2','H3','H4','H5','H6') THEN CAST(substr(qnum, 2) AS INT) WHEN regexp_full_match(qnum, '[0-9]+') THEN CAST(qnum AS INT) ELSE 0 END AS place
   FROM ({_NUMBERED}) r"""
 _QUALITY = f"""
-  SELECT folder_name, file_name, min(report_date) AS report_date, count(*) AS total_question_count, coalesce(count_if(needs_review), 0) AS flagged_question_count,
+  SELECT folder_name, file_name, min(report_date) AS report_date, count(*) AS total_question_count, CAST(coalesce(count_if(needs_review), 0) AS BIGINT) AS flagged_question_count,
     coalesce(string_agg(issue, '; ' ORDER BY tier, place, note, issue, area) FILTER (needs_review), '') AS issues,
     coalesce(string_agg(area, '; ' ORDER BY tier, place, note, issue, area) FILTER (needs_review), '') AS unreadable_areas
   FROM ({_ISSUES}) i GROUP BY folder_name, file_name"""
@@ -55,14 +55,14 @@ def file_question_lookup(v):
 
 
 @query("FQ-03", f"""
-SELECT count(*) AS files, CAST(sum(total_question_count) AS BIGINT) AS answers, count_if(flagged_question_count > 0) AS flagged_files FROM ({_QUALITY}) q""")
+SELECT count(*) AS files, CAST(sum(total_question_count) AS BIGINT) AS answers, CAST(count_if(flagged_question_count > 0) AS BIGINT) AS flagged_files FROM ({_QUALITY}) q""")
 def file_quality_totals(v):
     return rollup.quality_totals(quality_of(v))
 
 
 @query("FQ-04 SNK-03 SNK-06", f"""
 WITH q AS ({_QUALITY}), new AS (SELECT folder_name, file_name, flagged_question_count, total_question_count, DATE '2025-12-01' AS refreshed_date FROM q WHERE flagged_question_count > 0)
-SELECT folder_name, file_name, 0 AS flagged_question_count, 1 AS total_question_count, DATE '2025-11-01' AS refreshed_date FROM q
+SELECT folder_name, file_name, CAST(0 AS BIGINT) AS flagged_question_count, CAST(1 AS BIGINT) AS total_question_count, DATE '2025-11-01' AS refreshed_date FROM q
 WHERE folder_name IS NULL OR folder_name NOT IN (SELECT folder_name FROM new WHERE folder_name IS NOT NULL)
 UNION ALL SELECT * FROM new""", dates="refreshed_date")
 def file_quality_refresh(v):

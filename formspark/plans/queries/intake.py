@@ -256,15 +256,15 @@ def manifest_source_plan(v):
 
 
 @query("MAN-12", """
-SELECT count(*) AS outputs, count_if(output_category = 'normal') AS normal, count_if(output_category = 'declined') AS declined,
-  count_if(output_category = 'rejected') AS rejected, count_if(rejected) AS rejected_flag, count_if(needs_review) AS needs_review,
+SELECT count(*) AS outputs, CAST(count_if(output_category = 'normal') AS BIGINT) AS normal, CAST(count_if(output_category = 'declined') AS BIGINT) AS declined,
+  CAST(count_if(output_category = 'rejected') AS BIGINT) AS rejected, CAST(count_if(rejected) AS BIGINT) AS rejected_flag, CAST(count_if(needs_review) AS BIGINT) AS needs_review,
   (SELECT count(*) FROM fx_open_errors) AS failed_sources FROM fx_audited""")
 def manifest_run_totals(v):
     return man.run_totals(v["fx_audited"], v["fx_open_errors"])
 
 
 @query("MAN-13", """
-SELECT coalesce(model, '(all)') AS model, count_if(prompt_tokens IS NOT NULL OR output_tokens IS NOT NULL) AS requests,
+SELECT coalesce(model, '(all)') AS model, CAST(count_if(prompt_tokens IS NOT NULL OR output_tokens IS NOT NULL) AS BIGINT) AS requests,
   CAST(coalesce(sum(prompt_tokens), 0) AS BIGINT) AS prompt_tokens, CAST(coalesce(sum(output_tokens), 0) AS BIGINT) AS output_tokens,
   CAST(sum(coalesce(prompt_tokens, 0) + coalesce(output_tokens, 0)) AS BIGINT) AS total_tokens
 FROM fx_call_log GROUP BY ROLLUP (model)""")

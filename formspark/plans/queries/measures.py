@@ -234,7 +234,7 @@ def geometry_border_coverage(v):
 
 @query("GEO-15", """
 WITH b AS (SELECT *, ntile(20) OVER (PARTITION BY page_id, side ORDER BY y) AS band FROM fx_strips),
-s AS (SELECT page_id, side, sum(s) / sum(n) AS coverage, count_if(s / n > 0.01) AS bands FROM (SELECT page_id, side, band, sum(ink) AS s, count(*) AS n FROM b GROUP BY ALL) q GROUP BY page_id, side)
+s AS (SELECT page_id, side, sum(s) / sum(n) AS coverage, CAST(count_if(s / n > 0.01) AS BIGINT) AS bands FROM (SELECT page_id, side, band, sum(ink) AS s, count(*) AS n FROM b GROUP BY ALL) q GROUP BY page_id, side)
 SELECT page_id, round(CASE WHEN r > l THEN r ELSE l END, 6) AS shadow_coverage, CASE WHEN greatest(l, r) <= 0 THEN 0 WHEN r > l THEN rb ELSE lb END AS shadow_bands FROM (
   SELECT page_id, max(CASE WHEN side = 'left' THEN coverage END) AS l, max(CASE WHEN side = 'right' THEN coverage END) AS r,
     max(CASE WHEN side = 'left' THEN bands END) AS lb, max(CASE WHEN side = 'right' THEN bands END) AS rb FROM s GROUP BY page_id) q""")
