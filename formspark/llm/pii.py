@@ -52,8 +52,8 @@ def _luhn(value: Column) -> Column:
 def _holds(kind: str, value: Column) -> Column:
     """What a match must satisfy beyond its pattern."""
     if kind == "ip":
-        return F.forall(F.split(value, r"\."), lambda p: (F.length(F.ltrim(F.lit("0"), p)) <= 3) & (
-            F.coalesce(F.substring(F.ltrim(F.lit("0"), p), 1, 3).try_cast("int"), F.lit(0)) <= 255))
+        return F.forall(F.split(value, r"\."), lambda p: (F.length(F.ltrim(p, F.lit("0"))) <= 3) & (
+            F.coalesce(F.substring(F.ltrim(p, F.lit("0")), 1, 3).try_cast("int"), F.lit(0)) <= 255))
     if kind == "card":
         return F.when(F.length(_digits(value)).between(14, 19), _luhn(value)).otherwise(F.lit(False))
     if kind == "phone":
