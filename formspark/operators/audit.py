@@ -268,5 +268,5 @@ def apply_reprocess(flags: DataFrame, sources: DataFrame, verdicts: DataFrame, l
     units = man.expand_units(involved.select("source_gcs_uri", "page_count"), pages_per_unit).join(
         wanted, man.KEY, "left_semi"
     )
-    fresh, _bad = man.manifest_rows(man.categorise_units(units, verdicts), bucket, prefix, moved_at)
+    fresh = man.all_or_error(*man.manifest_rows(man.categorise_units(units, verdicts), bucket, prefix, moved_at))
     return replace_by_key(manifest, fresh, man.KEY), man.superseded(manifest, fresh, listing, bucket)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -58,16 +60,16 @@ def expand_units(sources: DataFrame, pages_per_unit: int, only_range: tuple[int,
 
 def malformed_sources(sources: DataFrame, verdicts: DataFrame, pages_per_unit: int,
                       language: str = "English") -> DataFrame:
-    """One rejected whole-source row where the page count does not divide."""
+    """One rejected whole-source row where the page count does not divide, is zero or is not known."""
     n = F.col("page_count")
-    bad = sources.filter(n % pages_per_unit != 0)
+    bad = sources.filter(n.isNull() | (n < 1) | (n % pages_per_unit != 0))
     first = verdicts.filter(F.col("unit_index") == 1).select(
         "source_gcs_uri", "language_verdict", "content_verdict"
     )
     uri = F.col("source_gcs_uri")
     reason = F.concat_ws(
         "; Also: ",
-        F.concat(_source_name(uri), F.lit(" has "), n.cast("string"),
+        F.concat(_source_name(uri), F.lit(" has "), F.coalesce(n.cast("string"), F.lit("an unknown number of")),
                  F.lit(f" page(s), which is not a multiple of {pages_per_unit} pages per survey")),
         F.when(~fx.language_ok(F.col("language_verdict")),
                F.lit(f"the PDF is in a language other than {language}")),
@@ -76,7 +78,7 @@ def malformed_sources(sources: DataFrame, verdicts: DataFrame, pages_per_unit: i
     return bad.join(first, "source_gcs_uri", "left").select(
         "source_gcs_uri",
         F.lit(1).alias("page_start"), n.cast("int").alias("page_end"),
-        _range(F.lit(1), n).alias("source_page_range"),
+        F.when(n > 0, _range(F.lit(1), n)).alias("source_page_range"),
         fx.stem(_source_name(uri)).alias("destination_folder"),
         F.lit(None).cast("string").alias("output_name"),
         F.lit("rejected").alias("output_category"),
@@ -168,6 +170,23 @@ def manifest_rows(units: DataFrame, bucket: str, prefix: str, moved_at: Column)
     return rows.filter(~both), rows.filter(both)
 
 
+def all_or_error(rows: DataFrame, broken: DataFrame) -> DataFrame:
+    """``rows``; running it fails as soon as there is one row in ``broken``, so that none is lost in silence."""
+    text = F.concat(F.lit("a unit is both rejected and for review: "), F.coalesce("source_gcs_uri", F.lit("?")),
+                    F.lit(" pages "), F.coalesce("source_page_range", F.lit("?")))
+    # Guarded by the condition itself: the order in which filters run is not fixed.
+    fault = F.when(F.col("rejected") & F.col("needs_review"), F.raise_error(text))
+    return rows.unionByName(broken.filter(fault.isNull()))
+
+
+def settled(rows: DataFrame, broken: DataFrame, failures: Callable[[DataFrame], None] | None) -> DataFrame:
+    """``rows``, once ``failures`` has taken the broken ones; without it a broken row is an error."""
+    if failures is None:
+        return all_or_error(rows, broken)
+    failures(broken)
+    return rows
+
+
 def placed_units(sources: DataFrame, listing: DataFrame, pages_per_unit: int,
                  bucket: str, prefix: str) -> DataFrame:
     """Units that already have a file, with the first category root that holds it."""

@@ -40,7 +40,7 @@ def profile_or_fallback(files: DataFrame, log: DataFrame, measured: DataFrame, t
 
 
 def qc_measure(pages: DataFrame, questions: DataFrame, coverage: DataFrame, shadow: DataFrame,
-               absent: tuple[str, ...] = ("27#0",), key: str = "file_name") -> DataFrame:
+               absent: tuple[str, ...] = (), key: str = "file_name") -> DataFrame:
     """Measured signals of each file; every input is reduced per file before the joins."""
     per_page = pages.groupBy(key).agg(
         F.round(F.max(F.abs("rotation_deg")), 3).alias("tilt_deg"),

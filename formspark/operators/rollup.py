@@ -8,8 +8,7 @@ from pyspark.sql import functions as F
 from formspark import functions as fx
 
 FILE = ["folder_name", "file_name"]
-# A file whose flagged answers outnumber this is written as several rows (list_part).
-LIST_LIMIT = 20_000
+SEVERAL_NOTES = "several notes"
 
 
 def question_lookup(responses: DataFrame) -> DataFrame:
@@ -53,55 +52,30 @@ def _report_date(responses: DataFrame) -> Column:
     return F.col("report_date") if is_date else fx.iso_date(F.col("report_date"))
 
 
-def file_quality(responses: DataFrame, refreshed_at: Column, pages: DataFrame | None = None,
-                 list_limit: int = LIST_LIMIT) -> DataFrame:
+def _times(phrase: Column, n: Column) -> Column:
+    return F.when(n > 1, F.concat(phrase, F.lit(" (x"), n.cast("string"), F.lit(")"))).otherwise(phrase)
+
+
+def file_quality(responses: DataFrame, refreshed_at: Column, pages: DataFrame | None = None) -> DataFrame:
     """One row per file, clean files too, with counts, lists and a summary.
 
-    Equal answers are counted before anything is gathered, so unflagged ones
-    reach the file as a single row, and texts are made once per distinct answer.
-    Lists are gathered per file only up to ``list_limit`` flagged answers; a
-    heavier file is spread over rows with ``list_part`` 0, 1, ... that together
-    hold its whole list and repeat its counts.
+    ``issues`` holds one phrase per question and category, ``unreadable_areas`` one per question and page; what was flagged
+    more than once carries its number. So the lists are as long as the form, however many answers a file has. A question
+    with different notes says so; the notes themselves are the rows of ``file_issues``.
     """
     counted = _numbered(responses, pages).groupBy(*FILE, "flagged", "qnum", "page", "note").agg(
-        F.count("*").alias("n"), F.min(_report_date(responses)).alias("report_date")
-    )
-    copies = _with_texts(counted)
-    # Reads the same exchange as the lists do, so the answers are scanned once.
-    heavy = (
-        counted.groupBy(*FILE)
-        .agg(F.sum(F.when(F.col("flagged"), F.col("n"))).alias("all_flagged"), F.sum("n").alias("all_rows"),
-             F.min("report_date").alias("all_date"))
-        .filter(F.col("all_flagged") > list_limit)
-        .select(*[F.col(c).alias(f"heavy_{c}") for c in FILE], "all_flagged", "all_rows", "all_date")
-    )
-    joined = copies.join(
-        heavy,
-        copies.folder_name.eqNullSafe(heavy.heavy_folder_name)
-        & copies.file_name.eqNullSafe(heavy.heavy_file_name),
-        "left",
-    )
-    parts = F.ceil(F.col("all_flagged") / list_limit)
-    chunks = F.when(F.col("all_flagged").isNotNull() & F.col("flagged"),
-                    F.sequence(F.lit(0).cast("bigint"), F.floor((F.col("n") - 1) / list_limit))).otherwise(
-        F.array(F.lit(0).cast("bigint")))
-    spread = joined.withColumn("chunk", F.explode(chunks))
-    part = F.when(F.col("all_flagged").isNotNull() & F.col("flagged"),
-                  F.pmod(F.xxhash64("qnum", "note") + F.col("chunk"), parts)).otherwise(0).cast("int")
-    share = F.when(F.col("all_flagged").isNull() | ~F.col("flagged"), F.col("n")).otherwise(
-        F.least(F.lit(list_limit), F.col("n") - F.col("chunk") * list_limit))
-    entry = F.struct("rank", "note", "issue", "area", F.col("share").cast("int").alias("share"))
-    gathered = spread.withColumn("list_part", part).withColumn("share", share).groupBy(*FILE, "list_part").agg(
-        F.coalesce(F.max("all_rows"), F.sum("n")).alias("total_question_count"),
-        F.coalesce(F.max("all_flagged"), F.sum(F.when(F.col("flagged"), F.col("n"))), F.lit(0).cast("bigint"))
-        .alias("flagged_question_count"),
-        F.coalesce(F.max("all_date"), F.min("report_date")).alias("report_date"),
+        F.count("*").alias("n"), F.min(_report_date(responses)).alias("report_date"))
+    per_category = counted.withColumn("category", F.when(F.col("flagged"), fx.review_category(F.col("note")))) \
+        .groupBy(*FILE, "flagged", "qnum", "page", "category").agg(
+            F.sum("n").alias("n"), F.min("note").alias("low"), F.max("note").alias("high"), F.min("report_date").alias("report_date"))
+    entry = F.struct(F.struct(fx.question_rank(F.col("qnum")).alias("rank"), "qnum", "page").alias("at"), "category", "n", "low", "high")
+    gathered = per_category.groupBy(*FILE).agg(
+        F.sum("n").alias("total_question_count"),
+        F.coalesce(F.sum(F.when(F.col("flagged"), F.col("n"))), F.lit(0).cast("bigint")).alias("flagged_question_count"),
+        F.min("report_date").alias("report_date"),
         F.array_sort(F.collect_list(F.when(F.col("flagged"), entry))).alias("entries"),
     )
-
-    def spelled(field: str) -> Column:
-        return F.flatten(F.transform("entries", lambda e: F.array_repeat(e[field], e["share"])))
-
+    issues = F.transform("entries", lambda e: _times(F.concat(F.lit("Q"), e["at"]["qnum"], F.lit(": "), e["category"]), e["n"]))
     total, count = F.col("total_question_count").cast("string"), F.col("flagged_question_count").cast("string")
     summary = F.when(
         F.col("flagged_question_count") > 0,
@@ -109,22 +83,29 @@ def file_quality(responses: DataFrame, refreshed_at: Column, pages: DataFrame |
                  F.lit(": "), F.array_join("issues", "; "), F.lit(".")),
     ).otherwise(F.concat(F.lit("No issues detected in "), F.col("file_name"), F.lit(" - all "), total,
                          F.lit(" question(s) passed review.")))
-    return (
-        gathered.withColumn("issues", spelled("issue")).withColumn("unreadable_areas", spelled("area"))
-        .select(
-            *FILE, "report_date",
-            refreshed_at.alias("refreshed_at"), F.to_date(refreshed_at).alias("refreshed_date"),
-            (F.col("flagged_question_count") > 0).alias("needs_review"),
-            "flagged_question_count", "total_question_count",
-            summary.alias("issue_summary"), "issues", "unreadable_areas", "list_part",
-        )
-    )
+    return gathered.withColumn("issues", issues).select(
+        *FILE, "report_date", refreshed_at.alias("refreshed_at"), F.to_date(refreshed_at).alias("refreshed_date"),
+        (F.col("flagged_question_count") > 0).alias("needs_review"), "flagged_question_count", "total_question_count",
+        summary.alias("issue_summary"), "issues", _areas().alias("unreadable_areas"))
 
 
-def quality_totals(quality: DataFrame) -> DataFrame:
-    files = quality.filter(F.col("list_part") == 0) if "list_part" in quality.columns else quality
-    return files.agg(
-        F.count("*").alias("files"),
-        F.coalesce(F.sum("total_question_count"), F.lit(0).cast("bigint")).alias("answers"),
-        F.count_if("needs_review").alias("flagged_files"),
-    )
+def _areas() -> Column:
+    """One text per question and page of ``entries``, which lie in that order."""
+
+    def text(at: Column) -> Column:
+        own = F.filter("entries", lambda e: e["at"] == at)
+        low, high = F.array_min(F.transform(own, lambda e: e["low"])), F.array_max(F.transform(own, lambda e: e["high"]))
+        n = F.aggregate(own, F.lit(0).cast("bigint"), lambda a, e: a + e["n"])
+        place = F.coalesce(F.concat(F.lit("page "), at["page"].cast("string")), F.lit("page unknown"))
+        note = F.when(low == high, low).otherwise(F.lit(SEVERAL_NOTES))
+        return _times(F.concat(F.lit("Question "), at["qnum"], F.lit(" ("), place, F.lit("): "), note), n)
+
+    return F.transform(F.array_distinct(F.transform("entries", lambda e: e["at"])), text)
+
+
+def quality_totals(responses: DataFrame) -> DataFrame:
+    """Files, answers and files with a flagged answer, counted from the answers themselves."""
+    flagged = F.coalesce("needs_review", F.lit(False))
+    files = responses.groupBy(*FILE).agg(F.count("*").alias("n"), F.bool_or(flagged).alias("flagged"))
+    return files.agg(F.count("*").alias("files"), F.coalesce(F.sum("n"), F.lit(0).cast("bigint")).alias("answers"),
+                     F.count_if("flagged").alias("flagged_files"))

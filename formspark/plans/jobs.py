@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -34,10 +36,12 @@ def intake_rows(sources: DataFrame, listing: DataFrame, verdicts: DataFrame, buc
 
 
 def run_intake(table: writers.BucketedTable, sources: DataFrame, listing: DataFrame, verdicts: DataFrame,
-               bucket: str, prefix: str, pages_per_unit: int, moved_at: Column, dry_run: bool = False) -> DataFrame:
-    rows, _broken = intake_rows(sources, listing, verdicts, bucket, prefix, pages_per_unit, moved_at)
+               bucket: str, prefix: str, pages_per_unit: int, moved_at: Column, dry_run: bool = False,
+               failures: Callable[[DataFrame], None] | None = None) -> DataFrame:
+    """Manifest rows of a run, put in place; units that break its constraint go to ``failures`` or are an error."""
+    rows, broken = intake_rows(sources, listing, verdicts, bucket, prefix, pages_per_unit, moved_at)
     if not dry_run:
-        table.replace(rows)
+        table.replace(man.settled(rows, broken, failures))
     return rows
 
 

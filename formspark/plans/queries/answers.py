@@ -21,11 +21,19 @@ _ISSUES = f"""
     CASE WHEN qnum IN ('H1','H2','H3','H4','H5','H6') THEN 0 WHEN regexp_full_match(qnum, '[0-9]+') THEN 1 ELSE 2 END AS tier,
     CASE WHEN qnum IN ('H1','H2','H3','H4','H5','H6') THEN CAST(substr(qnum, 2) AS INT) WHEN regexp_full_match(qnum, '[0-9]+') THEN CAST(qnum AS INT) ELSE 0 END AS place
   FROM ({_NUMBERED}) r"""
+_CATEGORIES = f"""
+  SELECT folder_name, file_name, needs_review AS flagged, qnum, tier, place, page, category, count(*) AS n, min(note) AS low, max(note) AS high, min(report_date) AS report_date
+  FROM (SELECT i.*, substr(issue, length(qnum) + 4) AS category, CAST({PAGE_SQL} AS VARCHAR) AS page FROM ({_ISSUES}) i) i GROUP BY ALL"""
+_TIMES = "CASE WHEN {n} > 1 THEN ' (x' || CAST({n} AS VARCHAR) || ')' ELSE '' END"
 _QUALITY = f"""
-  SELECT folder_name, file_name, min(report_date) AS report_date, count(*) AS total_question_count, CAST(coalesce(count_if(needs_review), 0) AS BIGINT) AS flagged_question_count,
-    coalesce(string_agg(issue, '; ' ORDER BY tier, place, note, issue, area) FILTER (needs_review), '') AS issues,
-    coalesce(string_agg(area, '; ' ORDER BY tier, place, note, issue, area) FILTER (needs_review), '') AS unreadable_areas
-  FROM ({_ISSUES}) i GROUP BY folder_name, file_name"""
+  SELECT q.*, coalesce(a.unreadable_areas, '') AS unreadable_areas FROM (
+    SELECT folder_name, file_name, min(report_date) AS report_date, CAST(sum(n) AS BIGINT) AS total_question_count, CAST(coalesce(sum(n) FILTER (flagged), 0) AS BIGINT) AS flagged_question_count,
+      coalesce(string_agg('Q' || qnum || ': ' || category || {_TIMES.format(n="n")}, '; ' ORDER BY tier, place, qnum, page, category) FILTER (flagged), '') AS issues
+    FROM ({_CATEGORIES}) c GROUP BY folder_name, file_name) q
+  LEFT JOIN (
+    SELECT folder_name, file_name, string_agg('Question ' || qnum || ' (' || coalesce('page ' || page, 'page unknown') || '): ' || CASE WHEN low = high THEN low ELSE 'several notes' END || {_TIMES.format(n="n")}, '; ' ORDER BY tier, place, qnum, page) AS unreadable_areas
+    FROM (SELECT folder_name, file_name, qnum, tier, place, page, CAST(sum(n) AS BIGINT) AS n, min(low) AS low, max(high) AS high FROM ({_CATEGORIES}) c WHERE flagged GROUP BY ALL) p
+    GROUP BY folder_name, file_name) a ON q.folder_name IS NOT DISTINCT FROM a.folder_name AND q.file_name IS NOT DISTINCT FROM a.file_name"""
 
 
 def quality_of(v):
@@ -57,7 +65,7 @@ def file_question_lookup(v):
 @query("FQ-03", f"""
 SELECT count(*) AS files, CAST(sum(total_question_count) AS BIGINT) AS answers, CAST(count_if(flagged_question_count > 0) AS BIGINT) AS flagged_files FROM ({_QUALITY}) q""")
 def file_quality_totals(v):
-    return rollup.quality_totals(quality_of(v))
+    return rollup.quality_totals(v["fx_responses"])
 
 
 @query("FQ-04 SNK-03 SNK-06", f"""

@@ -30,15 +30,15 @@ def append_partitioned(df: DataFrame, path: str, by: str, load_id: str) -> DataF
 
     Every load owns a folder, so running a load again replaces itself instead of
     doubling, and the counts come from that folder's file footers alone. The
-    rebalance hint splits a dominant date over several tasks.
+    rebalance hint splits a dominant date over several tasks. An empty frame is an
+    error and leaves an earlier run of the load as it is.
     """
+    if df.isEmpty():
+        raise NothingToLoad("nothing to load: the frame has no rows")
     folder = f"{path.rstrip('/')}/load_id={load_id}"
     df.hint("rebalance", by).write.mode("overwrite").partitionBy(by).parquet(folder)
     written = df.sparkSession.read.schema(df.schema).parquet(folder)
-    counts = written.agg(F.count("*").alias("rows"), F.count_distinct(by).alias("partitions"))
-    if counts.first()["rows"] == 0:
-        raise NothingToLoad("nothing to load: the frame has no rows")
-    return counts
+    return written.agg(F.count("*").alias("rows"), F.count_distinct(by).alias("partitions"))
 
 
 def read_log(spark: SparkSession, path: str) -> DataFrame:

@@ -29,20 +29,22 @@ def new_inventory(spark: SparkSession, folder: str, schema: StructType, pattern:
 
 
 def stream_intake(sources: DataFrame, verdicts: Callable[[], DataFrame], table: BucketedTable, checkpoint: str,
-                  bucket: str, prefix: str, pages_per_unit: int, moved_at: Column) -> StreamingQuery:
+                  bucket: str, prefix: str, pages_per_unit: int, moved_at: Column,
+                  failures: Callable[[DataFrame], None] | None = None) -> StreamingQuery:
     """Expand and judge every new source and put its rows into the manifest, then stop.
 
     The checkpoint remembers which files were taken. A batch that is run again
-    after a failure replaces its own rows by key, so nothing is doubled.
+    after a failure replaces its own rows by key, so nothing is doubled. Units that are
+    rejected and for review at once go to ``failures``; without it they fail the batch.
     """
 
     def load(batch: DataFrame, _batch_id: int) -> None:
         units = man.expand_units(batch.select("source_gcs_uri", "page_count"), pages_per_unit)
         judged = man.categorise_units(units, verdicts()).drop("page_count", "unit_index")
         broken = man.malformed_sources(batch, verdicts(), pages_per_unit).select(*judged.columns)
-        rows, _both = man.manifest_rows(
+        rows, both = man.manifest_rows(
             man.flag_duplicate_names(judged.unionByName(broken)), bucket, prefix, moved_at)
-        table.replace(rows)
+        table.replace(man.settled(rows, both, failures))
 
     return (
         sources.writeStream.foreachBatch(load).option("checkpointLocation", checkpoint)

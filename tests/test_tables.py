@@ -169,23 +169,62 @@ def test_copies_of_a_unit_keep_one(spark):
     assert all(r.output_category == "rejected" for r in got if not r.has_destination)
 
 
-def test_heavy_file_is_spread_and_whole(spark):
-    """One file holds a third of all answers: its list comes in parts that make it up exactly."""
-    schema = "folder_name string, file_name string, report_date date, survey_question string, survey_answer string, needs_review boolean, review_note string"
-    hot = [("d", "hot.pdf", dt.date(2025, 1, 1), f"{i % 30 + 1}. q", "a", i % 4 != 0, f"note {i % 57}") for i in range(900)]
-    hot += [("d", "hot.pdf", dt.date(2024, 1, 1), "5. q", "a", True, "copy")] * 300
+def _answers(spark, rows):
+    return spark.createDataFrame(rows, "folder_name string, file_name string, report_date date, survey_question string, survey_answer string, "
+                                       "needs_review boolean, review_note string")
+
+
+def test_heavy_file_is_one_row(spark, folder):
+    """One file holds a third of all answers, with two notes: one row, as long as its form; stored and read again alike."""
+    hot = [("d", "hot.pdf", dt.date(2025, 1, 1), f"{i % 3 + 1}. q", "a", i % 4 != 0, "answer does not match choice" if i % 3 else "") for i in range(1200)]
     rest = [("d", f"f{i}.pdf", None, "1. q", "a", i % 2 == 0, None) for i in range(2400)]
-    frame = spark.createDataFrame(hot + rest, schema)
+    frame = _answers(spark, hot + rest)
     whole = rollup.file_quality(frame, now())
-    parts = rollup.file_quality(frame, now(), list_limit=100)
-    assert whole.count() == 2401 and whole.filter("list_part > 0").count() == 0
-    heavy = parts.filter("file_name = 'hot.pdf'").collect()
-    assert len(heavy) > 3
-    flagged = sum(r[5] for r in hot)
-    assert {(r.flagged_question_count, r.total_question_count, r.report_date) for r in heavy} == {(flagged, 1200, dt.date(2024, 1, 1))}
-    want = sorted(whole.filter("file_name = 'hot.pdf'").first().issues)
-    assert sorted(x for r in heavy for x in r.issues) == want and len(want) == flagged
-    assert tuple(rollup.quality_totals(parts).first()) == tuple(rollup.quality_totals(whole).first()) == (2401, 3600, 1201)
+    assert whole.count() == 2401
+    row = whole.filter("file_name = 'hot.pdf'").first()
+    assert (row.flagged_question_count, row.total_question_count) == (900, 1200)
+    assert len(row.issues) == 3 and all(x.endswith(" (x300)") for x in [*row.issues, *row.unreadable_areas])
+    assert rollup.file_issues(frame).filter("file_name = 'hot.pdf'").count() == 900
+    assert tuple(rollup.quality_totals(frame).first()) == (2401, 3600, 1201)
+    table = writers.BucketedTable(spark, folder + "/fq", ["folder_name", "file_name"], buckets=4, by_folder=True)
+    jobs.refresh_file_quality(table, frame, now())
+    stored = table.read()
+    assert stored.count() == 2401 and stored.filter("file_name = 'hot.pdf'").first().issues == row.issues
+
+
+def test_one_question_with_several_notes(spark):
+    rows = [("d", "f.pdf", None, "2. q", "a", True, n) for n in ("first", "second")] + [("d", "f.pdf", None, "7. q", "a", True, "alone")]
+    row = rollup.file_quality(_answers(spark, rows), now()).first()
+    assert len(row.unreadable_areas) == 2
+    assert row.unreadable_areas[0].endswith("): several notes (x2)") and row.unreadable_areas[1].endswith("): alone")
+
+
+def test_sources_without_pages_are_rejected(spark):
+    sources = spark.createDataFrame([("gs://b/zero.pdf", 0), ("gs://b/null.pdf", None), ("gs://b/odd.pdf", 3), ("gs://b/ok.pdf", 4)],
+                                    "source_gcs_uri string, page_count int")
+    verdicts = spark.createDataFrame([], "source_gcs_uri string, unit_index int, language_verdict string, content_verdict string")
+    bad = {r.source_gcs_uri: r for r in man.malformed_sources(sources, verdicts, 2).collect()}
+    assert set(bad) == {"gs://b/zero.pdf", "gs://b/null.pdf", "gs://b/odd.pdf"}
+    assert bad["gs://b/null.pdf"].rejected_reason.startswith("null.pdf has an unknown number of page(s)")
+    assert bad["gs://b/zero.pdf"].source_page_range is None and bad["gs://b/odd.pdf"].source_page_range == "1-3"
+
+
+def test_no_unit_is_lost_in_silence(spark):
+    rows = spark.createDataFrame([("gs://b/a.pdf", "1-2", True, True)],
+                                 "source_gcs_uri string, source_page_range string, rejected boolean, needs_review boolean")
+    assert man.all_or_error(rows, rows.limit(0)).count() == 1
+    with pytest.raises(Exception, match="both rejected and for review: gs://b/a.pdf"):
+        man.all_or_error(rows, rows).collect()
+    taken = []
+    assert man.settled(rows.limit(0), rows, taken.append).count() == 0 and taken[0].count() == 1
+
+
+def test_an_empty_rerun_leaves_the_log(spark, folder):
+    frame = spark.createDataFrame([(1, dt.date(2025, 1, 1))], "a int, d date")
+    writers.append_partitioned(frame, folder + "/log", "d", "one")
+    with pytest.raises(writers.NothingToLoad):
+        writers.append_partitioned(frame.limit(0), folder + "/log", "d", "one")
+    assert writers.read_log(spark, folder + "/log").count() == 1
 
 
 def test_refresh_replaces_its_folders(spark, folder):
