@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 BLOCK_ROWS = 64
 PERIOD = 1000
-BUCKET_ROWS = 50_000
+BUCKET_ROWS = 5_000
 SEED = 20
 
 
