@@ -72,7 +72,6 @@ def ink_split(ratios: DataFrame, keys: Sequence[str] = ("file_name",), limits: t
         F.max(F.when(gap >= clear_gap, F.struct(
             gap.alias("gap"), in_window.alias("inside"), (-F.col("k")).alias("minus_k"), "blank_hi", "mark_lo"))).alias("c"),
     )
-    down = Window.partitionBy(*keys).orderBy(r.desc())
     top = ratios.filter(r.isNotNull()).select(*keys, r.alias("mark_lo")).withColumn(
         "j", F.row_number().over(Window.partitionBy(*keys).orderBy(F.desc("mark_lo")))).filter(F.col("j") <= most + 1)
     down = Window.partitionBy(*keys).orderBy(F.desc("mark_lo"))

@@ -15,7 +15,7 @@ TABLES = (
     "documents", "embeddings", "pages", "benchmark", "labels", "conversations",
 )
 
-# The one view with a form per engine: embeddings, one row per position.
+# Embeddings, one row per position.
 VEC_DUCKDB = """
 SELECT vec_id, i - 1 AS pos, CAST(embedding[i] AS DOUBLE) AS val
 FROM (SELECT vec_id, embedding, unnest(range(1, 65)) AS i FROM embeddings)
@@ -32,8 +32,12 @@ _SETUP = {
     "GRID_COLUMN_CENTERS_JSON": "'[100.5, 200, ' || CAST(300 + s_nationkey AS STRING) || ']'",
     "BASELINE_MARKS_JSON": "'{\"0\": [[180, 220], [2380, 220], [180, 3110], [2380, 3110]]}'",
 }
-# (number of units, unit index) pairs: an equality join on the first lists a source's units.
-_UNITS = ", ".join(f"({n},{i})" for n in range(1, 10) for i in range(1, n + 1))
+# Every unit of a source, whatever its number of pages.
+UNITS_DUCKDB = """
+SELECT source_gcs_uri, doc_id, unnest(range(1, (page_count + 1) // 2 + 1)) AS i FROM fx_source
+"""
+# Views with a form per engine.
+DUCKDB_FORM = {"fx_vec": VEC_DUCKDB, "fx_unit": UNITS_DUCKDB}
 
 VIEWS: dict[str, str] = {
     "fx_vec": """
@@ -77,9 +81,12 @@ FROM fx_responses WHERE needs_review AND folder_name IS NOT NULL
 SELECT 'gs://bucket/raw/' || CASE WHEN doc_id % 9 = 0 THEN '' ELSE 'Nov ' || CAST(doc_id % 28 + 1 AS STRING) || ' 2025/' END
          || 'Batch ' || CAST(doc_id AS STRING) || CASE WHEN doc_id % 5 = 0 THEN '.PDF' ELSE '.pdf' END AS source_gcs_uri,
        doc_id,
-       CAST(2 * (1 + least(floor(n_chars / 1000), 8)) + CASE WHEN doc_id % 17 = 0 THEN 1 ELSE 0 END AS INT) AS page_count,
+       CAST(2 * (1 + floor(n_chars / 1000)) + CASE WHEN doc_id % 17 = 0 THEN 1 ELSE 0 END AS INT) AS page_count,
        lang
 FROM documents
+""",
+    "fx_unit": """
+SELECT source_gcs_uri, doc_id, explode(sequence(1, CAST(floor((page_count + 1) / 2) AS INT))) AS i FROM fx_source
 """,
     "fx_verdict": """
 SELECT d.doc_id,
@@ -100,7 +107,7 @@ SELECT s.source_gcs_uri, s.doc_id, k.i AS unit_index,
                  || '/Batch ' || CAST(s.doc_id AS STRING) || '_p' || CAST(k.i AS STRING) || '.pdf' END AS destination_gcs_uri,
        CASE WHEN s.doc_id % 8 = 0 THEN 'declined' WHEN s.doc_id % 12 = 5 THEN 'rejected' ELSE 'normal' END AS output_category
 FROM fx_source s
-JOIN (VALUES %UNITS%) AS k(n, i) ON k.n = CAST(floor(s.page_count / 2) AS INT)
+JOIN fx_unit k ON k.doc_id = s.doc_id AND k.source_gcs_uri = s.source_gcs_uri AND k.i <= floor(s.page_count / 2)
 WHERE s.page_count % 2 = 0 AND NOT (s.doc_id % 11 = 0 AND k.i = 2)
 """,
     "fx_listing": """
@@ -143,7 +150,7 @@ SELECT s.source_gcs_uri, s.doc_id, k.i AS unit_index, v.language_verdict,
        CASE WHEN k.i > 1 AND (s.doc_id + k.i) % 6 = 0 THEN 'ok declined_word'
             WHEN k.i > 1 AND (s.doc_id + k.i) % 7 = 0 THEN ' BLANK  NOT_DECLINED' ELSE v.content_verdict END AS content_verdict
 FROM fx_source s JOIN fx_verdict v ON v.doc_id = s.doc_id
-JOIN (VALUES %UNITS%) AS k(n, i) ON k.n = CAST(least(floor((s.page_count + 1) / 2), 9) AS INT)
+JOIN fx_unit k ON k.doc_id = s.doc_id AND k.source_gcs_uri = s.source_gcs_uri
 WHERE NOT (s.doc_id % 13 = 0 AND k.i = 2)
 """,
     "fx_audited": """
@@ -169,7 +176,7 @@ SELECT source_gcs_uri, 'damaged trailer in ' || lang AS error FROM fx_source WHE
 SELECT 'gs://bucket/split/' || CASE WHEN (s.doc_id + k.i) % 8 = 0 THEN 'Declined/' WHEN (s.doc_id + k.i) % 12 = 1 THEN 'Rejected/' ELSE '' END
          || 'Batch ' || CAST(s.doc_id AS STRING) || '/Batch ' || CAST(s.doc_id AS STRING) || '_p' || CAST(k.i AS STRING) || '.pdf' AS uri
 FROM fx_source s
-JOIN (VALUES %UNITS%) AS k(n, i) ON k.n = CAST(floor(s.page_count / 2) AS INT)
+JOIN fx_unit k ON k.doc_id = s.doc_id AND k.source_gcs_uri = s.source_gcs_uri AND k.i <= floor(s.page_count / 2)
 WHERE NOT (s.lang = 'fr' AND k.i = 1)
 UNION ALL
 SELECT 'gs://bucket/split/Rejected/Batch ' || CAST(doc_id AS STRING) || '/Batch ' || CAST(doc_id AS STRING) || '_p1.pdf' AS uri
@@ -246,7 +253,7 @@ FROM fx_marks
 UNION ALL
 SELECT vec_id, CAST(pos * 35 AS DOUBLE), CAST(pos * 45 AS DOUBLE), CAST(floor(abs(val) * 180) AS DOUBLE), CAST(floor(abs(val) * 170) AS DOUBLE),
        CAST(floor(abs(val) * 180) AS DOUBLE) * CAST(floor(abs(val) * 170) AS DOUBLE) * CAST(0.6 + (pos % 4) * 0.1 AS DOUBLE), CAST(2560 AS DOUBLE), CAST(3330 AS DOUBLE)
-FROM fx_vec WHERE pos > 13
+FROM fx_vec
 """,
     "fx_expected_box": """
 SELECT DISTINCT l_orderkey AS page_id, l_linenumber AS box, CAST(300 + 200 * l_linenumber AS DOUBLE) AS x0, CAST(330 + 200 * l_linenumber AS DOUBLE) AS x1,
@@ -284,7 +291,7 @@ UNION ALL
 SELECT vec_id, CAST(101 + pos * 70 + floor(abs(val) * 150) AS INT), CAST(1900 AS DOUBLE), CAST(2560 AS DOUBLE) FROM fx_vec WHERE val > 0
 """,
     "fx_cells": """
-SELECT vec_id AS page_id, CAST(floor(pos / 11) + 1 AS INT) AS grid_row, CASE WHEN pos % 11 < 6 THEN 'box' ELSE 'gap' END AS kind, pos % 11 AS idx, abs(val) AS density FROM fx_vec WHERE pos < 55
+SELECT vec_id AS page_id, CAST(floor(pos / 11) + 1 AS INT) AS grid_row, CASE WHEN pos % 11 < 6 THEN 'box' ELSE 'gap' END AS kind, pos % 11 AS idx, abs(val) AS density FROM fx_vec
 """,
     "fx_questions_seen": """
 SELECT file_name, CAST(question AS STRING) AS question, CAST(question AS STRING) || '#' || CAST(question % 2 AS STRING) AS question_key, question % 2 AS candidate,
@@ -315,7 +322,7 @@ FROM (SELECT l_orderkey, l_linenumber, min(l_partkey) AS pk, min(l_suppkey) AS s
       FROM lineitem GROUP BY l_orderkey, l_linenumber) g
 """,
     "fx_ocr": """
-SELECT conv_id, turn, substr(text, 1, 60) AS model_text, CASE turn % 3 WHEN 0 THEN text WHEN 1 THEN lower(substr(text, 8, 60)) ELSE NULL END AS ocr_text FROM conversations
+SELECT conv_id, turn, text AS model_text, CASE turn % 3 WHEN 0 THEN text WHEN 1 THEN lower(replace(text, 'e', 'c')) ELSE NULL END AS ocr_text FROM conversations
 """,
     "fx_corrections": """
 SELECT event_id AS correction_id, ts AS logged_at, 'scan' || CAST(user_id AS STRING) || '_p1.pdf' AS file_name,
@@ -325,7 +332,7 @@ SELECT event_id AS correction_id, ts AS logged_at, 'scan' || CAST(user_id AS STR
 SELECT 'scan' || CAST(vec_id AS STRING) || '_p1.pdf' AS file_name, vec_id AS page_id, CAST(pos + 1 AS INT) AS page, CASE WHEN val > 0.1 THEN 'A4' ELSE 'Letter' END AS paper,
        val > -0.15 AS marks_found, CASE WHEN val > -0.15 THEN floor(abs(val) * 6000) / 100 END AS fit_residual, 1 + floor(val * 1000) / 100000 AS scale,
        CASE WHEN val > -0.15 THEN floor(val * 4000) / 1000 END AS rotation_deg, floor(val * 400) / 10 AS offset_dx, floor(val * 300) / 10 AS offset_dy, floor(230 + val * 50) AS paper_level
-FROM fx_vec WHERE pos < 2
+FROM fx_vec
 """,
     "fx_measured": """
 SELECT event_id, file_name, CASE WHEN marks_found_p1 THEN floor(abs(rotation_deg_p1) * 1000) / 1000 END AS tilt_deg, floor(fit_residual_p1 * 100) / 100 AS fit_residual_max,
@@ -344,7 +351,6 @@ FROM events WHERE event_type <> 'purchase'
 """,
 }
 
-VIEWS = {name: sql.replace("%UNITS%", _UNITS) for name, sql in VIEWS.items()}
 _loaded: dict[tuple[str, str, str], DataFrame] = {}
 
 
@@ -385,15 +391,13 @@ def oracle(body: str) -> str:
         for part in _needs(sql, VIEWS):
             if part == seen or part in order:
                 continue
-            visit(VEC_DUCKDB if part == "fx_vec" else VIEWS[part], part)
+            visit(DUCKDB_FORM.get(part, VIEWS[part]), part)
             order.append(part)
 
     visit(body)
     if not order:
         return body.strip()
-    ctes = ", ".join(
-        f"{name} AS ({(VEC_DUCKDB if name == 'fx_vec' else VIEWS[name]).strip()})" for name in order
-    )
+    ctes = ", ".join(f"{name} AS ({DUCKDB_FORM.get(name, VIEWS[name]).strip()})" for name in order)
     body = body.strip()
     if body.upper().startswith("WITH "):
         return f"WITH {ctes}, {body[5:]}"

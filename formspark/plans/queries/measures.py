@@ -264,7 +264,7 @@ def geometry_overflow_rows(v):
 
 
 def _drafts(v):
-    pages = v["fx_vec"].join(v["embeddings"].select("vec_id", "label"), "vec_id").filter("pos < 2").select(
+    pages = v["fx_vec"].join(v["embeddings"].select("vec_id", "label"), "vec_id").select(
         F.col("label").alias("form_id"), F.col("vec_id").alias("file_name"), (F.col("pos") + 1).alias("page"),
         F.floor(F.abs("val") * 1000).cast("double").alias("ink_threshold"),
         F.when(F.col("val") > 0, F.concat_ws(",", F.col("vec_id"), F.col("pos"))).alias("marks"))
@@ -274,7 +274,7 @@ def _drafts(v):
 
 
 _DRAFT_PAGES = """SELECT label AS form_id, v.vec_id AS file_name, pos + 1 AS page, floor(abs(val) * 1000) AS ink_threshold,
-  CASE WHEN val > 0 THEN CAST(v.vec_id AS VARCHAR) || ',' || CAST(pos AS VARCHAR) END AS marks FROM fx_vec v JOIN embeddings e ON e.vec_id = v.vec_id WHERE pos < 2"""
+  CASE WHEN val > 0 THEN CAST(v.vec_id AS VARCHAR) || ',' || CAST(pos AS VARCHAR) END AS marks FROM fx_vec v JOIN embeddings e ON e.vec_id = v.vec_id"""
 _DRAFT_RECTS = "SELECT s_nationkey % 10 AS form_id, x0, x1, y0, y1 FROM fx_rects JOIN supplier ON s_suppkey = page_id"
 
 
