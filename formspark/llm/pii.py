@@ -113,7 +113,15 @@ def _revealing(docs: DataFrame, found: DataFrame) -> DataFrame:
     joint = near.groupBy("entity", "term", "context").agg(F.lit(1).alias("one")) \
         .groupBy("entity", "term").agg(F.count("*").alias("contexts")).filter(F.col("contexts") >= LEAST_CONTEXTS)
     together = near.select("entity", "term", "doc_id", "mark").distinct().groupBy("entity", "term").agg(F.count("*").alias("n_both"))
-    pairs = checkpointed(joint.join(together, ["entity", "term"]).join(entities, "entity"))
+    content = F.log(F.lit(float(total)) / F.col("n_entity"))
+
+    def disclosed(n_term: str) -> Column:
+        pmi = F.log(F.col("n_both") * F.lit(float(total)) / (F.col(n_term) * F.col("n_entity")))
+        return (content > 0) & (pmi / content >= DISCLOSURE)
+
+    # A term is in at least as many documents as it stands beside entities in: too common there, too common in all.
+    seen = near.select("term", "doc_id", "mark").distinct().groupBy("term").agg(F.count("*").alias("n_near"))
+    pairs = checkpointed(joint.join(together, ["entity", "term"]).join(entities, "entity").join(seen, "term").filter(disclosed("n_near")))
     terms = pairs.select("term").distinct()
     if terms.isEmpty():
         return pairs.select("entity", "term")
@@ -121,9 +129,7 @@ def _revealing(docs: DataFrame, found: DataFrame) -> DataFrame:
     side = F.broadcast(terms) if terms.count() <= BROADCAST_TERMS else terms
     counts = docs.select(F.explode(F.array_distinct(F.split("text", _WORDS))).alias("term")) \
         .filter(F.length("term") >= LEAST_LETTERS).join(side, "term").groupBy("term").agg(F.count("*").alias("n_term"))
-    pmi = F.log(F.col("n_both") * F.lit(float(total)) / (F.col("n_term") * F.col("n_entity")))
-    content = F.log(F.lit(float(total)) / F.col("n_entity"))
-    return pairs.join(counts, "term").filter((content > 0) & (pmi / content >= DISCLOSURE)).select("entity", "term")
+    return pairs.join(counts, "term").filter(disclosed("n_term")).select("entity", "term")
 
 
 def personal_data(docs: DataFrame) -> DataFrame:
