@@ -294,8 +294,9 @@ WHERE NOT EXISTS (SELECT 1 FROM fx_new_rows n WHERE n.source_gcs_uri = m.source_
 UNION ALL SELECT source_gcs_uri, source_page_range, output_category FROM fx_new_rows""")
 def sink_bucketed_replace(v):
     columns = ["source_gcs_uri", "source_page_range", "output_category"]
-    table = writers.BucketedTable(v.spark, scratch_dir(v.spark, "manifest"), man.KEY, buckets=16)
-    table.create(v["fx_manifest"].select(*columns))
+    rows = v["fx_manifest"].select(*columns)
+    table = writers.BucketedTable(v.spark, scratch_dir(v.spark, "manifest"), man.KEY, buckets=16, schema=rows.schema)
+    table.create(rows)
     table.replace(v["fx_new_rows"].select(*columns))
     return table.read().select(*columns)
 

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from formspark.operators import geometry as geo
 from formspark.plans.registry import query
-from formspark.sources.writers import saved
+from formspark.sources.writers import stored
 
 _OK = "w BETWEEN 46 AND 102 AND h BETWEEN 46 AND 102 AND abs(w - h) <= 28 AND area >= 0.75 * w * h"
 _CORNERS_SQL = f"""
@@ -155,7 +155,7 @@ def geometry_matched_controls(v):
 @query("GEO-09 GEO-10 GEO-11")
 def geometry_match_report(v):
     targets, detected = _controls(v)
-    matches = saved(geo.match_controls(targets, detected))
+    matches = stored(geo.match_controls(targets, detected))
     return geo.match_metrics(geo.choose_layout(matches, targets, detected), matches, detected)
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -31,13 +32,21 @@ def build_session(app: str = "formspark", master: str | None = None, **conf: str
 
 
 def scratch_dir(spark: SparkSession, name: str) -> str:
-    """A fresh folder under the cluster's shared checkpoint folder.
+    """A fresh path under the cluster's shared checkpoint folder; nothing lies there yet.
 
-    Only where ``spark.checkpoint.dir`` is unset (tests on one machine) does it
-    fall back to a temporary folder.
+    Where ``spark.checkpoint.dir`` is unset a temporary folder does on one machine; on a cluster that is an error, for
+    executors could not see each other's files.
     """
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if not shared:
-        return tempfile.mkdtemp(prefix=f"spark-{name}-")
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        shared = tempfile.mkdtemp(prefix="spark-")
     run = spark.sql("SELECT replace(uuid(), '-', '')").first()[0]
     return f"{shared.rstrip('/')}/{name}-{run}"
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder in whatever store it lies."""
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)

@@ -3,20 +3,24 @@
 The frame functions return lazy plans, so a dry run is simply not writing them.
 Parquet has no MERGE or DELETE. A table that must take replacements is laid out
 by a hash bucket of its key: a replaced row and its new row then share a bucket,
-so only the buckets a batch touches are read and rewritten (dynamic partition
-overwrite) and none of them can end up empty.
+so only the buckets a batch touches are read and rewritten, each batch into a
+folder of its own. A small list of (bucket, folder) says what the table holds; it
+is written last, so a failed job leaves the table as it was.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import uuid
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
-from formspark.session import scratch_dir
+from formspark.session import remove_path, scratch_dir
 
 BUCKET = "key_bucket"
 
@@ -71,24 +75,52 @@ class BucketedTable:
 
     Rows spread over the buckets by their whole key, so a dominant source does
     not fill one bucket. A table replaced by folder is bucketed by folder alone.
+    With ``schema`` files are read as declared, without opening every footer.
+    One writer at a time; readers see the last finished write.
     """
 
     def __init__(self, spark: SparkSession, path: str, keys: list[str], buckets: int = 1024,
-                 by_folder: bool = False):
-        self.spark, self.path, self.keys, self.buckets = spark, path, keys, buckets
+                 by_folder: bool = False, schema: StructType | None = None):
+        self.spark, self.path, self.keys, self.buckets, self.schema = spark, path.rstrip("/"), keys, buckets, schema
         self.bucket_keys = keys[:1] if by_folder else keys
 
     def _with_bucket(self, df: DataFrame) -> DataFrame:
         return df.withColumn(BUCKET, F.pmod(F.xxhash64(*self.bucket_keys), F.lit(self.buckets)).cast("int"))
 
+    def _holds(self) -> tuple[int, set[tuple[int, str]]]:
+        """Number of the last finished write, and the (bucket, folder) pairs it left; at most a few per bucket."""
+        try:
+            lists = self.spark.read.schema("bucket int, folder string, version int").parquet(f"{self.path}/lists")
+        except AnalysisException as error:
+            if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+                return 0, set()
+            raise
+        last = lists.agg(F.max("version")).first()[0] or 0
+        rows = lists.filter(F.col("version") == last).collect()
+        return last, {(r["bucket"], r["folder"]) for r in rows if r["bucket"] is not None}
+
+    def _load(self, pairs: set[tuple[int, str]]) -> DataFrame:
+        reader = self.spark.read.schema(self.schema) if self.schema else self.spark.read.option("mergeSchema", "true")
+        return reader.parquet(*sorted(f"{self.path}/{folder}/{BUCKET}={bucket}" for bucket, folder in pairs))
+
+    def _put(self, df: DataFrame, kept: set[tuple[int, str]], version: int) -> None:
+        """Write rows into a folder of their own, then the list that makes them count."""
+        folder = f"rows-{version + 1}-{uuid.uuid4().hex[:8]}"
+        df.hint("rebalance", BUCKET).write.partitionBy(BUCKET).parquet(f"{self.path}/{folder}")
+        written = self.spark.read.schema(f"{BUCKET} int").parquet(f"{self.path}/{folder}").select(BUCKET).distinct()
+        pairs = kept | {(r[0], folder) for r in written.collect()}
+        lists = self.spark.createDataFrame(sorted(pairs) or [(None, None)], "bucket int, folder string").coalesce(1)
+        lists.write.mode("overwrite").parquet(f"{self.path}/lists/version={version + 1}")
+
     def read(self) -> DataFrame:
-        return self.spark.read.option("mergeSchema", "true").parquet(self.path).drop(BUCKET)
+        return self._load(self._holds()[1])
 
     def create(self, df: DataFrame) -> None:
-        self._with_bucket(df).hint("rebalance", BUCKET).write.mode("overwrite").partitionBy(BUCKET).parquet(self.path)
+        self._put(self._with_bucket(df), set(), self._holds()[0])
 
     def append(self, new: DataFrame) -> None:
-        self._with_bucket(new).hint("rebalance", BUCKET).write.mode("append").partitionBy(BUCKET).parquet(self.path)
+        version, held = self._holds()
+        self._put(self._with_bucket(new), held, version)
 
     def replace(self, new: DataFrame) -> int:
         """Replace by the table's keys; returns the number of buckets rewritten."""
@@ -107,34 +139,35 @@ class BucketedTable:
         lineage may start in this very table. The bucket list is at most
         ``buckets`` integers. A first load finds no table and just creates it.
         """
-        new = saved(self._with_bucket(new))
-        touched = [row[0] for row in new.select(BUCKET).distinct().collect()]
-        if not touched:
-            return 0
-        if self.is_empty():
-            self.create(new)
+        with saved(self._with_bucket(new)) as rows:
+            touched = {row[0] for row in rows.select(BUCKET).distinct().collect()}
+            if not touched:
+                return 0
+            version, held = self._holds()
+            old = {pair for pair in held if pair[0] in touched}
+            merged = self._with_bucket(merge(self._load(old), rows.drop(BUCKET))) if old else rows
+            self._put(merged, held - old, version)
             return len(touched)
-        stored = self.spark.read.option("mergeSchema", "true").parquet(self.path)
-        merged = merge(stored.filter(F.col(BUCKET).isin(touched)), new)
-        (
-            merged.hint("rebalance", BUCKET).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-            .partitionBy(BUCKET).parquet(self.path)
-        )
-        return len(touched)
 
     def is_empty(self) -> bool:
-        try:
-            return not self.spark.read.parquet(self.path).columns
-        except AnalysisException as error:
-            if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
-                return True
-            raise
+        return not self._holds()[1]
 
 
-def saved(df: DataFrame) -> DataFrame:
-    """The frame written once to the shared folder and read back, cut from its lineage."""
+@contextmanager
+def saved(df: DataFrame) -> Iterator[DataFrame]:
+    """The frame written once to the shared folder and read back, cut from its lineage; removed at the end."""
     path = scratch_dir(df.sparkSession, "saved")
     df.write.parquet(path)
+    try:
+        yield df.sparkSession.read.schema(df.schema).parquet(path)
+    finally:
+        remove_path(df.sparkSession, path)
+
+
+def stored(df: DataFrame) -> DataFrame:
+    """As ``saved``, for a frame that outlives the call: its copy stays until the shared folder is cleared."""
+    path = scratch_dir(df.sparkSession, "stored")
+    df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -15,6 +15,7 @@ from formspark.operators import manifest as man
 from formspark.operators import rollup
 from formspark.plans import jobs
 from formspark.plans.fixtures import Views
+from formspark.session import scratch_dir
 from formspark.sources import layouts, readers, writers
 from formspark.streaming import intake as stream
 
@@ -91,6 +92,37 @@ def test_replace_by_key_treats_null_keys_as_equal(spark, folder):
         assert rows_of(table.read().select(*old.columns)) == sorted(want, key=repr)
 
 
+def test_a_failed_rewrite_leaves_the_table(spark, folder):
+    rows = spark.createDataFrame([(i, "old") for i in range(50)], "k int, v string")
+    table = writers.BucketedTable(spark, folder + "/t", ["k"], buckets=4, schema=rows.schema)
+    table.create(rows)
+    new = rows.limit(30).select("k", F.lit("new").alias("v"))
+
+    def fails(old, fresh):
+        merged = writers.replace_by_key(old, fresh, ["k"])
+        return merged.withColumn("v", F.when(F.col("k") == 7, F.raise_error("broken off")).otherwise(F.col("v")))
+
+    with pytest.raises(Exception, match="broken off"):
+        table._rewrite(new, fails)
+    assert rows_of(table.read()) == rows_of(rows)
+    assert table.replace(new) > 0
+    assert table.read().filter("v = 'new'").count() == 30 and table.read().count() == 50
+    table.append(rows.limit(1))
+    assert table.read().count() == 51
+
+
+def test_scratch_needs_a_shared_folder(spark, monkeypatch):
+    class Cluster:
+        master = "spark://host:7077"
+
+    class Session:
+        conf = type("Conf", (), {"get": staticmethod(lambda key, default=None: default)})
+        sparkContext = Cluster
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        scratch_dir(Session, "x")
+
+
 def test_replace_by_folder_leaves_nameless_rows(spark):
     old = spark.createDataFrame([("x", 0), ("y", 0), (None, 0), ("", 0)], "folder_name string, v int")
     new = spark.createDataFrame([("x", 1), (None, 1)], "folder_name string, v int")
