@@ -37,8 +37,7 @@ def pixel_single(cells: DataFrame, near_zero: float = NEAR_ZERO) -> DataFrame:
         F.max("control").alias("control"))
     margin = F.col("best") - F.coalesce("second", F.lit(0.0))
     blank = (F.col("best") < near_zero) & (margin < near_zero)
-    least = F.when(F.col("control") == "grid", MARGINS["grid"]).when(
-        F.col("control") == "circle", MARGINS["circle"]).otherwise(MARGINS["box"])
+    least = least_margin(F.col("control"))
     return pair.select(
         "file_name", "question", "best", "second", margin.alias("margin"), blank.alias("blank"),
         F.when(~blank & (margin >= least), F.col("best_choice")).alias("pixel_choice"))
@@ -90,11 +89,25 @@ def _shown(value: Column) -> Column:
     return F.when(_text(value) == "", F.lit("(blank)")).otherwise(F.concat(F.lit("'"), _text(value), F.lit("'")))
 
 
-def pixel_vs_model(df: DataFrame, margin: float = MARGINS["box"]) -> DataFrame:
-    """Adds ``answer``, ``detection_method``, ``pixel_note`` and ``pixel_flag``."""
+def _optional(df: DataFrame, name: str, kind: str) -> Column:
+    """A column that readings may lack; null then."""
+    return F.col(name) if name in df.columns else F.lit(None).cast(kind)
+
+
+def least_margin(control: Column) -> Column:
+    """The margin a pixel reading needs, by control; an unknown control is a box."""
+    return F.when(control == "grid", MARGINS["grid"]).when(control == "circle", MARGINS["circle"]).otherwise(MARGINS["box"])
+
+
+def pixel_vs_model(df: DataFrame) -> DataFrame:
+    """Adds ``answer``, ``detection_method``, ``pixel_note`` and ``pixel_flag``.
+
+    ``control`` sets the margin. Where ``calibration_validated`` is false every disagreement is flagged.
+    """
     model, pixel = _text("model_answer"), F.col("pixel_answer")
     ran = F.coalesce("pixel_ran", F.lit(False))
-    resolved = ran & F.coalesce((pixel != "") & (F.col("pixel_margin") >= margin), F.lit(False))
+    resolved = ran & F.coalesce((pixel != "") & (F.col("pixel_margin") >= least_margin(_optional(df, "control", "string"))), F.lit(False))
+    unproven = ~F.coalesce(_optional(df, "calibration_validated", "boolean"), F.lit(True))
     blank = ran & F.coalesce(pixel == "", F.lit(False))
     keeps = F.coalesce("model_overrules", F.lit(False))
     differs, emptied = resolved & (pixel != model), blank & (model != "")
@@ -105,10 +118,55 @@ def pixel_vs_model(df: DataFrame, margin: float = MARGINS["box"]) -> DataFrame:
         "pixel_note": F.when((differs | emptied) & keeps, kept_note)
         .when(emptied, F.concat(F.lit("no box confidently marked, but the model read "), _shown(F.col("model_answer"))))
         .when(differs, F.concat(F.lit("auto-corrected to the pixel reading from "), _shown(F.col("model_answer")))),
-        "pixel_flag": ((differs | emptied) & keeps) | (emptied & ~keeps),
+        "pixel_flag": ((differs | emptied) & (keeps | unproven)) | emptied,
+    })
+
+
+def apply_multi_select(df: DataFrame) -> DataFrame:
+    """Adds ``multi_note``; the inked choices replace the model's unless the model overrules.
+
+    ``model_choices`` and ``pixel_choices`` are comma-joined; a row without the first is no multi-select question.
+    """
+    claimed, inked = (F.split(F.coalesce(_optional(df, c, "string"), F.lit("")), ",") for c in ("model_choices", "pixel_choices"))
+    delta = multi_delta(F.array_remove(claimed, ""), F.array_remove(inked, ""))
+    asked = _optional(df, "model_choices", "string").isNotNull() & F.coalesce("pixel_ran", F.lit(False))
+    differs = asked & ((F.size(delta["veto"]) > 0) | (F.size(delta["fill"]) > 0))
+    takes = differs & ~F.coalesce("model_overrules", F.lit(False))
+    why = F.concat_ws(
+        " and ", F.when(F.size(delta["veto"]) > 0, F.concat(F.lit("the model claimed "), F.array_join(delta["veto"], ","))),
+        F.when(F.size(delta["fill"]) > 0, F.concat(F.lit("the model missed "), F.array_join(delta["fill"], ","))))
+    chosen = F.array_join(F.array_remove(inked, ""), ",")
+    return df.withColumns({
+        "answer": F.when(takes, chosen).otherwise(F.col("answer")),
+        "detection_method": F.when(takes, "pixel_multi").otherwise(F.col("detection_method")),
+        "multi_note": F.when(takes, F.concat(F.lit("reconciled to "), _shown(chosen), F.lit(": "), why))
+        .when(differs, F.concat(F.lit("pixel found "), _shown(chosen), F.lit(", kept the model's choices: "), why)),
+    })
+
+
+def fill_comments(df: DataFrame) -> DataFrame:
+    """Adds ``fill_note``; a blank answer of a ``comment_question`` takes the text read on the page, always flagged."""
+    fills = F.coalesce(_optional(df, "comment_question", "boolean") & F.col("ocr_ran"), F.lit(False)) \
+        & (F.col("answer") == "") & (_text("ocr_text") != "")
+    return df.withColumns({
+        "answer": F.when(fills, _text("ocr_text")).otherwise(F.col("answer")),
+        "detection_method": F.when(fills, "ocr_fill").otherwise(F.col("detection_method")),
+        "fill_note": F.when(fills, "blank comment filled from the text read on the page"),
     })
 
 
+def correction_note(df: DataFrame) -> Column:
+    return F.when(F.coalesce(_optional(df, "cross_out", "boolean") & F.col("pixel_ran"), F.lit(False)),
+                  "the pixel reader saw a correction or cross-out")
+
+
+def format_note(df: DataFrame) -> Column:
+    """Why the final answer breaks the format its field asks for (``answer_format``, ``format_digits``)."""
+    none = F.lit(None)
+    return fx.format_ok(F.col("answer"), _optional(df, "answer_format", "string"), _optional(df, "format_digits", "int"),
+                        none.cast("string"), none.cast("int"), none.cast("double"), none.cast("double"))["reason"]
+
+
 def apply_ocr_authority(df: DataFrame) -> DataFrame:
     """Adds ``ocr_note``; an authoritative, non-empty OCR reading replaces the answer it contradicts."""
     read = F.coalesce("ocr_ran", F.lit(False))
@@ -161,17 +219,18 @@ def grid_failures(df: DataFrame) -> DataFrame:
         F.bool_or(F.coalesce("grid_row_found", F.lit(False))).alias("any_row")).filter("NOT any_row").select("file_name")
 
 
-def reconcile(readings: DataFrame, margin: float = MARGINS["box"]) -> DataFrame:
+def reconcile(readings: DataFrame) -> DataFrame:
     """Final answer, review flag and notes of every reading, rules in order.
 
     The only exchange is the per-file grid check; everything else is projection.
     """
     failed = grid_failures(readings).withColumn("grid_failed", F.lit(True))
-    rows = apply_ocr_authority(pixel_vs_model(readings, margin)).join(failed, "file_name", "left")
+    rows = fill_comments(apply_ocr_authority(apply_multi_select(pixel_vs_model(readings)))).join(failed, "file_name", "left")
     alone = ~F.coalesce("pixel_ran", F.lit(False))
     consistency = F.when(alone, self_consistency_note(F.col("model_answer"), F.col("mark_position"), F.col("choices")))
     grid = F.when(F.col("grid_failed") & F.col("grid_question"), F.lit("answer grid could not be located on this file"))
-    always = [consistency, F.col("ocr_note"), low_confidence_note(), blank_note(), second_mark_note(), grid]
+    always = [consistency, F.col("multi_note"), F.col("ocr_note"), F.col("fill_note"), low_confidence_note(), blank_note(),
+              second_mark_note(), correction_note(rows), format_note(rows), grid]
     flag = F.col("pixel_flag")
     for note in always:
         flag = flag | note.isNotNull()

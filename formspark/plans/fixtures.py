@@ -317,7 +317,11 @@ SELECT g.l_orderkey AS doc, 'scan' || CAST(g.l_orderkey AS STRING) || '_p1.pdf'
        g.ok % 5 <> 0 AS pixel_ran, g.disc * 4 AS pixel_margin, g.tax > 0.06 AS second_mark, g.qty / 50 AS model_confidence,
        g.qty > 25 AS model_overrules, g.qty > 45 AS blank_exempt,
        CASE g.pk % 4 WHEN 0 THEN NULL WHEN 1 THEN 'agree' WHEN 2 THEN 'A gree' ELSE 'neutral disagree' END AS ocr_text,
-       g.pk % 3 <> 0 AS ocr_ran, g.sk % 3 = 0 AS ocr_authoritative, g.sk % 2 = 0 AS grid_question, g.disc > 0.03 AS grid_row_found
+       g.pk % 3 <> 0 AS ocr_ran, g.sk % 3 = 0 AS ocr_authoritative, g.sk % 2 = 0 AS grid_question, g.disc > 0.03 AS grid_row_found,
+       CASE WHEN g.sk % 2 = 0 THEN 'grid' WHEN g.pk % 7 = 0 THEN 'circle' ELSE 'box' END AS control, g.pk % 9 <> 0 AS calibration_validated, g.ok % 17 = 3 AS cross_out,
+       CASE WHEN g.pk % 5 = 0 THEN 'digits' END AS answer_format, 6 AS format_digits, g.sk % 4 = 1 AS comment_question,
+       CASE WHEN g.ok % 11 = 0 THEN CASE g.pk % 3 WHEN 0 THEN 'A,B' WHEN 1 THEN 'A' ELSE '' END END AS model_choices,
+       CASE g.sk % 3 WHEN 0 THEN 'A,B' WHEN 1 THEN 'A,C' ELSE NULL END AS pixel_choices
 FROM (SELECT l_orderkey, l_linenumber, min(l_partkey) AS pk, min(l_suppkey) AS sk, min(l_orderkey) AS ok, min(l_discount) AS disc, max(l_tax) AS tax, max(l_quantity) AS qty
       FROM lineitem GROUP BY l_orderkey, l_linenumber) g
 """,

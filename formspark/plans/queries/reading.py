@@ -58,7 +58,7 @@ def reading_self_consistency(v):
         F.col("model_answer"), F.col("mark_position"), F.col("choices")).alias("note"))
 
 
-_RES = "(pixel_ran AND coalesce(pixel_answer <> '' AND pixel_margin >= 0.15, FALSE))"
+_RES = "(pixel_ran AND coalesce(pixel_answer <> '' AND pixel_margin >= CASE control WHEN 'grid' THEN 0.05 WHEN 'circle' THEN 0.8 ELSE 0.15 END, FALSE))"
 _EMP = f"(pixel_ran AND coalesce(pixel_answer = '', FALSE) AND {_M} <> '')"
 _DIF = f"({_RES} AND pixel_answer <> {_M})"
 _PIXEL = f"""
@@ -66,7 +66,7 @@ _PIXEL = f"""
     CASE WHEN {_RES} AND NOT model_overrules THEN 'pixel' WHEN {_EMP} AND NOT model_overrules THEN 'pixel_blank' ELSE 'model' END AS method0,
     CASE WHEN ({_DIF} OR {_EMP}) AND model_overrules THEN 'pixel read ' || {_SHOW.format(c='pixel_answer')} || ', kept the model''s ' || {_SHOW.format(c='model_answer')}
       WHEN {_EMP} THEN 'no box confidently marked, but the model read ' || {_SHOW.format(c='model_answer')} WHEN {_DIF} THEN 'auto-corrected to the pixel reading from ' || {_SHOW.format(c='model_answer')} END AS pixel_note,
-    (({_DIF} OR {_EMP}) AND model_overrules) OR {_EMP} AS pixel_flag FROM fx_readings"""
+    (({_DIF} OR {_EMP}) AND (model_overrules OR NOT calibration_validated)) OR {_EMP} AS pixel_flag FROM fx_readings"""
 
 
 @query("RCN-05", f"SELECT file_name, question_number, answer0 AS answer, method0 AS detection_method, pixel_note, pixel_flag FROM ({_PIXEL}) p")
@@ -131,15 +131,32 @@ def reading_grid_failures(v):
     return rcn.grid_failures(v["fx_readings"])
 
 
+# The ticks of a multi-select question: what only one side has, and the note on it.
+_CLAIMED, _INKED = ("list_filter(string_split(coalesce({c}, ''), ','), lambda m: m <> '')".format(c=c) for c in ("model_choices", "pixel_choices"))
+_VETO, _FILL = f"list_filter({_CLAIMED}, lambda m: NOT list_contains({_INKED}, m))", f"list_filter({_INKED}, lambda m: NOT list_contains({_CLAIMED}, m))"
+_MULTI_OFF = f"(model_choices IS NOT NULL AND pixel_ran AND (len({_VETO}) > 0 OR len({_FILL}) > 0))"
+_INK_TEXT = f"array_to_string({_INKED}, ',')"
+_WHY = f"""concat_ws(' and ', CASE WHEN len({_VETO}) > 0 THEN 'the model claimed ' || array_to_string({_VETO}, ',') END,
+  CASE WHEN len({_FILL}) > 0 THEN 'the model missed ' || array_to_string({_FILL}, ',') END)"""
+_MULTI = f"""
+  SELECT * REPLACE (CASE WHEN {_MULTI_OFF} AND NOT model_overrules THEN {_INK_TEXT} ELSE answer0 END AS answer0, CASE WHEN {_MULTI_OFF} AND NOT model_overrules THEN 'pixel_multi' ELSE method0 END AS method0),
+    CASE WHEN {_MULTI_OFF} AND NOT model_overrules THEN 'reconciled to ' || {_SHOW.format(c=_INK_TEXT)} || ': ' || {_WHY}
+      WHEN {_MULTI_OFF} THEN 'pixel found ' || {_SHOW.format(c=_INK_TEXT)} || ', kept the model''s choices: ' || {_WHY} END AS n2 FROM ({_PIXEL}) p"""
+_WHOLE = _OCR.replace(f"({_PIXEL}) p", f"({_MULTI}) p")
+_FILLS = "(comment_question AND ocr_ran AND answer = '' AND trim(coalesce(ocr_text, '')) <> '')"
+_FILLED = f"""
+  SELECT * REPLACE (CASE WHEN {_FILLS} THEN trim(ocr_text) ELSE answer END AS answer, CASE WHEN {_FILLS} THEN 'ocr_fill' ELSE method END AS method),
+    CASE WHEN {_FILLS} THEN 'blank comment filled from the text read on the page' END AS n3 FROM ({_WHOLE}) w"""
 _NOTES = f"""
-  SELECT *, CASE WHEN NOT pixel_ran THEN {_CONSISTENT} END AS n1, {_LOW} AS n4, {_BLANK} AS n5, {_SECOND} AS n6,
-    CASE WHEN grid_question AND file_name IN ({_FAILED}) THEN 'answer grid could not be located on this file' END AS n7 FROM ({_OCR}) o"""
+  SELECT *, CASE WHEN cross_out AND pixel_ran THEN 'the pixel reader saw a correction or cross-out' END AS n8,
+    CASE WHEN answer_format = 'digits' AND trim(answer) <> '' AND NOT regexp_full_match(trim(answer), '[0-9]{{6}}') THEN 'should be a 6-digit number' END AS n9, CASE WHEN NOT pixel_ran THEN {_CONSISTENT} END AS n1, {_LOW} AS n4, {_BLANK} AS n5, {_SECOND} AS n6,
+    CASE WHEN grid_question AND file_name IN ({_FAILED}) THEN 'answer grid could not be located on this file' END AS n7 FROM ({_FILLED}) o"""
 
 
 @query("RCN-13", f"""
 SELECT file_name, question_number, answer AS survey_answer, method AS detection_method,
-  pixel_flag OR n1 IS NOT NULL OR ocr_note IS NOT NULL OR n4 IS NOT NULL OR n5 IS NOT NULL OR n6 IS NOT NULL OR n7 IS NOT NULL AS needs_review,
-  nullif(concat_ws('; ', n1, pixel_note, ocr_note, n4, n5, n6, n7), '') AS review_note FROM ({_NOTES}) n""")
+  pixel_flag OR n1 IS NOT NULL OR ocr_note IS NOT NULL OR n4 IS NOT NULL OR n5 IS NOT NULL OR n6 IS NOT NULL OR n7 IS NOT NULL OR n2 IS NOT NULL OR n3 IS NOT NULL OR n8 IS NOT NULL OR n9 IS NOT NULL AS needs_review,
+  nullif(concat_ws('; ', n1, pixel_note, n2, ocr_note, n3, n4, n5, n6, n8, n9, n7), '') AS review_note FROM ({_NOTES}) n""")
 def reading_reconciled_answers(v):
     return rcn.reconcile(v["fx_readings"]).select(
         "file_name", "question_number", "survey_answer", "detection_method", "needs_review", "review_note")

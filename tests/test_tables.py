@@ -329,3 +329,23 @@ def test_a_third_of_the_log_on_one_file(spark):
     newest = latest_profile(log, tie="event_id")
     assert newest.count() == 20_001
     assert newest.filter("file_name = 'hot'").first().event_id == 29_997
+
+
+def test_every_review_rule_fires(spark):
+    from formspark.operators import reconcile as rcn
+
+    out = rcn.reconcile(Views(spark, SMALL)["fx_readings"]).filter("review_note IS NOT NULL").collect()
+    assert all(r.needs_review for r in out if "auto-corrected" not in r.review_note)
+    for phrase in ("is out of range", "auto-corrected", "kept the model's", "reconciled to", "the model missed", "Cloud Vision read",
+                   "blank comment filled", "below 0.7", "genuine skip", "second mark", "cross-out", "6-digit number", "could not be located"):
+        assert any(phrase in r.review_note for r in out), phrase
+
+
+def test_an_unproven_calibration_flags_what_it_corrects(spark):
+    from formspark.operators import reconcile as rcn
+
+    rows = [("a", "Agree", "Neutral", 0.1, "grid", True), ("b", "Agree", "Neutral", 0.1, "box", True), ("c", "Agree", "Neutral", 0.2, "box", False)]
+    frame = spark.createDataFrame(rows, "q string, model_answer string, pixel_answer string, pixel_margin double, control string, calibration_validated boolean") \
+        .withColumns({"pixel_ran": F.lit(True), "model_overrules": F.lit(False)})
+    got = {r.q: (r.answer, r.pixel_flag) for r in rcn.pixel_vs_model(frame).collect()}
+    assert got == {"a": ("Neutral", False), "b": ("Agree", False), "c": ("Neutral", True)}
