@@ -336,7 +336,7 @@ def test_every_review_rule_fires(spark):
 
     out = rcn.reconcile(Views(spark, SMALL)["fx_readings"]).filter("review_note IS NOT NULL").collect()
     assert all(r.needs_review for r in out if "auto-corrected" not in r.review_note)
-    for phrase in ("is out of range", "auto-corrected", "kept the model's", "reconciled to", "the model missed", "Cloud Vision read",
+    for phrase in ("does not match choice", "auto-corrected", "kept the model's", "reconciled to", "the model missed", "Cloud Vision read",
                    "blank comment filled", "below 0.7", "genuine skip", "second mark", "cross-out", "6-digit number", "could not be located"):
         assert any(phrase in r.review_note for r in out), phrase
 
