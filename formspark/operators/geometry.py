@@ -269,7 +269,10 @@ def _nearest_pairs(targets: DataFrame, detected: DataFrame, max_d: float) -> Dat
     pairs = pairs.withColumn("copy", F.explode(F.sequence(
         F.lit(1).cast("bigint"), F.least("copies", "layout_size"))))
     nearest = Window.partitionBy("doc", *TARGET, "target_index").orderBy("delta", "y0", "x0", "x1", "y1", "copy")
-    return pairs.withColumn("place", F.row_number().over(nearest)).filter(F.col("place") <= F.col("layout_size"))
+    # The largest layout, one number, as a literal: Spark then limits every task's rows before the exchange.
+    most = size.agg(F.coalesce(F.max("layout_size"), F.lit(0))).first()[0]
+    place = F.col("place")
+    return pairs.withColumn("place", F.row_number().over(nearest)).filter((place <= most) & (place <= F.col("layout_size")))
 
 
 def match_controls(targets: DataFrame, detected: DataFrame, max_d: float = 80.0) -> DataFrame:

@@ -218,3 +218,22 @@ def test_grid_overflow_needs_six_columns(spark):
     assert geo.grid_rows(rows, columns=5).count() == 0
     moved = rows.withColumn("y", F.col("y") * 3)
     assert geo.grid_rows(moved).count() == 0
+
+
+def test_nearest_controls_are_limited_before_the_exchange(spark):
+    """A document with a third of all controls on one spot: few rows per task leave for the window."""
+    import contextlib
+    import io
+
+    targets = spark.createDataFrame(
+        [("q", "checkbox", 1, "a", 0, "yes", 100.0, 120.0, 100.0, 120.0), ("q", "checkbox", 1, "a", 1, "no", 160.0, 180.0, 100.0, 120.0)],
+        "question string, control_type string, page int, layout string, target_index int, label string, x0 double, x1 double, y0 double, y1 double")
+    crowd = [(1, 1, "checkbox", 100.0 + i % 40, 120.0 + i % 40, 100.0 + i // 40, 120.0 + i // 40) for i in range(1600)]
+    rest = [(d, 1, "checkbox", 101.0, 121.0, 100.0, 120.0) for d in range(2, 1602)]
+    detected = spark.createDataFrame(crowd + rest, "doc int, page int, control_type string, x0 double, x1 double, y0 double, y1 double")
+    matches = geo.match_controls(targets, detected)
+    out = io.StringIO()
+    with contextlib.redirect_stdout(out):
+        matches.explain("formatted")
+    assert out.getvalue().count("WindowGroupLimit") >= 2
+    assert matches.filter("doc = 1").count() == 2 and matches.filter("doc > 1").count() == 1600
