@@ -40,10 +40,9 @@ def sheet_duplicates(sheet: DataFrame) -> DataFrame:
     return sheet.dropna(subset=KEY).groupBy(*KEY).agg(F.count("*").alias("rows")).filter("rows > 1")
 
 
-def merge_feedback(feedback: DataFrame, sheet: DataFrame, uri: Column, now: Column,
-                   check: bool = True) -> DataFrame:
+def merge_feedback(feedback: DataFrame, sheet: DataFrame, uri: Column, now: Column) -> DataFrame:
     """Take in the answers of rows still without feedback; ``applied_now`` marks them."""
-    if check and not sheet_duplicates(sheet).isEmpty():
+    if not sheet_duplicates(sheet).isEmpty():
         raise DuplicateFeedback("the sheet holds a question of a file more than once")
     given = sheet.filter(F.col("correct_answer") != "").select(*KEY, F.col("correct_answer").alias("given"))
     merged = feedback.join(given, KEY, "left")

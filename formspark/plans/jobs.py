@@ -93,3 +93,17 @@ def ingest_latest(spark: SparkSession, listing: DataFrame, prefix: str, response
     synced = feedback.sync_feedback(responses, feedback_rows)
     sheet = readers.read_feedback(spark, path)
     return feedback.merge_feedback(synced, sheet, F.lit(path), now)
+
+
+def load_feedback(table: writers.BucketedTable, listing: DataFrame, prefix: str, responses: DataFrame, now: Column,
+                  suffix: str = ".csv") -> int:
+    """The newest export merged into the feedback table; returns the number of answers applied.
+
+    Rows already answered stay, so loading an export again applies nothing.
+    """
+    known = None if table.is_empty() else table.read()
+    merged = ingest_latest(table.spark, listing, prefix, responses, known, now, suffix)
+    with writers.saved(merged) as rows:
+        applied = rows.filter("applied_now").count()
+        table.replace(rows.drop("applied_now"))
+    return applied

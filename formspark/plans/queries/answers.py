@@ -12,7 +12,7 @@ from formspark.plans.queries.texts import CATEGORY_SQL, NUMBER_SQL, PAGE_SQL
 from formspark.plans.registry import query
 from formspark.session import scratch_dir
 from formspark.sources.layouts import FILE_QUALITY, conform
-from formspark.sources.writers import replace_by_folder
+from formspark.sources.writers import BucketedTable, replace_by_folder
 
 _NUMBERED = f"SELECT *, {NUMBER_SQL} AS qnum, coalesce(review_note, '') AS note FROM fx_responses"
 _ISSUES = f"""
@@ -112,7 +112,7 @@ FROM (SELECT s.*, f.correct_answer, f.correct_answer <> '' AND s.updated_with_fe
   LEFT JOIN fx_feedback f ON f.folder_name = s.folder_name AND f.file_name = s.file_name AND f.question_number = s.question_number) s
 LEFT JOIN fx_feedback f ON f.folder_name = s.folder_name AND f.file_name = s.file_name AND f.question_number = s.question_number""")
 def feedback_merge(v):
-    return fb.merge_feedback(synced(v), v["fx_feedback"], F.lit("export_1.csv"), run_at(), check=False).select(
+    return fb.merge_feedback(synced(v), v["fx_feedback"], F.lit("export_1.csv"), run_at()).select(
         "folder_name", "file_name", "question_number", "survey_answer", "correct_answer", "updated_with_feedback",
         "ingested_from", "applied_now")
 
@@ -129,13 +129,31 @@ def feedback_duplicates(v):
 SELECT r.folder_name, r.file_name, r.question_number, CASE WHEN f.correct_answer <> '' THEN f.correct_answer ELSE r.survey_answer END AS survey_answer, coalesce(f.correct_answer <> '', FALSE) AS applied_now
 FROM fx_responses r LEFT JOIN fx_feedback f ON f.folder_name = r.folder_name AND f.file_name = r.file_name AND f.question_number = r.question_number""")
 def feedback_ingest_latest(v):
+    return jobs.ingest_latest(v.spark, _exported(v), "review_", v["fx_responses"], None, run_at()).select(
+        "folder_name", "file_name", "question_number", "survey_answer", "applied_now")
+
+
+def _exported(v):
+    """The sheet as the newest export of a folder, and a listing that names it."""
     base = scratch_dir(v.spark, "exports")
     newest = f"{base}/review_20251130_101500.csv"
     v["fx_feedback"].write.option("header", "true").csv(newest)
     listing = v["fx_exports"].select(F.concat(F.lit(f"{base}/"), F.regexp_extract("object_name", "[^/]*$", 0)).alias("object_name"))
-    listing = listing.unionByName(v["region"].select(F.lit(newest).alias("object_name")))
-    return jobs.ingest_latest(v.spark, listing, "review_", v["fx_responses"], None, run_at()).select(
-        "folder_name", "file_name", "question_number", "survey_answer", "applied_now")
+    return listing.unionByName(v["region"].select(F.lit(newest).alias("object_name")))
+
+
+@query("FB-04 FB-01 FB-03 SNK-02", """
+WITH a AS (SELECT r.folder_name, r.file_name, r.question_number, CASE WHEN f.correct_answer <> '' THEN f.correct_answer ELSE r.survey_answer END AS survey_answer, coalesce(f.correct_answer <> '', FALSE) AS taken
+FROM fx_responses r LEFT JOIN fx_feedback f ON f.folder_name = r.folder_name AND f.file_name = r.file_name AND f.question_number = r.question_number)
+SELECT folder_name, file_name, question_number, survey_answer, taken, (SELECT count(*) FILTER (taken) FROM a) AS first_applied, CAST(0 AS BIGINT) AS then_applied FROM a""")
+def feedback_load_twice(v):
+    """The newest export written into the feedback table, and loaded again: the second time nothing is left to apply."""
+    table = BucketedTable(v.spark, scratch_dir(v.spark, "feedback"), fb.KEY, buckets=8)
+    listing = _exported(v)
+    first, then = (jobs.load_feedback(table, listing, "review_", v["fx_responses"], run_at()) for _run in range(2))
+    return table.read().select("folder_name", "file_name", "question_number", "survey_answer",
+                               F.coalesce("updated_with_feedback", F.lit(False)).alias("taken"),
+                               F.lit(first).cast("bigint").alias("first_applied"), F.lit(then).cast("bigint").alias("then_applied"))
 
 
 @query("FB-05", """

@@ -230,15 +230,29 @@ def intake_stream_once(v):
     return table.read().select("source_gcs_uri", "source_page_range", "output_category", "rejected", "needs_review")
 
 
-@query("MAN-11 MAN-07 MAN-04", f"""
+_FULL_RUN = f"""
 WITH placed AS (SELECT u.source_gcs_uri, u.page_count, u.source_page_range, u.unit_index, min(r.o) AS o FROM (SELECT s.source_gcs_uri, s.page_count, 'Batch ' || CAST(s.doc_id AS VARCHAR) AS destination_folder, 'Batch ' || CAST(s.doc_id AS VARCHAR) || '_p' || CAST(i AS VARCHAR) || '.pdf' AS output_name,
       i AS unit_index, CAST(2 * i - 1 AS VARCHAR) || '-' || CAST(2 * i AS VARCHAR) AS source_page_range FROM fx_source s, LATERAL (SELECT unnest(range(1, s.page_count // 2 + 1)) AS i) q WHERE s.page_count % 2 = 0) u,
     (VALUES (0, ''), (1, 'Declined/'), (2, 'Rejected/')) AS r(o, d) WHERE 'gs://bucket/split/' || r.d || u.destination_folder || '/' || u.output_name IN (SELECT uri FROM fx_split_listing) GROUP BY ALL),
 done AS (SELECT source_gcs_uri FROM placed GROUP BY source_gcs_uri, page_count HAVING count(*) * 2 = page_count)
 SELECT source_gcs_uri, source_page_range, output_category FROM ({_RUN_SQL}) f WHERE source_gcs_uri NOT IN (SELECT source_gcs_uri FROM done)
-UNION ALL SELECT source_gcs_uri, source_page_range, ['normal','declined','rejected'][o + 1] FROM placed WHERE source_gcs_uri IN (SELECT source_gcs_uri FROM done)""")
+UNION ALL SELECT source_gcs_uri, source_page_range, ['normal','declined','rejected'][o + 1] FROM placed WHERE source_gcs_uri IN (SELECT source_gcs_uri FROM done)"""
+
+
+@query("MAN-11 MAN-07 MAN-04", _FULL_RUN)
 def intake_full_run(v):
+    """Lazy frame of a whole run."""
     rows, _broken = jobs.intake_rows(
         v["fx_source"].select("source_gcs_uri", "page_count"), v["fx_split_listing"], v["fx_unit_verdict"],
         BUCKET, PREFIX, PAGES, run_at())
     return rows.select("source_gcs_uri", "source_page_range", "output_category")
+
+
+@query("MAN-11 MAN-07 MAN-04 SNK-02", _FULL_RUN)
+def intake_full_run_written(v):
+    """The same run put into the manifest table, twice: the second run replaces its own rows."""
+    table = writers.BucketedTable(v.spark, scratch_dir(v.spark, "manifest"), man.KEY, buckets=16)
+    for _run in range(2):
+        jobs.run_intake(table, v["fx_source"].select("source_gcs_uri", "page_count"), v["fx_split_listing"], v["fx_unit_verdict"],
+                        BUCKET, PREFIX, PAGES, run_at())
+    return table.read().select("source_gcs_uri", "source_page_range", "output_category")

@@ -349,3 +349,27 @@ def test_an_unproven_calibration_flags_what_it_corrects(spark):
         .withColumns({"pixel_ran": F.lit(True), "model_overrules": F.lit(False)})
     got = {r.q: (r.answer, r.pixel_flag) for r in rcn.pixel_vs_model(frame).collect()}
     assert got == {"a": ("Neutral", False), "b": ("Agree", False), "c": ("Neutral", True)}
+
+
+def test_new_documents_are_taken_once(spark, folder):
+    """Files that appear below a root, streamed twice: each once, others not at all."""
+    import os
+
+    root = folder + "/in/batch"
+    os.makedirs(root)
+
+    def take():
+        files = stream.new_documents(spark, folder + "/in").select("uri", "length")
+        q = files.writeStream.format("parquet").option("path", folder + "/out").option("checkpointLocation", folder + "/cp") \
+            .trigger(availableNow=True).start()
+        q.awaitTermination()
+        return sorted(os.path.basename(r.uri) for r in spark.read.schema("uri string, length long").parquet(folder + "/out").collect())
+
+    for name in ("a.pdf", "b.PDF", "c.txt"):
+        with open(f"{root}/{name}", "wb") as out:
+            out.write(b"%PDF")
+    assert take() == ["a.pdf", "b.PDF"]
+    with open(f"{root}/d.pdf", "wb") as out:
+        out.write(b"%PDF more")
+    assert take() == ["a.pdf", "b.PDF", "d.pdf"]
+    assert take() == ["a.pdf", "b.PDF", "d.pdf"]
