@@ -45,19 +45,30 @@ def ink_limits(controls: DataFrame, configured: Column | None = None) -> DataFra
 
 
 def ink_split(ratios: DataFrame, keys: Sequence[str] = ("file_name",), limits: tuple[int, int, int] = LIMITS_UNCONFIGURED,
-              mode: str = "clear_first", clear_gap: float = CLEAR_GAP, value: str = "ratio") -> DataFrame:
+              mode: str = "clear_first", clear_gap: float = CLEAR_GAP, value: str = "ratio",
+              per_file: DataFrame | None = None) -> DataFrame:
     """Blank/marked threshold of each file from its sorted ink ratios, without sorting them whole.
 
+    ``per_file`` holds a file's own limits (``keys`` and the columns of ``ink_limits``), so files of
+    different forms are split in one job; files it lacks take ``limits``.
+
     A clear gap cannot lie inside a bucket narrower than it, so the clear pass
     needs only each bucket's count and edges. The windowed pass looks at the
     ``max_marked`` largest ratios, so only that many and one more leave a task.
     """
-    samples, least, most = limits
+    names = ["min_samples", "min_marked", "max_marked"]
+    samples, least, most = (F.col(name) for name in names)
     r, keys = F.col(value), list(keys)
     buckets = ratios.filter(r.isNotNull()).groupBy(*keys, F.floor(r / (clear_gap / 4)).alias("b")).agg(
         F.count("*").alias("size"), F.min(r).alias("low"), F.max(r).alias("high"))
+    usual, largest = dict(zip(names, limits)), limits[2]
+    if per_file is None:
+        buckets = buckets.withColumns({name: F.lit(x) for name, x in usual.items()})
+    else:
+        buckets = buckets.join(per_file.select(*keys, *names), keys, "left").fillna(usual)
+        largest = max(largest, per_file.agg(F.max("max_marked")).first()[0] or 0)
     order = Window.partitionBy(*keys).orderBy("b")
-    edges = buckets.select(
+    edges = buckets.select(*names,
         *keys, "size", F.col("low").alias("mark_lo"), F.lag("high").over(order).alias("blank_hi"),
         F.sum("size").over(order.rowsBetween(Window.unboundedPreceding, -1)).alias("k"),
         F.sum("size").over(Window.partitionBy(*keys)).alias("n"),
@@ -68,14 +79,14 @@ def ink_split(ratios: DataFrame, keys: Sequence[str] = ("file_name",), limits: t
     gap = F.col("mark_lo") - F.col("blank_hi")
     in_window = F.col("k").between(lo, hi).cast("int")
     clear = edges.groupBy(*keys).agg(
-        F.max("n").alias("n"),
+        F.max("n").alias("n"), *(F.max(name).alias(name) for name in names),
         F.max(F.when(gap >= clear_gap, F.struct(
             gap.alias("gap"), in_window.alias("inside"), (-F.col("k")).alias("minus_k"), "blank_hi", "mark_lo"))).alias("c"),
     )
     top = ratios.filter(r.isNotNull()).select(*keys, r.alias("mark_lo")).withColumn(
-        "j", F.row_number().over(Window.partitionBy(*keys).orderBy(F.desc("mark_lo")))).filter(F.col("j") <= most + 1)
+        "j", F.row_number().over(Window.partitionBy(*keys).orderBy(F.desc("mark_lo")))).filter(F.col("j") <= largest + 1)
     down = Window.partitionBy(*keys).orderBy(F.desc("mark_lo"))
-    steps = top.withColumn("blank_hi", F.lead("mark_lo").over(down)).join(clear.select(*keys, "n"), keys)
+    steps = top.withColumn("blank_hi", F.lead("mark_lo").over(down)).join(clear.select(*keys, "n", *names), keys)
     k = n - F.col("j")
     tight = steps.filter(F.col("blank_hi").isNotNull() & k.between(lo, hi)).groupBy(*keys).agg(
         F.max(F.struct(gap.alias("gap"), (-k).alias("minus_k"), "blank_hi", "mark_lo")).alias("t"))

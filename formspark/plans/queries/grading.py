@@ -47,6 +47,22 @@ def ink_split_large_files(v):
         F.col("l_suppkey").cast("string").alias("file_name"), (F.col("l_extendedprice") / 100000).alias("ratio")))
 
 
+# A form per label; each label's files have limits of their own.
+_LABELLED = "(SELECT file_name, ratio FROM fx_box_ink JOIN embeddings ON file_name = 'scan' || CAST(vec_id AS VARCHAR) || '_p1.pdf' WHERE label = {k}) q"
+_PER_FORM = " UNION ALL ".join(
+    f"SELECT * FROM ({_ink(_LABELLED.format(k=k), samples=2 + k, least=1 + k % 3, most=3 + 2 * k)}) f{k}" for k in range(10))
+
+
+@query("CAL-01 CAL-03", f"SELECT * FROM ({_PER_FORM}) forms")
+def ink_split_several_forms(v):
+    """Files of ten forms in one job, each with its form's limits."""
+    label = F.col("label")
+    limits = v["embeddings"].select(
+        F.concat(F.lit("scan"), F.col("vec_id").cast("string"), F.lit("_p1.pdf")).alias("file_name"),
+        (2 + label).alias("min_samples"), (1 + label % 3).alias("min_marked"), (3 + 2 * label).alias("max_marked"))
+    return cal.ink_split(v["fx_box_ink"], per_file=limits)
+
+
 @query("CAL-03", """
 SELECT form_id, CAST(CASE WHEN c < 2 THEN 2 ELSE least(12, c) END AS INT) AS min_samples, 1 AS min_marked, CAST(CASE WHEN c < 2 THEN 1 ELSE c - 1 END AS INT) AS max_marked
 FROM (SELECT form_id, count_if(lower(control_type) = 'checkbox') AS c FROM fx_controls WHERE upper(trim(approval)) = 'APPROVED' GROUP BY form_id) q""")
