@@ -245,30 +245,37 @@ def collapse_nested(rects: DataFrame, apart: float = 10) -> DataFrame:
     )
 
 
+def _form(*frames: DataFrame) -> list[str]:
+    """The form's key, where every frame carries it."""
+    return ["form_id"] if all("form_id" in frame.columns for frame in frames) else []
+
+
 def _nearest_pairs(targets: DataFrame, detected: DataFrame, max_d: float) -> DataFrame:
     """Target and detected control pairs within reach, at most as many per target as can matter.
 
     A layout with T targets can use up at most T - 1 controls before a target's
     turn, so its T nearest always hold its match and farther ones are left out.
     """
-    size = targets.groupBy(*TARGET).agg(F.count("*").alias("layout_size"))
-    aimed = targets.join(size, TARGET).select(
-        *TARGET, "label", "target_index", "layout_size",
+    form = _form(targets, detected)
+    target = [*form, *TARGET]
+    size = targets.groupBy(*target).agg(F.count("*").alias("layout_size"))
+    aimed = targets.join(size, target).select(
+        *target, "label", "target_index", "layout_size",
         _centre("x0", "x1").alias("tx"), _centre("y0", "y1").alias("ty"))
     for axis in "xy":
         cell = F.floor(F.col(f"t{axis}") / max_d)
         aimed = aimed.withColumn(f"cell_{axis}", F.explode(F.sequence(cell - 1, cell + 1)))
     rect = ["x0", "x1", "y0", "y1"]
-    shapes = detected.groupBy("doc", "page", "control_type", *rect).agg(F.count("*").alias("copies"))
+    shapes = detected.groupBy(*form, "doc", "page", "control_type", *rect).agg(F.count("*").alias("copies"))
     cells = shapes.select(
         "*", _centre("x0", "x1").alias("dx"), _centre("y0", "y1").alias("dy"),
         F.floor(_centre("x0", "x1") / max_d).alias("cell_x"), F.floor(_centre("y0", "y1") / max_d).alias("cell_y"))
     delta = F.sqrt((F.col("tx") - F.col("dx")) ** 2 + (F.col("ty") - F.col("dy")) ** 2)
-    pairs = cells.join(aimed, ["page", "control_type", "cell_x", "cell_y"]).withColumn("delta", delta).filter(
+    pairs = cells.join(aimed, [*form, "page", "control_type", "cell_x", "cell_y"]).withColumn("delta", delta).filter(
         F.col("delta") <= max_d)
     pairs = pairs.withColumn("copy", F.explode(F.sequence(
         F.lit(1).cast("bigint"), F.least("copies", "layout_size"))))
-    nearest = Window.partitionBy("doc", *TARGET, "target_index").orderBy("delta", "y0", "x0", "x1", "y1", "copy")
+    nearest = Window.partitionBy("doc", *target, "target_index").orderBy("delta", "y0", "x0", "x1", "y1", "copy")
     # The largest layout, one number, as a literal: Spark then limits every task's rows before the exchange.
     most = size.agg(F.coalesce(F.max("layout_size"), F.lit(0))).first()[0]
     place = F.col("place")
@@ -278,8 +285,10 @@ def _nearest_pairs(targets: DataFrame, detected: DataFrame, max_d: float) -> Dat
 def match_controls(targets: DataFrame, detected: DataFrame, max_d: float = 80.0) -> DataFrame:
     """Greedy one-to-one matching of detected controls to a layout's labelled targets.
 
-    A layout of T targets has at most T * T pairs left, taken nearest first.
+    A layout of T targets has at most T * T pairs left, taken nearest first. With ``form_id`` on both
+    sides a document meets the layouts of its own form only; here and in the functions below.
     """
+    target = [*_form(targets, detected), *TARGET]
     control = ["y0", "x0", "x1", "y1", "copy"]
     pairs = F.array_sort(F.collect_list(F.struct("delta", "target_index", *control, "label")))
 
@@ -293,21 +302,22 @@ def match_controls(targets: DataFrame, detected: DataFrame, max_d: float = 80.0)
         taken = F.exists(chosen, lambda other: clash(pair, other))
         return F.when(taken, chosen).otherwise(F.array_append(chosen, pair))
 
-    grouped = _nearest_pairs(targets, detected, max_d).groupBy("doc", *TARGET).agg(pairs.alias("pairs"))
+    grouped = _nearest_pairs(targets, detected, max_d).groupBy("doc", *target).agg(pairs.alias("pairs"))
     matched = grouped.withColumn("m", F.explode(F.aggregate("pairs", F.slice("pairs", 1, 0), take)))
     return matched.select(
-        "doc", *TARGET, "m.label", "m.target_index", "m.x0", "m.x1", "m.y0", "m.y1", "m.delta",
+        "doc", *target, "m.label", "m.target_index", "m.x0", "m.x1", "m.y0", "m.y1", "m.delta",
         F.round(F.greatest(F.lit(0.0), 1 - F.col("m.delta") / max_d), 3).alias("confidence"))
 
 
 def choose_layout(matches: DataFrame, targets: DataFrame, detected: DataFrame) -> DataFrame:
     """Layout of each question: most matches, then least distance, then highest layout."""
-    group = ["question", "control_type", "page"]
-    layouts = targets.groupBy(*TARGET).agg(F.count("*").alias("layout_size"))
-    offered = detected.select("doc", "page").distinct().join(layouts, "page")
-    scored = matches.groupBy("doc", *TARGET).agg(F.count("*").alias("matches"), F.sum("delta").alias("total"))
-    zero = offered.join(scored, ["doc", *TARGET], "left").select(
-        "doc", *TARGET, "layout_size", F.coalesce("matches", F.lit(0).cast("bigint")).alias("matches"),
+    form = _form(targets, detected)
+    group, target = [*form, "question", "control_type", "page"], [*form, *TARGET]
+    layouts = targets.groupBy(*target).agg(F.count("*").alias("layout_size"))
+    offered = detected.select("doc", *form, "page").distinct().join(layouts, [*form, "page"])
+    scored = matches.groupBy("doc", *target).agg(F.count("*").alias("matches"), F.sum("delta").alias("total"))
+    zero = offered.join(scored, ["doc", *target], "left").select(
+        "doc", *target, "layout_size", F.coalesce("matches", F.lit(0).cast("bigint")).alias("matches"),
         F.coalesce("total", F.lit(0.0)).alias("total"))
     best = zero.groupBy("doc", *group).agg(
         F.max(F.struct("matches", (-F.col("total")).alias("closeness"), "layout", "layout_size")).alias("best"),
@@ -319,7 +329,8 @@ def choose_layout(matches: DataFrame, targets: DataFrame, detected: DataFrame) -
 
 def match_metrics(chosen: DataFrame, matches: DataFrame, detected: DataFrame) -> DataFrame:
     """Per document: expected, detected and matched controls, and centre distances."""
-    kept = matches.join(chosen.select("doc", *TARGET), ["doc", *TARGET], "left_semi")
+    target = [*_form(chosen, matches), *TARGET]
+    kept = matches.join(chosen.select("doc", *target), ["doc", *target], "left_semi")
     spread = kept.groupBy("doc").agg(
         F.round(F.avg("delta"), 2).alias("mean_center_delta_px"), F.round(F.max("delta"), 2).alias("max_center_delta_px"))
     totals = chosen.groupBy("doc").agg(

@@ -237,3 +237,34 @@ def test_nearest_controls_are_limited_before_the_exchange(spark):
         matches.explain("formatted")
     assert out.getvalue().count("WindowGroupLimit") >= 2
     assert matches.filter("doc = 1").count() == 2 and matches.filter("doc > 1").count() == 1600
+
+
+def test_forms_meet_their_own_layouts(spark):
+    """Two forms share question, page and place; matched together they give what each gives alone."""
+    import contextlib
+    import io
+
+    columns = "form_id string, question string, control_type string, page int, layout string, target_index int, label string, x0 double, x1 double, y0 double, y1 double"
+    targets = spark.createDataFrame(
+        [(f, "q", "checkbox", 1, lay, k, f"{f}{lay}{k}", x + 60 * k, x + 60 * k + 20, 100.0, 120.0)
+         for f, x in (("a", 100.0), ("b", 110.0)) for lay in ("l1", "l2") for k in range(2 + (lay == "l2"))], columns)
+    detected = spark.createDataFrame(
+        [("ab"[d % 2], d, 1, "checkbox", 100.0 + 60 * k + d, 120.0 + 60 * k + d, 101.0, 121.0) for d in range(12) for k in range(3)],
+        "form_id string, doc int, page int, control_type string, x0 double, x1 double, y0 double, y1 double")
+
+    def run(t, d):
+        m = geo.match_controls(t, d)
+        c = geo.choose_layout(m, t, d)
+        return m, c, geo.match_metrics(c, m, d)
+
+    def rows(frame):
+        return sorted(map(str, frame.drop("form_id").collect()))
+
+    whole = run(targets, detected)
+    parts = [run(targets.filter(f"form_id = '{f}'").drop("form_id"), detected.filter(f"form_id = '{f}'").drop("form_id")) for f in "ab"]
+    for k in range(3):
+        assert rows(whole[k]) == sorted(rows(parts[0][k]) + rows(parts[1][k]))
+    out = io.StringIO()
+    with contextlib.redirect_stdout(out):
+        whole[1].explain()
+    assert "[form_id" in out.getvalue()
