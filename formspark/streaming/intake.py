@@ -16,7 +16,7 @@ from formspark.sources.writers import BucketedTable
 def new_documents(spark: SparkSession, root: str) -> DataFrame:
     """Stream of PDFs that appear below a root, without their content."""
     return (
-        spark.readStream.format("binaryFile")
+        spark.readStream.format("binaryFile").schema("path string, modificationTime timestamp, length long, content binary")
         .option("recursiveFileLookup", "true").option("pathGlobFilter", "*.[pP][dD][fF]")
         .load(root)
         .select(F.col("path").alias("uri"), "length", F.col("modificationTime").alias("modified"))
