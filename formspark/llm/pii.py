@@ -2,8 +2,10 @@
 
 Information-theoretic sanitisation: every matched value is a protected entity. A term that keeps turning up next to one
 entity tells more about it than its own frequency allows. With counts of documents over the whole corpus, the disclosure
-of entity e by term t is PMI(t; e) / IC(e): 0 where they are independent, 1 where t occurs with e alone. Terms at or above a
-threshold, seen beside the entity in several different contexts, are spans of their own in documents that hold the entity.
+of entity e by term t is PMI(t; e) / IC(e): 0 where they are independent, 1 where t occurs with e alone. Every pair of an
+entity and a term beside it is weighed. Terms at or above a threshold are spans of their own in documents that hold the
+entity, unless the pair may be chance: Chernoff's bound on the probability of meeting that often among independent ones,
+exact where one of them stands in one document, must be below a level of significance.
 
 Everything is DataFrame functions: matches come from ``regexp_extract_all``, their places from the lengths of the pieces
 that ``split`` leaves between them.
@@ -11,6 +13,8 @@ that ``split`` leaves between them.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -29,8 +33,8 @@ TERM = "term"
 CONTEXT_CHARS = 120
 CONTEXT_WORDS = 5
 LEAST_LETTERS = 4
-LEAST_CONTEXTS = 3
 DISCLOSURE = 0.9
+SIGNIFICANCE = 0.05
 BROADCAST_TERMS = 200_000
 _WORDS = r"[^\p{L}]+"
 
@@ -106,30 +110,59 @@ def _revealing(docs: DataFrame, found: DataFrame) -> DataFrame:
         F.slice(F.split(F.concat(F.col("s.after"), F.lit(" ")), _WORDS), 1, CONTEXT_WORDS).alias("a"),
         F.size(F.split(F.concat(F.lit(" "), F.col("s.before")), _WORDS)).alias("nb"),
     ).withColumn("b", F.when(F.col("nb") >= CONTEXT_WORDS, F.col("b")).otherwise(F.array().cast("array<string>")))
-    near = beside.select(
-        "doc_id", "mark", "entity", F.xxhash64("b", "a").alias("context"),
-        F.explode(F.array_distinct(F.filter(F.concat("b", "a"), lambda w: F.length(w) >= LEAST_LETTERS))).alias("term"))
+    near = checkpointed(beside.select(
+        "doc_id", "mark", "entity",
+        F.explode(F.array_distinct(F.filter(F.concat("b", "a"), lambda w: F.length(w) >= LEAST_LETTERS))).alias("term")).distinct())
     entities = beside.groupBy("entity").agg(F.count_distinct("doc_id", "mark").alias("n_entity"))
-    joint = near.groupBy("entity", "term", "context").agg(F.lit(1).alias("one")) \
-        .groupBy("entity", "term").agg(F.count("*").alias("contexts")).filter(F.col("contexts") >= LEAST_CONTEXTS)
-    together = near.select("entity", "term", "doc_id", "mark").distinct().groupBy("entity", "term").agg(F.count("*").alias("n_both"))
-    content = F.log(F.lit(float(total)) / F.col("n_entity"))
-
-    def disclosed(n_term: str) -> Column:
-        pmi = F.log(F.col("n_both") * F.lit(float(total)) / (F.col(n_term) * F.col("n_entity")))
-        return (content > 0) & (pmi / content >= DISCLOSURE)
+    together = near.groupBy("entity", "term").agg(F.count("*").alias("n_both"))
 
     # A term is in at least as many documents as it stands beside entities in: too common there, too common in all.
     seen = near.select("term", "doc_id", "mark").distinct().groupBy("term").agg(F.count("*").alias("n_near"))
-    pairs = checkpointed(joint.join(together, ["entity", "term"]).join(entities, "entity").join(seen, "term").filter(disclosed("n_near")))
-    terms = pairs.select("term").distinct()
-    if terms.isEmpty():
-        return pairs.select("entity", "term")
-    # Broadcast only while there are few; beyond that the join shuffles.
-    side = F.broadcast(terms) if terms.count() <= BROADCAST_TERMS else terms
-    counts = docs.select(F.explode(F.array_distinct(F.split("text", _WORDS))).alias("term")) \
-        .filter(F.length("term") >= LEAST_LETTERS).join(side, "term").groupBy("term").agg(F.count("*").alias("n_term"))
-    return pairs.join(counts, "term").filter(disclosed("n_term")).select("entity", "term")
+    pairs = checkpointed(together.join(entities, "entity").join(seen, "term").filter(_disclosed("n_near", total)))
+    terms = checkpointed(pairs.select("term").distinct())
+    said = docs.select(F.explode(F.array_distinct(F.split("text", _WORDS))).alias("term")).filter(F.length("term") >= LEAST_LETTERS)
+    # Broadcast only while there are few; beyond that the corpus is counted first and the counts are joined.
+    if terms.count() <= BROADCAST_TERMS:
+        said, terms = said.join(F.broadcast(terms), "term"), None
+    counts = said.groupBy("term").agg(F.count("*").alias("n_term"))
+    if terms is not None:
+        counts = counts.join(terms, "term")
+    return pairs.join(counts, "term").filter(_disclosed("n_term", total)).select("entity", "term")
+
+
+def _disclosed(n_term: str, total: int) -> Column:
+    """Whether a term of so many documents gives the entity away, and not by chance."""
+    whole, both, term, entity = F.lit(float(total)), F.col("n_both"), F.least(F.col(n_term), F.lit(total)), F.col("n_entity")
+    content = F.log(whole / entity)
+    pmi = F.log(both * whole / (term * entity))
+
+    def unlikely(draws: Column, share: Column) -> Column:
+        """Minus the log of the bound on ``both`` hits in so many draws."""
+        missed = F.when((draws > both) & (share < 1), (draws - both) * F.log(F.try_divide(draws - both, draws * (1 - share)))) \
+            .otherwise(F.lit(0.0))
+        return both * F.log(both / (draws * share)) + missed
+
+    least = F.greatest(unlikely(term, entity / whole), unlikely(entity, term / whole))
+    return (content > 0) & (F.try_divide(pmi, content) >= DISCLOSURE) & (least >= -math.log(SIGNIFICANCE))
+
+
+def _flagged(holders: DataFrame, reveals: DataFrame) -> DataFrame:
+    """``i``, ``m`` and ``words``: the revealing terms that stand in a document with their entity.
+
+    Goes from the documents of the terms: a disclosing term has few beyond those where it stands beside the entity, while an
+    entity may be in many documents and have many terms.
+    """
+    reveals = checkpointed(reveals)
+    few = reveals.count() <= BROADCAST_TERMS
+    said = holders.select("doc_id", "mark", F.explode(F.array_distinct(F.split("text", _WORDS))).alias("term")) \
+        .filter(F.length("term") >= LEAST_LETTERS)
+    meant = said.join(F.broadcast(reveals) if few else reveals, "term") \
+        .select(F.col("doc_id").alias("i"), F.col("mark").alias("m"), F.col("entity").alias("e"), "term")
+    held = holders.select("doc_id", "mark", F.explode("base").alias("s")) \
+        .select("doc_id", "mark", F.concat_ws(":", "s.kind", "s.value").alias("entity"))
+    both = meant.join(held, F.col("i").eqNullSafe(F.col("doc_id")) & (F.col("m") == F.col("mark")) & (F.col("e") == F.col("entity")),
+                      "left_semi")
+    return both.groupBy("i", "m").agg(F.collect_set("term").alias("words"))
 
 
 def personal_data(docs: DataFrame) -> DataFrame:
@@ -144,11 +177,7 @@ def personal_data(docs: DataFrame) -> DataFrame:
     found = texts.withColumn("base", base_spans(F.col("text")))
     found = checkpointed(found.withColumn("text", F.when(F.size("base") > 0, F.col("text"))))
     holders = found.filter(F.size("base") > 0)
-    reveals = _revealing(texts, holders)
-    flagged = holders.select("doc_id", "mark", F.explode("base").alias("s")) \
-        .select("doc_id", "mark", F.concat_ws(":", "s.kind", "s.value").alias("entity")).distinct() \
-        .join(reveals, "entity").groupBy("doc_id", "mark").agg(F.collect_set("term").alias("words")) \
-        .select(F.col("doc_id").alias("i"), F.col("mark").alias("m"), "words")
+    flagged = _flagged(holders, _revealing(texts, holders))
     joined = found.join(flagged, F.col("doc_id").eqNullSafe(F.col("i")) & (F.col("mark") == F.col("m")), "left").drop("i", "m")
     return joined.withColumn("terms", F.when(F.col("words").isNotNull(), _term_spans()).otherwise(F.array().cast(_SPAN))).drop("words")
 

@@ -168,6 +168,19 @@ def test_revealing_terms_become_spans(spark):
     assert clean[0] == "notea from  at [email] said helloa again"
 
 
+def test_terms_beside_an_entity_of_one_context_are_weighed(spark):
+    """An entity of one document has terms too; a rare word beside an entity of many documents may be chance."""
+    found = [(0, "report from Quibbleton Zarvox at q.b@mail.example about invoices", "x"), (1, "call me with +1 555 555 5555 soon", "x")]
+    found += [(100 + i, f"plain report from about with call soon invoices at 10.0.0.1 rare{chr(97 + i % 26) * (1 + i // 26)}", "x") for i in range(60)]
+    docs = spark.createDataFrame(found, "doc_id bigint, text string, mark string")
+    out = {r["doc_id"]: r for r in pii.personal_report(docs).collect()}
+    spans = [s for s in out[0]["spans"].split(",") if s.startswith("term")]
+    assert spans == ["term:12:22", "term:23:29"]
+    assert all(r["n_term"] == 0 for i, r in out.items() if i)
+    alone = {r["doc_id"]: r for r in pii.personal_report(docs.limit(1)).collect()}
+    assert alone[0]["n_term"] == 0
+
+
 # Vectors -----------------------------------------------------------------------------------------------------------------------
 
 def brute_vectors(found, threshold=0.95):
