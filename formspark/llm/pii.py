@@ -30,7 +30,6 @@ PATTERNS = {
 }
 KINDS = tuple(PATTERNS)
 TERM = "term"
-CONTEXT_CHARS = 120
 CONTEXT_WORDS = 5
 LEAST_LETTERS = 4
 DISCLOSURE = 0.9
@@ -65,26 +64,47 @@ def _holds(kind: str, value: Column) -> Column:
     return F.lit(True)
 
 
-def _spans(text: Column, pattern: str | Column, order: int, kind: str, holds) -> Column:
+def _spans(text: Column, pattern: str | Column, order: int, kind: str, holds, beside: bool = True) -> Column:
     """Array of (start, order, kind, end, value, before, after) for the matches of a pattern in a text.
 
-    ``before`` and ``after`` are the pieces of text beside the match.
+    ``before`` and ``after`` are the words beside the match, those of other matches among them; none unless ``beside``.
     """
     found = F.regexp_extract_all(text, F.lit(pattern) if isinstance(pattern, str) else pattern, F.lit(0))
     pieces = F.split(text, pattern, -1)
-    paired = F.zip_with(pieces, found, lambda p, m: F.struct(p.alias("p"), m.alias("m")))
-    kept = F.aggregate(
-        paired, F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("starts")),
-        lambda a, x: F.struct((a["at"] + F.length(x["p"]) + F.coalesce(F.length(x["m"]), F.lit(0))).alias("at"),
-                              F.array_append(a["starts"], a["at"] + F.length(x["p"])).alias("starts")))["starts"]
-    spans = F.transform(found, lambda m, i: F.struct(
-        kept[i].alias("start"), F.lit(order).alias("order"), F.lit(kind).alias("kind"), (kept[i] + F.length(m)).alias("end"),
-        m.alias("value"), F.right(pieces[i], F.lit(CONTEXT_CHARS)).alias("before"),
-        F.left(pieces[i + 1], F.lit(CONTEXT_CHARS)).alias("after")))
-    return F.filter(spans, lambda s: holds(s["value"]))
+    runs = F.flatten(F.zip_with(pieces, found, lambda p, m: F.array(p, F.coalesce(m, F.lit("")))))
+    words = F.transform(runs, lambda r: F.filter(F.split(r, _WORDS), lambda w: w != ""))
+    none = F.array().cast("array<string>")
 
+    def spanned(x: Column) -> Column:
+        """From the runs of text, every second one a match, with their ends and the numbers of words up to there."""
 
-_SPAN = "array<struct<start:int,order:int,kind:string,end:int,value:string,before:string,after:string>>"
+        def words_of(at: Column, n: Column) -> Column:
+            return F.slice(x["all"], at + 1, n) if beside else none
+
+        def span(m: Column, i: Column) -> Column:
+            k = 2 * i
+            first = F.greatest(F.lit(0), x["counts"][k] - CONTEXT_WORDS) if beside else F.lit(0)
+            return F.struct(
+                x["ends"][k].alias("start"), F.lit(order).alias("order"), F.lit(kind).alias("kind"),
+                x["ends"][k + 1].alias("end"), m.alias("value"),
+                words_of(first, x["counts"][k] - first).alias("before"),
+                words_of(x["counts"][k + 1], F.lit(CONTEXT_WORDS)).alias("after"))
+
+        return F.filter(F.transform(found, span), lambda s: holds(s["value"]))
+
+    def running(lengths: Column) -> Column:
+        return F.aggregate(
+            lengths, F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("ends")),
+            lambda a, n: F.struct((a["at"] + n).alias("at"), F.array_append(a["ends"], a["at"] + n).alias("ends")))["ends"]
+
+    known = [running(F.transform(runs, F.length)).alias("ends")]
+    if beside:
+        known += [running(F.transform(words, F.size)).alias("counts"), F.flatten(words).alias("all")]
+    # As the only element of an array, so that it is reckoned once and not for every match.
+    return F.flatten(F.transform(F.array(F.struct(*known)), spanned))
+
+
+_SPAN = "array<struct<start:int,order:int,kind:string,end:int,value:string,before:array<string>,after:array<string>>>"
 
 
 def base_spans(text: Column) -> Column:
@@ -106,13 +126,10 @@ def _revealing(docs: DataFrame, found: DataFrame) -> DataFrame:
     total = docs.count()
     beside = found.select("doc_id", "mark", F.explode("base").alias("s")).select(
         "doc_id", "mark", F.concat_ws(":", "s.kind", "s.value").alias("entity"),
-        F.slice(F.split(F.concat(F.lit(" "), F.col("s.before")), _WORDS), -CONTEXT_WORDS, CONTEXT_WORDS).alias("b"),
-        F.slice(F.split(F.concat(F.col("s.after"), F.lit(" ")), _WORDS), 1, CONTEXT_WORDS).alias("a"),
-        F.size(F.split(F.concat(F.lit(" "), F.col("s.before")), _WORDS)).alias("nb"),
-    ).withColumn("b", F.when(F.col("nb") >= CONTEXT_WORDS, F.col("b")).otherwise(F.array().cast("array<string>")))
+        F.concat("s.before", "s.after").alias("words"))
     near = checkpointed(beside.select(
         "doc_id", "mark", "entity",
-        F.explode(F.array_distinct(F.filter(F.concat("b", "a"), lambda w: F.length(w) >= LEAST_LETTERS))).alias("term")).distinct())
+        F.explode(F.array_distinct(F.filter("words", lambda w: F.length(w) >= LEAST_LETTERS))).alias("term")).distinct())
     entities = beside.groupBy("entity").agg(F.count_distinct("doc_id", "mark").alias("n_entity"))
     together = near.groupBy("entity", "term").agg(F.count("*").alias("n_both"))
 
@@ -185,7 +202,7 @@ def personal_data(docs: DataFrame) -> DataFrame:
 def _term_spans() -> Column:
     """Whole-word occurrences of a row's ``words`` in its ``text``, clear of base spans."""
     pattern = F.concat(F.lit(r"(?<!\p{L})(?:"), F.array_join(F.sort_array("words", asc=False), "|"), F.lit(r")(?!\p{L})"))
-    spans = _spans(F.col("text"), pattern, len(KINDS), TERM, lambda v: F.lit(True))
+    spans = _spans(F.col("text"), pattern, len(KINDS), TERM, lambda v: F.lit(True), beside=False)
     return F.filter(spans, lambda t: ~F.exists("base", lambda b: (t["start"] < b["end"]) & (b["start"] < t["end"])))
 
 

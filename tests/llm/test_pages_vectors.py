@@ -181,6 +181,20 @@ def test_terms_beside_an_entity_of_one_context_are_weighed(spark):
     assert alone[0]["n_term"] == 0
 
 
+def test_words_beside_an_entity(spark):
+    """Five whole words to each side, however few or long they are, those of earlier matches among them."""
+    long = "w" * 300
+    texts = ["Jane Doe jane@x.org", "Jane Doe <jane@x.org>, John Roe <john@x.org>", f"one two {long} three four five a@b.c six", "a@b.c", "é 1a@b.c",
+             "one two three four five six a@b.c seven eight nine ten eleven twelve"]
+    frame = spark.createDataFrame([(t,) for t in texts], "text string").select(pii.base_spans(F.col("text")).alias("b"))
+    got = [[(s["before"], s["after"]) for s in r["b"]] for r in frame.collect()]
+    assert got == [
+        [(["Jane", "Doe"], [])],
+        [(["Jane", "Doe"], ["John", "Roe", "john", "x", "org"]), (["jane", "x", "org", "John", "Roe"], [])],
+        [(["two", long, "three", "four", "five"], ["six"])], [([], [])], [(["é"], [])],
+        [(["two", "three", "four", "five", "six"], ["seven", "eight", "nine", "ten", "eleven"])]]
+
+
 # Vectors -----------------------------------------------------------------------------------------------------------------------
 
 def brute_vectors(found, threshold=0.95):
