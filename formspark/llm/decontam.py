@@ -12,6 +12,7 @@ benchmark of any size becomes a chain of passes over the same rows.
 from __future__ import annotations
 
 import hashlib
+import uuid
 from collections.abc import Iterator
 from itertools import groupby
 
@@ -147,17 +148,18 @@ def benchmark_slices(benchmark: DataFrame, slice_chars: int = SLICE_CHARS) -> li
 
 def _indexes(spark: SparkSession, benchmark: DataFrame, window: int, slice_chars: int) -> list:
     return [
-        spark.sparkContext.broadcast([(r["item_id"], r["text"]) for r in part.toLocalIterator()])
+        spark.sparkContext.broadcast((uuid.uuid4().hex, [(r["item_id"], r["text"]) for r in part.toLocalIterator()]))
         for part in benchmark_slices(benchmark, slice_chars)
     ]
 
 
 def _index_of(shipped, window: int) -> SuffixIndex:
-    """The index of a slice, built once in each worker process."""
-    key = (id(shipped.value), window)
+    """The index of a slice, built once in each worker process and known by the name that travels with the slice."""
+    name, rows = shipped.value
+    key = (name, window)
     if key not in _BUILT:
         _BUILT.clear()
-        _BUILT[key] = SuffixIndex([(i, bytes(t) if t is not None else None) for i, t in shipped.value], window)
+        _BUILT[key] = SuffixIndex([(i, bytes(t) if t is not None else None) for i, t in rows], window)
     return _BUILT[key]
 
 

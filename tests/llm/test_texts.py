@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import hashlib
+import pickle
 import random
 import re
 import zlib
 from collections import defaultdict
+from types import SimpleNamespace
 
 import pytest
 import xxhash
@@ -151,6 +153,15 @@ def test_clean_keeps_columns_and_clean_rows(spark, docs):
     assert decontam.hits(docs.limit(0), items).count() == 0
 
 
+def test_a_freed_slice_is_not_taken_for_the_next(spark):
+    """A worker frees the list of a former task; the next slice may get its address."""
+    made = [decontam._indexes(spark, spark.createDataFrame([(k, f"alpha {k}")], "item_id bigint, text string"), 13, 100)[0] for k in range(2)]
+    sent = [pickle.dumps(m.value) for m in made]
+    for k in range(20):
+        index = decontam._index_of(SimpleNamespace(value=pickle.loads(sent[k % 2])), 13)
+        assert index.owner == [k % 2]
+
+
 def test_longest_matches(spark):
     item = [(1, " ".join(f"w{k}" for k in range(40)))]
     found = [(7, "start " + " ".join(f"w{k}" for k in range(5, 25)) + " stop " + " ".join(f"w{k}" for k in range(13)), "s")]
