@@ -2,8 +2,9 @@
 
 Each source is cut into blocks of equal length. With target weight w of a total T, block j of a source is released at slot
 floor(j T / w) and due by slot ceil((j + 1) T / w); the earliest deadline goes first. The order is proportionally fair: at
-no slot does a source stand a whole block away from its share. The order repeats every T slots, so a block's slot is
-arithmetic on its number once one period is known, and no task ever walks through the blocks.
+no slot does a source stand a whole block away from its share. Weights are the exact fractions of the targets, so the
+share is the target's own. The order repeats every T slots; where T is long, only the slots until the first source runs out
+are worked out, one step a block on the driver, and a block's slot is looked up by its number.
 
 When a source runs out, the others go on from there with the weights they have, as a new phase. Every row gets exactly
 one place.
@@ -12,8 +13,11 @@ one place.
 from __future__ import annotations
 
 import heapq
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
+from fractions import Fraction
+from itertools import count
 
 import numpy as np
 import pandas as pd
@@ -26,6 +30,15 @@ BUCKET_ROWS = 5_000
 SEED = 20
 
 
+def exact_weights(targets: dict) -> dict:
+    """The least whole weights in exactly the ratios of the targets."""
+    exact = {s: Fraction(w) for s, w in targets.items()}
+    scale = math.lcm(*(w.denominator for w in exact.values()))
+    whole = {s: int(w * scale) for s, w in exact.items()}
+    common = math.gcd(*whole.values())
+    return {s: w // common for s, w in whole.items()}
+
+
 def integer_weights(targets: dict, period: int = PERIOD) -> dict:
     """Whole weights that sum to ``period`` (or to four slots a source, if that is more), none below one."""
     period = max(period, 4 * len(targets))
@@ -42,28 +55,34 @@ def integer_weights(targets: dict, period: int = PERIOD) -> dict:
     return whole
 
 
-def one_period(weights: dict) -> dict:
-    """source -> the slots of its blocks in one period, by earliest deadline first among released blocks."""
+def one_period(weights: dict, left: dict) -> tuple[dict, bool]:
+    """source -> the slots of its blocks, by earliest deadline first among released blocks, and whether a source ran out.
+
+    Goes on for one period, or until a source has no blocks ``left``.
+    """
     total = sum(weights.values())
     order = sorted(weights, key=str)
     waiting = [(0, rank, 0) for rank in range(len(order))]
     heapq.heapify(waiting)
     ready: list[tuple[int, int, int]] = []
     slots: dict = {s: [] for s in order}
-    for slot in range(total):
+    for slot in count():
+        if slot == total:
+            return slots, False
         while waiting and waiting[0][0] <= slot:
             _release, rank, j = heapq.heappop(waiting)
             heapq.heappush(ready, (-(-(j + 1) * total // weights[order[rank]]), rank, j))
         _deadline, rank, j = heapq.heappop(ready)
         slots[order[rank]].append(slot)
+        if j + 1 == left[order[rank]]:
+            return slots, True
         if j + 1 < weights[order[rank]]:
             heapq.heappush(waiting, ((j + 1) * total // weights[order[rank]], rank, j + 1))
-    return slots
 
 
 @dataclass(frozen=True)
 class Phase:
-    """A stretch of slots in which the same sources are left."""
+    """A stretch of slots in which the same sources are left. ``total`` is 0 where it is shorter than a period."""
 
     base: int
     total: int
@@ -78,14 +97,19 @@ def phases(blocks: dict, weights: dict) -> list[Phase]:
     base, out = 0, []
     while left:
         now = {s: weights[s] for s in left}
-        total = sum(now.values())
-        slots = {s: np.array(x) for s, x in one_period(now).items()}
-        out.append(Phase(base, total, dict(used), slots))
-        end = min(((n - 1) // now[s]) * total + int(slots[s][(n - 1) % now[s]]) + 1 for s, n in left.items())
-        for s in list(left):
-            done = (end // total) * now[s] + int(np.searchsorted(slots[s], end % total))
-            used[s] += done
-            left[s] -= done
+        found, ended = one_period(now, left)
+        slots = {s: np.array(x, dtype=np.int64) for s, x in found.items() if x}
+        total = 0 if ended else sum(now.values())
+        out.append(Phase(base, total, {s: used[s] for s in slots}, slots))
+        if ended:
+            done = {s: len(x) for s, x in found.items()}
+            end = sum(done.values())
+        else:
+            end = min(((n - 1) // now[s]) * total + int(slots[s][(n - 1) % now[s]]) + 1 for s, n in left.items())
+            done = {s: (end // total) * now[s] + int(np.searchsorted(slots[s], end % total)) for s in left}
+        for s, n in done.items():
+            used[s] += n
+            left[s] -= n
             if not left[s]:
                 del left[s]
         base += end
@@ -111,6 +135,7 @@ class Plan:
         for first, base, total, slots in self.by_source[source]:
             here = block >= first
             j = block[here] - first
+            # Later phases overwrite what lies beyond a phase's end.
             out[here] = base + j // len(slots) * total + slots[j % len(slots)]
         return out
 
@@ -124,12 +149,13 @@ def _key():
     return F.when(F.col("source").isNull(), F.lit("n")).otherwise(F.concat(F.lit("s"), F.col("source").cast("string")))
 
 
-def mixed(docs: DataFrame, targets: dict | None = None, block_rows: int = BLOCK_ROWS, period: int = PERIOD,
+def mixed(docs: DataFrame, targets: dict | None = None, block_rows: int = BLOCK_ROWS, period: int | None = None,
           bucket_rows: int = BUCKET_ROWS, seed: int = SEED) -> DataFrame:
     """All rows and columns of ``docs`` plus ``mix_block``, ``mix_slot`` and ``mix_position``.
 
     ``targets`` gives the weight of each source (null is a source of its own); a source without one gets the least share,
-    and the default weights are the square roots of the sources' sizes. Within a source rows go by a hash of the id, then
+    and the default weights are the square roots of the sources' sizes. Shares are exact unless ``period`` asks for weights
+    rounded to a period of so many slots. Within a source rows go by a hash of the id, then
     by id and text; fully equal rows take neighbouring places. ``mix_position`` runs from 0 without holes over all rows.
     Null texts and ids are placed like others; an empty table stays empty. Columns that bear one of the new names are
     replaced.
@@ -142,7 +168,8 @@ def mixed(docs: DataFrame, targets: dict | None = None, block_rows: int = BLOCK_
     if targets is None:
         wanted = {s: n ** 0.5 for s, n in sizes.items()}
     wanted = {s: wanted.get(s, 1e-12) for s in sizes}
-    plan = docs.sparkSession.sparkContext.broadcast(Plan(sizes, integer_weights(wanted, period) if wanted else {}, block_rows))
+    weights = {} if not wanted else integer_weights(wanted, period) if period else exact_weights(wanted)
+    plan = docs.sparkSession.sparkContext.broadcast(Plan(sizes, weights, block_rows))
     bits = max(1, int(np.ceil(np.log2(max(2, sum(sizes.values()) / bucket_rows)))))
     rows = docs.drop("mix_block", "mix_slot", "mix_position").withColumns({
         "__key": _key(), "__hash": F.xxhash64(F.lit(seed), F.col("doc_id")), "__text": F.xxhash64("text")}) \

@@ -10,6 +10,7 @@ import zlib
 from collections import defaultdict
 from types import SimpleNamespace
 
+import numpy as np
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -362,3 +363,39 @@ def test_mix_does_not_depend_on_partitions(spark, docs):
     assert ordered(one.select(*pick).collect()) == ordered(two.select(*pick).collect())
     assert set(docs.columns) < set(one.columns) and one.count() == len(rows())
     assert mixing.mixed(docs.limit(0)).count() == 0
+
+
+def mixed_blocks(spark, sizes, targets):
+    """(source, block) by slot for sources of so many rows, one row a block."""
+    found = [(0, "t", s) for s, n in sizes.items() for _ in range(n)]
+    frame = spark.createDataFrame(found, "doc_id bigint, text string, source string")
+    out = mixing.mixed(frame, targets, block_rows=1).collect()
+    return [r["source"] for r in sorted(out, key=lambda r: r["mix_slot"])]
+
+
+def test_mix_keeps_to_the_targets_themselves(spark):
+    """Shares that no period of a thousand slots holds, and sources without a target."""
+    targets = {"a": 1.0, "b": 0.7003, "c": 0.0004}
+    got = mixed_blocks(spark, {"a": 6000, "b": 4400, "c": 60}, targets)
+    total, seen = sum(targets.values()), defaultdict(int)
+    for t, s in enumerate(got):
+        seen[s] += 1
+        assert all(abs(seen[k] - w / total * (t + 1)) < 1 for k, w in targets.items())
+        if seen[s] == {"a": 6000, "b": 4400, "c": 60}[s]:
+            break
+    few = mixed_blocks(spark, {"a": 500, **{f"x{k}": 3 for k in range(300)}}, {"a": 1.0})
+    assert few[:499].count("a") >= 498
+
+
+def test_mix_of_many_blocks_keeps_to_the_targets():
+    sizes = {"s0": 5_000_000, **{f"s{k}": 526_000 + k for k in range(1, 20)}}
+    targets = {s: n ** 0.5 for s, n in sizes.items()}
+    plan = mixing.Plan(sizes, mixing.exact_weights(targets))
+    blocks = {s: -(-n // 64) for s, n in sizes.items()}
+    slots = {s: plan.slot(s, np.arange(n)) for s, n in blocks.items()}
+    assert sorted(np.concatenate(list(slots.values())).tolist()) == list(range(sum(blocks.values())))
+    end = min(int(x[-1]) for x in slots.values())
+    for s, w in targets.items():
+        at = slots[s][slots[s] <= end]
+        share = w / sum(targets.values())
+        assert np.abs(np.arange(len(at)) - share * at).max() < 1 and np.abs(np.arange(len(at)) + 1 - share * (at + 1)).max() < 1
