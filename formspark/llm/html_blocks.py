@@ -25,7 +25,11 @@ _INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd mark q s samp small span strike strong sub sup "
     "time tt u var wbr img".split())
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-_RAW = frozenset("script style noscript template title textarea select button svg iframe object xmp".split())
+# Their content is no markup; the others hold markup that is not the page's text.
+_RAW = frozenset("script style textarea title xmp iframe noembed noframes".split())
+_ASIDE = frozenset("noscript template select button svg object".split())
+_ASIDE_TAG = re.compile(rf"<(/?)({'|'.join(sorted(_ASIDE))})(?=[\s/>])(?:\"[^\"]*\"|'[^']*'|[^\"'>])*+>", re.IGNORECASE)
+_ARTICLE = re.compile(r"<(/?)(?:article|main)(?=[\s/>])", re.IGNORECASE)
 _NOISE_TAGS = frozenset("nav footer aside form dialog menu head".split())
 _NOISE_NAMES = frozenset(
     "ad ads advert advertisement adverts advertising banner breadcrumb breadcrumbs captcha comment comments consent cookie "
@@ -48,18 +52,47 @@ class Block:
     heading: int
 
 
+# Regions of furniture, from the weakest sign: part of a name, a whole name or a tag, and what is not shown at all.
+_PART, _WHOLE, _UNSEEN = -1, -2, -3
+
+
 def _kind(tag: str, attributes: str, around: int) -> int:
-    """The region a tag opens: its own where it has one, else the one around it."""
-    if around < 0 or tag in _NOISE_TAGS or (tag == "header" and around == 0):
-        return -1
+    """The region a tag opens: its own where it has one, else the one around it.
+
+    An article within furniture is a place like others, where the tree decides; within what only bears a part of a name, and
+    for the main element, it is the article itself. What is not shown stays so.
+    """
+    if around == _UNSEEN:
+        return around
+    own = tag in ("article", "main")
+    sign = _WHOLE if tag in _NOISE_TAGS or (tag == "header" and around == 0) else 0
     if attributes and ("=" in attributes or "hidden" in attributes):
         if _HIDDEN.search(attributes):
-            return -1
-        for found in _NAMED.findall(attributes):
-            names = re.split(r"[\s_-]+", "".join(found).lower())
-            if tag not in ("html", "body", "article", "main") and not _NOISE_NAMES.isdisjoint(names):
-                return -1
-    return 1 if tag in ("article", "main") else around
+            return _UNSEEN
+        if tag not in ("html", "body") and (not own or around < 0):
+            for found in _NAMED.findall(attributes):
+                for name in "".join(found).lower().split():
+                    if name in _NOISE_NAMES:
+                        sign = _WHOLE
+                    elif sign == 0 and not _NOISE_NAMES.isdisjoint(re.split(r"[_-]+", name)):
+                        sign = _PART
+    if own and sign == 0:
+        return 0 if around == _WHOLE and tag == "article" else 1
+    return min(sign, around) if sign or around < 0 else around
+
+
+def _closed(page: str) -> dict[int, int]:
+    """Where the elements beside the text end: start of the opening tag -> start of its closing tag."""
+    waiting: dict[str, list[int]] = {}
+    out: dict[int, int] = {}
+    for token in _ASIDE_TAG.finditer(page):
+        opened = waiting.setdefault(token.group(2).lower(), [])
+        if token.group(1):
+            if opened:
+                out[opened.pop()] = token.start()
+        elif not token.group(0).endswith("/>"):
+            opened.append(token.start())
+    return out
 
 
 def blocks(page: str | None) -> list[Block]:
@@ -75,7 +108,7 @@ def blocks(page: str | None) -> list[Block]:
         nonlocal words, linked, links
         text = " ".join("".join(parts).split())
         if text:
-            out.append(Block(text, len(text.split(" ")), min(linked, words), stack[-1][1] if stack else 0, heading))
+            out.append(Block(text, len(text.split(" ")), min(linked, words), max(-1, stack[-1][1]) if stack else 0, heading))
         parts.clear()
         words = linked = 0
         links = 0
@@ -90,6 +123,7 @@ def blocks(page: str | None) -> list[Block]:
             parts.append(text)
 
     page = page or ""
+    ends = _closed(page)
     at = 0
     for token in _TOKEN.finditer(page):
         if token.start() < skip_to:
@@ -100,14 +134,27 @@ def blocks(page: str | None) -> list[Block]:
         if tag is None:
             continue
         tag, closing = tag.lower(), bool(token.group(1))
-        if tag in _RAW and not closing:
-            end = re.compile(rf"</{re.escape(tag)}(?=[\s/>])", re.IGNORECASE).search(page, at)
-            if tag not in ("title",) or end:
+        if tag in _RAW:
+            end = None if closing else re.compile(rf"</{re.escape(tag)}(?=[\s/>])", re.IGNORECASE).search(page, at)
+            if end or not closing and tag in ("script", "style", "textarea", "xmp"):
                 skip_to = end.start() if end else len(page)
                 at = skip_to
             continue
-        if tag in _RAW:
-            continue
+        holds_article = False
+        if tag in _ASIDE:
+            if not closing:
+                end = ends.get(token.start())
+                if end is None:
+                    continue
+                held = _ARTICLE.search(page, at, end)
+                if held is None:
+                    skip_to = at = end
+                elif not held.group(1):
+                    holds_article = True
+            elif any(name == tag for name, _ in stack):
+                holds_article = True
+            if not holds_article:
+                continue
         if tag in _INLINE:
             if tag == "a":
                 links = 0 if closing else 1
@@ -134,7 +181,8 @@ def blocks(page: str | None) -> list[Block]:
                 if stack[k][0] in _SAME.get(tag, ()):
                     del stack[k:]
                     break
-            stack.append((tag, _kind(tag, token.group(3), stack[-1][1] if stack else 0)))
+            around = stack[-1][1] if stack else 0
+            stack.append((tag, min(_WHOLE, around) if holds_article else _kind(tag, token.group(3), around)))
         heading = int(bool(stack) and stack[-1][0] in ("h1", "h2", "h3", "h4", "h5", "h6"))
     if at < len(page):
         say(page[max(at, skip_to):])

@@ -93,6 +93,27 @@ def test_page_texts(spark):
     assert html_blocks.extracted(pages.limit(0)).count() == 0
 
 
+WHOLE = {
+    "<svg class=i /><article><svg/><p>one two</p><svg><path d=x /><text>label</text></svg><p>three</p></article><svg></svg>": "one two three",
+    "<article><button>Go<p>one two</p><select><p>three</p><object data=x><p>four</p></article><footer>x</footer>": "Go one two three four",
+    "<article><p>one</p><button><div>Buy</div></button><object><p>none</p></object><p>two</p></article>": "one two",
+    "<article><p>a <button>A</p><p>b</p></article><form><button>B</button></form>": "a A b",
+    "<body><div class='page with-sidebar'><article><p>one two</p></article><p>side</p></div>": "one two",
+    "<div class='header-fixed'><main><p>one two</p><div class=ad>Buy</div></main></div>": "one two",
+    "<div class=sidebar><article><p>" + "word " * 60 + "</p></article><p>side</p></div>": " ".join(["word"] * 60),
+    "<div hidden class=sidebar><article><p>" + "word " * 60 + "</p></article></div>": "",
+    "<div class=comments><article class=comment><p>" + "word " * 60 + "</p></article></div>": "",
+    "<object><article><p>" + "word " * 60 + "</p></article>none</object><main><p>two</p></main>": " ".join(["word"] * 60) + " two",
+    "<article><p>one</p><script>var x = '<p>no</p>'</script><p>two</p><style>p{}": "one two",
+}
+
+
+def test_pages_lose_no_article_to_what_stands_beside(spark):
+    pages = spark.createDataFrame([(i, "u", p) for i, p in enumerate(WHOLE)], "page_id bigint, url string, html string")
+    got = {r["page_id"]: r["text"] for r in html_blocks.extracted(pages).collect()}
+    assert [got[i] for i in range(len(WHOLE))] == list(WHOLE.values())
+
+
 def test_pages_of_the_tables(spark):
     """On pages with one article, its words and nothing else."""
     pages = spark.read.parquet("/root/testdata/sf0.1/pages.parquet")
