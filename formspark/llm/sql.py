@@ -36,3 +36,33 @@ c AS (SELECT n, min(r) AS root FROM reach GROUP BY n),
 k AS (SELECT a, count(*) AS n_links FROM e GROUP BY a)
 SELECT m.vec_id, coalesce(n_links, 0) AS n_links, coalesce(root, m.vec_id) AS component_id, m.vec_id = coalesce(root, m.vec_id) AS kept
 FROM embeddings m LEFT JOIN c ON m.vec_id = c.n LEFT JOIN k ON m.vec_id = k.a"""
+
+# Trees by recursion over levels; a document's fold and proof climb its source's tree, then the tree of the subroots.
+# The CRC-32 of the id goes bit by bit: a byte is mixed in, then -1 stands for a shift.
+MERKLE = """
+WITH RECURSIVE d AS (SELECT row_number() OVER () AS r, doc_id, source, '=' || source AS tag, lang, n_chars, text,
+  list_reduce(list_prepend(4294967295::BIGINT, flatten(list_transform(string_split(doc_id::VARCHAR, ''), lambda c: [ascii(c)::BIGINT, -1, -1, -1, -1, -1, -1, -1, -1]))),
+    lambda c, b: CASE WHEN b >= 0 THEN xor(c, b) ELSE xor(c >> 1, (c & 1) * 3988292384) END) AS crc FROM documents),
+low AS (SELECT *, CASE WHEN xor(crc, 4294967295) % 5 = 0 THEN translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') ELSE text END AS claimed FROM d),
+f AS (SELECT *, coalesce(strlen(doc_id::VARCHAR) || ':' || doc_id, '-') || coalesce(strlen(source) || ':' || source, '-') || coalesce(strlen(lang) || ':' || lang, '-') || coalesce(strlen(n_chars::VARCHAR) || ':' || n_chars, '-') AS head FROM low),
+leaf AS (SELECT r, doc_id, coalesce(tag, '') AS g, sha256(head || coalesce(strlen(text) || ':' || text, '-')) AS h, sha256(head || coalesce(strlen(claimed) || ':' || claimed, '-')) AS c FROM f),
+placed AS (SELECT *, row_number() OVER (PARTITION BY g ORDER BY doc_id NULLS FIRST, h) - 1 AS p, count(*) OVER (PARTITION BY g) AS n FROM leaf),
+lv AS (SELECT g, 0 AS k, p, n, h FROM placed
+  UNION ALL SELECT g, k + 1, p // 16, (n + 15) // 16, sha256(string_agg(h, '' ORDER BY p)) FROM lv WHERE n > 1 GROUP BY g, k, p // 16, n),
+run AS (SELECT g, k, p // 16 AS b, list(h ORDER BY p) AS hs FROM lv WHERE n > 1 GROUP BY g, k, p // 16),
+up AS (SELECT r, g, 0 AS k, p, c AS h, '' AS proof FROM placed
+  UNION ALL SELECT up.r, up.g, up.k + 1, up.p // 16, sha256(array_to_string(hs[1:p % 16], '') || up.h || array_to_string(hs[p % 16 + 2:], '')), up.proof || array_to_string(hs[1:p % 16], '') || array_to_string(hs[p % 16 + 2:], '')
+  FROM up JOIN run ON up.g = run.g AND up.k = run.k AND up.p // 16 = run.b),
+sub AS (SELECT g, h FROM lv WHERE n = 1),
+heads AS (SELECT g, h, row_number() OVER (ORDER BY g) - 1 AS p, count(*) OVER () AS n FROM sub),
+tlv AS (SELECT 0 AS k, p, n, h FROM heads
+  UNION ALL SELECT k + 1, p // 16, (n + 15) // 16, sha256(string_agg(h, '' ORDER BY p)) FROM tlv WHERE n > 1 GROUP BY k, p // 16, n),
+trun AS (SELECT k, p // 16 AS b, list(h ORDER BY p) AS hs FROM tlv WHERE n > 1 GROUP BY k, p // 16),
+last AS (SELECT r, max(k) AS k FROM up GROUP BY r),
+tup AS (SELECT up.r, 0 AS k, heads.p, up.h, up.proof FROM up JOIN last ON up.r = last.r AND up.k = last.k JOIN heads ON up.g = heads.g
+  UNION ALL SELECT tup.r, tup.k + 1, tup.p // 16, sha256(array_to_string(hs[1:p % 16], '') || tup.h || array_to_string(hs[p % 16 + 2:], '')), tup.proof || array_to_string(hs[1:p % 16], '') || array_to_string(hs[p % 16 + 2:], '')
+  FROM tup JOIN trun ON tup.k = trun.k AND tup.p // 16 = trun.b),
+tlast AS (SELECT r, max(k) AS k FROM tup GROUP BY r),
+root AS (SELECT h FROM tlv WHERE n = 1)
+SELECT placed.doc_id, placed.h AS leaf, sub.h AS subroot, root.h AS root, sha256(tup.proof) AS proof_sha256, tup.h AS folded_root, tup.h = root.h AS verified
+FROM placed JOIN tlast ON placed.r = tlast.r JOIN tup ON tup.r = tlast.r AND tup.k = tlast.k JOIN sub ON placed.g = sub.g, root"""
