@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from formspark.llm import decontam, embed_dedup, html_blocks, lines, merkle, mixing, pii, quality, secrets, simhash, sql, urls
+from formspark.llm import decontam, embed_dedup, html_blocks, language, lines, merkle, mixing, negatives, pii, quality, secrets, simhash, sql, urls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -79,11 +79,22 @@ def op10_line_dedup(spark, folder):
     return lines.line_report(_table(spark, folder, "documents"))
 
 
+@_query(sql.NEGATIVES)
+def op11_hard_negatives(spark, folder):
+    return negatives.hard_negatives(_table(spark, folder, "embeddings"))
+
+
 @_query(sql.MERKLE)
 def op12_merkle(spark, folder):
     return merkle.tamper_report(_table(spark, folder, "documents"))
 
 
+@_query()
+def op13_language(spark, folder):
+    docs = _table(spark, folder, "documents")
+    return language.languages(docs, language.train(docs))
+
+
 @_query()
 def pipeline(spark, folder):
     import corpus_pipeline

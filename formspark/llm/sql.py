@@ -66,3 +66,15 @@ tlast AS (SELECT r, max(k) AS k FROM tup GROUP BY r),
 root AS (SELECT h FROM tlv WHERE n = 1)
 SELECT placed.doc_id, placed.h AS leaf, sub.h AS subroot, root.h AS root, sha256(tup.proof) AS proof_sha256, tup.h AS folded_root, tup.h = root.h AS verified
 FROM placed JOIN tlast ON placed.r = tlast.r JOIN tup ON tup.r = tlast.r AND tup.k = tlast.k JOIN sub ON placed.g = sub.g, root"""
+
+# Every anchor with every row, ranked by score.
+NEGATIVES = """
+WITH v AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label::BIGINT + 1) % 10 ELSE label END AS label, list_transform(embedding, lambda e: CAST(floor(256 * e::DOUBLE) AS BIGINT)) AS x
+  FROM embeddings WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda e: e IS NULL OR NOT isfinite(e))) = 0),
+s AS (SELECT a.vec_id AS anchor_id, b.vec_id AS other, a.label = b.label AS same, CAST(list_dot_product(a.x::DOUBLE[], b.x::DOUBLE[]) AS BIGINT) AS score
+  FROM v a JOIN v b ON a.vec_id <> b.vec_id AND len(a.x) = len(b.x) WHERE a.vec_id % 100 = 0),
+p AS (SELECT anchor_id, other AS positive_id, score AS positive_score FROM s WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other) <= 5)
+SELECT p.anchor_id, positive_id, CAST(row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY score DESC, other) AS INTEGER) AS rank, other AS negative_id, positive_score, score AS negative_score
+FROM p JOIN s ON p.anchor_id = s.anchor_id AND NOT same AND 80 * positive_score <= 100 * score AND score <= positive_score
+QUALIFY row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY score DESC, other) <= 5"""
