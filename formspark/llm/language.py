@@ -23,8 +23,8 @@ FILTERS = 16
 BYTE_DIMS = 8
 STEP = WINDOW - max(WIDTHS) + 1
 SAMPLE_ROWS = 400
-CROPS = 3
-EPOCHS = 4
+CROPS = 4
+EPOCHS = 6
 UNKNOWN = "und"
 _AT_ONCE = 128
 
@@ -103,7 +103,7 @@ def _log_softmax(scores: np.ndarray) -> np.ndarray:
 
 
 def fitted(windows: np.ndarray, truth: np.ndarray, languages: list[str], epochs: int = EPOCHS, batch: int = 64,
-           rate: float = 0.004, seed: int = 7) -> ByteNet:
+           rate: float = 0.006, seed: int = 7) -> ByteNet:
     """Adam steps on the cross-entropy; every language is drawn as often as the most frequent one. Byte 0 is padding."""
     net = ByteNet.fresh(languages, seed)
     net.table[0] = 0
