@@ -8,11 +8,13 @@ tolerance at hand, with map-side combining.
 from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from formspark.operators.greedy import centres_apart
+from formspark.functions.text import norm_text
+from formspark.sources.writers import stored
 
 # Registration mark side, its tolerance, and how full its box must be.
 MARK_SIDE, MARK_TOLERANCE, MARK_FILL = 74, 28, 0.75
@@ -21,6 +23,7 @@ CORNERS = ("TL", "TR", "BL", "BR")
 BOX_SIDE_MIN, BOX_SIDE_MAX, BOX_SIDE_INK = 18, 55, 0.6
 # Controls mapping scores.
 ROW_LIMITS = {"yesno_box": (12.0, 600.0), "h3_circle": (18.0, 180.0)}
+CHOICE_TYPES, SURE = ("single-choice", "multi-select"), 0.75
 CELL = 64
 TARGET = ["question", "control_type", "page", "layout"]
 
@@ -212,8 +215,8 @@ def control_rows(rects: DataFrame, keys: Sequence[str], y_gap: float | Column) -
     return rows.filter((F.col("x_span") > 0) & (F.col("y_span") > 0))
 
 
-def row_members(rects: DataFrame, keys: Sequence[str], y_gap: float) -> DataFrame:
-    """Every control with the chain number of its visual row."""
+def row_members(rects: DataFrame, keys: Sequence[str], y_gap: float | Column) -> DataFrame:
+    """Every control with the chain number of its visual row, as ``control_rows`` counts them."""
     sized = rects.withColumn("cy", _centre("y0", "y1")).withColumn("bucket", _bucket(F.col("cy"), y_gap))
     chains = _bucket_chains(sized, keys, "cy", y_gap).select(*keys, "bucket", "chain")
     return sized.join(chains, [*keys, "bucket"]).drop("bucket", "cy")
@@ -222,27 +225,45 @@ def row_members(rects: DataFrame, keys: Sequence[str], y_gap: float) -> DataFram
 def collapse_nested(rects: DataFrame, apart: float = 10) -> DataFrame:
     """Largest first, drop rectangles whose centre is within ``apart`` px of a kept one.
 
-    Of equal centres only the first can be kept, so each centre comes down to one
-    row map-side; runs of centres with a horizontal gap between them are then
-    independent and are settled apart. What one task holds is thus at most the
-    distinct half-pixel centres of one such run of one page.
+    Of equal centres only the first can be kept, so each centre comes down to one row map-side. The rest is settled in
+    rounds: a centre with no open earlier one near it is kept, and what lies near it is dropped, which is what taking all
+    of them in order gives. Two centres in one cell of side ``apart`` are always near, so a cell offers one centre a round,
+    and it meets the open centres of nine cells. Rounds follow the longest chain of centres that hang on one another.
     """
     order = F.struct((-F.col("area")).alias("o_area"), F.col("y0").alias("o_y0"), F.col("x0").alias("o_x0"),
                      F.col("x1").alias("o_x1"), F.col("y1").alias("o_y1"))
     centres = rects.groupBy("page_id", _centre("x0", "x1").alias("cx"), _centre("y0", "y1").alias("cy")).agg(
         F.min(order).alias("o"))
-    flat = centres.select("page_id", "cx", "cy", "o.*").withColumn("bucket", _bucket(F.col("cx"), apart))
-    runs = _bucket_chains(flat, ["page_id"], "cx", apart).select("page_id", "bucket", "chain")
-    group = ["page_id", "chain"]
-    placed = flat.join(runs, ["page_id", "bucket"]).select(
-        *group, "cx", "cy", F.col("o_x0").alias("x0"), F.col("o_x1").alias("x1"), F.col("o_y0").alias("y0"),
-        F.col("o_y1").alias("y1"), (-F.col("o_area")).alias("area"))
-    keep = ["page_id", "x0", "x1", "y0", "y1", "area"]
-    return (
-        placed.repartition(*group)
-        .sortWithinPartitions(*group, F.desc("area"), "y0", "x0", "x1", "y1")
-        .mapInPandas(centres_apart(group, keep, apart), placed.select(*keep).schema)
-    )
+    cell = ["cell_x", "cell_y"]
+    still_open = stored(centres.withColumns(
+        {"cell_x": F.floor(F.col("cx") / apart), "cell_y": F.floor(F.col("cy") / apart)}))
+    kept = []
+    while True:
+        first = still_open.groupBy("page_id", *cell).agg(F.min_by(F.struct("cx", "cy", "o"), "o").alias("f")).select(
+            F.col("page_id").alias("f_page"), *[F.col(f"f.{c}").alias(f"f_{c}") for c in ("cx", "cy", "o")])
+        blocked = _around(first, apart).join(still_open, _meets(apart) & (F.col("o") < F.col("f_o")), "left_semi")
+        round_kept = stored(first.join(blocked.select("f_page", "f_cx", "f_cy").distinct(), ["f_page", "f_cx", "f_cy"], "left_anti"))
+        kept.append(round_kept)
+        still_open = stored(still_open.join(_around(round_kept, apart), _meets(apart), "left_anti"))
+        if still_open.isEmpty():
+            break
+    chosen = reduce(DataFrame.unionByName, kept).select(F.col("f_page").alias("page_id"), "f_o.*")
+    return chosen.select("page_id", F.col("o_x0").alias("x0"), F.col("o_x1").alias("x1"), F.col("o_y0").alias("y0"),
+                         F.col("o_y1").alias("y1"), (-F.col("o_area")).alias("area"))
+
+
+def _around(centres: DataFrame, side: float) -> DataFrame:
+    """Every centre once for each of the nine cells that can hold one near it."""
+    found = centres
+    for axis in "xy":
+        cell = F.floor(F.col(f"f_c{axis}") / side)
+        found = found.withColumn(f"f_cell_{axis}", F.explode(F.sequence(cell - 1, cell + 1)))
+    return found
+
+
+def _meets(apart: float) -> Column:
+    same = (F.col("page_id") == F.col("f_page")) & (F.col("cell_x") == F.col("f_cell_x")) & (F.col("cell_y") == F.col("f_cell_y"))
+    return same & (F.abs(F.col("cx") - F.col("f_cx")) < apart) & (F.abs(F.col("cy") - F.col("f_cy")) < apart)
 
 
 def _form(*frames: DataFrame) -> list[str]:
@@ -349,93 +370,163 @@ def match_metrics(chosen: DataFrame, matches: DataFrame, detected: DataFrame) ->
     )
 
 
+def _known_controls(controls: DataFrame) -> tuple[DataFrame, list[str], Column]:
+    """Check boxes and circles, the keys of their rows, and the vertical gap that ends a row."""
+    circle = F.col("control_type") == "circle"
+    gap = F.when(circle, ROW_LIMITS["h3_circle"][0]).otherwise(ROW_LIMITS["yesno_box"][0])
+    keys = [*(["form_id"] if "form_id" in controls.columns else []), "doc", "page", "control_type"]
+    return controls.filter(F.col("control_type").isin("checkbox", "circle")), keys, gap
+
+
 def mappable_rows(controls: DataFrame) -> DataFrame:
     """Control rows of each page wide enough to be a question's choices."""
+    known, keys, gap = _known_controls(controls)
     circle = F.col("control_type") == "circle"
-    (box_gap, box_span), (circle_gap, circle_span) = ROW_LIMITS["yesno_box"], ROW_LIMITS["h3_circle"]
-    known = controls.filter(F.col("control_type").isin("checkbox", "circle"))
-    rows = control_rows(known, ["doc", "page", "control_type"], F.when(circle, circle_gap).otherwise(box_gap))
-    wide = F.col("x_span") >= F.when(circle, circle_span).otherwise(box_span)
-    return rows.filter((F.col("count") >= 2) & wide).withColumn(
+    wide = F.col("x_span") >= F.when(circle, ROW_LIMITS["h3_circle"][1]).otherwise(ROW_LIMITS["yesno_box"][1])
+    return control_rows(known, keys, gap).filter((F.col("count") >= 2) & wide).withColumn(
         "kind", F.when(circle, "h3_circle").otherwise("yesno_box"))
 
 
-def anchor_hits(words: DataFrame, questions: list[dict]) -> DataFrame:
-    """How often each page's words name a question or one of its choices.
+def usable_template(template: DataFrame) -> DataFrame:
+    """Questions of the form templates that controls can be mapped to, with what mapping needs to know of them.
 
-    The template's words are a literal lookup, so no word is shuffled to meet them.
+    A template row is a question: ``form_id`` (where jobs hold several forms), ``question``, ``place`` in the form's
+    order, ``labels``, and where given ``answer_type``, ``control_type`` (``checkbox`` or ``circle``) and ``anchors``,
+    further words that name it. Without ``control_type``, H3 is the question of circles, named by its setting.
+    Questions without labels are left out unless they are circles; open questions never take a row of boxes.
     """
-    terms: dict[str, list[str]] = {}
-    for q in questions:
-        named = [q["number"].lower(), *(" ".join(label.lower().split()) for label in q["labels"])]
-        named += ["h3", "setting"] if q["number"] == "H3" else []
-        for text in named:
-            terms.setdefault(text, []).append(q["number"])
-    pairs = [part for text, found in terms.items() for part in (F.lit(text), F.array(*[F.lit(n) for n in found]))]
-    found = words.filter(F.col("text").isin(*terms)).withColumn(
-        "question", F.explode(F.element_at(F.create_map(*pairs), F.col("text"))))
-    return found.groupBy("doc", "page", "question").agg(F.count("*").alias("hits"))
-
-
-def map_controls(controls: DataFrame, words: DataFrame, questions: list[dict]) -> DataFrame:
-    """Control rows to questions of one form template, document by document.
-
-    ``questions`` is the template in question order: ``number`` and ``labels``.
-    Each row brings its candidate questions with their scores; a document's rows,
-    at most its page height over the row gap, are then settled top to bottom.
-    """
-    template = [q for q in questions if q["labels"] or q["number"] == "H3"]
-    asked = F.array(*[
-        F.struct(F.lit(i).alias("rank"), F.lit(q["number"]).alias("question"), F.lit(len(q["labels"])).alias("labels"),
-                 F.lit("h3_circle" if q["number"] == "H3" else "yesno_box").alias("wanted"))
-        for i, q in enumerate(template)
-    ])
-    row = ["doc", "page", "kind", "chain", "count", "y_center"]
-    seen = words.groupBy("doc", "page").agg(F.lit(True).alias("has_words"))
-    offered = (
-        mappable_rows(controls).select(*row)
-        .withColumn("q", F.explode(F.filter(asked, lambda q: (q["wanted"] == F.col("kind")) & (
-            F.abs(q["labels"] - F.col("count")) <= 1)))).select(*row, "q.*")
-        .withColumn("off", F.abs(F.col("labels") - F.col("count")))
-        .join(seen, ["doc", "page"], "left")
-        .join(anchor_hits(words, questions), ["doc", "page", "question"], "left")
-    )
+    given = template.columns
+    h3 = F.col("question") == "H3"
+    circle = (F.col("control_type") == "circle") if "control_type" in given else h3
+    anchors = F.coalesce(F.col("anchors"), F.array()) if "anchors" in given else F.when(
+        h3, F.array(F.lit("h3"), F.lit("setting"))).otherwise(F.array().cast("array<string>"))
+    chosen = F.col("answer_type").isin(*CHOICE_TYPES) if "answer_type" in given else F.lit(True)
+    form = ["form_id"] if "form_id" in given else []
+    rows = template.select(
+        *form, "question", "place", F.coalesce("labels", F.array().cast("array<string>")).alias("labels"), anchors.alias("anchors"),
+        F.when(circle, "h3_circle").otherwise("yesno_box").alias("kind"), (circle | F.coalesce(chosen, F.lit(False))).alias("takes_rows"))
+    return rows.filter((F.size("labels") > 0) | (F.col("kind") == "h3_circle"))
+
+
+def anchor_hits(words: DataFrame, template: DataFrame) -> DataFrame:
+    """How often each page's words name a question, one of its choices or one of its anchors."""
+    form = _form(words, template)
+    named = F.concat(F.array("question"), "labels", "anchors")
+    terms = template.select(*form, "question", F.explode(named).alias("term")).withColumn("term", norm_text(F.col("term")))
+    said = words.select(*form, "doc", "page", norm_text(F.col("text")).alias("term")).filter("term <> ''")
+    return said.join(terms, [*form, "term"]).groupBy(*form, "doc", "page", "question").agg(F.count("*").alias("hits"))
+
+
+def _offers(controls: DataFrame, words: DataFrame, asked: DataFrame) -> DataFrame:
+    """Rows of controls with their candidate questions, best first: ``off``, ``place``, ``question``, ``score``, ``sure``."""
+    form = _form(controls, asked)
+    row = [*form, "doc", "page", "control_type", "kind", "chain", "count", "y_center"]
+    fits = asked.filter("takes_rows").select(*form, "kind", "question", "place", F.size("labels").alias("labels"))
+    off = F.abs(F.col("labels") - F.col("count"))
+    said = words.filter(norm_text(F.col("text")) != "").groupBy(*form, "doc", "page").agg(F.lit(True).alias("has_words"))
+    offered = mappable_rows(controls).select(*row).join(fits, [*form, "kind"]).withColumn("off", off).filter("off <= 1") \
+        .join(said, [*form, "doc", "page"], "left").join(anchor_hits(words, asked), [*form, "doc", "page", "question"], "left")
     score = F.when(F.col("off") == 0, 0.8).otherwise(0.65)
     score = F.when(F.col("hits") > 0, F.least(F.lit(0.96), score + 0.12 * F.least("hits", F.lit(3)))).otherwise(score)
     score = F.when(F.col("has_words"), F.least(F.lit(0.97), score + 0.05)).otherwise(score)
-    candidates = offered.withColumn("score", score).groupBy(*row).agg(
-        F.array_sort(F.collect_list(F.struct("off", "rank", "question", "score"))).alias("candidates"))
-    per_doc = candidates.groupBy("doc").agg(F.array_sort(F.collect_list(
-        F.struct("page", "y_center", "chain", "kind", "count", "candidates"))).alias("rows"))
-
-    def settle(picked: Column, line: Column) -> Column:
-        taken = F.transform(F.filter(picked, lambda p: p["resolved"]), lambda p: p["question"])
-        best = F.get(F.filter(line["candidates"], lambda c: ~F.array_contains(taken, c["question"])), 0)
-        entry = F.struct(
-            best["question"].alias("question"), line["page"].alias("page"), line["kind"].alias("kind"),
-            line["chain"].alias("chain"), line["count"].alias("controls"),
-            F.round(best["score"], 3).alias("confidence"), (best["score"] >= 0.75).alias("resolved"))
-        return F.when(best.isNull(), picked).otherwise(F.array_append(picked, entry))
-
-    entry = ("struct<question:string,page:int,kind:string,chain:bigint,controls:bigint,"
-             "confidence:double,resolved:boolean>")
-    none = F.array().cast(f"array<{entry}>")
-    everything = controls.select("doc").unionByName(words.select("doc")).distinct()
-    settled = everything.join(
-        per_doc.select("doc", F.aggregate("rows", none, settle).alias("tried")), "doc", "left"
-    ).withColumn("tried", F.coalesce("tried", none))
-    taken = F.transform(F.filter("tried", lambda p: p["resolved"]), lambda p: p["question"])
-    numbers = F.array(*[F.lit(q["number"]) for q in template])
-    still_open = F.transform(F.array_except(numbers, taken), lambda q: F.struct(
-        q.alias("question"), F.lit(None).cast("int").alias("page"), F.lit(None).cast("string").alias("kind"),
-        F.lit(None).cast("bigint").alias("chain"), F.lit(None).cast("bigint").alias("controls"),
-        F.lit(0.0).alias("confidence"), F.lit(False).alias("resolved")))
-    lines = settled.select("doc", F.explode(F.concat("tried", still_open)).alias("m")).select("doc", "m.*")
+    best_first = F.array_sort(F.collect_list(F.struct("off", "place", "question", "score", (F.col("score") >= SURE).alias("sure"))))
+    return offered.withColumn("score", score).groupBy(*row).agg(best_first.alias("candidates"))
+
+
+def _assigned(offers: DataFrame, form: list[str], pages_at_once: int) -> DataFrame:
+    """Every offered row with the question it gets, in order of page and height.
+
+    A row takes its best question that no earlier row has; if that one is sure it is gone for the rows below. What an
+    ordered pass has to know is the list of questions gone and where, as long as the template. Boxes and circles never
+    compete, so they pass apart; a document of more than ``pages_at_once`` pages passes in as many rounds, each
+    starting from the list of the one before.
+    """
+    key = [*form, "doc", "kind"]
+    block = F.floor(F.col("page") / pages_at_once)
+    gone_type = "array<struct<page:int,y_center:double,question:string>>"
+
+    def open_first(line: Column, gone: Column) -> Column:
+        return F.get(F.filter(line["candidates"], lambda c: ~F.exists(gone, lambda g: g["question"] == c["question"])), 0)
+
+    def take(gone: Column, line: Column) -> Column:
+        best = open_first(line, gone)
+        mark = F.struct(line["page"].alias("page"), line["y_center"].alias("y_center"), best["question"].alias("question"))
+        return F.when(best["sure"], F.array_append(gone, mark)).otherwise(gone)
+
+    blocks = [r[0] for r in offers.select(block.alias("block")).distinct().orderBy("block").collect()]
+    known, found = None, []
+    for number in blocks or [0]:
+        part = offers if len(blocks) < 2 else offers.filter(block == number)
+        lines = F.array_sort(F.collect_list(F.struct("page", "y_center", "control_type", "chain", "count", "candidates")))
+        passed = part.groupBy(*key).agg(lines.alias("lines"))
+        before = F.array().cast(gone_type)
+        if known is not None:
+            passed, before = passed.join(known, key, "left"), F.coalesce("known", before)
+        # The pass gives where questions went; each row then looks at what had gone above it.
+        passed = passed.withColumn("gone", F.aggregate("lines", before, take))
+        if len(blocks) > 1:
+            passed = stored(passed)
+            latest = passed.select(*key, "gone")
+            older = latest if known is None else latest.unionByName(known.withColumnRenamed("known", "gone"))
+            known = stored(older.groupBy(*key).agg(F.max_by("gone", F.size("gone")).alias("known")))
+        line = passed.select(*key, "gone", F.explode("lines").alias("line"))
+        above = F.filter("gone", lambda g: (g["page"] < F.col("line.page")) | (
+            (g["page"] == F.col("line.page")) & (g["y_center"] < F.col("line.y_center"))))
+        best = open_first(F.col("line"), above)
+        found.append(line.select(*key, "line.page", "line.control_type", "line.chain", F.col("line.count").alias("controls"),
+                                 best.alias("best")))
+    return reduce(DataFrame.unionByName, found).filter(F.col("best").isNotNull())
+
+
+def map_controls(controls: DataFrame, words: DataFrame, template: DataFrame, pages_at_once: int = 500) -> DataFrame:
+    """Control rows to the questions of their form's template, document by document.
+
+    One row for each question tried, and one for each that is left open in a document: ``doc``, ``question``, ``page``,
+    ``kind``, ``control_type``, ``chain`` (the row, as in ``row_members``), ``controls``, ``expected`` (its labels),
+    ``confidence``, ``resolved`` and ``reason``. With ``form_id`` on all sides, documents meet the template of their own
+    form. ``template`` is as in ``usable_template``.
+    """
+    form = _form(controls, words, template)
+    asked = usable_template(template)
+    tried = _assigned(_offers(controls, words, asked), form, pages_at_once).select(
+        *form, "doc", "best.question", "page", "kind", "control_type", "chain", "controls",
+        F.round("best.score", 3).alias("confidence"), F.col("best.sure").alias("resolved"))
+    docs = controls.select(*form, "doc").unionByName(words.select(*form, "doc")).distinct()
+    questions = asked.select(*form, "question", F.size("labels").alias("expected"))
+    # A document has every question of its form once; without forms there is one template for all.
+    due = docs.join(questions, form) if form else docs.withColumn("one", F.lit(1)).join(
+        questions.withColumn("one", F.lit(1)), "one").drop("one")
+    done = tried.filter("resolved").select(*form, "doc", "question")
+    left = due.join(done, [*form, "doc", "question"], "left_anti").select(
+        *form, "doc", "question", *[F.lit(None).cast(tried.schema[c].dataType).alias(c) for c in ("page", "kind", "control_type", "chain", "controls")],
+        F.lit(0.0).alias("confidence"), F.lit(False).alias("resolved"))
+    lines = tried.unionByName(left).join(questions, [*form, "question"])
     return lines.withColumn("reason", F.when(F.col("resolved"), F.lit(None).cast("string")).when(
         F.col("page").isNull(), F.lit("no high-confidence geometry match was found for this survey control")).otherwise(
         F.lit("count/order matched but layout confidence stayed below threshold")))
 
 
+def mapped_labels(mapped: DataFrame, controls: DataFrame, template: DataFrame) -> DataFrame:
+    """The rectangle of every choice label of the questions that ``map_controls`` resolved, left to right.
+
+    The n-th label gets the row's n-th control by left, then upper edge; a label beyond the row's controls has none, and
+    a control beyond the labels belongs to none. A resolved row holds at most one control more than its question has labels.
+    """
+    form = _form(mapped, controls, template)
+    known, keys, gap = _known_controls(controls)
+    members = row_members(known, keys, gap)
+    if not form:
+        members = members.drop("form_id")
+    row = [*form, "doc", "page", "control_type", "chain"]
+    resolved = mapped.filter("resolved").select(*row, "kind", "question", "confidence")
+    across = Window.partitionBy(*row).orderBy("x0", "y0", "x1", "y1")
+    placed = members.select(*row, "x0", "x1", "y0", "y1").join(resolved, row) \
+        .withColumn("label_index", F.row_number().over(across) - 1)
+    labels = usable_template(template).select(*form, "question", F.posexplode("labels").alias("label_index", "label"))
+    return placed.join(labels, [*form, "question", "label_index"]).select(
+        *form, "doc", "question", "label_index", "label", "page", "kind", "x0", "x1", "y0", "y1", "confidence")
+
+
 def active_layout(questions: DataFrame, key: str = "file_name") -> DataFrame:
     """Flags, per question with alternatives, the layout with the best confirmed geometry."""
     rate = F.col("boxes_confirmed") / F.greatest(F.col("boxes_total"), F.lit(1))

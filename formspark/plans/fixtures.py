@@ -403,6 +403,8 @@ def oracle(body: str) -> str:
         return body.strip()
     ctes = ", ".join(f"{name} AS ({DUCKDB_FORM.get(name, VIEWS[name]).strip()})" for name in order)
     body = body.strip()
+    if body.upper().startswith("WITH RECURSIVE "):
+        return f"WITH RECURSIVE {ctes}, {body[15:]}"
     if body.upper().startswith("WITH "):
         return f"WITH {ctes}, {body[5:]}"
     return f"WITH {ctes} {body}"

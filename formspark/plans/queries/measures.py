@@ -76,7 +76,17 @@ def geometry_confirmed_boxes(v):
     return geo.confirm_boxes(v["fx_expected_box"], v["fx_candidates"])
 
 
-@query("GEO-06")
+# Rectangles that clash with an earlier one are taken in order, page by page; the others stay.
+@query("GEO-06", """
+WITH RECURSIVE c AS (SELECT *, row_number() OVER (PARTITION BY page_id ORDER BY area DESC, y0, x0, x1, y1) AS i FROM fx_rects),
+e AS (SELECT b.page_id, b.i, list(a.i) AS before FROM c a JOIN c b ON a.page_id = b.page_id AND a.i < b.i
+  AND abs(a.x0 + a.x1 - b.x0 - b.x1) < 20 AND abs(a.y0 + a.y1 - b.y0 - b.y1) < 20 GROUP BY b.page_id, b.i),
+n AS (SELECT *, row_number() OVER (PARTITION BY page_id ORDER BY i) AS k FROM e),
+w AS (SELECT DISTINCT page_id, CAST(0 AS BIGINT) AS k, CAST([] AS BIGINT[]) AS gone FROM n
+  UNION ALL SELECT w.page_id, n.k, CASE WHEN len(list_filter(before, lambda x: NOT list_contains(gone, x))) > 0 THEN list_append(gone, n.i) ELSE gone END
+  FROM w JOIN n ON n.page_id = w.page_id AND n.k = w.k + 1),
+d AS (SELECT page_id, unnest(max_by(gone, k)) AS i FROM w GROUP BY page_id)
+SELECT page_id, x0, x1, y0, y1, area FROM c WHERE NOT EXISTS (SELECT 1 FROM d WHERE d.page_id = c.page_id AND d.i = c.i)""")
 def geometry_collapsed_rects(v):
     return geo.collapse_nested(v["fx_rects"])
 
@@ -135,8 +145,7 @@ def geometry_control_pairs(v):
 
 
 # Layouts of the template hold two targets: the nearest pair is taken, then the nearest that shares nothing with it.
-@query("GEO-09", f"""
-WITH t AS ({_TARGET_ROWS}),
+_MATCHED = f"""t AS ({_TARGET_ROWS}),
 d AS (SELECT page_id AS doc, control_type, x0, x1, y0, y1, row_number() OVER (PARTITION BY page_id, control_type, x0, x1, y0, y1) AS copy FROM fx_page_controls),
 p AS (SELECT d.doc, t.question, t.layout, t.label, t.target_index, d.x0, d.x1, d.y0, d.y1, d.copy,
    sqrt(((t.x0 + t.x1) / 2 - (d.x0 + d.x1) / 2) * ((t.x0 + t.x1) / 2 - (d.x0 + d.x1) / 2) + ((t.y0 + t.y1) / 2 - (d.y0 + d.y1) / 2) * ((t.y0 + t.y1) / 2 - (d.y0 + d.y1) / 2)) AS delta
@@ -144,15 +153,29 @@ p AS (SELECT d.doc, t.question, t.layout, t.label, t.target_index, d.x0, d.x1, d
 f AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY doc, question, layout ORDER BY delta, target_index, y0, x0, x1, y1, copy) AS rn FROM p WHERE delta <= 80) q WHERE rn = 1),
 g AS (SELECT * FROM (SELECT p.*, row_number() OVER (PARTITION BY p.doc, p.question, p.layout ORDER BY p.delta, p.target_index, p.y0, p.x0, p.x1, p.y1, p.copy) AS rn
    FROM p JOIN f ON f.doc = p.doc AND f.question = p.question AND f.layout = p.layout WHERE p.delta <= 80 AND p.target_index <> f.target_index
-   AND NOT (p.x0 = f.x0 AND p.x1 = f.x1 AND p.y0 = f.y0 AND p.y1 = f.y1 AND p.copy = f.copy)) q WHERE rn = 1)
-SELECT doc, question, layout, label, x0, y0, round(delta, 3) AS delta FROM (SELECT * FROM f UNION ALL SELECT * FROM g) q""")
+   AND NOT (p.x0 = f.x0 AND p.x1 = f.x1 AND p.y0 = f.y0 AND p.y1 = f.y1 AND p.copy = f.copy)) q WHERE rn = 1)"""
+
+
+@query("GEO-09", f"""
+WITH {_MATCHED} SELECT doc, question, layout, label, x0, y0, round(delta, 3) AS delta FROM (SELECT * FROM f UNION ALL SELECT * FROM g) q""")
 def geometry_matched_controls(v):
     targets, detected = _controls(v)
     return geo.match_controls(targets, detected).select(
         "doc", "question", "layout", "label", "x0", "y0", F.round("delta", 3).alias("delta"))
 
 
-@query("GEO-09 GEO-10 GEO-11")
+@query("GEO-09 GEO-10 GEO-11", f"""
+WITH {_MATCHED},
+m AS (SELECT doc, question, layout, delta FROM f UNION ALL SELECT doc, question, layout, delta FROM g),
+y AS (SELECT question, layout, count(*) AS size FROM t GROUP BY ALL), s AS (SELECT doc, count(*) AS n FROM d GROUP BY doc),
+z AS (SELECT s.doc, y.question, y.layout, y.size, count(m.delta) AS matches, coalesce(sum(m.delta), 0) AS total FROM s CROSS JOIN y
+  LEFT JOIN m ON m.doc = s.doc AND m.question = y.question AND m.layout = y.layout GROUP BY ALL),
+b AS (SELECT *, row_number() OVER (PARTITION BY doc, question ORDER BY matches DESC, total, layout DESC) AS rn, count(*) OVER (PARTITION BY doc, question) AS layouts FROM z),
+k AS (SELECT m.doc, round(avg(delta), 2) AS mean, round(max(delta), 2) AS most FROM m JOIN b ON b.rn = 1 AND b.doc = m.doc AND b.question = m.question AND b.layout = m.layout GROUP BY m.doc),
+c AS (SELECT doc, CAST(sum(size) AS BIGINT) AS expected, CAST(sum(matches) AS BIGINT) AS matched, CAST(sum(layouts) AS BIGINT) AS layouts FROM b WHERE rn = 1 GROUP BY doc)
+SELECT s.doc, s.n AS detected_controls, c.expected AS expected_controls, c.layouts AS available_layout_candidates, c.matched AS matched_controls,
+  k.mean AS mean_center_delta_px, k.most AS max_center_delta_px, c.expected - c.matched AS unmatched_expected_controls, s.n - c.matched AS unmatched_detected_controls
+FROM s JOIN c ON c.doc = s.doc LEFT JOIN k ON k.doc = s.doc""")
 def geometry_match_report(v):
     targets, detected = _controls(v)
     matches = stored(geo.match_controls(targets, detected))
@@ -199,23 +222,69 @@ def geometry_match_metrics(v):
     return geo.match_metrics(chosen, matches, detected).drop("available_layout_candidates")
 
 
-# The template the mapping query asks about, in question order.
-MAP_QUESTIONS = [
-    {"number": "H3", "labels": ["Day", "Night"]},
-    {"number": "1", "labels": ["Yes", "No"]},
-    {"number": "2", "labels": ["Agree", "Neutral", "Disagree"]},
-    {"number": "3", "labels": ["Never", "Seldom", "Often", "Always"]},
-]
-
-
-@query("GEO-12")
+# Templates of three forms: question, place in the form, answer type, labels.
+_TEMPLATE = (
+    "(0,'H3',0,'single-choice',['Day','Night']),(0,'1',1,'single-choice',['Yes','No']),(0,'2',2,'single-choice',['Agree','Neutral','Disagree']),"
+    "(0,'3',3,'multi-select',['Never','Seldom','Often','Always']),(1,'H3',0,'single-choice',['Day','Night','Both']),(1,'1',1,'open-ended',['Yes','No']),"
+    "(1,'2',2,'single-choice',['Yes','No']),(1,'3',3,'multi-select',['A','B','C','D']),(2,'1',1,'single-choice',['Yes','No','H3']),(2,'2',2,'multi-select',[])"
+)
+_MAP_WORDS = """SELECT l_orderkey % 3 AS form_id, l_orderkey AS doc, CAST(floor((l_linenumber + 6) / 7) AS INT) AS page,
+  CASE WHEN l_returnflag = 'A' THEN ' Yes' WHEN l_linestatus = 'F' THEN 'seldom' ELSE 'h3' END AS text FROM lineitem"""
+
+
+def _mapping(v):
+    controls = v["fx_page_controls"].withColumnRenamed("page_id", "doc").withColumn("form_id", F.col("doc") % 3)
+    template = v.spark.sql("SELECT CAST(form_id AS BIGINT) AS form_id, question, place, answer_type, CAST(labels AS ARRAY<STRING>) AS labels FROM VALUES "
+                           f"{_TEMPLATE.replace('[', 'array(').replace(']', ')')} AS t(form_id, question, place, answer_type, labels)")
+    v["lineitem"].createOrReplaceTempView("lineitem")
+    return geo.map_controls(controls, v.spark.sql(_MAP_WORDS), template), controls, template
+
+
+# Rows are chains of controls; a document's rows of a kind then go one by one, the questions gone in a list.
+_MAPPED = f"""
+t AS (SELECT form_id, question, place, answer_type, CAST(labels AS VARCHAR[]) AS labels, CASE WHEN question = 'H3' THEN 'h3_circle' ELSE 'yesno_box' END AS kind
+  FROM (VALUES {_TEMPLATE}) AS t(form_id, question, place, answer_type, labels) WHERE len(labels) > 0 OR question = 'H3'),
+ctl AS (SELECT page_id AS doc, page_id % 3 AS form_id, page, control_type, x0, x1, y0, y1, (y0 + y1) / 2 AS cy, CASE WHEN control_type = 'circle' THEN 18 ELSE 12 END AS gap FROM fx_page_controls),
+brk AS (SELECT *, CASE WHEN cy - lag(cy) OVER (PARTITION BY doc, page, control_type ORDER BY cy) > gap THEN 1 ELSE 0 END AS starts FROM ctl),
+chn AS (SELECT *, sum(starts) OVER (PARTITION BY doc, page, control_type ORDER BY cy) AS chain FROM brk),
+rws AS (SELECT form_id, doc, page, control_type, chain, count(*) AS n, avg(cy) AS y, CASE WHEN control_type = 'circle' THEN 'h3_circle' ELSE 'yesno_box' END AS kind FROM chn GROUP BY ALL
+  HAVING count(*) >= 2 AND max(x1) - min(x0) >= CASE WHEN control_type = 'circle' THEN 180 ELSE 600 END AND max(y1) > min(y0)),
+wds AS (SELECT form_id, doc, page, lower(trim(text)) AS word FROM ({_MAP_WORDS}) q),
+trm AS (SELECT form_id, question, unnest(list_concat([lower(question)], list_transform(labels, lambda l: lower(l)), CASE WHEN question = 'H3' THEN ['h3', 'setting'] ELSE [] END)) AS word FROM t),
+hit AS (SELECT doc, page, question, count(*) AS hits FROM wds JOIN trm USING (form_id, word) GROUP BY ALL), has AS (SELECT DISTINCT doc, page FROM wds),
+ofr AS (SELECT rws.*, question, place, abs(len(labels) - n) AS diff, CASE WHEN len(labels) = n THEN 0.8 ELSE 0.65 END AS s0, coalesce(hits, 0) AS h, has.doc IS NOT NULL AS said
+  FROM rws JOIN t USING (form_id, kind) LEFT JOIN hit USING (doc, page, question) LEFT JOIN has USING (doc, page) WHERE abs(len(labels) - n) <= 1 AND (kind = 'h3_circle' OR answer_type IN ('single-choice', 'multi-select'))),
+scr AS (SELECT *, CASE WHEN said THEN least(0.97, s1 + 0.05) ELSE s1 END AS score FROM (SELECT *, CASE WHEN h > 0 THEN least(0.96, s0 + 0.12 * least(h, 3)) ELSE s0 END AS s1 FROM ofr) q),
+lin AS (SELECT form_id, doc, kind, page, control_type, chain, n, list({{'q': question, 's': score}} ORDER BY diff, place) AS cand, row_number() OVER (PARTITION BY doc, kind ORDER BY page, y) AS k
+  FROM scr GROUP BY form_id, doc, kind, page, control_type, chain, n, y),
+wlk AS (SELECT doc, kind, CAST(0 AS BIGINT) AS k, CAST([] AS VARCHAR[]) AS gone, CAST(NULL AS STRUCT(q VARCHAR, s DECIMAL(5, 2))) AS best FROM lin WHERE k = 1
+  UNION ALL SELECT doc, kind, k, CASE WHEN b.s >= 0.75 THEN list_append(gone, b.q) ELSE gone END, b FROM (
+    SELECT l.doc, l.kind, l.k, w.gone, list_filter(l.cand, lambda c: NOT list_contains(w.gone, c.q))[1] AS b FROM wlk w JOIN lin l ON l.doc = w.doc AND l.kind = w.kind AND l.k = w.k + 1) q),
+trd AS (SELECT l.form_id, l.doc, best.q AS question, l.page, l.kind, l.control_type, l.chain, l.n, round(CAST(best.s AS DOUBLE), 3) AS confidence, best.s >= 0.75 AS resolved
+  FROM wlk JOIN lin l ON l.doc = wlk.doc AND l.kind = wlk.kind AND l.k = wlk.k WHERE wlk.k > 0 AND best IS NOT NULL)"""
+
+
+@query("GEO-12", f"""
+WITH RECURSIVE {_MAPPED},
+lft AS (SELECT d.form_id, d.doc, t.question FROM (SELECT DISTINCT form_id, doc FROM wds UNION SELECT DISTINCT form_id, doc FROM ctl) d JOIN t ON t.form_id = d.form_id
+  WHERE NOT EXISTS (SELECT 1 FROM trd WHERE trd.resolved AND trd.doc = d.doc AND trd.question = t.question)),
+al AS (SELECT form_id, doc, question, page, kind, n, confidence, resolved FROM trd UNION ALL SELECT form_id, doc, question, NULL, NULL, NULL, 0, false FROM lft)
+SELECT al.form_id, doc, al.question, page, al.kind, n AS controls, CAST(len(labels) AS INTEGER) AS expected, confidence, resolved,
+  CASE WHEN resolved THEN NULL WHEN page IS NULL THEN 'no high-confidence geometry match was found for this survey control' ELSE 'count/order matched but layout confidence stayed below threshold' END AS reason
+FROM al JOIN t ON t.form_id = al.form_id AND t.question = al.question""")
 def geometry_mapped_controls(v):
-    controls = v["fx_page_controls"].withColumnRenamed("page_id", "doc")
-    words = v["lineitem"].select(
-        F.col("l_orderkey").alias("doc"), F.floor((F.col("l_linenumber") + 6) / 7).cast("int").alias("page"),
-        F.when(F.col("l_returnflag") == "A", "yes").when(F.col("l_linestatus") == "F", "seldom")
-        .otherwise("h3").alias("text"))
-    return geo.map_controls(controls, words, MAP_QUESTIONS)
+    return _mapping(v)[0].drop("chain", "control_type")
+
+
+@query("GEO-12", f"""
+WITH RECURSIVE {_MAPPED},
+mem AS (SELECT trd.form_id, trd.doc, trd.question, trd.page, trd.kind, x0, x1, y0, y1, confidence,
+  row_number() OVER (PARTITION BY trd.doc, trd.page, trd.control_type, trd.chain ORDER BY x0, y0, x1, y1) AS i
+  FROM trd JOIN chn ON chn.doc = trd.doc AND chn.page = trd.page AND chn.control_type = trd.control_type AND chn.chain = trd.chain WHERE resolved)
+SELECT mem.form_id, doc, mem.question, CAST(i - 1 AS INTEGER) AS label_index, labels[i] AS label, page, mem.kind, x0, x1, y0, y1, confidence
+FROM mem JOIN t ON t.form_id = mem.form_id AND t.question = mem.question WHERE i <= len(labels)""")
+def geometry_mapped_labels(v):
+    return geo.mapped_labels(*_mapping(v))
 
 
 @query("GEO-13", """

@@ -38,6 +38,14 @@ def test_collapse_nested(spark, seed):
     assert {p: sorted(v) for p, v in got.items()} == {p: kept_by_hand([tuple(map(float, r)) for r in v]) for p, v in pages.items()}
 
 
+def test_collapse_of_a_chain(spark):
+    """Centres that hang on one another, each near the next only: every second one stays."""
+    rows = [(1, 9.0 * i, 9.0 * i + 30, 0.0, 30.0, 1000.0 - i) for i in range(12)]
+    frame = spark.createDataFrame(rows, "page_id bigint, x0 double, x1 double, y0 double, y1 double, area double")
+    assert sorted(r.x0 for r in geo.collapse_nested(frame).collect()) == [18.0 * i for i in range(6)]
+    assert geo.collapse_nested(frame.limit(0)).count() == 0
+
+
 def test_matching(spark):
     rng = random.Random(5)
     targets = [("q", "checkbox", 1, layout, f"L{i}", i, 100.0 * i + off, 100.0 * i + 20 + off, 50.0, 70.0)
@@ -76,17 +84,23 @@ def test_matching(spark):
     assert all(m.unmatched_expected_controls == 4 - m.matched_controls for m in metrics.values())
 
 
-QUESTIONS = [{"number": "H3", "labels": ["Day", "Night"]}, {"number": "1", "labels": ["Yes", "No"]},
-             {"number": "2", "labels": ["A", "B", "C"]}, {"number": "3", "labels": ["A", "B"]}]
+# Two forms: question, labels, answer type, in the form's order.
+FORMS = {
+    "a": [("H3", ["Day", "Night"], "single-choice"), ("1", ["Yes", "No"], "single-choice"), ("2", ["A", "B", "C"], "multi-select"),
+          ("3", ["A", "B"], "single-choice"), ("4", ["Yes", "No"], "open-ended"), ("5", [], "single-choice")],
+    "b": [("1", ["Yes", "No", "Yes"], "single-choice"), ("H3", ["Day", "Night", "Both"], "open-ended"), ("7", ["A", "B", "C", "D"], "single-choice")],
+}
+CONTROLS = "form_id string, doc bigint, page int, control_type string, x0 double, x1 double, y0 double, y1 double"
 
 
 def mapped_by_hand(controls, words):
-    out = set()
-    for doc in {c[0] for c in controls} | {w[0] for w in words}:
+    """Questions and label rectangles as one pass over each document's rows gives them."""
+    out, labels = set(), set()
+    for form, doc in {c[:2] for c in controls} | {w[:2] for w in words}:
         rows = []
         for kind, control, gap, span in (("yesno_box", "checkbox", 12, 600), ("h3_circle", "circle", 18, 180)):
-            for page in (1, 2):
-                rects = sorted((((c[5] + c[6]) / 2, c) for c in controls if c[:3] == (doc, page, control)), key=lambda e: e[0])
+            for page in sorted({c[2] for c in controls}):
+                rects = sorted((((c[6] + c[7]) / 2, c) for c in controls if c[:4] == (form, doc, page, control)), key=lambda e: e[0])
                 groups = []
                 for cy, c in rects:
                     if groups and cy - groups[-1][-1][0] <= gap:
@@ -94,48 +108,83 @@ def mapped_by_hand(controls, words):
                     else:
                         groups.append([(cy, c)])
                 for g in groups:
-                    width = max(c[4] for _y, c in g) - min(c[3] for _y, c in g)
+                    width = max(c[5] for _y, c in g) - min(c[4] for _y, c in g)
                     if len(g) >= 2 and width >= span:
-                        rows.append((page, sum(y for y, _c in g) / len(g), kind, len(g)))
-        free = [q for q in QUESTIONS]
-        for page, _y, kind, count in sorted(rows):
-            here = [w[2] for w in words if w[:2] == (doc, page)]
-            fits = [(abs(len(q["labels"]) - count), QUESTIONS.index(q)) for q in free
-                    if kind == ("h3_circle" if q["number"] == "H3" else "yesno_box") and abs(len(q["labels"]) - count) <= 1]
+                        rows.append((page, sum(y for y, _c in g) / len(g), kind, [c for _y, c in g]))
+        template = [q for q in FORMS[form] if q[1] or q[0] == "H3"]
+        free = list(template)
+        for page, _y, kind, rects in sorted(rows):
+            here = [w[3].strip().lower() for w in words if w[:3] == (form, doc, page)]
+            here = [w for w in here if w]
+            fits = [(abs(len(q[1]) - len(rects)), template.index(q)) for q in free
+                    if kind == ("h3_circle" if q[0] == "H3" else "yesno_box") and abs(len(q[1]) - len(rects)) <= 1
+                    and (q[0] == "H3" or q[2] != "open-ended")]
             if not fits:
                 continue
-            q = QUESTIONS[min(fits)[1]]
-            score = 0.8 if count == len(q["labels"]) else 0.65
-            hits = sum((w == q["number"].lower()) + (q["number"] == "H3" and w in ("h3", "setting"))
-                       + sum(w == label.lower() for label in q["labels"]) for w in here)
+            q = template[min(fits)[1]]
+            score = 0.8 if len(rects) == len(q[1]) else 0.65
+            hits = sum((w == q[0].lower()) + (q[0] == "H3" and w in ("h3", "setting")) + sum(w == label.lower() for label in q[1]) for w in here)
             if hits:
                 score = min(0.96, score + 0.12 * min(hits, 3))
             if here:
                 score = min(0.97, score + 0.05)
-            out.add((doc, q["number"], page, round(score, 3), score >= 0.75))
+            out.add((form, doc, q[0], page, round(score, 3), score >= 0.75, len(q[1])))
             if score >= 0.75:
                 free.remove(q)
-        out |= {(doc, q["number"], None, 0.0, False) for q in free}
-    return out
+                across = sorted(c[4:] for c in sorted(rects, key=lambda c: (c[4], c[6], c[5], c[7])))
+                across.sort(key=lambda r: (r[0], r[2], r[1], r[3]))
+                labels |= {(form, doc, q[0], i, label, page, *rect) for i, (label, rect) in enumerate(zip(q[1], across))}
+        out |= {(form, doc, q[0], None, 0.0, False, len(q[1])) for q in free}
+    return out, labels
 
 
-def test_mapping(spark):
-    rng = random.Random(9)
+def template_of(spark, forms=FORMS):
+    rows = [(f, q, i, labels, kind) for f, questions in forms.items() for i, (q, labels, kind) in enumerate(questions)]
+    return spark.createDataFrame(rows, "form_id string, question string, place int, labels array<string>, answer_type string")
+
+
+def drawn_controls(docs, pages, seed=9):
+    rng = random.Random(seed)
     controls = []
-    for doc in range(40):
-        for page in (1, 2):
+    for doc in docs:
+        for page in pages:
             for row in range(rng.randint(0, 5)):
-                control = rng.choice(["checkbox", "checkbox", "circle"])
+                control = rng.choice(["checkbox", "checkbox", "circle", "stamp"])
                 y = 200.0 * (row + 1)
                 for i in range(rng.randint(1, 5)):
                     x, dy = 350.0 * i, float(rng.randint(0, 6))
-                    controls.append((doc, page, control, x, x + 30, y + dy, y + dy + 30))
-    words = [(doc, page, rng.choice(["yes", "h3", "a", "2", "noise", "setting", "3"]))
-             for doc in range(42) for page in (1, 2) for _ in range(rng.randint(0, 4))]
-    c = spark.createDataFrame(controls, "doc bigint, page int, control_type string, x0 double, x1 double, y0 double, y1 double")
-    w = spark.createDataFrame(words, "doc bigint, page int, text string")
-    got = {(r.doc, r.question, r.page, r.confidence, r.resolved) for r in geo.map_controls(c, w, QUESTIONS).collect()}
-    assert got == mapped_by_hand(controls, words)
+                    controls.append(("ab"[doc % 2], doc, page, control, x, x + 30, y + dy, y + dy + 30))
+    words = [("ab"[doc % 2], doc, page, rng.choice(["Yes ", "h3", "a", "2", "noise", "setting", "3", " ", "b"]))
+             for doc in [*docs, 90, 91] for page in pages for _ in range(rng.randint(0, 4))]
+    return controls, words
+
+
+@pytest.mark.parametrize("pages, at_once", [((1, 2), 500), ((1, 2, 3, 4, 9), 2)])
+def test_mapping(spark, pages, at_once):
+    """Two forms in one job; also with the pages of a document settled in several rounds."""
+    controls, words = drawn_controls(range(30), pages)
+    c, w = spark.createDataFrame(controls, CONTROLS), spark.createDataFrame(words, "form_id string, doc bigint, page int, text string")
+    want, want_labels = mapped_by_hand(controls, words)
+    mapped = geo.map_controls(c, w, template_of(spark), at_once)
+    assert {(r.form_id, r.doc, r.question, r.page, r.confidence, r.resolved, r.expected) for r in mapped.collect()} == want
+    assert any(r[5] for r in want) and any(r[3] and not r[5] for r in want)
+    placed = geo.mapped_labels(mapped, c, template_of(spark)).collect()
+    assert len(placed) == len(want_labels)
+    assert {(r.form_id, r.doc, r.question, r.label_index, r.label, r.page, r.x0, r.x1, r.y0, r.y1) for r in placed} == want_labels
+
+
+def test_mapping_with_one_template(spark):
+    """Without ``form_id`` anywhere, one form's template gives what it gives among others."""
+    controls, words = drawn_controls(range(0, 20, 2), (1, 2), 4)
+    want, want_labels = mapped_by_hand(controls, [w for w in words if w[0] == "a"])
+    c = spark.createDataFrame(controls, CONTROLS).drop("form_id")
+    w = spark.createDataFrame([w for w in words if w[0] == "a"], "form_id string, doc bigint, page int, text string").drop("form_id")
+    template = template_of(spark, {"a": FORMS["a"]}).drop("form_id")
+    mapped = geo.map_controls(c, w, template)
+    assert {(r.doc, r.question, r.page, r.confidence, r.resolved) for r in mapped.collect()} == {(r[1], *r[2:6]) for r in want}
+    got = geo.mapped_labels(mapped, c, template)
+    assert {(r.doc, r.question, r.label_index, r.label, r.x0) for r in got.collect()} == {(r[1], r[2], r[3], r[4], r[6]) for r in want_labels}
+    assert geo.map_controls(c.limit(0), w.limit(0), template).count() == 0
 
 
 def split_by_hand(ratios, limits, clear_first):
