@@ -35,7 +35,7 @@ def intake_rows(sources: DataFrame, listing: DataFrame, verdicts: DataFrame, buc
     return man.manifest_rows(fresh.unionByName(reconciled), bucket, prefix, moved_at)
 
 
-def run_intake(table: writers.BucketedTable, sources: DataFrame, listing: DataFrame, verdicts: DataFrame,
+def run_intake(table: writers.KeyedTable, sources: DataFrame, listing: DataFrame, verdicts: DataFrame,
                bucket: str, prefix: str, pages_per_unit: int, moved_at: Column, dry_run: bool = False,
                failures: Callable[[DataFrame], None] | None = None) -> DataFrame:
     """Manifest rows of a run, put in place; units that break its constraint go to ``failures`` or are an error."""
@@ -63,7 +63,7 @@ def grade_files(files: DataFrame, log: DataFrame, measured: DataFrame, signals:
     return quality.derive_route(quality.classify_measured(profile.join(signals, "file_name")), judged)
 
 
-def refresh_file_quality(table: writers.BucketedTable, responses: DataFrame, refreshed_at: Column,
+def refresh_file_quality(table: writers.KeyedTable, responses: DataFrame, refreshed_at: Column,
                          folders: list[str] | None = None, replace: bool = True, dry_run: bool = False) -> DataFrame:
     """Roll answers up and put each touched folder's rows in place of its old ones.
 
@@ -95,7 +95,7 @@ def ingest_latest(spark: SparkSession, listing: DataFrame, prefix: str, response
     return feedback.merge_feedback(synced, sheet, F.lit(path), now)
 
 
-def load_feedback(table: writers.BucketedTable, listing: DataFrame, prefix: str, responses: DataFrame, now: Column,
+def load_feedback(table: writers.KeyedTable, listing: DataFrame, prefix: str, responses: DataFrame, now: Column,
                   suffix: str = ".csv") -> int:
     """The newest export merged into the feedback table; returns the number of answers applied.
 

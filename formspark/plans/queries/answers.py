@@ -11,8 +11,8 @@ from formspark.plans.queries.intake import run_at
 from formspark.plans.queries.texts import CATEGORY_SQL, NUMBER_SQL, PAGE_SQL
 from formspark.plans.registry import query
 from formspark.session import scratch_dir
-from formspark.sources.layouts import FILE_QUALITY, conform
-from formspark.sources.writers import BucketedTable, replace_by_folder
+from formspark.sources.layouts import FEEDBACK, FILE_QUALITY, conform, struct_of
+from formspark.sources.writers import KeyedTable, replace_by_folder
 
 _NUMBERED = f"SELECT *, {NUMBER_SQL} AS qnum, coalesce(review_note, '') AS note FROM fx_responses"
 _ISSUES = f"""
@@ -148,7 +148,7 @@ FROM fx_responses r LEFT JOIN fx_feedback f ON f.folder_name = r.folder_name AND
 SELECT folder_name, file_name, question_number, survey_answer, taken, (SELECT count(*) FILTER (taken) FROM a) AS first_applied, CAST(0 AS BIGINT) AS then_applied FROM a""")
 def feedback_load_twice(v):
     """The newest export written into the feedback table, and loaded again: the second time nothing is left to apply."""
-    table = BucketedTable(v.spark, scratch_dir(v.spark, "feedback"), fb.KEY, buckets=8)
+    table = KeyedTable(v.spark, scratch_dir(v.spark, "feedback"), fb.KEY, struct_of(FEEDBACK), buckets=8)
     listing = _exported(v)
     first, then = (jobs.load_feedback(table, listing, "review_", v["fx_responses"], run_at()) for _run in range(2))
     return table.read().select("folder_name", "file_name", "question_number", "survey_answer",

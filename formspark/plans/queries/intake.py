@@ -295,8 +295,8 @@ UNION ALL SELECT source_gcs_uri, source_page_range, output_category FROM fx_new_
 def sink_bucketed_replace(v):
     columns = ["source_gcs_uri", "source_page_range", "output_category"]
     rows = v["fx_manifest"].select(*columns)
-    table = writers.BucketedTable(v.spark, scratch_dir(v.spark, "manifest"), man.KEY, buckets=16, schema=rows.schema)
-    table.create(rows)
+    table = writers.KeyedTable(v.spark, scratch_dir(v.spark, "manifest"), man.KEY, rows.schema, buckets=16)
+    table.append(rows)
     table.replace(v["fx_new_rows"].select(*columns))
     return table.read().select(*columns)
 

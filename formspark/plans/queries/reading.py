@@ -11,7 +11,7 @@ from formspark.plans import jobs
 from formspark.plans.queries.intake import BUCKET, CATEGORISED_SQL, PAGES, PREFIX, run_at
 from formspark.plans.registry import query
 from formspark.session import scratch_dir
-from formspark.sources import writers
+from formspark.sources import layouts, writers
 from formspark.streaming import intake as stream
 
 
@@ -218,15 +218,19 @@ _RUN_SQL = f"""
 
 @query("INC-01 MAN-02 MAN-03 MAN-04 MAN-05 SNK-02", _RUN_SQL)
 def intake_stream_once(v):
-    """New inventory files taken by a stream, upserted, and the same files offered again."""
+    """New inventory files taken by a stream and upserted; then the same sources come again in a new file.
+
+    By then no unit has a verdict, so a source judged twice would show.
+    """
     base = scratch_dir(v.spark, "intake")
     inventory = v["fx_source"].select("source_gcs_uri", "page_count")
     inventory.write.parquet(f"{base}/landing")
-    table = writers.BucketedTable(v.spark, f"{base}/manifest", man.KEY, buckets=8)
-    for _again in range(2):
+    table = writers.KeyedTable(v.spark, f"{base}/manifest", man.KEY, layouts.struct_of(layouts.MANIFEST), buckets=8)
+    for verdicts in (v["fx_unit_verdict"], v["fx_unit_verdict"].limit(0)):
         files = stream.new_inventory(v.spark, f"{base}/landing", inventory.schema)
-        stream.stream_intake(files, lambda: v["fx_unit_verdict"], table, f"{base}/checkpoint", BUCKET, PREFIX, PAGES,
+        stream.stream_intake(files, lambda known=verdicts: known, table, f"{base}/checkpoint", BUCKET, PREFIX, PAGES,
                              run_at()).awaitTermination()
+        inventory.unionByName(inventory).write.mode("append").parquet(f"{base}/landing")
     return table.read().select("source_gcs_uri", "source_page_range", "output_category", "rejected", "needs_review")
 
 
@@ -251,7 +255,7 @@ def intake_full_run(v):
 @query("MAN-11 MAN-07 MAN-04 SNK-02", _FULL_RUN)
 def intake_full_run_written(v):
     """The same run put into the manifest table, twice: the second run replaces its own rows."""
-    table = writers.BucketedTable(v.spark, scratch_dir(v.spark, "manifest"), man.KEY, buckets=16)
+    table = writers.KeyedTable(v.spark, scratch_dir(v.spark, "manifest"), man.KEY, layouts.struct_of(layouts.MANIFEST), buckets=16)
     for _run in range(2):
         jobs.run_intake(table, v["fx_source"].select("source_gcs_uri", "page_count"), v["fx_split_listing"], v["fx_unit_verdict"],
                         BUCKET, PREFIX, PAGES, run_at())

@@ -50,3 +50,20 @@ def remove_path(spark: SparkSession, path: str) -> None:
     """Delete a folder in whatever store it lies."""
     place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+
+
+def move_into_place(spark: SparkSession, source: str, target: str) -> None:
+    """Put a written folder where another may lie; that one goes only when the new one stands in its place."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    new, place = path(source), path(target)
+    files = place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    old = path(place.getParent(), f"_replaced-{new.getName()}")
+    had = files.exists(place)
+    if had and not files.rename(place, old):
+        raise OSError(f"{target} cannot be moved")
+    if not files.rename(new, place):
+        if had:
+            files.rename(old, place)
+        raise OSError(f"{source} cannot be moved to {target}")
+    if had:
+        files.delete(old, True)

@@ -1,16 +1,15 @@
 """Appends, keyed replacement, logs and packed columns.
 
 The frame functions return lazy plans, so a dry run is simply not writing them.
-Parquet has no MERGE or DELETE. A table that must take replacements is laid out
-by a hash bucket of its key: a replaced row and its new row then share a bucket,
-so only the buckets a batch touches are read and rewritten, each batch into a
-folder of its own. A small list of (bucket, folder) says what the table holds; it
-is written last, so a failed job leaves the table as it was.
+Parquet has no MERGE or DELETE. A table that must take replacements is partitioned
+by a hash bucket of its key: a replaced row and its new row then share a bucket, so
+a batch reads and rewrites only the buckets it touches, by Spark's dynamic partition
+overwrite. Every write lands in a folder of its own first, so a job that fails leaves
+what was there.
 """
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 from functools import reduce
@@ -18,9 +17,9 @@ from functools import reduce
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql import types as T
 
-from formspark.session import remove_path, scratch_dir
+from formspark.session import move_into_place, remove_path, scratch_dir
 
 BUCKET = "key_bucket"
 
@@ -33,21 +32,28 @@ def append_partitioned(df: DataFrame, path: str, by: str, load_id: str) -> DataF
     """Append one load, partitioned by a date; returns one row (rows, partitions).
 
     Every load owns a folder, so running a load again replaces itself instead of
-    doubling, and the counts come from that folder's file footers alone. The
-    rebalance hint splits a dominant date over several tasks. An empty frame is an
-    error and leaves an earlier run of the load as it is.
+    doubling. The load is written beside the log, in a folder that readers skip, and
+    moved into place when it is whole: a run that fails leaves the load's earlier run.
+    The counts come from the files' footers alone. The rebalance hint splits a dominant
+    date over several tasks. An empty frame is an error and changes nothing either.
     """
     if df.isEmpty():
         raise NothingToLoad("nothing to load: the frame has no rows")
-    folder = f"{path.rstrip('/')}/load_id={load_id}"
-    df.hint("rebalance", by).write.mode("overwrite").partitionBy(by).parquet(folder)
-    written = df.sparkSession.read.schema(df.schema).parquet(folder)
-    return written.agg(F.count("*").alias("rows"), F.count_distinct(by).alias("partitions"))
+    spark, root = df.sparkSession, path.rstrip("/")
+    aside = f"{root}/_writing-{spark.sql('SELECT uuid()').first()[0]}"
+    try:
+        df.hint("rebalance", by).write.partitionBy(by).parquet(aside)
+    except Exception:
+        remove_path(spark, aside)
+        raise
+    folder = f"{root}/load_id={load_id}"
+    move_into_place(spark, aside, folder)
+    return spark.read.schema(df.schema).parquet(folder).agg(F.count("*").alias("rows"), F.count_distinct(by).alias("partitions"))
 
 
-def read_log(spark: SparkSession, path: str) -> DataFrame:
-    """Every load of an append log."""
-    return spark.read.option("mergeSchema", "true").parquet(path)
+def read_log(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """Every load of an append log, as declared; what a load lacks is null. No footer is opened to find that out."""
+    return spark.read.schema(T.StructType([*schema.fields, T.StructField("load_id", T.StringType())])).parquet(path)
 
 
 def _null_safe(left: DataFrame, right: DataFrame, keys: list[str]) -> Column:
@@ -70,60 +76,48 @@ def replace_by_folder(target: DataFrame, new: DataFrame, replace: bool = True,
     return target.unionByName(new, allowMissingColumns=True)
 
 
-class BucketedTable:
-    """A Parquet table that takes keyed replacement one bucket at a time.
+class KeyedTable:
+    """A Parquet table, partitioned by a hash bucket of its key, that takes keyed replacement.
 
-    Rows spread over the buckets by their whole key, so a dominant source does
-    not fill one bucket. A table replaced by folder is bucketed by folder alone.
-    With ``schema`` files are read as declared, without opening every footer.
-    One writer at a time; readers see the last finished write.
+    Rows spread over the buckets by their whole key, so a dominant source does not fill one
+    bucket. A table replaced by folder is bucketed by folder alone. Rows come in as ``schema``
+    declares them: a column they lack is null, one that is not declared is an error. One
+    writer at a time.
     """
 
-    def __init__(self, spark: SparkSession, path: str, keys: list[str], buckets: int = 1024,
-                 by_folder: bool = False, schema: StructType | None = None):
-        self.spark, self.path, self.keys, self.buckets, self.schema = spark, path.rstrip("/"), keys, buckets, schema
+    def __init__(self, spark: SparkSession, path: str, keys: list[str], schema: T.StructType, buckets: int = 1024,
+                 by_folder: bool = False):
+        self.spark, self.path, self.keys, self.schema, self.buckets = spark, path.rstrip("/"), keys, schema, buckets
         self.bucket_keys = keys[:1] if by_folder else keys
 
-    def _with_bucket(self, df: DataFrame) -> DataFrame:
-        return df.withColumn(BUCKET, F.pmod(F.xxhash64(*self.bucket_keys), F.lit(self.buckets)).cast("int"))
+    def _declared(self, df: DataFrame) -> DataFrame:
+        strange = set(df.columns) - set(self.schema.names)
+        if strange:
+            raise ValueError(f"the table declares no {sorted(strange)}")
+        rows = df.select(*[(F.col(f"`{f.name}`") if f.name in df.columns else F.lit(None)).cast(f.dataType).alias(f.name)
+                           for f in self.schema.fields])
+        return rows.withColumn(BUCKET, F.pmod(F.xxhash64(*self.bucket_keys), F.lit(self.buckets)).cast("int"))
 
-    def _holds(self) -> tuple[int, set[tuple[int, str]]]:
-        """Number of the last finished write, and the (bucket, folder) pairs it left; at most a few per bucket."""
+    def _rows(self) -> DataFrame:
+        shape = T.StructType([*self.schema.fields, T.StructField(BUCKET, T.IntegerType())])
         try:
-            lists = self.spark.read.schema("bucket int, folder string, version int").parquet(f"{self.path}/lists")
+            return self.spark.read.schema(shape).parquet(self.path)
         except AnalysisException as error:
-            if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
-                return 0, set()
-            raise
-        last = lists.agg(F.max("version")).first()[0] or 0
-        rows = lists.filter(F.col("version") == last).collect()
-        return last, {(r["bucket"], r["folder"]) for r in rows if r["bucket"] is not None}
-
-    def _load(self, pairs: set[tuple[int, str]]) -> DataFrame:
-        reader = self.spark.read.schema(self.schema) if self.schema else self.spark.read.option("mergeSchema", "true")
-        return reader.parquet(*sorted(f"{self.path}/{folder}/{BUCKET}={bucket}" for bucket, folder in pairs))
-
-    def _put(self, df: DataFrame, kept: set[tuple[int, str]], version: int) -> None:
-        """Write rows into a folder of their own, then the list that makes them count."""
-        folder = f"rows-{version + 1}-{uuid.uuid4().hex[:8]}"
-        df.hint("rebalance", BUCKET).write.partitionBy(BUCKET).parquet(f"{self.path}/{folder}")
-        written = self.spark.read.schema(f"{BUCKET} int").parquet(f"{self.path}/{folder}").select(BUCKET).distinct()
-        pairs = kept | {(r[0], folder) for r in written.collect()}
-        lists = self.spark.createDataFrame(sorted(pairs) or [(None, None)], "bucket int, folder string").coalesce(1)
-        lists.write.mode("overwrite").parquet(f"{self.path}/lists/version={version + 1}")
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return self.spark.createDataFrame([], shape)
 
     def read(self) -> DataFrame:
-        return self._load(self._holds()[1])
+        return self._rows().drop(BUCKET)
 
-    def create(self, df: DataFrame) -> None:
-        self._put(self._with_bucket(df), set(), self._holds()[0])
+    def is_empty(self) -> bool:
+        return self._rows().isEmpty()
 
     def append(self, new: DataFrame) -> None:
-        version, held = self._holds()
-        self._put(self._with_bucket(new), held, version)
+        self._declared(new).hint("rebalance", BUCKET).write.mode("append").partitionBy(BUCKET).parquet(self.path)
 
     def replace(self, new: DataFrame) -> int:
-        """Replace by the table's keys; returns the number of buckets rewritten."""
+        """Replace by the table's keys; returns the number of buckets rewritten. The first load just fills the table."""
         return self._rewrite(new, lambda old, rows: replace_by_key(old, rows, self.keys))
 
     def replace_folders(self, new: DataFrame) -> int:
@@ -133,32 +127,28 @@ class BucketedTable:
         return self._rewrite(new, lambda old, rows: replace_by_folder(old, rows, folder=self.keys[0]))
 
     def _rewrite(self, new: DataFrame, merge: Callable[[DataFrame, DataFrame], DataFrame]) -> int:
-        """Rewrite the buckets the new rows fall in.
+        """Rewrite the buckets the new rows fall in; each of them holds new rows, so none is left as it was.
 
-        The new rows are written out first: they are read twice, and their
-        lineage may start in this very table. The bucket list is at most
-        ``buckets`` integers. A first load finds no table and just creates it.
+        The new rows are written out first, because they are read twice and their lineage may start in this very
+        table; the merged buckets too, because Spark reads no path that it overwrites. The bucket list is at most
+        ``buckets`` integers.
         """
-        with saved(self._with_bucket(new)) as rows:
-            touched = {row[0] for row in rows.select(BUCKET).distinct().collect()}
-            if not touched:
-                return 0
-            version, held = self._holds()
-            old = {pair for pair in held if pair[0] in touched}
-            merged = self._with_bucket(merge(self._load(old), rows.drop(BUCKET))) if old else rows
-            self._put(merged, held - old, version)
+        with saved(self._declared(new)) as rows:
+            touched = [row[0] for row in rows.select(BUCKET).distinct().collect()]
+            if touched:
+                old = self._rows().filter(F.col(BUCKET).isin(touched)).drop(BUCKET)
+                with saved(self._declared(merge(old, rows.drop(BUCKET)))) as merged:
+                    merged.hint("rebalance", BUCKET).write.mode("overwrite").option("partitionOverwriteMode", "dynamic") \
+                        .partitionBy(BUCKET).parquet(self.path)
             return len(touched)
 
-    def is_empty(self) -> bool:
-        return not self._holds()[1]
-
 
 @contextmanager
 def saved(df: DataFrame) -> Iterator[DataFrame]:
     """The frame written once to the shared folder and read back, cut from its lineage; removed at the end."""
     path = scratch_dir(df.sparkSession, "saved")
-    df.write.parquet(path)
     try:
+        df.write.parquet(path)
         yield df.sparkSession.read.schema(df.schema).parquet(path)
     finally:
         remove_path(df.sparkSession, path)

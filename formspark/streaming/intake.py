@@ -10,7 +10,7 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from formspark.operators import manifest as man
-from formspark.sources.writers import BucketedTable
+from formspark.sources.writers import KeyedTable
 
 
 def new_documents(spark: SparkSession, root: str) -> DataFrame:
@@ -24,21 +24,26 @@ def new_documents(spark: SparkSession, root: str) -> DataFrame:
 
 
 def new_inventory(spark: SparkSession, folder: str, schema: StructType, pattern: str = "*.parquet") -> DataFrame:
-    """Stream of inventory files (one row per source) that land in a folder."""
-    return spark.readStream.schema(schema).option("pathGlobFilter", pattern).parquet(folder)
+    """Stream of inventory files (rows of sources) that land in a folder; ``seen_at`` is when a row's file was written."""
+    rows = spark.readStream.schema(schema).option("pathGlobFilter", pattern).parquet(folder)
+    return rows.select("*", F.col("_metadata.file_modification_time").alias("seen_at"))
 
 
-def stream_intake(sources: DataFrame, verdicts: Callable[[], DataFrame], table: BucketedTable, checkpoint: str,
+def stream_intake(sources: DataFrame, verdicts: Callable[[], DataFrame], table: KeyedTable, checkpoint: str,
                   bucket: str, prefix: str, pages_per_unit: int, moved_at: Column,
-                  failures: Callable[[DataFrame], None] | None = None) -> StreamingQuery:
+                  failures: Callable[[DataFrame], None] | None = None, once_within: str = "30 days") -> StreamingQuery:
     """Expand and judge every new source and put its rows into the manifest, then stop.
 
-    The checkpoint remembers which files were taken. A batch that is run again
-    after a failure replaces its own rows by key, so nothing is doubled. Units that are
-    rejected and for review at once go to ``failures``; without it they fail the batch.
+    The checkpoint remembers which files were taken, and for ``once_within`` after ``seen_at`` which sources: one that
+    stands in several rows or files, in one batch or in later ones, is judged once. After that time it counts as handed in
+    anew and its rows replace the old ones. State is a key for each source of that time, spread by key. A batch that is
+    run again after a failure sees the same sources and replaces its own rows, so nothing is lost or doubled. Units that
+    are rejected and for review at once go to ``failures``; without it they fail the batch.
     """
 
     def load(batch: DataFrame, _batch_id: int) -> None:
+        if batch.isEmpty():
+            return
         units = man.expand_units(batch.select("source_gcs_uri", "page_count"), pages_per_unit)
         judged = man.categorise_units(units, verdicts()).drop("page_count", "unit_index")
         broken = man.malformed_sources(batch, verdicts(), pages_per_unit).select(*judged.columns)
@@ -47,6 +52,7 @@ def stream_intake(sources: DataFrame, verdicts: Callable[[], DataFrame], table:
         table.replace(man.settled(rows, both, failures))
 
     return (
-        sources.writeStream.foreachBatch(load).option("checkpointLocation", checkpoint)
+        sources.withWatermark("seen_at", once_within).dropDuplicatesWithinWatermark(["source_gcs_uri"])
+        .writeStream.foreachBatch(load).option("checkpointLocation", checkpoint)
         .trigger(availableNow=True).start()
     )

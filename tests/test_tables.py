@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 import json
+import os
 
 import pytest
 from conftest import SMALL
@@ -73,7 +74,8 @@ def test_append_is_partitioned_and_repeatable(spark, folder):
     for _again in range(2):
         assert tuple(writers.append_partitioned(frame, folder + "/log", "d", "one").first()) == (3, 2)
     writers.append_partitioned(frame, folder + "/log", "d", "two")
-    assert writers.read_log(spark, folder + "/log").count() == 6
+    log = writers.read_log(spark, folder + "/log", frame.schema)
+    assert log.count() == 6 and {r[0] for r in log.select("load_id").distinct().collect()} == {"one", "two"}
     with pytest.raises(writers.NothingToLoad):
         writers.append_partitioned(frame.filter("a > 9"), folder + "/log", "d", "three")
 
@@ -84,7 +86,7 @@ def test_replace_by_key_treats_null_keys_as_equal(spark, folder):
     new = spark.createDataFrame([("a", None, 1), (None, None, 1), ("c", "1-2", 1)], schema)
     want = [("a", "1-2", 0), ("a", None, 1), ("b", "1-2", 0), ("c", "1-2", 1), (None, None, 1)]
     assert rows_of(writers.replace_by_key(old, new, man.KEY)) == sorted(want, key=repr)
-    table = writers.BucketedTable(spark, folder + "/t", man.KEY, buckets=4)
+    table = writers.KeyedTable(spark, folder + "/t", man.KEY, old.schema, buckets=4)
     assert table.is_empty()
     table.replace(old)
     for _again in range(2):
@@ -94,21 +96,42 @@ def test_replace_by_key_treats_null_keys_as_equal(spark, folder):
 
 def test_a_failed_rewrite_leaves_the_table(spark, folder):
     rows = spark.createDataFrame([(i, "old") for i in range(50)], "k int, v string")
-    table = writers.BucketedTable(spark, folder + "/t", ["k"], buckets=4, schema=rows.schema)
-    table.create(rows)
+    table = writers.KeyedTable(spark, folder + "/t", ["k"], rows.schema, buckets=4)
+    table.append(rows)
     new = rows.limit(30).select("k", F.lit("new").alias("v"))
 
     def fails(old, fresh):
         merged = writers.replace_by_key(old, fresh, ["k"])
         return merged.withColumn("v", F.when(F.col("k") == 7, F.raise_error("broken off")).otherwise(F.col("v")))
 
+    def folders():
+        return sorted(name for name in os.listdir(folder + "/t") if not name.startswith((".", "_SUCCESS")))
+
     with pytest.raises(Exception, match="broken off"):
         table._rewrite(new, fails)
     assert rows_of(table.read()) == rows_of(rows)
+    before = folders()
     assert table.replace(new) > 0
     assert table.read().filter("v = 'new'").count() == 30 and table.read().count() == 50
+    assert folders() == before == [f"key_bucket={i}" for i in range(4)]
     table.append(rows.limit(1))
     assert table.read().count() == 51
+    with pytest.raises(ValueError, match="declares no"):
+        table.append(rows.withColumn("w", F.lit(1)))
+    assert table.read().count() == 51
+
+
+def test_a_failed_reload_leaves_the_load(spark, folder):
+    frame = spark.createDataFrame([(i, dt.date(2025, 1, 1 + i % 3)) for i in range(30)], "a int, d date")
+    writers.append_partitioned(frame, folder + "/log", "d", "one")
+    broken = frame.withColumn("a", F.when(F.col("a") == 29, F.raise_error("broken off")).otherwise(F.col("a")))
+    with pytest.raises(Exception, match="broken off"):
+        writers.append_partitioned(broken, folder + "/log", "d", "one")
+    assert writers.read_log(spark, folder + "/log", frame.schema).count() == 30
+    # A shorter run of the load takes the place of the whole of it, dates that it lacks included.
+    assert tuple(writers.append_partitioned(frame.filter("d = '2025-01-02'"), folder + "/log", "d", "one").first()) == (10, 1)
+    assert writers.read_log(spark, folder + "/log", frame.schema).count() == 10
+    assert os.listdir(folder + "/log") == ["load_id=one"]
 
 
 def test_scratch_needs_a_shared_folder(spark, monkeypatch):
@@ -218,7 +241,7 @@ def test_heavy_file_is_one_row(spark, folder):
     assert len(row.issues) == 3 and all(x.endswith(" (x300)") for x in [*row.issues, *row.unreadable_areas])
     assert rollup.file_issues(frame).filter("file_name = 'hot.pdf'").count() == 900
     assert tuple(rollup.quality_totals(frame).first()) == (2401, 3600, 1201)
-    table = writers.BucketedTable(spark, folder + "/fq", ["folder_name", "file_name"], buckets=4, by_folder=True)
+    table = writers.KeyedTable(spark, folder + "/fq", ["folder_name", "file_name"], layouts.struct_of(layouts.FILE_QUALITY), buckets=4, by_folder=True)
     jobs.refresh_file_quality(table, frame, now())
     stored = table.read()
     assert stored.count() == 2401 and stored.filter("file_name = 'hot.pdf'").first().issues == row.issues
@@ -256,12 +279,12 @@ def test_an_empty_rerun_leaves_the_log(spark, folder):
     writers.append_partitioned(frame, folder + "/log", "d", "one")
     with pytest.raises(writers.NothingToLoad):
         writers.append_partitioned(frame.limit(0), folder + "/log", "d", "one")
-    assert writers.read_log(spark, folder + "/log").count() == 1
+    assert writers.read_log(spark, folder + "/log", frame.schema).count() == 1
 
 
 def test_refresh_replaces_its_folders(spark, folder):
     v = Views(spark, SMALL)
-    table = writers.BucketedTable(spark, folder + "/fq", ["folder_name", "file_name"], buckets=8, by_folder=True)
+    table = writers.KeyedTable(spark, folder + "/fq", ["folder_name", "file_name"], layouts.struct_of(layouts.FILE_QUALITY), buckets=8, by_folder=True)
     rows = jobs.refresh_file_quality(table, v["fx_responses"].filter("folder_name IS NOT NULL"), now())
     n = rows.count()
     names = [r[0] for r in v["fx_responses"].select("folder_name").filter("folder_name IS NOT NULL").distinct().limit(3).collect()]
@@ -275,7 +298,7 @@ def test_refresh_replaces_its_folders(spark, folder):
 
 def test_stream_takes_new_files_once(spark, folder):
     v = Views(spark, SMALL)
-    table = writers.BucketedTable(spark, folder + "/manifest", man.KEY, buckets=4)
+    table = writers.KeyedTable(spark, folder + "/manifest", man.KEY, layouts.struct_of(layouts.MANIFEST), buckets=4)
     sources = v["fx_source"].select("source_gcs_uri", "page_count")
 
     def take():
@@ -294,6 +317,39 @@ def test_stream_takes_new_files_once(spark, folder):
     assert total.count() == total.select(*man.KEY).distinct().count() > first
 
 
+def test_stream_judges_a_source_once(spark, folder):
+    """Twice in one file, again in a later one, and again after a batch that broke off midway."""
+    v = Views(spark, SMALL)
+    table = writers.KeyedTable(spark, folder + "/manifest", man.KEY, layouts.struct_of(layouts.MANIFEST), buckets=4)
+    judged = []
+    good = v["fx_unit_verdict"]
+
+    def take(verdicts):
+        files = stream.new_inventory(spark, folder + "/landing", "source_gcs_uri string, page_count int")
+        stream.stream_intake(files, verdicts, table, folder + "/cp", "bucket", "split/", 2, now(),
+                             lambda rows: judged.append(rows.count())).awaitTermination()
+
+    def broken():
+        raise RuntimeError("no verdicts today")
+
+    first = v["fx_source"].filter("page_count % 2 = 0").select("source_gcs_uri", F.col("page_count").cast("int")).orderBy("source_gcs_uri").limit(20)
+    first.unionByName(first).coalesce(1).write.parquet(folder + "/landing")
+    with pytest.raises(Exception, match="no verdicts today"):
+        take(broken)
+    assert table.is_empty()
+    take(lambda: good)
+    rows = rows_of(table.read().select(*man.KEY, "output_category"))
+    assert len(rows) == first.agg(F.sum(F.col("page_count") / 2)).first()[0]
+    # Were a source judged again, it would now be for review.
+    first.coalesce(1).write.mode("append").parquet(folder + "/landing")
+    take(lambda: good.limit(0))
+    assert rows_of(table.read().select(*man.KEY, "output_category")) == rows
+    more = first.limit(1).select(F.lit("gs://bucket/raw/new.pdf").alias("source_gcs_uri"), F.lit(4).alias("page_count"))
+    more.unionByName(first).coalesce(1).write.mode("append").parquet(folder + "/landing")
+    take(lambda: good.limit(0))
+    assert len(rows_of(table.read().select(*man.KEY))) == len(rows) + 2
+
+
 def test_audit_then_reprocess(spark):
     v = Views(spark, SMALL)
     rows = v["fx_audited"]
