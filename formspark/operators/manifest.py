@@ -23,7 +23,8 @@ NO_CURRENT_REASON = (
     "outside that run's own manifest row"
 )
 KEY = ["source_gcs_uri", "source_page_range"]
-VERDICT_KEY = ["source_gcs_uri", "unit_index"]
+_UNIT = ["source_gcs_uri", "page_count", "unit_index", "page_start", "page_end", "source_page_range", "destination_folder", "output_name"]
+VERDICT_KEY, VERDICTS = ["source_gcs_uri", "unit_index"], ["language_verdict", "content_verdict"]
 
 
 def _source_name(uri: Column) -> Column:
@@ -91,11 +92,23 @@ def _with_note(reason: str, note: Column) -> Column:
     return F.concat(F.lit(reason), F.coalesce(F.concat(F.lit(" Also, "), note, F.lit(".")), F.lit("")))
 
 
+def with_verdicts(units: DataFrame, verdicts: DataFrame) -> DataFrame:
+    """Units with what the gates said of them, null where they said nothing."""
+    return units.join(verdicts.select(*VERDICT_KEY, *VERDICTS), VERDICT_KEY, "left")
+
+
 def categorise_units(units: DataFrame, verdicts: DataFrame, language: str = "English") -> DataFrame:
     """Category and reason of each unit: word, scribble, content issue, else normal."""
-    judged = units.join(
-        verdicts.select(*VERDICT_KEY, "language_verdict", "content_verdict"), VERDICT_KEY, "left"
-    )
+    return categorised(with_verdicts(units, verdicts), language)
+
+
+def categorised(judged: DataFrame, language: str = "English") -> DataFrame:
+    """As ``categorise_units``, for units that carry their verdicts."""
+    return judged.select(*[c for c in judged.columns if c not in VERDICTS], *_fresh_outcome(language))
+
+
+def _fresh_outcome(language: str) -> list[Column]:
+    """``output_category``, ``rejected_reason`` and ``needs_review_reason`` as the verdicts have it."""
     content = fx.content_verdict(F.col("content_verdict"))
     marking, issue = content["decline_marking"], content["content_issue"]
     note = fx.language_note(F.col("language_verdict"), language)
@@ -108,32 +121,50 @@ def categorise_units(units: DataFrame, verdicts: DataFrame, language: str = "Eng
         .when(marking == "SCRIBBLE", _with_note(SCRIBBLE_REASON, note))
         .when(issue.isNull(), note)
     )
+    return [category.alias("output_category"), F.when(marking.isNull(), issue).alias("rejected_reason"),
+            review.alias("needs_review_reason")]
+
+
+def _placed_outcome(category: Column, language: str) -> list[Column]:
+    """The same where the category is known from where the file lies, with the reasons that go with it."""
+    content = fx.content_verdict(F.col("content_verdict"))
+    note = fx.language_note(F.col("language_verdict"), language)
+    scribble = F.coalesce(content["decline_marking"] == "SCRIBBLE", F.lit(False))
+    declined = F.when(scribble, _with_note(SCRIBBLE_REASON, note)).otherwise(_with_note(WORD_REASON, note))
+    return [category.alias("output_category"),
+            F.when(category == "rejected", F.coalesce(content["content_issue"], F.lit(NO_CURRENT_REASON))).alias("rejected_reason"),
+            F.when(category == "declined", declined).when(category == "normal", note).alias("needs_review_reason")]
+
+
+def placed_or_fresh(judged: DataFrame, language: str = "English") -> DataFrame:
+    """Outcome of units that carry ``place``, ``done`` and their verdicts: by place where their source is done."""
+    pairs = zip(_placed_outcome(F.col("place.category"), language), _fresh_outcome(language), strict=True)
+    names = ("output_category", "rejected_reason", "needs_review_reason")
     return judged.select(
-        *units.columns,
-        category.alias("output_category"),
-        F.when(marking.isNull(), issue).alias("rejected_reason"),
-        review.alias("needs_review_reason"),
-    )
+        *[c for c in judged.columns if c not in (*VERDICTS, "place", "page_count", "unit_index")],
+        *[F.when(F.col("done"), placed).otherwise(fresh).alias(name) for name, (placed, fresh) in zip(names, pairs, strict=True)])
 
 
 def flag_duplicate_names(units: DataFrame) -> DataFrame:
     """Second and later units under one output name become rejected, with no destination.
 
     Copies are counted before the first is chosen, and the choice is a grouped
-    minimum joined back, so one heavy name never sits in a single window.
+    minimum joined back, so one heavy name never sits in a single window. Units that
+    are ``done``, where there is such a column, lie at their destination and are left alone.
     """
     columns = units.columns
-    copies = units.groupBy(*columns).agg(F.count("*").alias("copies"))
+    done = F.col("done") if "done" in columns else F.lit(False)
+    # Dealt by name once, for the choice and for the rows that it is joined back to. The keys are never null and the choice's
+    # condition stands in the aggregate: a filter, be it one inferred from the join, would sink into a plan of its own.
+    named = {key: F.coalesce(column, F.lit("")) for key, column in (("of_source", "source_gcs_uri"), ("of_name", "output_name"))}
+    copies = units.groupBy(*columns).agg(F.count("*").alias("copies")).withColumns(named).repartition(*named)
     order = F.struct("page_start", *[c for c in columns if c != "page_start"])
-    first = (
-        copies.filter("output_name IS NOT NULL").groupBy("source_gcs_uri", "output_name")
-        .agg(F.min(order).alias("first_unit"))
-    )
+    chosen = F.min(F.when(F.col("output_name").isNotNull() & ~done, order))
     numbered = (
-        copies.join(first, ["source_gcs_uri", "output_name"], "left")
+        copies.join(copies.groupBy(*named).agg(chosen.alias("first_unit")), [*named])
         .withColumn("copy", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("copies"))))
     )
-    keeps = F.col("output_name").isNull() | ((F.col("copy") == 1) & order.eqNullSafe(F.col("first_unit")))
+    keeps = done | F.col("output_name").isNull() | ((F.col("copy") == 1) & order.eqNullSafe(F.col("first_unit")))
     text = F.concat(F.lit("duplicate output name '"), F.col("output_name"), F.lit("' within this source PDF"))
     changed = {
         "output_category": F.when(keeps, F.col("output_category")).otherwise(F.lit("rejected")),
@@ -189,32 +220,41 @@ def settled(rows: DataFrame, broken: DataFrame, failures: Callable[[DataFrame],
 
 def placed_units(sources: DataFrame, listing: DataFrame, pages_per_unit: int,
                  bucket: str, prefix: str) -> DataFrame:
-    """Units that already have a file, with the first category root that holds it."""
-    units = expand_units(sources.select("source_gcs_uri", "page_count"), pages_per_unit)
-    roots = F.explode(F.array(*[
-        F.struct(F.lit(i).alias("root_order"), F.lit(c).alias("category"))
-        for i, c in enumerate(CATEGORY_SUBDIRS)
-    ]))
-    candidates = units.withColumn("root", roots).withColumn(
-        "destination_gcs_uri",
-        F.concat(F.lit(f"gs://{bucket}/"), fx.destination_path(
-            F.lit(prefix), F.col("root.category"), F.col("destination_folder"), F.col("output_name"))),
-    )
-    found = candidates.join(
-        listing.select(F.col("uri").alias("destination_gcs_uri")).distinct(), "destination_gcs_uri", "left_semi"
-    )
-    kept = [c for c in units.columns]
-    return found.groupBy(*kept).agg(
-        F.min(F.struct("root.root_order", "root.category", "destination_gcs_uri")).alias("place")
-    ).select(*kept, F.col("place.category").alias("output_category"), F.col("place.destination_gcs_uri"))
+    """Units that already have a file, with the first category root that holds it.
+
+    Folder and name are read off the listed paths, so a unit is looked up once. A path below a category's folder can also
+    be that of an ordinary source folder of the same name, so it stands for both.
+    """
+    return with_places(expand_units(sources.select("source_gcs_uri", "page_count").distinct(), pages_per_unit),
+                       listing, bucket, prefix).filter("place IS NOT NULL").select(
+                           *_UNIT, F.col("place.category").alias("output_category"), F.col("place.destination_gcs_uri"))
+
+
+def with_places(units: DataFrame, listing: DataFrame, bucket: str, prefix: str) -> DataFrame:
+    """Units with ``place`` (``category``, ``destination_gcs_uri``), null where no root holds a file of theirs."""
+    base = F.concat(F.lit(f"gs://{bucket}/"), fx.norm_prefix(F.lit(prefix)))
+    below = F.substring(F.col("uri"), F.length(base) + 1, F.length("uri"))
+    places = F.array_compact(F.array(*[
+        F.when(F.startswith(below, F.lit(folder)), F.struct(
+            F.lit(i).alias("root_order"), F.lit(category).alias("category"), F.col("uri").alias("destination_gcs_uri"),
+            F.substring(below, F.lit(len(folder) + 1), F.length(below)).alias("path")))
+        for i, (category, folder) in enumerate(CATEGORY_SUBDIRS.items())]))
+    listed = listing.filter(F.startswith("uri", base)).select(F.explode(places).alias("p")).groupBy("p.path").agg(
+        F.min(F.struct("p.root_order", "p.category", "p.destination_gcs_uri")).alias("place"))
+    return units.join(listed, F.concat("destination_folder", F.lit("/"), "output_name") == F.col("path"), "left") \
+        .select(*units.columns, "place")
 
 
 def complete_sources(sources: DataFrame, listing: DataFrame, pages_per_unit: int,
                      bucket: str, prefix: str) -> DataFrame:
     """Sources all of whose units have a file somewhere."""
-    placed = placed_units(sources, listing, pages_per_unit, bucket, prefix)
+    return completed(placed_units(sources, listing, pages_per_unit, bucket, prefix), pages_per_unit)
+
+
+def completed(placed: DataFrame, pages_per_unit: int) -> DataFrame:
+    """Sources all of whose units are among the placed ones."""
     return (
-        placed.groupBy("source_gcs_uri", "page_count").agg(F.count("*").alias("units_found"))
+        placed.groupBy("source_gcs_uri").agg(F.count("*").alias("units_found"), F.max("page_count").alias("page_count"))
         .filter(F.col("units_found") * pages_per_unit == F.col("page_count"))
         .select("source_gcs_uri")
     )
@@ -223,22 +263,14 @@ def complete_sources(sources: DataFrame, listing: DataFrame, pages_per_unit: int
 def reconcile_manifest(sources: DataFrame, listing: DataFrame, verdicts: DataFrame, pages_per_unit: int,
                        bucket: str, prefix: str, language: str = "English") -> DataFrame:
     """Units of complete sources: category from where the file lies, reasons from fresh verdicts."""
-    placed = placed_units(sources, listing, pages_per_unit, bucket, prefix)
-    judged = placed.join(
-        verdicts.select(*VERDICT_KEY, "language_verdict", "content_verdict"), VERDICT_KEY, "left"
-    )
-    content = fx.content_verdict(F.col("content_verdict"))
-    note = fx.language_note(F.col("language_verdict"), language)
-    category = F.col("output_category")
-    scribble = F.coalesce(content["decline_marking"] == "SCRIBBLE", F.lit(False))
-    declined = F.when(scribble, _with_note(SCRIBBLE_REASON, note)).otherwise(_with_note(WORD_REASON, note))
-    return judged.select(
-        "source_gcs_uri", "unit_index", "page_start", "page_end", "source_page_range",
-        "destination_folder", "output_name", "output_category", "destination_gcs_uri",
-        F.when(category == "rejected", F.coalesce(content["content_issue"], F.lit(NO_CURRENT_REASON)))
-        .alias("rejected_reason"),
-        F.when(category == "declined", declined).when(category == "normal", note).alias("needs_review_reason"),
-    )
+    return reconciled(with_verdicts(placed_units(sources, listing, pages_per_unit, bucket, prefix), verdicts), language)
+
+
+def reconciled(judged: DataFrame, language: str = "English") -> DataFrame:
+    """Placed units that carry their verdicts as rows of the manifest, but for the run's own columns."""
+    category, rejected, review = _placed_outcome(F.col("output_category"), language)
+    return judged.select("source_gcs_uri", "unit_index", "page_start", "page_end", "source_page_range", "destination_folder",
+                         "output_name", category, "destination_gcs_uri", rejected, review)
 
 
 def superseded(old_manifest: DataFrame, new_rows: DataFrame, listing: DataFrame, bucket: str) -> DataFrame:

@@ -20,19 +20,18 @@ def intake_rows(sources: DataFrame, listing: DataFrame, verdicts: DataFrame, buc
                 pages_per_unit: int, moved_at: Column) -> tuple[DataFrame, DataFrame]:
     """Manifest rows of a run and the rows that break its constraint.
 
-    Complete sources are taken from where their files lie; the rest are expanded
-    and judged; malformed ones become one rejected row.
+    A source counts once, however often it is named. Complete sources are taken from where their files lie; the rest are categorised by their verdicts; malformed ones,
+    which have no units and so are never complete, become one rejected row. Every unit meets the listing and the
+    verdicts once, whatever becomes of it.
     """
-    done = man.complete_sources(sources, listing, pages_per_unit, bucket, prefix)
-    ready, rest = man.plan_sources(sources, done)
-    units = man.categorise_units(
-        man.expand_units(rest.select("source_gcs_uri", "page_count"), pages_per_unit), verdicts
-    ).drop("page_count", "unit_index")
-    broken = man.malformed_sources(rest, verdicts, pages_per_unit)
-    fresh = man.flag_duplicate_names(units.unionByName(broken.select(*units.columns)))
-    kept = man.reconcile_manifest(ready, listing, verdicts, pages_per_unit, bucket, prefix)
-    reconciled = kept.select(*units.columns).withColumn("has_destination", F.lit(True))
-    return man.manifest_rows(fresh.unionByName(reconciled), bucket, prefix, moved_at)
+    known = sources.select("source_gcs_uri", "page_count").distinct()
+    placed = man.with_places(man.expand_units(known, pages_per_unit), listing, bucket, prefix)
+    done = man.completed(placed.filter("place IS NOT NULL"), pages_per_unit).withColumn("done", F.lit(True))
+    judged = man.with_verdicts(placed, verdicts).join(done, "source_gcs_uri", "left").withColumn(
+        "done", F.coalesce("done", F.lit(False)))
+    units = man.placed_or_fresh(judged)
+    broken = man.malformed_sources(known, verdicts, pages_per_unit).withColumn("done", F.lit(False))
+    return man.manifest_rows(man.flag_duplicate_names(units.unionByName(broken.select(*units.columns))), bucket, prefix, moved_at)
 
 
 def run_intake(table: writers.KeyedTable, sources: DataFrame, listing: DataFrame, verdicts: DataFrame,
