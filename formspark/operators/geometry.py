@@ -594,14 +594,37 @@ def overflow_rows(cells: DataFrame, least: float = 0.03) -> DataFrame:
 
 
 def draft_profile(pages: DataFrame, rects: DataFrame, key: str = "form_id") -> DataFrame:
-    """Draft of a form: its first file, median ink threshold, median box side.
+    """Draft of a form: its first file, median ink threshold, median box side."""
+    first = pages.groupBy(key).agg(F.min("file_name").alias("first_file"))
+    sides = rects.select(key, F.explode(F.array(F.col("x1") - F.col("x0"), F.col("y1") - F.col("y0"))).alias("side"))
+    ink, side = median_by_counts(pages, key, "ink_threshold"), median_by_counts(sides, key, "side")
+    return first.join(ink, key, "left").join(side, key, "left").select(
+        key, "first_file", F.round("ink_threshold", 2).alias("ink_threshold"), F.round("side", 2).alias("box_expected_size"))
+
 
-    Thresholds and sides are small whole numbers, so their exact medians combine map-side.
+def median_by_counts(rows: DataFrame, key: str, value: str) -> DataFrame:
+    """Exact median of the values of each key (nulls aside), whatever their number and however finely they differ.
+
+    Equal values become a count map-side. Counts of whole units are summed along the key first, to find the one or two
+    units that hold the middle; only the values in those are then ordered.
     """
-    first = pages.groupBy(key).agg(
-        F.min("file_name").alias("first_file"), F.round(F.median("ink_threshold"), 2).alias("ink_threshold"))
-    sides = rects.select(key, F.explode(F.array(F.col("x1") - F.col("x0"), F.col("y1") - F.col("y0"))).alias("side"))
-    return first.join(sides.groupBy(key).agg(F.round(F.median("side"), 2).alias("box_expected_size")), key, "left")
+    counts = rows.filter(F.col(value).isNotNull()).groupBy(key, F.col(value).cast("double").alias("v")).agg(F.count("*").alias("n"))
+    counts = counts.withColumn("unit", F.floor("v"))
+    along = Window.partitionBy(key).orderBy("unit").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    units = counts.groupBy(key, "unit").agg(F.sum("n").alias("held")).select(
+        key, "unit", "held", (F.sum("held").over(along) - F.col("held")).alias("below"),
+        F.sum("held").over(Window.partitionBy(key)).alias("total"))
+    low, high = F.floor((F.col("total") + 1) / 2), F.floor(F.col("total") / 2) + 1
+    middle = units.filter((F.col("below") < high) & (F.col("below") + F.col("held") >= low)).select(
+        key, "unit", "below", low.alias("low"), high.alias("high"))
+    inside = Window.partitionBy(key, "unit").orderBy("v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    upto = F.col("below") + F.sum("n").over(inside)
+    placed = counts.join(middle, [key, "unit"]).withColumn("upto", upto)
+
+    def at(rank: str) -> Column:
+        return F.min(F.when(F.col("upto") >= F.col(rank), F.col("v")))
+
+    return placed.groupBy(key).agg(((at("low") + at("high")) / 2).alias(value))
 
 
 def draft_baseline(pages: DataFrame, key: str = "form_id") -> DataFrame:

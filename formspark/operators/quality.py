@@ -21,9 +21,13 @@ TRIGGERS = [
 
 def latest_profile(log: DataFrame, key: str = "file_name", ts: str = "profiled_at",
                    tie: str | None = None) -> DataFrame:
-    """Newest row of each key. The rank filter is applied before the shuffle too, so a
-    key with very many rows sends one row per task."""
-    order = [F.col(ts).desc_nulls_last()] + ([F.col(tie).desc()] if tie else [])
+    """Newest row of each key; among equal times the highest ``tie``, then a digest of the whole row, decides.
+
+    So the choice does not hang on how the rows are dealt. The rank filter is applied before the shuffle too: a
+    key with very many rows sends one row per task.
+    """
+    parts = [F.to_json(f.name) if "map<" in f.dataType.simpleString() else F.col(f"`{f.name}`") for f in log.schema.fields]
+    order = [F.col(ts).desc_nulls_last(), *([F.col(tie).desc()] if tie else []), F.xxhash64(*parts)]
     newest = F.row_number().over(Window.partitionBy(key).orderBy(*order))
     return log.withColumn("newest", newest).filter(F.col("newest") == 1).drop("newest")
 

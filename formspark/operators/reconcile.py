@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from formspark import functions as fx
-from formspark.functions.text import WHITESPACE
+from formspark.functions.text import DATE_PATTERNS, WHITESPACE
 from formspark.operators.quality import latest_profile
 from formspark.sources.readers import unpack_question_rects
 from formspark.sources.writers import replace_by_folder, replace_by_key
@@ -21,6 +21,12 @@ MARGINS = {"grid": 0.05, "box": 0.15, "circle": 0.8}
 MULTI_MARKED, OVERLAP, CONFIDENCE, INK_FLOOR = 0.10, 0.7, 0.7, 0.40
 NEAR_ZERO = 0.02
 
+# What a rule of an answer's format holds, in the order in which the check takes it.
+RULE = (("answer_format", "string"), ("format_digits", "int"), ("date_format", "string"), ("format_year", "int"),
+        ("minimum", "double"), ("maximum", "double"))
+RULES = f"array<struct<{','.join(f'{name}:{kind}' for name, kind in RULE)}>>"
+FORMATS = ("digits", "integer", "decimal", "date")
+
 
 def _text(column: str | Column) -> Column:
     return F.trim(F.coalesce(F.col(column) if isinstance(column, str) else column, F.lit("")), F.lit(WHITESPACE))
@@ -160,11 +166,45 @@ def correction_note(df: DataFrame) -> Column:
                   "the pixel reader saw a correction or cross-out")
 
 
-def format_note(df: DataFrame) -> Column:
-    """Why the final answer breaks the format its field asks for (``answer_format``, ``format_digits``)."""
-    none = F.lit(None)
-    return fx.format_ok(F.col("answer"), _optional(df, "answer_format", "string"), _optional(df, "format_digits", "int"),
-                        none.cast("string"), none.cast("int"), none.cast("double"), none.cast("double"))["reason"]
+def constraint_violations(constraints: DataFrame) -> DataFrame:
+    """Rules that cannot be meant as they stand, with the reason."""
+    kind = F.lower(F.coalesce("answer_format", F.lit("")))
+    reason = (
+        F.when((kind != "") & ~kind.isin(*FORMATS), F.concat(F.lit("unsupported answer format "), _shown(F.col("answer_format"))))
+        .when(_optional(constraints, "format_digits", "int") < 1, F.lit("the digit count must be positive"))
+        .when((kind == "date") & ~F.upper(F.coalesce(_optional(constraints, "date_format", "string"), F.lit("MM/DD/YYYY"))).isin(*DATE_PATTERNS),
+              F.lit("unsupported date format"))
+        .when(_optional(constraints, "minimum", "double") > _optional(constraints, "maximum", "double"),
+              F.lit("the minimum exceeds the maximum")))
+    return constraints.withColumn("reason", reason).filter("reason IS NOT NULL")
+
+
+def _rule(df: DataFrame) -> Column:
+    return F.struct(*[_optional(df, name, kind).cast(kind).alias(name) for name, kind in RULE])
+
+
+def with_rules(df: DataFrame, constraints: DataFrame | None) -> DataFrame:
+    """Adds ``rules``, an array of what the row's question asks of its answer.
+
+    ``constraints`` holds a rule a row (``answer_format``, ``format_digits``, ``date_format``, ``format_year``, ``minimum``,
+    ``maximum``, each may be missing) for ``question_number`` and, where both sides have it, ``form_id``. Without a table
+    the rule is in columns of that name of the row itself.
+    """
+    if constraints is None:
+        return df.withColumn("rules", F.array(_rule(df)))
+    keys = [*(["form_id"] if {"form_id"} <= {*df.columns} & {*constraints.columns} else []), "question_number"]
+    packed = constraints.groupBy(*keys).agg(F.sort_array(F.collect_list(_rule(constraints))).alias("rules"))
+    return df.join(packed, keys, "left")
+
+
+def format_note() -> Column:
+    """Every reason why the final answer breaks a rule of its question."""
+
+    def reason(rule: Column) -> Column:
+        return fx.format_ok(F.col("answer"), *[rule[name] for name, _kind in RULE])["reason"]
+
+    broken = F.array_distinct(F.array_compact(F.transform(F.coalesce("rules", F.array().cast(RULES)), reason)))
+    return F.nullif(F.array_join(broken, "; "), F.lit(""))
 
 
 def apply_ocr_authority(df: DataFrame) -> DataFrame:
@@ -219,18 +259,20 @@ def grid_failures(df: DataFrame) -> DataFrame:
         F.bool_or(F.coalesce("grid_row_found", F.lit(False))).alias("any_row")).filter("NOT any_row").select("file_name")
 
 
-def reconcile(readings: DataFrame) -> DataFrame:
+def reconcile(readings: DataFrame, constraints: DataFrame | None = None) -> DataFrame:
     """Final answer, review flag and notes of every reading, rules in order.
 
-    The only exchange is the per-file grid check; everything else is projection.
+    What answers have to look like comes from ``constraints``, see ``with_rules``. The only exchange of the readings is the
+    per-file grid check; the rules are a small table, and everything else is projection.
     """
     failed = grid_failures(readings).withColumn("grid_failed", F.lit(True))
-    rows = fill_comments(apply_ocr_authority(apply_multi_select(pixel_vs_model(readings)))).join(failed, "file_name", "left")
+    ruled = with_rules(readings, constraints)
+    rows = fill_comments(apply_ocr_authority(apply_multi_select(pixel_vs_model(ruled)))).join(failed, "file_name", "left")
     alone = ~F.coalesce("pixel_ran", F.lit(False))
     consistency = F.when(alone, self_consistency_note(F.col("model_answer"), F.col("mark_position"), F.col("choices")))
     grid = F.when(F.col("grid_failed") & F.col("grid_question"), F.lit("answer grid could not be located on this file"))
     always = [consistency, F.col("multi_note"), F.col("ocr_note"), F.col("fill_note"), low_confidence_note(), blank_note(),
-              second_mark_note(), correction_note(rows), format_note(rows), grid]
+              second_mark_note(), correction_note(rows), format_note(), grid]
     flag = F.col("pixel_flag")
     for note in always:
         flag = flag | note.isNotNull()

@@ -162,6 +162,39 @@ def reading_reconciled_answers(v):
         "file_name", "question_number", "survey_answer", "detection_method", "needs_review", "review_note")
 
 
+# Rules of five questions, one of them with two; and answers that keep and break each of them.
+_RULES = ("('1','digits',6,NULL,NULL,NULL,NULL),('2','integer',NULL,NULL,NULL,0,40),('3','decimal',NULL,NULL,NULL,NULL,2.5),"
+          "('4','date',NULL,'MM/DD/YYYY',2025,NULL,NULL),('5','date',NULL,'YYYY-MM-DD',NULL,NULL,NULL),"
+          "('6','digits',2,NULL,NULL,NULL,NULL),('6','integer',NULL,NULL,NULL,NULL,50)")
+_RULE_COLUMNS = "question_number, answer_format, format_digits, date_format, format_year, minimum, maximum"
+_SAID = """CASE question_number WHEN '1' THEN CAST(CASE WHEN doc % 3 = 0 THEN doc % 1000 ELSE 100000 + doc % 900000 END AS {text})
+  WHEN '2' THEN CASE WHEN doc % 7 = 0 THEN '3.5' ELSE CAST(doc % 60 - 10 AS {text}) END WHEN '3' THEN CASE doc % 4 WHEN 0 THEN 'two' WHEN 1 THEN '.5' WHEN 2 THEN '7.' ELSE '2.5' END
+  WHEN '4' THEN CASE doc % 4 WHEN 0 THEN '11/30/2025' WHEN 1 THEN '11/30/2024' WHEN 2 THEN '2025-11-30' ELSE '02/30/2025' END
+  WHEN '5' THEN CASE doc % 3 WHEN 0 THEN '2025-11-30' WHEN 1 THEN '11/30/2025' ELSE '' END WHEN '6' THEN CAST(doc % 120 AS {text}) ELSE 'anything' END"""
+_WHOLE_NUMBER, _NUMBER = "'[+-]?[0-9]+'", r"'[+-]?([0-9]+(\.[0-9]*)?|\.[0-9]+)'"
+
+
+@query("RCN-13 FN-29", f"""
+WITH a AS (SELECT file_name, question_number, {_SAID.format(text='VARCHAR')} AS said FROM fx_readings),
+r AS (SELECT * FROM (VALUES {_RULES}) AS r({_RULE_COLUMNS})),
+b AS (SELECT a.*, r.answer_format, CASE
+  WHEN said = '' THEN NULL WHEN answer_format = 'digits' AND NOT (regexp_full_match(said, '[0-9]+') AND len(said) = format_digits) THEN 'should be a ' || CAST(format_digits AS VARCHAR) || '-digit number'
+  WHEN answer_format = 'integer' AND NOT regexp_full_match(said, {_WHOLE_NUMBER}) THEN 'should be a whole number' WHEN answer_format = 'decimal' AND NOT regexp_full_match(said, {_NUMBER}) THEN 'should be a number'
+  WHEN date_format = 'MM/DD/YYYY' AND try_strptime(said, '%m/%d/%Y') IS NULL THEN 'should be a date in MM/DD/YYYY format' WHEN date_format = 'YYYY-MM-DD' AND try_strptime(said, '%Y-%m-%d') IS NULL THEN 'should be a date in YYYY-MM-DD format'
+  WHEN answer_format = 'date' AND year(try_strptime(said, '%m/%d/%Y')) <> format_year THEN 'year should be ' || CAST(format_year AS VARCHAR)
+  WHEN answer_format <> 'date' AND TRY_CAST(said AS DOUBLE) < minimum THEN 'is below the minimum' WHEN answer_format <> 'date' AND TRY_CAST(said AS DOUBLE) > maximum THEN 'is above the maximum' END AS why
+  FROM a LEFT JOIN r ON r.question_number = a.question_number)
+SELECT file_name, question_number, said AS survey_answer, bool_or(why IS NOT NULL) AS needs_review, string_agg(why, '; ' ORDER BY answer_format) AS review_note FROM b GROUP BY ALL""")
+def reading_constrained_answers(v):
+    rules = v.spark.sql(f"SELECT * FROM VALUES {_RULES} AS r({_RULE_COLUMNS})")
+    none = F.lit(None).cast("string")
+    readings = v["fx_readings"].withColumns({
+        "model_answer": F.expr(_SAID.format(text="STRING")), "pixel_answer": F.expr(_SAID.format(text="STRING")), "pixel_choices": none,
+        "model_choices": none, "ocr_text": none, "pixel_ran": F.lit(True), "ocr_ran": F.lit(False), "cross_out": F.lit(False), "second_mark": F.lit(False),
+        "grid_question": F.lit(False), "model_confidence": F.lit(1.0), "blank_exempt": F.lit(True)}).drop("answer_format", "format_digits")
+    return rcn.reconcile(readings, rules).select("file_name", "question_number", "survey_answer", "needs_review", "review_note")
+
+
 _LOG = "SELECT *, CASE WHEN ink_quality = 'tight' THEN NULL WHEN event_id % 2 = 0 THEN 'gs://b/' || file_name ELSE 'gs://old/' || file_name END AS gcs_uri FROM fx_profile_log"
 _PICK = "SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY {k} ORDER BY profiled_at DESC, event_id DESC) AS rn FROM ({log}) l WHERE {k} IS NOT NULL) q WHERE rn = 1"
 

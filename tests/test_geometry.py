@@ -317,3 +317,13 @@ def test_forms_meet_their_own_layouts(spark):
     with contextlib.redirect_stdout(out):
         whole[1].explain()
     assert "[form_id" in out.getvalue()
+
+
+@pytest.mark.parametrize("scale", [1.0, 0.01])
+def test_median_by_counts(spark, scale):
+    rng = random.Random(3)
+    rows = [(k, rng.choice([None, rng.randint(-400, 900) * scale, 7.25])) for k in range(6) for _ in range(1 + 40 * k)] + [(9, None)]
+    frame = spark.createDataFrame(rows, "k int, v double")
+    got = {r.k: r.v for r in geo.median_by_counts(frame, "k", "v").collect()}
+    want = {r.k: r.m for r in frame.groupBy("k").agg(F.median("v").alias("m")).filter("m IS NOT NULL").collect()}
+    assert got == pytest.approx(want)

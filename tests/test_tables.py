@@ -429,3 +429,41 @@ def test_new_documents_are_taken_once(spark, folder):
         out.write(b"%PDF more")
     assert take() == ["a.pdf", "b.PDF", "d.pdf"]
     assert take() == ["a.pdf", "b.PDF", "d.pdf"]
+
+
+def test_equal_times_give_one_newest_row(spark):
+    """However the rows are dealt, and with a map among the columns."""
+    from formspark.operators import quality, reconcile
+
+    rows = [(f"f{i % 7}", "gs://b/" + str(i % 3), dt.datetime(2025, 1, 1 + i % 2), i, {"k": i % 5}) for i in range(210)]
+    log = spark.createDataFrame(rows, "file_name string, gcs_uri string, profiled_at timestamp, n int, extra map<string,int>")
+    dealt = [log.repartition(1), log.repartition(7, "n"), log.orderBy(F.desc("n")).coalesce(3)]
+    assert len({str(rows_of(quality.latest_profile(d))) for d in dealt}) == 1
+    assert {r.profiled_at.day for r in quality.latest_profile(log).collect()} == {2}
+    assert [r.n for r in quality.latest_profile(log, tie="n").orderBy("file_name").collect()] == [
+        max(n for f, _u, t, n, _e in rows if f == f"f{k}" and t.day == 2) for k in range(7)]
+    files = spark.createDataFrame([(f"gs://b/{i}", f"f{i}") for i in range(7)], "gcs_uri string, file_name string")
+    assert len({str(rows_of(reconcile.tiered_lookup(files, d))) for d in dealt}) == 1
+
+
+def test_rules_that_cannot_be_meant(spark):
+    from formspark.operators import reconcile
+
+    rules = spark.createDataFrame(
+        [("1", "digits", 6, None, None, None), ("2", "roman", None, None, None, None), ("3", "digits", 0, None, None, None),
+         ("4", "integer", None, None, 5.0, 4.0), ("5", "date", None, "DD.MM", None, None), ("6", None, None, None, None, None)],
+        "question_number string, answer_format string, format_digits int, date_format string, minimum double, maximum double")
+    got = {r.question_number: r.reason for r in reconcile.constraint_violations(rules).collect()}
+    assert set(got) == {"2", "3", "4", "5"} and "roman" in got["2"]
+
+
+def test_rules_of_a_form_hold_for_its_answers_only(spark):
+    from formspark.operators import reconcile
+
+    rules = spark.createDataFrame([("a", "1", "digits", 2), ("b", "1", "integer", None)],
+                                  "form_id string, question_number string, answer_format string, format_digits int")
+    rows = spark.createDataFrame([("a", "1", "123"), ("b", "1", "123"), ("b", "1", "x"), ("a", "2", "x"), ("c", "1", "x")],
+                                 "form_id string, question_number string, answer string")
+    got = [(r.form_id, r.answer, r.note) for r in reconcile.with_rules(rows, rules).select("*", reconcile.format_note().alias("note")).collect()]
+    assert sorted(got, key=str) == sorted([("a", "123", "should be a 2-digit number"), ("b", "123", None), ("b", "x", "should be a whole number"),
+                                  ("a", "x", None), ("c", "x", None)], key=str)
