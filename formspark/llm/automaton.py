@@ -261,17 +261,39 @@ class Automaton:
         begun = state
         history = np.empty((long, lanes), dtype=np.int32)
         self._run(grid, begun, history)
-        while True:
-            true = np.concatenate([[self.start * self.width], history[-1, :-1]]).astype(np.int32)
-            wrong = np.flatnonzero(true != begun)
-            if not len(wrong):
-                break
+        true = self._begins(grid, begun, history[-1])
+        wrong = np.flatnonzero(true != begun)
+        if len(wrong):
             again = np.empty((long, len(wrong)), dtype=np.int32)
             self._run(np.ascontiguousarray(grid[:, wrong]), true[wrong], again)
             history[:, wrong] = again
-            begun = true
         return np.repeat(self.flags, self.width)[history].T.reshape(-1)[:size]
 
+    def _begins(self, grid: np.ndarray, begun: np.ndarray, ended: np.ndarray) -> np.ndarray:
+        """The state in which each lane truly begins: where the lane before it ends, from the first on.
+
+        ``begun`` and ``ended`` are a first guess and what came of it. A begin state that was not guessed is run over all
+        lanes from there on at once, for a match that fills one lane tends to fill many; so the runs are as many as there
+        are different states, whatever the number of lanes.
+        """
+        lanes = len(begun)
+        known: dict[int, np.ndarray] = {}
+        for state in np.unique(begun).tolist():
+            known[state] = np.where(begun == state, ended, -1)
+        true = np.empty(lanes, dtype=np.int32)
+        state = self.start * self.width
+        for lane in range(lanes):
+            true[lane] = state
+            ends = known.get(state)
+            if ends is None or ends[lane] < 0:
+                ends = known.setdefault(state, np.full(lanes, -1))
+                rest = np.full(lanes - lane, state, dtype=np.int32)
+                for row in grid[:, lane:]:
+                    rest = self._flat[rest + row]
+                ends[lane:] = rest
+            state = int(ends[lane])
+        return true
+
     def _run(self, grid: np.ndarray, state: np.ndarray, history: np.ndarray) -> None:
         flat = self._flat
         for t in range(len(grid)):

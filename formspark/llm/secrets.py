@@ -6,6 +6,7 @@ import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -69,13 +70,21 @@ class Scanner:
         out: list[list] = [[] for _ in texts]
         for a, z in _shards(texts):
             part = [t or b"" for t in texts[a:z]]
+            at, before = -1, None
             for row, rule, start, end in self.automaton.matches(part):
                 if _long_enough(self.rules[rule], part[row][start:end]):
-                    before = len(part[row][:start].decode())
-                    out[a + row].append((before, rule, before + len(part[row][start:end].decode())))
+                    if row != at:
+                        at, before = row, _code_points(part[row])
+                    out[a + row].append((int(before[start]), rule, int(before[end])))
         return [sorted(s) for s in out]
 
 
+def _code_points(text: bytes) -> np.ndarray:
+    """The number of code points before each byte and before the end."""
+    begins = (np.frombuffer(text, np.uint8) & 0xC0) != 0x80
+    return np.concatenate([[0], np.cumsum(begins, dtype=np.int32)])
+
+
 def _shards(texts: list[bytes | None]) -> Iterator[tuple[int, int]]:
     start, held = 0, 0
     for i, text in enumerate(texts):
