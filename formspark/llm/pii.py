@@ -7,6 +7,9 @@ entity and a term beside it is weighed. Terms at or above a threshold are spans
 entity, unless the pair may be chance: Chernoff's bound on the probability of meeting that often among independent ones,
 exact where one of them stands in one document, must be below a level of significance.
 
+A term is a run of at least ``LEAST_LETTERS`` letters. Shorter words and numbers are never weighed, so short names and staff
+numbers stay in the text.
+
 Everything is DataFrame functions: matches come from ``regexp_extract_all``, their places from the lengths of the pieces
 that ``split`` leaves between them.
 """
@@ -36,6 +39,7 @@ DISCLOSURE = 0.9
 SIGNIFICANCE = 0.05
 BROADCAST_TERMS = 200_000
 _WORDS = r"[^\p{L}]+"
+_STEP = 512
 
 
 def _digits(value: Column) -> Column:
@@ -92,18 +96,39 @@ def _spans(text: Column, pattern: str | Column, order: int, kind: str, holds, be
 
         return F.filter(F.transform(found, span), lambda s: holds(s["value"]))
 
-    def running(lengths: Column) -> Column:
-        return F.aggregate(
-            lengths, F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("ends")),
-            lambda a, n: F.struct((a["at"] + n).alias("at"), F.array_append(a["ends"], a["at"] + n).alias("ends")))["ends"]
-
-    known = [running(F.transform(runs, F.length)).alias("ends")]
+    known = [_running(F.transform(runs, F.length)).alias("ends")]
     if beside:
-        known += [running(F.transform(words, F.size)).alias("counts"), F.flatten(words).alias("all")]
+        known += [_running(F.transform(words, F.size)).alias("counts"), F.flatten(words).alias("all")]
     # As the only element of an array, so that it is reckoned once and not for every match.
     return F.flatten(F.transform(F.array(F.struct(*known)), spanned))
 
 
+def _running(numbers: Column) -> Column:
+    """The sums up to each number of an array, in steps of ``_STEP``.
+
+    An array that grows inside an aggregate is copied at every element; in steps the copies stay short, and the cost of a
+    text is near its length.
+    """
+
+    def plain(part: Column) -> Column:
+        return F.aggregate(
+            part, F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("ends")),
+            lambda a, n: F.struct((a["at"] + n).alias("at"), F.array_append(a["ends"], a["at"] + n).alias("ends")))["ends"]
+
+    def stepped(n: Column) -> Column:
+        steps = F.sequence(F.lit(0), F.greatest(F.lit(0), F.floor((F.size(n) - 1) / _STEP).cast("int")))
+        return F.transform(steps, lambda k: plain(F.slice(n, k * _STEP + 1, _STEP)))
+
+    def joined(parts: Column) -> Column:
+        totals = plain(F.transform(parts, lambda p: F.coalesce(F.get(p, F.size(p) - 1), F.lit(0))))
+        # The array is bound once and not worked out again for every part.
+        return F.flatten(F.transform(F.array(totals), lambda t: F.flatten(F.transform(parts, lambda p, i: F.transform(
+            p, lambda x: x + F.when(i > 0, F.get(t, i - 1)).otherwise(F.lit(0)))))))
+
+    bound = F.flatten(F.transform(F.array(numbers), lambda n: F.transform(F.array(stepped(n)), joined)))
+    return F.flatten(bound)
+
+
 _SPAN = "array<struct<start:int,order:int,kind:string,end:int,value:string,before:array<string>,after:array<string>>>"
 
 
