@@ -19,7 +19,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from formspark.llm.shared import checkpointed
+from formspark.llm.shared import checkpointed, hashed_if_small
 
 LEAST_CHARS = 20
 LEAST_DOCS = 3
@@ -131,7 +131,8 @@ def dropped_lines(docs: DataFrame, least_chars: int = LEAST_CHARS, least_docs: i
     """
     spark = docs.sparkSession
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
-    ranged = line_hashes(docs, least_chars).repartitionByRange(parts, "hi", "lo", "doc_id") \
+    # Written first: choosing the ranges reads the hashes once more.
+    ranged = checkpointed(line_hashes(docs, least_chars)).repartitionByRange(parts, "hi", "lo", "doc_id") \
         .sortWithinPartitions("hi", "lo", "doc_id", "pos")
     ranged = checkpointed(ranged)
     edges = ranged.mapInArrow(_edges, "part bigint, hi bigint, lo bigint, n bigint, low bigint, top bigint").collect()
@@ -218,9 +219,13 @@ def _kept(text: bytes | None, drops: bytes | None) -> tuple[int, int, bytes]:
 
 
 def _with_bitmaps(docs: DataFrame, least_chars: int, least_docs: int) -> DataFrame:
-    maps = keep_bitmaps(docs, least_chars, least_docs).toDF("__id", "__mark", "__drops").hint("shuffle_hash")
-    return docs.join(maps, F.col("doc_id").cast("bigint").eqNullSafe(F.col("__id")) & (F.xxhash64("text") == F.col("__mark")),
-                     "left").drop("__id", "__mark")
+    """The rows of ``docs`` with their columns as ``c0``, ``c1`` and so on, whatever their names, and ``drops``."""
+    maps = checkpointed(keep_bitmaps(docs, least_chars, least_docs).toDF("id", "mark", "drops"))
+    maps = hashed_if_small(maps, F.length("drops") + 32)
+    plain = docs.toDF(*[f"c{i}" for i in range(len(docs.columns))])
+    doc_id, text = (plain[f"c{docs.columns.index(n)}"] for n in ("doc_id", "text"))
+    return plain.join(maps, doc_id.cast("bigint").eqNullSafe(F.col("id")) & (F.xxhash64(text) == F.col("mark")), "left") \
+        .drop("id", "mark")
 
 
 def line_report(docs: DataFrame, least_chars: int = LEAST_CHARS, least_docs: int = LEAST_DOCS) -> DataFrame:
@@ -231,11 +236,11 @@ def line_report(docs: DataFrame, least_chars: int = LEAST_CHARS, least_docs: int
     any other. Other columns are ignored. No rows give no rows.
     """
     joined = _with_bitmaps(docs.select(_id(), "text"), least_chars, least_docs) \
-        .select("doc_id", F.col("text").cast("binary").alias("text"), "__drops")
+        .select(F.col("c0").alias("doc_id"), F.col("c1").cast("binary").alias("text"), "drops")
 
     def report(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [_kept(t, d) for t, d in zip(batch.column("text").to_pylist(), batch.column("__drops").to_pylist())]
+            found = [_kept(t, d) for t, d in zip(batch.column("text").to_pylist(), batch.column("drops").to_pylist())]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array([f[0] for f in found], pa.int64()),
                  pa.array([f[1] for f in found], pa.int64()),
@@ -248,17 +253,18 @@ def line_report(docs: DataFrame, least_chars: int = LEAST_CHARS, least_docs: int
 def without_repeated_lines(docs: DataFrame, least_chars: int = LEAST_CHARS, least_docs: int = LEAST_DOCS) -> DataFrame:
     """``docs`` with the lines that stay as ``text`` (null stays null) and, where there is one, ``n_chars`` brought up to date."""
     joined = _with_bitmaps(docs, least_chars, least_docs)
-    schema = joined.drop("__drops").schema
+    schema = joined.drop("drops").schema
+    changed = f"c{docs.columns.index('text')}"
 
     def rewrite(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            drops = batch.column("__drops").to_pylist()
-            texts = batch.column("text").cast(pa.binary()).to_pylist()
+            drops = batch.column("drops").to_pylist()
+            texts = batch.column(changed).cast(pa.binary()).to_pylist()
             new = pa.array([_kept(t, d)[2] if d else t for t, d in zip(texts, drops)], pa.binary()).cast(pa.string())
-            names = [n for n in batch.schema.names if n != "__drops"]
-            yield pa.RecordBatch.from_arrays([new if n == "text" else batch.column(n) for n in names], names=names)
+            names = [n for n in batch.schema.names if n != "drops"]
+            yield pa.RecordBatch.from_arrays([new if n == changed else batch.column(n) for n in names], names=names)
 
-    out = joined.mapInArrow(rewrite, schema)
+    out = joined.mapInArrow(rewrite, schema).toDF(*docs.columns)
     if "n_chars" in docs.columns:
         kind = docs.schema["n_chars"].dataType
         out = out.withColumn("n_chars", F.coalesce(F.length("text").cast(kind), F.col("n_chars")))

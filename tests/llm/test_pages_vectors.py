@@ -278,7 +278,7 @@ def test_queries_match_sql(spark, name):
 
 def test_every_operator_is_registered():
     names = [n for n in driver.queries() if n.startswith("op")]
-    assert sorted(int(re.match(r"op(\d+)_", n)[1]) for n in names) == list(range(1, 11)) and "pipeline" in driver.queries()
+    assert sorted(int(re.match(r"op(\d+)_", n)[1]) for n in names) == list(range(1, 14)) and "pipeline" in driver.queries()
 
 
 def test_pipeline_stage_by_stage(spark):
