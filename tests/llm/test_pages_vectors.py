@@ -7,6 +7,7 @@ import hashlib
 import io
 import random
 import re
+import time
 from collections import defaultdict
 
 import numpy as np
@@ -114,6 +115,54 @@ def test_pages_lose_no_article_to_what_stands_beside(spark):
     assert [got[i] for i in range(len(WHOLE))] == list(WHOLE.values())
 
 
+def text_of(page):
+    return html_blocks.main_text(page, html_blocks.grow(*html_blocks.labelled_table()))
+
+
+def body(n):
+    return " ".join(["word"] * n)
+
+
+NAMED = {
+    f'<article><header class="entry-header"><h1>The Title</h1></header><p>{body(30)}</p></article>': f"The Title {body(30)}",
+    f'<article><p>{body(30)}</p><section class="related-work" id="related-work"><h2>Related work</h2><p>{body(12)}</p></section></article>':
+        f"{body(30)} Related work {body(12)}",
+    f'<article><p>{body(30)}</p><section id="market-share"><p>{body(9)}</p></section></article>': f"{body(30)} {body(9)}",
+    f'<article><p>{body(30)}</p><div class="related-posts"><ul><li><a href=x>one two</a><li><a href=y>four</a></ul></div></article>': body(30),
+    f'<article><p>{body(30)}</p><div class="user-reviews"><p>{body(25)}</p></div></article>': body(30),
+    f'<article><p>{body(30)}</p><div class="comment-list"><p>{body(25)}</p></div></article>': body(30),
+    f'<article><p>{body(30)}</p><div class="x1"><h3>3 Comments</h3><p>{body(25)}</p></div><p>last one here</p></article>': f"{body(30)} last one here",
+    f'<article><p>{body(30)}</p><div><h4>Leave a reply</h4></div><h2>Comments on the law</h2><p>{body(9)}</p></article>':
+        f"{body(30)} Comments on the law {body(9)}",
+    f'<div class="wrap with-sidebar"><div class="content has-menu"><p>{body(50)}</p></div></div>': body(50),
+    f'<div class="page-header"><p>{body(50)}</p></div><div class=c><p>{body(40)}</p></div>': body(40),
+    f'<article><p>a <3 b</p><p title="x > y < z">{body(9)}</p><p class="c>{body(4)}</p><p>end of it</p></article>': f"a <3 b {body(9)} {body(4)} end of it",
+}
+
+
+def test_names_that_may_be_an_articles_own():
+    for page, want in NAMED.items():
+        assert text_of(page) == want, page
+
+
+LONG = {
+    "tags without end": "<a " * 333_000, "tags ended in quotes": "<a " * 333_000 + "'>'", "nested": "<div>" * 200_000,
+    "stray ends": "<div>" * 50_000 + "</p>" * 200_000, "ends of others": "<p>" * 6_000 + "</div>" * 160_000, "quotes": "<a \"" * 250_000,
+    "both quotes": "<a '\"" * 200_000, "frames": "<iframe>" * 125_000, "scripts": "<script>" * 125_000, "icons": "<svg>" * 200_000,
+    "objects": "<object>" * 50_000 + "<article>x</article>" + "</object>" * 50_000, "items": "<ul>" + "<div>" * 50_000 + "<li></li>" * 100_000,
+    "cells": "<div>" * 50_000 + "<td></td>" * 100_000, "comments": "<!--" * 250_000, "bangs": "<!" * 500_000, "less": "<" * 1_000_000,
+    "references": "&amp;" * 200_000, "inline": "<b class=ad>" * 80_000, "paragraphs": "<p>x" * 250_000, "a long name": '<div class="' + "a-" * 500_000 + '">',
+}
+
+
+@pytest.mark.parametrize("kind", LONG)
+def test_long_pages_take_linear_time(kind):
+    """A megabyte takes a second or so; what grows with the square would take minutes."""
+    began = time.process_time()
+    text_of(LONG[kind])
+    assert time.process_time() - began < 12
+
+
 def test_pages_of_the_tables(spark):
     """On pages with one article, its words and nothing else."""
     pages = spark.read.parquet("/root/testdata/sf0.1/pages.parquet")
