@@ -4,7 +4,9 @@ Each source is cut into blocks of equal length. With target weight w of a total
 floor(j T / w) and due by slot ceil((j + 1) T / w); the earliest deadline goes first. The order is proportionally fair: at
 no slot does a source stand a whole block away from its share. Weights are the exact fractions of the targets, so the
 share is the target's own. The order repeats every T slots; where T is long, only the slots until the first source runs out
-are worked out, one step a block on the driver, and a block's slot is looked up by its number.
+are worked out, one step a block on the driver, and a block's slot is looked up by its number. Blocks grow with the table once
+it holds more than ``MOST_BLOCKS`` of the shortest, so the driver's steps and the broadcast stay within that many and one
+a source, about two seconds and 8 MB a million, whatever the number of rows.
 
 When a source runs out, the others go on from there with the weights they have, as a new phase. Every row gets exactly
 one place.
@@ -21,10 +23,11 @@ from itertools import count
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 BLOCK_ROWS = 64
+MOST_BLOCKS = 1_000_000
 PERIOD = 1000
 BUCKET_ROWS = 5_000
 SEED = 20
@@ -144,44 +147,50 @@ class Plan:
         return slot * self.block_rows + offset - self.lacking[np.searchsorted(self.short_at, slot)]
 
 
-def _key():
+def _key(source: Column):
     """Sources as text; null is a source of its own."""
-    return F.when(F.col("source").isNull(), F.lit("n")).otherwise(F.concat(F.lit("s"), F.col("source").cast("string")))
+    return F.when(source.isNull(), F.lit("n")).otherwise(F.concat(F.lit("s"), source.cast("string")))
 
 
-def mixed(docs: DataFrame, targets: dict | None = None, block_rows: int = BLOCK_ROWS, period: int | None = None,
+def block_length(rows: int, most: int = MOST_BLOCKS) -> int:
+    """The rows of a block for a table of so many rows: the shortest, until that would be more than ``most`` blocks."""
+    return max(BLOCK_ROWS, -(-rows // most))
+
+
+def mixed(docs: DataFrame, targets: dict | None = None, block_rows: int | None = None, period: int | None = None,
           bucket_rows: int = BUCKET_ROWS, seed: int = SEED) -> DataFrame:
     """All rows and columns of ``docs`` plus ``mix_block``, ``mix_slot`` and ``mix_position``.
 
     ``targets`` gives the weight of each source (null is a source of its own); a source without one gets the least share,
     and the default weights are the square roots of the sources' sizes. Shares are exact unless ``period`` asks for weights
-    rounded to a period of so many slots. Within a source rows go by a hash of the id, then
-    by id and text; fully equal rows take neighbouring places. ``mix_position`` runs from 0 without holes over all rows.
+    rounded to a period of so many slots. Blocks have ``block_rows`` rows, ``block_length`` of the table where that is left out.
+    Within a source rows go by a hash of id and text, then by id and text; fully equal rows take neighbouring places. ``mix_position`` runs from 0 without holes over all rows.
     Null texts and ids are placed like others; an empty table stays empty. Columns that bear one of the new names are
-    replaced.
+    replaced; all others are kept, whatever their names.
 
     Sizes of sources reach the driver, one number each. Rows are numbered inside (source, range of hashes) buckets of
     about ``bucket_rows`` rows, so no group grows with a source; bucket sizes are added up from their counts.
     """
-    sizes = {r["k"]: r["n"] for r in docs.groupBy(_key().alias("k")).agg(F.count("*").alias("n")).collect()}
+    sizes = {r["k"]: r["n"] for r in docs.groupBy(_key(F.col("source")).alias("k")).agg(F.count("*").alias("n")).collect()}
     wanted = {"n" if s is None else f"s{s}": float(w) for s, w in (targets or {}).items() if w > 0}
     if targets is None:
         wanted = {s: n ** 0.5 for s, n in sizes.items()}
     wanted = {s: wanted.get(s, 1e-12) for s in sizes}
     weights = {} if not wanted else integer_weights(wanted, period) if period else exact_weights(wanted)
+    block_rows = block_rows or block_length(sum(sizes.values()))
     plan = docs.sparkSession.sparkContext.broadcast(Plan(sizes, weights, block_rows))
     bits = max(1, int(np.ceil(np.log2(max(2, sum(sizes.values()) / bucket_rows)))))
-    rows = docs.drop("mix_block", "mix_slot", "mix_position").withColumns({
-        "__key": _key(), "__hash": F.xxhash64(F.lit(seed), F.col("doc_id")), "__text": F.xxhash64("text")}) \
-        .withColumn("__bucket", F.shiftrightunsigned("__hash", 64 - bits))
-    counts = rows.groupBy("__key", "__bucket").agg(F.count("*").alias("__n"))
-    before = counts.select("__key", "__bucket", (F.sum("__n").over(
-        Window.partitionBy("__key").orderBy(F.expr("shiftrightunsigned(__bucket, 0)")).rowsBetween(Window.unboundedPreceding, -1))
-    ).alias("__before"))
-    numbered = rows.withColumn("__row", F.row_number().over(
-        Window.partitionBy("__key", "__bucket").orderBy(F.col("__hash"), F.col("doc_id"), F.col("__text"))))
-    indexed = numbered.join(before, ["__key", "__bucket"]) \
-        .withColumn("__index", F.col("__row") - 1 + F.coalesce("__before", F.lit(0)))
+    names = [c for c in docs.columns if c not in ("mix_block", "mix_slot", "mix_position")]
+    # Names of their own, for the documents may have any.
+    plain = docs.select(*names).toDF(*[f"c{i}" for i in range(len(names))])
+    source, doc_id, text = (F.col(f"c{names.index(n)}") for n in ("source", "doc_id", "text"))
+    rows = plain.withColumns({"key": _key(source), "hash": F.xxhash64(F.lit(seed), doc_id, text), "mark": F.xxhash64(text)}) \
+        .withColumn("bucket", F.shiftrightunsigned("hash", 64 - bits))
+    counts = rows.groupBy("key", "bucket").agg(F.count("*").alias("n"))
+    before = counts.select("key", "bucket", F.coalesce(F.sum("n").over(
+        Window.partitionBy("key").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("before"))
+    numbered = rows.withColumn("row", F.row_number().over(Window.partitionBy("key", "bucket").orderBy("hash", doc_id, "mark")))
+    indexed = numbered.join(before, ["key", "bucket"]).withColumn("index", F.col("row") - 1 + F.col("before"))
 
     @F.pandas_udf("slot bigint, position bigint")
     def place(parts: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
@@ -192,7 +201,6 @@ def mixed(docs: DataFrame, targets: dict | None = None, block_rows: int = BLOCK_
                 slot[at] = plan.value.slot(source, number[at] // plan.value.block_rows)
             yield pd.DataFrame({"slot": slot, "position": plan.value.position(slot, number % plan.value.block_rows)})
 
-    return indexed.withColumn("__place", place("__key", "__index")).withColumns({
-        "mix_block": F.floor(F.col("__index") / block_rows), "mix_slot": F.col("__place.slot"),
-        "mix_position": F.col("__place.position"),
-    }).drop("__key", "__hash", "__text", "__bucket", "__row", "__before", "__index", "__place")
+    out = indexed.withColumn("place", place("key", "index"))
+    return out.select(*[F.col(f"c{i}").alias(n) for i, n in enumerate(names)], F.floor(F.col("index") / block_rows).alias("mix_block"),
+                      F.col("place.slot").alias("mix_slot"), F.col("place.position").alias("mix_position"))

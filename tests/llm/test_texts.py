@@ -399,3 +399,47 @@ def test_mix_of_many_blocks_keeps_to_the_targets():
         at = slots[s][slots[s] <= end]
         share = w / sum(targets.values())
         assert np.abs(np.arange(len(at)) - share * at).max() < 1 and np.abs(np.arange(len(at)) + 1 - share * (at + 1)).max() < 1
+
+
+def test_mix_spreads_rows_without_an_id_and_keeps_any_name(spark):
+    """Rows of one source that share an id, or have none, fall in many buckets; columns may bear any name but the new ones."""
+    found = [(None, f"t{i}", "a", i, i) for i in range(400)] + [(7, f"u{i}", "a", i, i) for i in range(400)]
+    docs = spark.createDataFrame(found, "doc_id bigint, text string, source string, key int, __hash int")
+    out = mixing.mixed(docs, bucket_rows=50)
+    assert out.columns == ["doc_id", "text", "source", "key", "__hash", "mix_block", "mix_slot", "mix_position"]
+    got = out.collect()
+    assert sorted(r["mix_position"] for r in got) == list(range(800))
+    assert {(r["doc_id"], r["text"], r["key"], r["__hash"]) for r in got} == {(i, t, k, h) for i, t, _s, k, h in found}
+    hashed = docs.select(F.shiftrightunsigned(F.xxhash64(F.lit(mixing.SEED), "doc_id", "text"), 60).alias("b")).distinct().count()
+    assert hashed == 16
+
+
+def test_mix_of_a_large_table_is_planned_in_bounded_steps():
+    """A hundred million times the shortest block: the plan holds no more blocks than it may, and stays fair."""
+    rows = {f"s{i}": 64 * n for i, n in enumerate((6 * 10 ** 7, 3 * 10 ** 7, 10 ** 7, 5 * 10 ** 5, 3))}
+    length = mixing.block_length(sum(rows.values()))
+    targets = {s: n ** 0.5 for s, n in rows.items()}
+    plan = mixing.Plan(rows, mixing.exact_weights(targets), length)
+    held = sum(len(slots) for parts in plan.by_source.values() for *_rest, slots in parts)
+    assert held <= mixing.MOST_BLOCKS + len(rows)
+    weights = mixing.exact_weights(targets)
+    total, fewest = sum(weights.values()), 1000
+    for s in rows:
+        if -(-rows[s] // length) > fewest:
+            slots = plan.slot(s, np.arange(fewest))
+            first = min(int(plan.slot(r, np.array([-(-n // length) - 1]))[0]) for r, n in rows.items())
+            for j, at in enumerate(slots.tolist()):
+                if at < first:
+                    assert j * total <= (at + 1) * weights[s] and (j + 1) * total > at * weights[s] - total
+    assert mixing.block_length(10 ** 6) == mixing.BLOCK_ROWS
+
+
+def test_columns_may_bear_any_name(spark):
+    """Names that the joins of line dedup and near duplicates might use for themselves."""
+    found = [(i, "a line that stands in many of these documents\nown " + "word " * 20 + str(i), "a", i, i, i, i) for i in range(6)]
+    docs = spark.createDataFrame([*found, found[0]], "doc_id bigint, text string, source string, __id int, mark int, id int, drops int")
+    out = lines.without_repeated_lines(docs)
+    assert out.columns == docs.columns and out.count() == 7
+    assert out.filter("text LIKE 'a line%'").count() == 1
+    kept = simhash.without_near_duplicates(docs)
+    assert kept.columns == docs.columns and kept.filter("id <> doc_id OR mark <> doc_id").count() == 0
