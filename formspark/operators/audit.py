@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -158,30 +156,38 @@ def missing_units(sources: DataFrame, manifest: DataFrame, pages_per_unit: int)
     named = sources.join(_source_files(manifest).select("source_gcs_uri", "source_file"), "source_gcs_uri")
     expected = man.expand_units(named.select("source_gcs_uri", "page_count", "source_file"), pages_per_unit)
     gone = expected.join(manifest.select(*man.KEY).distinct(), man.KEY, "left_anti")
-    return _bare_rows(gone, F.concat(
-        F.lit("no manifest row at all for page range "), F.col("source_page_range"), F.lit(" of this source PDF")))
+    return _bare_rows(gone, _missing_text())
 
 
-def check_malformed(sources: DataFrame, manifest: DataFrame, pages_per_unit: int) -> DataFrame:
-    """Malformed sources that are not already one rejected row naming the page count."""
-    n = F.col("page_count").cast("string")
-    joined = sources.filter(F.col("page_count") % pages_per_unit != 0).join(_source_files(manifest), "source_gcs_uri")
-    handled = F.coalesce(
+def _missing_text() -> Column:
+    return F.concat(F.lit("no manifest row at all for page range "), F.col("source_page_range"), F.lit(" of this source PDF"))
+
+
+def _malformed_text(pages: Column, pages_per_unit: int) -> Column:
+    return F.concat(F.lit("source PDF has "), pages.cast("string"), F.lit(
+        f" page(s), not a multiple of {pages_per_unit} - cannot verify completeness by page range"))
+
+
+def _rejected_as_malformed(pages: Column) -> Column:
+    """Whether the source's one manifest row is a rejection that names the page count."""
+    return F.coalesce(
         (F.col("manifest_rows") == 1)
-        & F.contains(F.col("rejection"), F.concat(n, F.lit(" page(s)")))
+        & F.contains(F.col("rejection"), F.concat(pages.cast("string"), F.lit(" page(s)")))
         & F.contains(F.col("rejection"), F.lit("not a multiple of")),
         F.lit(False),
     )
-    rows = joined.filter(~handled).withColumn("source_page_range", F.lit(None).cast("string"))
-    return _bare_rows(rows, F.concat(
-        F.lit("source PDF has "), n, F.lit(f" page(s), not a multiple of {pages_per_unit} - "
-                                           "cannot verify completeness by page range")))
+
+
+def check_malformed(sources: DataFrame, manifest: DataFrame, pages_per_unit: int) -> DataFrame:
+    """Malformed sources that are not already one rejected row naming the page count."""
+    joined = sources.filter(F.col("page_count") % pages_per_unit != 0).join(_source_files(manifest), "source_gcs_uri")
+    rows = joined.filter(~_rejected_as_malformed(F.col("page_count"))).withColumn("source_page_range", F.lit(None).cast("string"))
+    return _bare_rows(rows, _malformed_text(F.col("page_count"), pages_per_unit))
 
 
 def with_source_problem(manifest: DataFrame, listing: DataFrame, open_errors: DataFrame | None,
                         bucket: str) -> DataFrame:
     """Adds ``source_problem``: address not ours, source gone, or source would not open."""
-    uri = F.col("source_gcs_uri")
     there = listing.select(F.col("uri").alias("source_gcs_uri")).distinct().withColumn("there", F.lit(True))
     rows = manifest.join(there, "source_gcs_uri", "left")
     if open_errors is not None:
@@ -189,14 +195,18 @@ def with_source_problem(manifest: DataFrame, listing: DataFrame, open_errors: Da
         rows = rows.join(failed, "source_gcs_uri", "left")
     else:
         rows = rows.withColumn("open_error", F.lit(None).cast("string"))
-    problem = (
+    return rows.select(*manifest.columns, _source_problem(bucket).alias("source_problem"))
+
+
+def _source_problem(bucket: str) -> Column:
+    uri = F.col("source_gcs_uri")
+    return (
         F.when(~F.coalesce(uri.startswith(f"gs://{bucket}/"), F.lit(False)),
                F.concat(F.lit("unrecognized source_gcs_uri: "), _quoted(uri)))
         .when(F.col("there").isNull(), F.concat(F.lit("source PDF no longer exists in GCS: "), uri))
         .when(F.col("open_error").isNotNull(),
               F.concat(F.lit("failed to open source PDF: "), F.col("open_error")))
     )
-    return rows.select(*manifest.columns, problem.alias("source_problem"))
 
 
 def check_source(manifest: DataFrame, listing: DataFrame, open_errors: DataFrame | None, bucket: str) -> DataFrame:
@@ -204,18 +214,49 @@ def check_source(manifest: DataFrame, listing: DataFrame, open_errors: DataFrame
     return flagged.select(*manifest.columns, F.array("source_problem").alias("problems"))
 
 
+def _source_facts(manifest: DataFrame, sources: DataFrame, listing: DataFrame, open_errors: DataFrame | None,
+                  bucket: str) -> DataFrame:
+    """A row for each source of the manifest: its file, rows, rejection and page count, and ``source_problem``.
+
+    What is wrong with a source is the same for all its rows, so it is found out once for each.
+    """
+    there = listing.select(F.col("uri").alias("source_gcs_uri")).distinct().withColumn("there", F.lit(True))
+    facts = _source_files(manifest).join(there, "source_gcs_uri", "left").join(
+        sources.select("source_gcs_uri", "page_count"), "source_gcs_uri", "left")
+    if open_errors is not None:
+        failed = open_errors.groupBy("source_gcs_uri").agg(F.min("error").alias("open_error"))
+        facts = facts.join(failed, "source_gcs_uri", "left")
+    else:
+        facts = facts.withColumn("open_error", F.lit(None).cast("string"))
+    return facts.withColumn("source_problem", _source_problem(bucket)).drop("there", "open_error")
+
+
+def _without_rows(facts: DataFrame, manifest: DataFrame, pages_per_unit: int) -> DataFrame:
+    """Rows for what sound sources lack in the manifest: units of well-formed ones, and malformed ones not rejected as such."""
+    n, size = F.col("page_count"), pages_per_unit
+    starts = F.sequence(F.lit(0), (n - size).cast("int"), F.lit(size))
+    units = F.transform(starts, lambda s: F.concat_ws("-", s + 1, s + size))
+    whole = F.array(F.lit(None).cast("string"))
+    expected = F.when((n >= size) & (n % size == 0), units).when((n % size != 0) & ~_rejected_as_malformed(n), whole)
+    due = facts.filter("source_problem IS NULL").withColumn("source_page_range", F.explode(expected))
+    # A malformed source has no range, so it meets no row.
+    gone = due.join(manifest.select(*man.KEY).distinct(), man.KEY, "left_anti")
+    return _bare_rows(gone, F.when(F.col("source_page_range").isNull(), _malformed_text(n, size)).otherwise(_missing_text()))
+
+
 def audit(manifest: DataFrame, sources: DataFrame, listing: DataFrame, verdicts: DataFrame, bucket: str,
           prefix: str, pages_per_unit: int, open_errors: DataFrame | None = None) -> DataFrame:
     """All checks, one row per manifest row with problems, plus the source-level rows.
 
-    Every check is a left join onto the manifest row, so nothing is gathered per
-    source and a dominant source splits like any other join key.
+    The checks of a source run once for each source; a manifest row meets their outcome, its destination and its verdict in
+    one left join each. Nothing is gathered per source, and a dominant source splits like any other join key.
     """
-    rows = with_source_problem(manifest.select(*AUDIT_COLUMNS), listing, open_errors, bucket)
+    rows = manifest.select(*AUDIT_COLUMNS)
+    facts = _source_facts(rows, sources, listing, open_errors, bucket)
     there = listing.select(F.col("uri").alias("destination_gcs_uri")).distinct().withColumn("placed", F.lit(True))
+    known = facts.select(F.col("source_gcs_uri").alias("of_source"), "page_count", "source_problem")
     sized = rows.join(there, "destination_gcs_uri", "left").join(
-        sources.select("source_gcs_uri", "page_count"), "source_gcs_uri", "left"
-    )
+        known, F.col("source_gcs_uri").eqNullSafe(F.col("of_source")), "left").drop("of_source")
     judged = _with_verdict(sized, verdicts, pages_per_unit)
     uri = F.col("destination_gcs_uri")
     none = F.array().cast("array<string>")
@@ -232,11 +273,7 @@ def audit(manifest: DataFrame, sources: DataFrame, listing: DataFrame, verdicts:
         F.concat(placement_problems(bucket, prefix), destination, category)
     )
     per_row = judged.select(*AUDIT_COLUMNS, problems.alias("problems")).filter(F.size("problems") > 0)
-    sound_rows = rows.filter("source_problem IS NULL")
-    sound_sources = sources.join(sound_rows.select("source_gcs_uri").distinct(), "source_gcs_uri", "left_semi")
-    parts = [per_row, missing_units(sound_sources, sound_rows, pages_per_unit),
-             check_malformed(sound_sources, sound_rows, pages_per_unit)]
-    return reduce(lambda a, b: a.unionByName(b), parts)
+    return per_row.unionByName(_without_rows(facts, rows, pages_per_unit))
 
 
 def pending_sources(manifest: DataFrame, done: DataFrame, limit: int | None = None) -> DataFrame:
