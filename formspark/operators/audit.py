@@ -276,6 +276,46 @@ def audit(manifest: DataFrame, sources: DataFrame, listing: DataFrame, verdicts:
     return per_row.unionByName(_without_rows(facts, rows, pages_per_unit))
 
 
+def of_sources(frame: DataFrame, names: DataFrame) -> DataFrame:
+    """Rows of the named sources; a null source is one like others."""
+    wanted = names.select(F.col("source_gcs_uri").alias("wanted"))
+    return frame.join(wanted, F.col("source_gcs_uri").eqNullSafe(F.col("wanted")), "left_semi")
+
+
+def source_digests(manifest: DataFrame, sources: DataFrame, listing: DataFrame, verdicts: DataFrame,
+                   open_errors: DataFrame | None = None) -> DataFrame:
+    """``source_gcs_uri`` and ``digest`` of everything that its audit reads, for every source of the manifest.
+
+    A row of the manifest counts with whether its destination is listed. Hashes of rows are added up, so the order of
+    rows and how they are dealt make no difference, and sums combine map-side.
+    """
+    listed = listing.select("uri").distinct()
+    rows = manifest.select(*AUDIT_COLUMNS).join(
+        listed.select(F.col("uri").alias("destination_gcs_uri"), F.lit(True).alias("placed")), "destination_gcs_uri", "left")
+
+    def part(frame: DataFrame, tag: str, *columns: str, uri: str = "source_gcs_uri") -> DataFrame:
+        return frame.select(F.col(uri).alias("source_gcs_uri"), F.xxhash64(F.lit(tag), *columns).alias("hash"),
+                            F.lit(int(tag == "row")).alias("own"))
+
+    parts = [part(rows, "row", *AUDIT_COLUMNS, "placed"), part(sources, "pages", "page_count"),
+             part(verdicts, "verdict", *man.VERDICT_KEY, *man.VERDICTS), part(listed, "there", uri="uri")]
+    if open_errors is not None:
+        parts.append(part(open_errors, "error", "error"))
+    both = parts[0]
+    for more in parts[1:]:
+        both = both.unionByName(more)
+    total = F.sum(F.col("hash").cast("decimal(20,0)")).cast("string")
+    return both.groupBy("source_gcs_uri").agg(F.sum("own").alias("rows"), F.concat_ws(":", F.count("*"), total).alias("digest")) \
+        .filter("rows > 0").drop("rows")
+
+
+def changed_sources(digests: DataFrame, audited: DataFrame, limit: int | None = None) -> DataFrame:
+    """Digests that ``audited`` doesn't hold, by source, the first ``limit`` of them."""
+    seen = audited.select(F.col("source_gcs_uri").alias("s"), F.col("digest").alias("d"))
+    due = digests.join(seen, F.col("source_gcs_uri").eqNullSafe(F.col("s")) & (F.col("digest") == F.col("d")), "left_anti")
+    return due if limit is None else due.orderBy(F.col("source_gcs_uri").asc_nulls_last()).limit(limit)
+
+
 def pending_sources(manifest: DataFrame, done: DataFrame, limit: int | None = None) -> DataFrame:
     """Audit sources still to do: sorted, null last; the first-N cut comes before the resume filter."""
     sources = manifest.select("source_gcs_uri").distinct()

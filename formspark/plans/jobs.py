@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from formspark.operators import audit as aud
 from formspark.operators import calibrate, feedback, geometry, quality, rollup
 from formspark.operators import manifest as man
 from formspark.sources import layouts, readers, writers
@@ -44,6 +45,24 @@ def run_intake(table: writers.KeyedTable, sources: DataFrame, listing: DataFrame
     return rows
 
 
+def audit_changes(issues: writers.KeyedTable, audited: writers.KeyedTable, manifest: DataFrame, sources: DataFrame,
+                  listing: DataFrame, verdicts: DataFrame, bucket: str, prefix: str, pages_per_unit: int,
+                  open_errors: DataFrame | None = None, limit: int | None = None) -> int:
+    """Audit the sources of which anything changed since their last audit; returns how many those are.
+
+    ``issues`` (keyed by source) holds what is wrong now: the old issues of an audited source go, whether or not new ones
+    come. ``audited`` (``source_gcs_uri``, ``digest``) is written after the issues, so a run that breaks off audits its
+    sources again and loses none. With ``limit`` a run takes so many of them; the next goes on from there.
+    """
+    digests = aud.source_digests(manifest, sources, listing, verdicts, open_errors)
+    with writers.saved(aud.changed_sources(digests, audited.read(), limit)) as due:
+        found = aud.audit(aud.of_sources(manifest, due), aud.of_sources(sources, due), listing, aud.of_sources(verdicts, due),
+                          bucket, prefix, pages_per_unit, open_errors)
+        issues.replace(writers.issue_rows(found).select(*issues.schema.names), due)
+        audited.replace(due)
+        return due.count()
+
+
 def calibrate_files(marks: DataFrame, questions: DataFrame, ratios: DataFrame, pages: DataFrame) -> DataFrame:
     """Calibration rows from measurements: fits, active layouts, ink split, roll-up."""
     fits = geometry.fit_residual(geometry.fit_similarity(marks)).select(

@@ -3,11 +3,14 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from formspark.operators import audit as aud
 from formspark.operators import manifest as man
 from formspark.plans.queries.intake import BUCKET, ISSUE_SQL, MARK_SQL, PAGES, PREFIX, run_at, UNITS_SQL
+from formspark.plans import jobs
 from formspark.plans.registry import query
+from formspark.session import scratch_dir
 from formspark.sources import writers
 
 _SHOWN = ("source_gcs_uri", "source_page_range", "issues")
@@ -117,14 +120,17 @@ def audit_sources(v):
 _ALL_SQL = _PATHS_SQL.replace("FROM fx_audited", f"FROM ({_JUDGED_SQL.replace('FROM fx_audited a', 'FROM (' + _SOURCE_SQL + ') a')}) j")
 
 
-@query("AUD-07 SNK-08", f"""
+ALL_ISSUES_SQL = f"""
 WITH sp AS ({_SOURCE_SQL}), sound AS (SELECT * FROM sp WHERE source_problem IS NULL),
 every AS (SELECT source_gcs_uri, source_page_range, CASE WHEN source_problem IS NOT NULL THEN source_problem
     ELSE array_to_string(list_concat(list_concat({_PLACE_SQL},
       CASE WHEN destination_gcs_uri IS NOT NULL AND destination_gcs_uri NOT IN (SELECT uri FROM fx_listing) THEN [{_GONE}] ELSE [] END),
       CASE WHEN page_count % 2 = 0 THEN {_CATEGORY_SQL} ELSE [] END), ' | ') END AS issues FROM ({_ALL_SQL}) q)
 SELECT source_gcs_uri, source_page_range, issues FROM every WHERE issues <> ''
-UNION ALL {_MISSING_SQL.format(rows='sound')} UNION ALL {_MALFORMED_SQL.format(rows='sound')}""")
+UNION ALL {_MISSING_SQL.format(rows='sound')} UNION ALL {_MALFORMED_SQL.format(rows='sound')}"""
+
+
+@query("AUD-07 SNK-08", ALL_ISSUES_SQL)
 def audit_everything(v):
     rows = v["fx_audited"]
     found = aud.audit(rows, v["fx_source"], v["fx_listing"], v["fx_unit_verdict"], BUCKET, PREFIX, PAGES,
@@ -132,6 +138,22 @@ def audit_everything(v):
     return writers.issue_rows(found).select(*_SHOWN)
 
 
+_ISSUES = "source_gcs_uri string, source_page_range string, issues string"
+
+
+@query("AUD-07 SNK-08 AUD-08", ALL_ISSUES_SQL)
+def audit_changes(v):
+    """Issues after two runs: before the first a share of the verdicts and files was missing, which the second sees."""
+    base = scratch_dir(v.spark, "audit")
+    issues = writers.KeyedTable(v.spark, f"{base}/issues", ["source_gcs_uri"], StructType.fromDDL(_ISSUES), buckets=16)
+    audited = writers.KeyedTable(v.spark, f"{base}/audited", ["source_gcs_uri"], StructType.fromDDL("source_gcs_uri string, digest string"), buckets=16)
+    some = F.crc32(F.col("source_gcs_uri").cast("binary")) % 4 > 0
+    for verdicts, listing in ((v["fx_unit_verdict"].filter(some), v["fx_listing"].filter(F.crc32(F.col("uri").cast("binary")) % 9 > 0)),
+                              (v["fx_unit_verdict"], v["fx_listing"])):
+        jobs.audit_changes(issues, audited, v["fx_audited"], v["fx_source"], listing, verdicts, BUCKET, PREFIX, PAGES, v["fx_open_errors"])
+    return issues.read()
+
+
 @query("AUD-08", """
 SELECT DISTINCT source_gcs_uri FROM fx_audited WHERE source_gcs_uri NOT IN (SELECT source_gcs_uri FROM fx_source WHERE lang = 'en')""")
 def audit_pending(v):

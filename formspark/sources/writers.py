@@ -60,11 +60,14 @@ def _null_safe(left: DataFrame, right: DataFrame, keys: list[str]) -> Column:
     return reduce(lambda a, b: a & b, [left[k].eqNullSafe(right[k]) for k in keys])
 
 
+def without_keys(target: DataFrame, keys_gone: DataFrame, keys: list[str]) -> DataFrame:
+    """Target without the rows whose key (nulls equal) is among the given ones."""
+    return target.join(keys_gone, _null_safe(target, keys_gone, keys), "left_anti")
+
+
 def replace_by_key(target: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
     """Target without the rows whose key (nulls equal) comes in, plus the new rows."""
-    incoming = new.select(*keys).distinct()
-    kept = target.join(incoming, _null_safe(target, incoming, keys), "left_anti")
-    return kept.unionByName(new, allowMissingColumns=True)
+    return without_keys(target, new.select(*keys).distinct(), keys).unionByName(new, allowMissingColumns=True)
 
 
 def replace_by_folder(target: DataFrame, new: DataFrame, replace: bool = True,
@@ -116,9 +119,15 @@ class KeyedTable:
     def append(self, new: DataFrame) -> None:
         self._declared(new).hint("rebalance", BUCKET).write.mode("append").partitionBy(BUCKET).parquet(self.path)
 
-    def replace(self, new: DataFrame) -> int:
-        """Replace by the table's keys; returns the number of buckets rewritten. The first load just fills the table."""
-        return self._rewrite(new, lambda old, rows: replace_by_key(old, rows, self.keys))
+    def replace(self, new: DataFrame, gone: DataFrame | None = None) -> int:
+        """Replace by the table's keys; returns the number of buckets rewritten. The first load just fills the table.
+
+        Rows whose key is in ``gone`` go too, whether or not new ones come for them.
+        """
+        if gone is None:
+            return self._rewrite(new, lambda old, rows: replace_by_key(old, rows, self.keys))
+        keys = gone.select(*self.keys).distinct()
+        return self._rewrite(new, lambda old, rows: replace_by_key(without_keys(old, keys, self.keys), rows, self.keys), keys)
 
     def replace_folders(self, new: DataFrame) -> int:
         """Replace every row of the non-empty folders that come in."""
@@ -126,20 +135,29 @@ class KeyedTable:
             raise ValueError("the table is not bucketed by folder")
         return self._rewrite(new, lambda old, rows: replace_by_folder(old, rows, folder=self.keys[0]))
 
-    def _rewrite(self, new: DataFrame, merge: Callable[[DataFrame, DataFrame], DataFrame]) -> int:
-        """Rewrite the buckets the new rows fall in; each of them holds new rows, so none is left as it was.
+    def _rewrite(self, new: DataFrame, merge: Callable[[DataFrame, DataFrame], DataFrame], gone: DataFrame | None = None) -> int:
+        """Rewrite the buckets that the new rows, and keys to be ``gone``, fall in.
+
+        A bucket that loses its last row would be left as it was by the overwrite, so its folder is removed after it.
 
         The new rows are written out first, because they are read twice and their lineage may start in this very
         table; the merged buckets too, because Spark reads no path that it overwrites. The bucket list is at most
         ``buckets`` integers.
         """
         with saved(self._declared(new)) as rows:
-            touched = [row[0] for row in rows.select(BUCKET).distinct().collect()]
+            buckets = rows.select(BUCKET)
+            if gone is not None:
+                buckets = buckets.unionByName(self._declared(gone).select(BUCKET))
+            touched = [row[0] for row in buckets.distinct().collect()]
             if touched:
                 old = self._rows().filter(F.col(BUCKET).isin(touched)).drop(BUCKET)
                 with saved(self._declared(merge(old, rows.drop(BUCKET)))) as merged:
                     merged.hint("rebalance", BUCKET).write.mode("overwrite").option("partitionOverwriteMode", "dynamic") \
                         .partitionBy(BUCKET).parquet(self.path)
+                    if gone is not None:
+                        left = {row[0] for row in merged.select(BUCKET).distinct().collect()}
+                        for bucket in set(touched) - left:
+                            remove_path(self.spark, f"{self.path}/{BUCKET}={bucket}")
             return len(touched)
 
 

@@ -9,6 +9,7 @@ import os
 import pytest
 from conftest import SMALL
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from formspark.operators import audit as aud
 from formspark.operators import feedback as fb
@@ -467,3 +468,54 @@ def test_rules_of_a_form_hold_for_its_answers_only(spark):
     got = [(r.form_id, r.answer, r.note) for r in reconcile.with_rules(rows, rules).select("*", reconcile.format_note().alias("note")).collect()]
     assert sorted(got, key=str) == sorted([("a", "123", "should be a 2-digit number"), ("b", "123", None), ("b", "x", "should be a whole number"),
                                   ("a", "x", None), ("c", "x", None)], key=str)
+
+
+def test_audit_reads_what_changed(spark, folder):
+    v = Views(spark, SMALL)
+    manifest, sources, listing, verdicts = v["fx_audited"], v["fx_source"], v["fx_listing"], v["fx_unit_verdict"]
+    shape = T.StructType.fromDDL("source_gcs_uri string, source_page_range string, issues string")
+    issues = writers.KeyedTable(spark, folder + "/issues", ["source_gcs_uri"], shape, buckets=4)
+    audited = writers.KeyedTable(spark, folder + "/audited", ["source_gcs_uri"], T.StructType.fromDDL("source_gcs_uri string, digest string"), buckets=4)
+    shown = ("source_gcs_uri", "source_page_range", "issues")
+
+    def run(manifest=manifest, listing=listing, verdicts=verdicts, limit=None):
+        n = jobs.audit_changes(issues, audited, manifest, sources, listing, verdicts, "bucket", "split/", 2, limit=limit)
+        whole = writers.issue_rows(aud.audit(manifest, sources, listing, verdicts, "bucket", "split/", 2)).select(*shown)
+        return n, rows_of(issues.read().select(*shown)) == rows_of(whole)
+
+    total = manifest.select("source_gcs_uri").distinct().count()
+    assert run(limit=3) == (3, False)
+    assert run() == (total - 3, True)
+    assert run(manifest=manifest.repartition(5)) == (0, True)
+    several = manifest.groupBy("source_gcs_uri").count().filter("count > 2")
+    there = verdicts.join(several, "source_gcs_uri").join(listing, F.col("source_gcs_uri") == F.col("uri"))
+    one, other = (r[0] for r in there.select("source_gcs_uri").distinct().orderBy("source_gcs_uri").limit(2).collect())
+    changed = verdicts.withColumn("content_verdict", F.when(F.col("source_gcs_uri") == one, "BLANK").otherwise(F.col("content_verdict")))
+    assert run(verdicts=changed) == (1, True)
+    lost = listing.filter(F.col("uri") != other)
+    assert run(verdicts=changed, listing=lost) == (1, True)
+    # A source that is well again loses its issues; one that is gone from the manifest keeps its last ones.
+    fewer = manifest.filter(~F.col("source_gcs_uri").eqNullSafe(F.lit(one)) | (F.col("source_page_range") == "1-2"))
+    assert run(manifest=fewer, verdicts=changed, listing=lost) == (1, True)
+
+    class Broken(writers.KeyedTable):
+        def replace(self, *rows):
+            raise OSError("no room")
+
+    state = rows_of(audited.read())
+    held, issues = issues, Broken(spark, folder + "/issues", ["source_gcs_uri"], shape, buckets=4)
+    with pytest.raises(OSError, match="no room"):
+        run()
+    issues = held
+    assert rows_of(audited.read()) == state
+    assert run()[1]
+
+
+def test_keys_go_without_new_rows(spark, folder):
+    rows = spark.createDataFrame([(k, i) for k in ("a", "b", "c", None) for i in range(3)], "k string, i int")
+    table = writers.KeyedTable(spark, folder + "/t", ["k"], rows.schema, buckets=64)
+    table.append(rows)
+    table.replace(rows.filter("k = 'a' AND i = 0"), rows.filter("k IS NULL OR k IN ('a', 'b')").select("k"))
+    assert rows_of(table.read()) == sorted([("a", 0), ("c", 0), ("c", 1), ("c", 2)], key=repr)
+    table.replace(rows.limit(0), rows.select("k"))
+    assert table.is_empty() and [f for f in os.listdir(folder + "/t") if f.startswith("key")] == []
