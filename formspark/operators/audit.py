@@ -10,6 +10,8 @@ from formspark.operators import manifest as man
 from formspark.sources.readers import AUDIT_COLUMNS
 from formspark.sources.writers import replace_by_key
 
+# The texts of the problems, here and below.
+
 
 def _quoted(value: Column) -> Column:
     """Text in quotes as the problem messages show it; null shows as None."""

@@ -11,7 +11,9 @@ from formspark.operators.calibrate import shown
 # Rating thresholds.
 TILT_DEG, FAINT_MARK, BORDERS_READABLE, FAINT_BORDER = 0.5, 0.30, 0.95, 0.70
 SHADOW_COVERAGE, SHADOW_BANDS, MAX_RESIDUAL, FLAGS_FOR_VISION = 0.01, 6, 8.0, 5
+# Where a profile came from, and how a file without one is explained; both are parameters.
 TABLE_SOURCE, SELF_SOURCE = "pdf_calibration_profile", "self-measured"
+NO_PROFILE = "no {} row found for this file - measured directly instead of using notebook 1's calibration"
 TRIGGERS = [
     "pixel_unreadable", "trig_marks_unreadable", "trig_borders_unreadable", "trig_tilted", "trig_marks_missing",
     "trig_residual_high", "questionable_flag", "trig_marks_questionable", "trig_marks_outside",
@@ -32,15 +34,16 @@ def latest_profile(log: DataFrame, key: str = "file_name", ts: str = "profiled_a
     return log.withColumn("newest", newest).filter(F.col("newest") == 1).drop("newest")
 
 
-def profile_or_fallback(files: DataFrame, log: DataFrame, measured: DataFrame, tie: str | None = None) -> DataFrame:
-    """Stored profile of each file if there is one, else the file's own measurement, whole."""
+def profile_or_fallback(files: DataFrame, log: DataFrame, measured: DataFrame, tie: str | None = None,
+                        table: str = TABLE_SOURCE) -> DataFrame:
+    """Stored profile of each file if there is one, else the file's own measurement, whole; ``table`` names the former."""
     columns = [c for c in measured.columns if c != "file_name"]
     stored = latest_profile(log, tie=tie).select("file_name", F.struct(*columns).alias("stored"))
     own = measured.select("file_name", F.struct(*columns).alias("own"))
     joined = files.join(stored, "file_name", "left").join(own, "file_name", "left")
     return joined.withColumn("p", F.coalesce("stored", "own")).select(
         *files.columns, "p.*",
-        F.when(F.col("stored").isNotNull(), TABLE_SOURCE).otherwise(SELF_SOURCE).alias("calibration_source"))
+        F.when(F.col("stored").isNotNull(), table).otherwise(SELF_SOURCE).alias("calibration_source"))
 
 
 def qc_measure(pages: DataFrame, questions: DataFrame, coverage: DataFrame, shadow: DataFrame,
@@ -75,8 +78,8 @@ def _number(column: str) -> Column:
     return F.coalesce(shown(F.col(column)), F.lit("None"))
 
 
-def classify_measured(df: DataFrame) -> DataFrame:
-    """Eight ratings and the reasons behind them, in check order."""
+def classify_measured(df: DataFrame, no_profile: str = NO_PROFILE.format(TABLE_SOURCE)) -> DataFrame:
+    """Eight ratings and the reasons behind them, in check order; ``no_profile`` is the first where a file had none stored."""
     tilt, ink, mark, overflow = (F.col(c) for c in ("tilt_deg", "ink_quality", "ink_mark_lo", "overflow_rows"))
     rate, cover, residual = (F.col(c) for c in ("border_rate", "border_cov_min", "fit_residual_max"))
     faint = F.coalesce(mark < FAINT_MARK, F.lit(False))
@@ -85,9 +88,9 @@ def classify_measured(df: DataFrame) -> DataFrame:
     thin = F.coalesce(cover < FAINT_BORDER, F.lit(False))
     readable = F.coalesce(rate >= BORDERS_READABLE, F.lit(False))
     questions = F.array_join(F.transform(overflow, lambda q: F.concat(F.lit("Q"), q.cast("string"))), ", ")
+    # The texts of the reasons.
     reasons = [
-        F.when(F.col("calibration_source") == SELF_SOURCE, F.lit(
-            "no pdf_calibration_profile row found for this file - measured directly instead of using notebook 1's calibration")),
+        F.when(F.col("calibration_source") == SELF_SOURCE, F.lit(no_profile)),
         F.when(tilt.isNull(), F.lit("page tilt could not be measured (registration marks not found)")).when(
             tilt > TILT_DEG, F.concat(F.lit("page tilted "), _number("tilt_deg"), F.lit(" deg"))),
         F.when(ink == "tight", F.concat(F.lit("marked and blank ink nearly touch (gap "), _number("ink_gap"),

@@ -38,10 +38,14 @@ def intake_rows(sources: DataFrame, listing: DataFrame, verdicts: DataFrame, buc
 def run_intake(table: writers.KeyedTable, sources: DataFrame, listing: DataFrame, verdicts: DataFrame,
                bucket: str, prefix: str, pages_per_unit: int, moved_at: Column, dry_run: bool = False,
                failures: Callable[[DataFrame], None] | None = None) -> DataFrame:
-    """Manifest rows of a run, put in place; units that break its constraint go to ``failures`` or are an error."""
+    """Manifest rows of a run, put in place; units that break its constraint go to ``failures`` or are an error.
+
+    A dry run returns those units among the others, rejected and for review at once, and writes nothing.
+    """
     rows, broken = intake_rows(sources, listing, verdicts, bucket, prefix, pages_per_unit, moved_at)
-    if not dry_run:
-        table.replace(man.settled(rows, broken, failures))
+    if dry_run:
+        return rows.unionByName(broken)
+    table.replace(man.settled(rows, broken, failures))
     return rows
 
 

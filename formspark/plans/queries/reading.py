@@ -279,10 +279,10 @@ UNION ALL SELECT source_gcs_uri, source_page_range, ['normal','declined','reject
 @query("MAN-11 MAN-07 MAN-04", _FULL_RUN)
 def intake_full_run(v):
     """Lazy frame of a whole run."""
-    rows, _broken = jobs.intake_rows(
+    rows, broken = jobs.intake_rows(
         v["fx_source"].select("source_gcs_uri", "page_count"), v["fx_split_listing"], v["fx_unit_verdict"],
         BUCKET, PREFIX, PAGES, run_at())
-    return rows.select("source_gcs_uri", "source_page_range", "output_category")
+    return man.settled(rows, broken, None).select("source_gcs_uri", "source_page_range", "output_category")
 
 
 @query("MAN-11 MAN-07 MAN-04 SNK-02", _FULL_RUN)
