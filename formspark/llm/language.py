@@ -14,7 +14,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 WINDOW = 256
@@ -172,20 +172,27 @@ def train(docs: DataFrame, sample_rows: int = SAMPLE_ROWS, crops: int = CROPS, e
     """A network for the languages of ``docs``; None where no row has both a language and a text with a letter.
 
     Learns from rows that are not held out, at most ``sample_rows`` for each language, those with the smallest hashes of id
-    and text length; of each, ``crops`` pieces of a window's length spread over the whole text, and as many shorter ones. What
-    reaches the driver grows with the number of languages, never with that of documents.
+    and text, equal ones once; of each, ``crops`` pieces of a window's length spread over the whole text, and as many shorter
+    ones. What reaches the driver grows with the number of languages, never with that of documents.
     """
-    rows = docs.select("doc_id", "text", "lang").filter(
-        F.col("lang").isNotNull() & ~held_out() & _has_letter("text")).withColumn("h", F.xxhash64("doc_id", F.length("text")))
-    # Only hashes take part in the ranking; the texts are read again for the few rows that it leaves.
-    first = F.row_number().over(Window.partitionBy("lang").orderBy("h"))
-    limits = rows.select("lang", "h").withColumn("nth", first).filter(F.col("nth") <= sample_rows) \
-        .groupBy("lang").agg(F.max("h").alias("most"))
-    kept = rows.join(F.broadcast(limits), "lang").filter("h <= most")
+    rows = docs.select("doc_id", "text", "lang").filter(F.col("lang").isNotNull() & ~held_out() & _has_letter("text"))
+    # The rows of each language say below which hash a little more than the sample lies; no group is ranked or sorted.
+    counts = rows.groupBy("lang").agg(F.count("*").alias("n")).collect()
+    if not counts:
+        return None
+    limits = docs.sparkSession.createDataFrame(
+        [(r["lang"], min((1 << 63) - 1, int(1.25 * (sample_rows + 40) / r["n"] * (1 << 64)) - (1 << 63))) for r in counts],
+        "lang string, most bigint")
+    kept = rows.withColumn("h", F.xxhash64("doc_id", "text")).join(F.broadcast(limits), "lang").filter("h <= most")
     step = F.greatest(F.lit(0), F.length("text") - WINDOW) / F.lit(max(1, crops - 1))
     pieces = F.transform(F.sequence(F.lit(0), F.lit(crops - 1)),
                          lambda i: F.substring("text", (i * step).cast("int") + 1, F.lit(WINDOW)))
-    found = kept.select("lang", "h", pieces.alias("pieces")).orderBy("lang", "h", "pieces").collect()
+    drawn = kept.select("lang", "h", pieces.alias("pieces")).groupBy("lang", "h").agg(F.min("pieces").alias("pieces")).collect()
+    found, held = [], dict.fromkeys((r["lang"] for r in counts), 0)
+    for r in sorted(drawn, key=lambda r: (r["lang"], r["h"])):
+        held[r["lang"]] += 1
+        if held[r["lang"]] <= sample_rows:
+            found.append(r)
     if not found:
         return None
     languages = sorted({r["lang"] for r in found})
