@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 WINDOW = 13
-SLICE_CHARS = 32_000_000
+SLICE_CHARS = 6_000_000
 SHARD_BYTES = 4_000_000
 
 # A word is a run of digits, letters and bytes beyond ASCII; A-Z count as a-z.
