@@ -5,6 +5,8 @@ from __future__ import annotations
 import contextlib
 import hashlib
 import io
+import itertools
+import math
 import random
 import re
 import time
@@ -12,6 +14,7 @@ from collections import defaultdict
 
 import numpy as np
 import pytest
+import regex as letters
 from compare import connect, differences
 from pyspark.sql import functions as F
 
@@ -265,6 +268,76 @@ def test_words_beside_an_entity(spark):
         [(["two", "three", "four", "five", "six"], ["seven", "eight", "nine", "ten", "eleven"])]]
 
 
+def brute_terms(texts):
+    """Per text its term spans: every pair of an entity and a word beside it weighed by counts of documents over all texts."""
+    words = lambda t: [w for w in letters.split(r"[^\p{L}]+", t) if len(w) >= 4]
+    every = lambda t: [w for w in letters.split(r"[^\p{L}]+", t) if w]
+    spans = [[(k, int(a), int(z)) for k, a, z in (x.split(":") for x in brute_personal(t))] for t in texts]
+    holds, near, said = defaultdict(set), defaultdict(set), defaultdict(set)
+    for i, text in enumerate(texts):
+        for word in words(text):
+            said[word].add(i)
+        for kind, a, z in spans[i]:
+            entity = (kind, text[a:z])
+            holds[entity].add(i)
+            for word in every(text[:a])[-5:] + every(text[z:])[:5]:
+                if len(word) >= 4:
+                    near[entity, word].add(i)
+    total = len(texts)
+
+    def unlikely(both, draws, share):
+        missed = (draws - both) * math.log((draws - both) / (draws * (1 - share))) if draws > both and share < 1 else 0.0
+        return both * math.log(both / (draws * share)) + missed
+
+    given = defaultdict(set)
+    for (entity, word), docs in near.items():
+        both, term, held = len(docs), len(said[word]), len(holds[entity])
+        content = math.log(total / held)
+        pmi = math.log(both * total / (term * held))
+        least = max(unlikely(both, term, held / total), unlikely(both, held, term / total))
+        if content > 0 and pmi / content >= 0.9 and least >= -math.log(0.05):
+            given[entity].add(word)
+    out = []
+    for text, base in zip(texts, spans):
+        told = {w for kind, a, z in base for w in given[kind, text[a:z]]}
+        found = [(m.start(), m.end()) for m in letters.finditer(r"\p{L}+", text) if m[0] in told]
+        out.append([f"term:{a}:{z}" for a, z in found if not any(a < bz and ba < z for _k, ba, bz in base)])
+    return out
+
+
+def test_terms_match_brute_force(spark):
+    random.seed(11)
+    plain = ["report", "about", "from", "with", "call", "soon", "plain", "words", "the", "of", "é"]
+    people = [(f"Name{chr(97 + k)}é", f"Town{chr(97 + k)}", random.choice([f"n{k}@mail.example", f"10.0.{k}.1", f"+1 555 555 55{k:02d}"])) for k in range(20)]
+    texts = []
+    for _ in range(400):
+        parts = random.choices(plain, k=random.randint(0, 9))
+        for name, town, value in random.sample(people, random.choice([0, 0, 1, 1, 2])):
+            parts += random.choices([name, town, value, "and", *plain[:3]], weights=[4, 2, 5, 1, 1, 1, 1], k=5)
+        texts.append(" ".join(parts))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").repartition(5)
+    got = {r["doc_id"]: [s for s in r["spans"].split(",") if s.startswith("term")] for r in pii.personal_report(docs).collect()}
+    want = brute_terms(texts)
+    assert sum(map(len, want)) > 100
+    assert [got[i] for i in range(len(texts))] == want
+
+
+def test_running_sums(spark):
+    random.seed(1)
+    rows = [([random.randrange(9) for _ in range(n)],) for n in (0, 1, 2, 511, 512, 513, 1024, 1025, 5000)]
+    for r in spark.createDataFrame(rows, "a array<int>").select("a", pii._running(F.col("a")).alias("s")).collect():
+        assert r.s == list(itertools.accumulate(r.a))
+
+
+def test_a_text_of_very_many_numbers(spark):
+    """Every number is a match to be looked at; a hundred thousand once took minutes."""
+    docs = spark.createDataFrame([(1, "12, " * 100_000 + "a@b.co")], "doc_id bigint, text string")
+    began = time.time()
+    row = pii.personal_report(docs).first()
+    assert row["n_email"] == 1 and row["spans"] == "email:400000:400006"
+    assert time.time() - began < 90
+
+
 # Vectors -----------------------------------------------------------------------------------------------------------------------
 
 def brute_vectors(found, threshold=0.95):

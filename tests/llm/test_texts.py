@@ -6,6 +6,7 @@ import hashlib
 import pickle
 import random
 import re
+import time
 import zlib
 from collections import defaultdict
 from types import SimpleNamespace
@@ -443,3 +444,15 @@ def test_columns_may_bear_any_name(spark):
     assert out.filter("text LIKE 'a line%'").count() == 1
     kept = simhash.without_near_duplicates(docs)
     assert kept.columns == docs.columns and kept.filter("id <> doc_id OR mark <> doc_id").count() == 0
+
+
+def test_secrets_of_one_very_long_text():
+    """A million bytes of hits, of one value or of digits: places come from one pass, states that go on are settled at once."""
+    scanner = secrets.Scanner.of(secrets.BASE + secrets.MORE)
+    text = "é token = abcdef123456 " * 40_000
+    began = time.process_time()
+    found = scanner.spans([text.encode()])[0]
+    assert len(found) == 40_000 and found[39_999] == (39_999 * 23 + 2, 0, 39_999 * 23 + 22)
+    assert scanner.spans([b"x token=" + b"a" * 1_000_000]) == [[(2, 0, 1_000_008), (8, 2, 1_000_008)]]
+    assert scanner.spans([b"0123456789abcdef" * 60_000, b"AKIA" + b"Z" * 900_000]) == [[(0, 2, 960_000)], [(0, 1, 900_004)]]
+    assert time.process_time() - began < 60
