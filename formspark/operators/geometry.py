@@ -25,6 +25,8 @@ BOX_SIDE_MIN, BOX_SIDE_MAX, BOX_SIDE_INK = 18, 55, 0.6
 ROW_LIMITS = {"yesno_box": (12.0, 600.0), "h3_circle": (18.0, 180.0)}
 CHOICE_TYPES, SURE = ("single-choice", "multi-select"), 0.75
 CELL = 64
+# Cells along a side of the tiles that a page's centres are dealt by.
+TILE = 16
 TARGET = ["question", "control_type", "page", "layout"]
 
 
@@ -227,43 +229,55 @@ def collapse_nested(rects: DataFrame, apart: float = 10) -> DataFrame:
 
     Of equal centres only the first can be kept, so each centre comes down to one row map-side. The rest is settled in
     rounds: a centre with no open earlier one near it is kept, and what lies near it is dropped, which is what taking all
-    of them in order gives. Two centres in one cell of side ``apart`` are always near, so a cell offers one centre a round,
-    and it meets the open centres of nine cells. Rounds follow the longest chain of centres that hang on one another.
+    of them in order gives. Two centres in one cell of side ``apart`` are always near, so a cell offers one centre a round.
+    Rounds follow the longest chain of centres that hang on one another.
     """
     order = F.struct((-F.col("area")).alias("o_area"), F.col("y0").alias("o_y0"), F.col("x0").alias("o_x0"),
                      F.col("x1").alias("o_x1"), F.col("y1").alias("o_y1"))
-    centres = rects.groupBy("page_id", _centre("x0", "x1").alias("cx"), _centre("y0", "y1").alias("cy")).agg(
-        F.min(order).alias("o"))
-    cell = ["cell_x", "cell_y"]
-    still_open = stored(centres.withColumns(
-        {"cell_x": F.floor(F.col("cx") / apart), "cell_y": F.floor(F.col("cy") / apart)}))
+    still_open = stored(rects.groupBy("page_id", _centre("x0", "x1").alias("cx"), _centre("y0", "y1").alias("cy")).agg(
+        F.min(order).alias("o")).select("page_id", "o"))
     kept = []
     while True:
-        first = still_open.groupBy("page_id", *cell).agg(F.min_by(F.struct("cx", "cy", "o"), "o").alias("f")).select(
-            F.col("page_id").alias("f_page"), *[F.col(f"f.{c}").alias(f"f_{c}") for c in ("cx", "cy", "o")])
-        blocked = _around(first, apart).join(still_open, _meets(apart) & (F.col("o") < F.col("f_o")), "left_semi")
-        round_kept = stored(first.join(blocked.select("f_page", "f_cx", "f_cy").distinct(), ["f_page", "f_cx", "f_cy"], "left_anti"))
-        kept.append(round_kept)
-        still_open = stored(still_open.join(_around(round_kept, apart), _meets(apart), "left_anti"))
+        settled = stored(_settle_nested(still_open, apart))
+        kept.append(settled.filter("kept"))
+        still_open = settled.filter("NOT kept").select("page_id", "o")
         if still_open.isEmpty():
             break
-    chosen = reduce(DataFrame.unionByName, kept).select(F.col("f_page").alias("page_id"), "f_o.*")
+    chosen = reduce(DataFrame.unionByName, kept).select("page_id", "o.*")
     return chosen.select("page_id", F.col("o_x0").alias("x0"), F.col("o_x1").alias("x1"), F.col("o_y0").alias("y0"),
                          F.col("o_y1").alias("y1"), (-F.col("o_area")).alias("area"))
 
 
-def _around(centres: DataFrame, side: float) -> DataFrame:
-    """Every centre once for each of the nine cells that can hold one near it."""
-    found = centres
-    for axis in "xy":
-        cell = F.floor(F.col(f"f_c{axis}") / side)
-        found = found.withColumn(f"f_cell_{axis}", F.explode(F.sequence(cell - 1, cell + 1)))
-    return found
-
+def _settle_nested(still_open: DataFrame, apart: float) -> DataFrame:
+    """One round: the centres kept, and those left open, told apart by ``kept``; what was dropped is gone.
 
-def _meets(apart: float) -> Column:
-    same = (F.col("page_id") == F.col("f_page")) & (F.col("cell_x") == F.col("f_cell_x")) & (F.col("cell_y") == F.col("f_cell_y"))
-    return same & (F.abs(F.col("cx") - F.col("f_cx")) < apart) & (F.abs(F.col("cy") - F.col("f_cy")) < apart)
+    Centres are dealt by tiles of a page; a tile also gets what lies within two cells of its edge. That decides all of
+    its own: whether one is kept hangs on the cells next to it, whether one is dropped on a kept one that near. So
+    neighbours meet on the key they were dealt by, and a centre meets at most one first of each cell of its tile.
+    """
+    tile, axes = ["page_id", "tile_x", "tile_y"], "xy"
+    centre = {"x": (F.col("o.o_x0") + F.col("o.o_x1")) / 2, "y": (F.col("o.o_y0") + F.col("o.o_y1")) / 2}
+    cells = {axis: F.floor(centre[axis] / apart) for axis in axes}
+    dealt = still_open
+    for axis in axes:
+        low, high = (F.floor((cells[axis] + off) / TILE) for off in (-2, 2))
+        dealt = dealt.withColumn(f"tile_{axis}", F.explode(F.sequence(low, high)))
+    local = dealt.select(*tile, "o").repartition(*tile).select(
+        *tile, "o", *[centre[a].alias(f"c{a}") for a in axes], *[cells[a].alias(f"cell_{a}") for a in axes])
+
+    def met(frame: DataFrame) -> DataFrame:
+        return frame.select(*[F.col(c).alias(f"n_{c}") for c in (*tile, "cx", "cy", "o")])
+
+    meets = reduce(lambda a, b: a & b, [F.col(c) == F.col(f"n_{c}") for c in tile]) \
+        & (F.abs(F.col("cx") - F.col("n_cx")) < apart) & (F.abs(F.col("cy") - F.col("n_cy")) < apart)
+    first = local.groupBy(*tile, "cell_x", "cell_y").agg(F.min("o").alias("o")).withColumns({f"c{a}": centre[a] for a in axes})
+    known = reduce(lambda a, b: a & b, [
+        (F.col(f"cell_{a}") >= F.col(f"tile_{a}") * TILE - 1) & (F.col(f"cell_{a}") <= (F.col(f"tile_{a}") + 1) * TILE) for a in axes])
+    keeps = first.filter(known).join(met(local), meets & (F.col("n_o") < F.col("o")), "left_anti")
+    own = reduce(lambda a, b: a & b, [F.floor(F.col(f"cell_{a}") / TILE) == F.col(f"tile_{a}") for a in axes])
+    # Kept ones are never near each other, so one meets itself alone; the others that meet any are dropped.
+    seen = local.filter(own).join(met(keeps), meets, "left")
+    return seen.filter(F.col("n_o").isNull() | (F.col("n_o") == F.col("o"))).select("page_id", "o", F.col("n_o").isNotNull().alias("kept"))
 
 
 def _form(*frames: DataFrame) -> list[str]:
