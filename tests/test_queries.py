@@ -61,3 +61,21 @@ def test_no_query_joins_without_keys(spark):
              if not name.startswith(("intake_stream", "sink_bucketed", "sink_append", "feedback_ingest", "feedback_load"))
              and "NestedLoopJoin" in plan_of(run(spark, SMALL))]
     assert loops == []
+
+
+def test_partitions_follow_the_tables(spark, tmp_path):
+    """A shuffle starts with more partitions over more bytes; what a session had comes back after it."""
+    from formspark.session import ADVISORY, INITIAL, INPUT_A_PART, as_came, shuffle_by_size
+
+    as_came(spark)
+    before = spark.conf.get(INITIAL, None), spark.conf.get(ADVISORY)
+    started = []
+    for n in (1, 20, 60):
+        (tmp_path / f"{n}.parquet").write_bytes(b"x" * n * INPUT_A_PART)
+        shuffle_by_size(spark, str(tmp_path))
+        started.append(int(spark.conf.get(INITIAL)))
+    assert started == [8, 21, 81]
+    driver.queries()["op6_url_filter"](spark, SMALL)
+    assert (spark.conf.get(INITIAL, None), spark.conf.get(ADVISORY)) == before
+    driver.queries()["quality_failure_stubs"](spark, SMALL)
+    assert int(spark.conf.get(INITIAL)) >= 8
