@@ -213,14 +213,16 @@ def apply_ocr_authority(df: DataFrame) -> DataFrame:
     checked = F.col("ocr_check") if "ocr_check" in df.columns else F.lit("token")
     agrees = F.when(checked == "freeform", ocr_freeform_ok(F.col("model_answer"), F.col("ocr_text"))).otherwise(
         ocr_token_ok(F.col("model_answer"), F.col("ocr_text")))
-    against = read & (checked != "none") & ~F.coalesce(agrees, F.lit(False))
+    # A column of its own, so that the comparison is not repeated wherever the answer is looked at.
+    df = df.withColumn("ocr_against", read & (checked != "none") & ~F.coalesce(agrees, F.lit(False)))
+    against = F.col("ocr_against")
     takes = against & F.coalesce("ocr_authoritative", F.lit(False)) & (_text("ocr_text") != "")
     note = F.concat(F.lit("Cloud Vision read "), _shown(F.col("ocr_text")), F.lit(", the model read "), _shown(F.col("model_answer")))
     return df.withColumns({
         "answer": F.when(takes, _text("ocr_text")).otherwise(F.col("answer")),
         "detection_method": F.when(takes, "ocr").otherwise(F.col("detection_method")),
         "ocr_note": F.when(against, note),
-    })
+    }).drop("ocr_against")
 
 
 def both_blank(df_has_ocr: bool = True) -> Column:

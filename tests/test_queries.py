@@ -79,3 +79,9 @@ def test_partitions_follow_the_tables(spark, tmp_path):
     assert (spark.conf.get(INITIAL, None), spark.conf.get(ADVISORY)) == before
     driver.queries()["quality_failure_stubs"](spark, SMALL)
     assert int(spark.conf.get(INITIAL)) >= 8
+
+
+def test_ocr_comparison_is_reckoned_once(spark):
+    """However often the answer is looked at after it, the plan holds the comparison of characters once."""
+    plan = driver.queries()["reading_reconciled_answers"](spark, SMALL)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("array_intersect") == 1
