@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -23,12 +21,19 @@ def sync_feedback(responses: DataFrame, feedback: DataFrame | None) -> DataFrame
 
     Keys compare null-safe, so running it again adds nothing.
     """
+    lacking = lacking_feedback(responses, feedback)
+    return lacking if feedback is None else feedback.unionByName(lacking, allowMissingColumns=True)
+
+
+def lacking_feedback(responses: DataFrame, feedback: DataFrame | None) -> DataFrame:
+    """The answers that the feedback rows lack, with null feedback columns."""
     blank = responses.select("*", *[F.lit(None).cast(kind).alias(c) for c, kind in EXTRA.items()])
     if feedback is None:
         return blank
-    known = feedback.select(*KEY).distinct()
-    same = reduce(lambda a, b: a & b, [blank[k].eqNullSafe(known[k]) for k in KEY])
-    return feedback.unionByName(blank.join(known, same, "left_anti"), allowMissingColumns=True)
+    # Null or not is a key of its own, so that the join takes the known keys as they were dealt to become distinct.
+    keys = {f"_{kind}_{k}": column for k in KEY for kind, column in (("is", F.col(k).isNotNull()), ("at", F.coalesce(k, F.lit(""))))}
+    known = feedback.select(*[column.alias(name) for name, column in keys.items()]).distinct()
+    return blank.withColumns(keys).join(known, [*keys], "left_anti").drop(*keys)
 
 
 def pending_feedback(feedback: DataFrame) -> DataFrame:

@@ -10,6 +10,8 @@ import re
 
 from pyspark.sql import DataFrame, SparkSession
 
+from formspark.sources.writers import stored
+
 TABLES = (
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
     "documents", "embeddings", "pages", "benchmark", "labels", "conversations",
@@ -367,7 +369,12 @@ class Views:
     """Driver tables and fixture views of one data folder as frames."""
 
     def __init__(self, spark: SparkSession, folder: str):
-        self.spark, self.folder = spark, folder
+        self.spark, self.folder, self.kept = spark, folder, {}
+
+    def keep(self, *names: str) -> None:
+        """Write these views out, for a query that draws on them several times; views built on them read the copies."""
+        for name in names:
+            self.kept[name] = stored(self[name])
 
     def table(self, name: str) -> DataFrame:
         key = (self.spark.sparkContext.applicationId, self.folder, name)
@@ -378,6 +385,8 @@ class Views:
     def __getitem__(self, name: str) -> DataFrame:
         if name in TABLES:
             return self.table(name)
+        if name in self.kept:
+            return self.kept[name]
         sql = VIEWS[name]
         for part in _needs(sql, TABLES):
             self.table(part).createOrReplaceTempView(part)

@@ -108,24 +108,35 @@ def ingest_latest(spark: SparkSession, listing: DataFrame, prefix: str, response
 
     The export's own name, one row, decides which file is read.
     """
+    path = _newest_export(listing, prefix, suffix)
+    synced = feedback.sync_feedback(responses, feedback_rows)
+    return feedback.merge_feedback(synced, readers.read_feedback(spark, path), F.lit(path), now)
+
+
+def _newest_export(listing: DataFrame, prefix: str, suffix: str) -> str:
     newest = readers.latest_export(listing, prefix, suffix).first()
     if newest is None:
         raise MissingExport(f"no export {prefix}*{suffix} in the listing")
-    path = newest["object_name"]
-    synced = feedback.sync_feedback(responses, feedback_rows)
-    sheet = readers.read_feedback(spark, path)
-    return feedback.merge_feedback(synced, sheet, F.lit(path), now)
+    return newest["object_name"]
 
 
 def load_feedback(table: writers.KeyedTable, listing: DataFrame, prefix: str, responses: DataFrame, now: Column,
                   suffix: str = ".csv") -> int:
     """The newest export merged into the feedback table; returns the number of answers applied.
 
-    Rows already answered stay, so loading an export again applies nothing.
+    Rows already answered stay, so loading an export again applies nothing. Only rows that change are written: answers
+    the table lacked and those the export answers, the latter with what else stands under their key.
     """
-    known = None if table.is_empty() else table.read()
-    merged = ingest_latest(table.spark, listing, prefix, responses, known, now, suffix)
-    with writers.saved(merged) as rows:
+    if table.is_empty():
+        table.append(ingest_latest(table.spark, listing, prefix, responses, None, now, suffix).drop("applied_now"))
+        return table.read().filter("updated_with_feedback").count()
+    known, path = table.read(), _newest_export(listing, prefix, suffix)
+    unanswered = known.filter("updated_with_feedback IS NULL").withColumn("added", F.lit(False))
+    synced = unanswered.unionByName(feedback.lacking_feedback(responses, known).withColumn("added", F.lit(True)), allowMissingColumns=True)
+    merged = feedback.merge_feedback(synced, readers.read_feedback(table.spark, path), F.lit(path), now)
+    with writers.saved(merged.filter("applied_now OR added").drop("added")) as rows:
+        taken = rows.filter("applied_now").select(*feedback.KEY).distinct()
         applied = rows.filter("applied_now").count()
-        table.replace(rows.drop("applied_now"))
+        answered = known.filter("updated_with_feedback IS NOT NULL").join(taken, feedback.KEY, "left_semi")
+        table.replace(rows.drop("applied_now").unionByName(answered, allowMissingColumns=True) if applied else rows.drop("applied_now"))
     return applied

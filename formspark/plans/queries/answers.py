@@ -138,7 +138,7 @@ def _exported(v):
     base = scratch_dir(v.spark, "exports")
     newest = f"{base}/review_20251130_101500.csv"
     v["fx_feedback"].write.option("header", "true").csv(newest)
-    listing = v["fx_exports"].select(F.concat(F.lit(f"{base}/"), F.regexp_extract("object_name", "[^/]*$", 0)).alias("object_name"))
+    listing = v["fx_exports"].select(F.concat(F.lit(f"{base}/"), F.substring_index("object_name", "/", -1)).alias("object_name"))
     return listing.unionByName(v["region"].select(F.lit(newest).alias("object_name")))
 
 
@@ -148,6 +148,7 @@ FROM fx_responses r LEFT JOIN fx_feedback f ON f.folder_name = r.folder_name AND
 SELECT folder_name, file_name, question_number, survey_answer, taken, (SELECT count(*) FILTER (taken) FROM a) AS first_applied, CAST(0 AS BIGINT) AS then_applied FROM a""")
 def feedback_load_twice(v):
     """The newest export written into the feedback table, and loaded again: the second time nothing is left to apply."""
+    v.keep("fx_responses")
     table = KeyedTable(v.spark, scratch_dir(v.spark, "feedback"), fb.KEY, struct_of(FEEDBACK), buckets=8)
     listing = _exported(v)
     first, then = (jobs.load_feedback(table, listing, "review_", v["fx_responses"], run_at()) for _run in range(2))

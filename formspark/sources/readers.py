@@ -67,8 +67,10 @@ def select_sources(df: DataFrame, root: str, uri: str = "uri", loose_only: bool
 def latest_export(listing: DataFrame, prefix: str, suffix: str = ".csv", name: str = "object_name") -> DataFrame:
     """One row with the newest export's full name; no row when none matches."""
     pattern = rf"^\Q{prefix}\E\d{{8}}_\d{{6}}\Q{suffix}\E$"
+    # Most names of a listing fall to the plain tests; the pattern is for the rest.
+    likely = F.endswith(F.col(name), F.lit(suffix)) & F.contains(F.col(name), F.lit(prefix))
     return (
-        listing.filter(base_name(F.col(name)).rlike(pattern))
+        listing.filter(likely & base_name(F.col(name)).rlike(pattern))
         .agg(F.max(name).alias(name))
         .filter(F.col(name).isNotNull())
     )

@@ -138,12 +138,17 @@ class KeyedTable:
     def _rewrite(self, new: DataFrame, merge: Callable[[DataFrame, DataFrame], DataFrame], gone: DataFrame | None = None) -> int:
         """Rewrite the buckets that the new rows, and keys to be ``gone``, fall in.
 
-        A bucket that loses its last row would be left as it was by the overwrite, so its folder is removed after it.
+        An empty table has nothing to merge, so its first rows are written once. Otherwise the new rows are written out
+        first, because they are read twice and their lineage may start in this very table. A dynamic overwrite puts its
+        files beside the table and moves them in when all are there, so the merged buckets are read from the table itself
+        and go straight into it. The bucket list is at most ``buckets`` integers.
 
-        The new rows are written out first, because they are read twice and their lineage may start in this very
-        table; the merged buckets too, because Spark reads no path that it overwrites. The bucket list is at most
-        ``buckets`` integers.
+        A bucket that loses its last row would be left as it was by the overwrite, so its folder is removed after it;
+        where keys are to be ``gone`` the merged buckets are written out to find those.
         """
+        if self.is_empty():
+            self.append(new)
+            return self._rows().select(BUCKET).distinct().count()
         with saved(self._declared(new)) as rows:
             buckets = rows.select(BUCKET)
             if gone is not None:
@@ -151,15 +156,21 @@ class KeyedTable:
             touched = [row[0] for row in buckets.distinct().collect()]
             if touched:
                 old = self._rows().filter(F.col(BUCKET).isin(touched)).drop(BUCKET)
-                with saved(self._declared(merge(old, rows.drop(BUCKET)))) as merged:
-                    merged.hint("rebalance", BUCKET).write.mode("overwrite").option("partitionOverwriteMode", "dynamic") \
-                        .partitionBy(BUCKET).parquet(self.path)
-                    if gone is not None:
-                        left = {row[0] for row in merged.select(BUCKET).distinct().collect()}
-                        for bucket in set(touched) - left:
-                            remove_path(self.spark, f"{self.path}/{BUCKET}={bucket}")
+                merged = self._declared(merge(old, rows.drop(BUCKET)))
+                if gone is None:
+                    self._overwrite(merged)
+                else:
+                    with saved(merged) as whole:
+                        self._overwrite(whole)
+                        left = {row[0] for row in whole.select(BUCKET).distinct().collect()}
+                    for bucket in set(touched) - left:
+                        remove_path(self.spark, f"{self.path}/{BUCKET}={bucket}")
             return len(touched)
 
+    def _overwrite(self, rows: DataFrame) -> None:
+        rows.hint("rebalance", BUCKET).write.mode("overwrite").option("partitionOverwriteMode", "dynamic") \
+            .partitionBy(BUCKET).parquet(self.path)
+
 
 @contextmanager
 def saved(df: DataFrame) -> Iterator[DataFrame]:

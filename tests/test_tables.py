@@ -519,3 +519,46 @@ def test_keys_go_without_new_rows(spark, folder):
     assert rows_of(table.read()) == sorted([("a", 0), ("c", 0), ("c", 1), ("c", 2)], key=repr)
     table.replace(rows.limit(0), rows.select("k"))
     assert table.is_empty() and [f for f in os.listdir(folder + "/t") if f.startswith("key")] == []
+
+
+def test_a_sheet_loaded_again_rewrites_nothing(spark, folder):
+    """Rows under one key, some answered, stay whole when another is answered; null keys are known again."""
+    table = writers.KeyedTable(spark, folder + "/fb", fb.KEY, layouts.struct_of(layouts.FEEDBACK), buckets=4)
+    rows = [("d", "f", "1", "a"), ("d", "f", "2", "b"), ("d", "g", "1", "c"), (None, "f", "1", "e"), ("d", None, None, "g")]
+    responses = spark.createDataFrame(rows, "folder_name string, file_name string, question_number string, survey_answer string")
+
+    def load(name, *given):
+        spark.createDataFrame(given, "folder_name string, file_name string, question_number string, correct_answer string") \
+            .coalesce(1).write.option("header", "true").csv(f"{folder}/in/{name}")
+        listing = spark.createDataFrame([(f"{folder}/in/{name}",)], "object_name string")
+        return jobs.load_feedback(table, listing, "review_", responses, now())
+
+    def files():
+        return sorted(str(f) for f in os.walk(folder + "/fb"))
+
+    def answers():
+        return rows_of(table.read().select(*fb.KEY, "survey_answer", "updated_with_feedback"))
+
+    assert load("review_20250101_000000.csv", ("d", "f", "1", "A")) == 1
+    want = [("d", "f", "1", "A", True), ("d", "f", "2", "b", None), ("d", "g", "1", "c", None), (None, "f", "1", "e", None), ("d", None, None, "g", None)]
+    assert answers() == sorted(want, key=repr)
+    before = files()
+    assert load("review_20250102_000000.csv", ("d", "f", "1", "A")) == 0 and files() == before
+    # A second row of an answered key, and a new answer.
+    table.append(table.read().filter("survey_answer = 'A'").withColumns(
+        {"survey_answer": F.lit("z"), "updated_with_feedback": F.lit(None).cast("boolean")}))
+    responses = responses.unionByName(spark.createDataFrame([("d", "h", None, "n")], responses.schema))
+    assert load("review_20250103_000000.csv", ("d", "f", "1", "B"), ("d", "g", "1", "C")) == 2
+    want = [("d", "f", "1", "A", True), ("d", "f", "1", "B", True), ("d", "f", "2", "b", None), ("d", "g", "1", "C", True),
+            (None, "f", "1", "e", None), ("d", None, None, "g", None), ("d", "h", None, "n", None)]
+    assert answers() == sorted(want, key=repr)
+
+
+def test_a_first_load_is_written_once(spark, folder, monkeypatch):
+    copies, saved = [], writers.saved
+    monkeypatch.setattr(writers, "saved", lambda df: copies.append(1) or saved(df))
+    rows = spark.createDataFrame([(i, "old") for i in range(50)], "k int, v string")
+    table = writers.KeyedTable(spark, folder + "/t", ["k"], rows.schema, buckets=4)
+    assert table.replace(rows) == 4 and copies == []
+    assert table.replace(rows.filter("k < 9").withColumn("v", F.lit("new"))) > 0 and copies == [1]
+    assert table.read().filter("v = 'new'").count() == 9 and table.read().count() == 50
