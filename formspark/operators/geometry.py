@@ -205,6 +205,7 @@ def _spans() -> list[Column]:
 def control_rows(rects: DataFrame, keys: Sequence[str], y_gap: float | Column) -> DataFrame:
     """Controls grouped to visual rows by vertical centre; rows without extent are dropped.
 
+    ``y_low`` and ``y_high`` are the outermost centres of a row; no centre of another row of its keys lies between them.
     The gap may depend on the keys, for instance on the control type.
     """
     chains = _bucket_chains(rects.withColumn("cy", _centre("y0", "y1")), keys, "cy", y_gap, _spans())
@@ -213,17 +214,11 @@ def control_rows(rects: DataFrame, keys: Sequence[str], y_gap: float | Column) -
         (F.max("b_x1") - F.min("b_x0")).alias("x_span"), (F.max("b_y1") - F.min("b_y0")).alias("y_span"),
         (F.sum("b_cx") / F.sum("bucket_n")).alias("x_center"),
         (F.sum("bucket_sum") / F.sum("bucket_n")).alias("y_center"),
+        F.min("bucket_min").alias("y_low"), F.max("bucket_max").alias("y_high"),
     )
     return rows.filter((F.col("x_span") > 0) & (F.col("y_span") > 0))
 
 
-def row_members(rects: DataFrame, keys: Sequence[str], y_gap: float | Column) -> DataFrame:
-    """Every control with the chain number of its visual row, as ``control_rows`` counts them."""
-    sized = rects.withColumn("cy", _centre("y0", "y1")).withColumn("bucket", _bucket(F.col("cy"), y_gap))
-    chains = _bucket_chains(sized, keys, "cy", y_gap).select(*keys, "bucket", "chain")
-    return sized.join(chains, [*keys, "bucket"]).drop("bucket", "cy")
-
-
 def collapse_nested(rects: DataFrame, apart: float = 10) -> DataFrame:
     """Largest first, drop rectangles whose centre is within ``apart`` px of a kept one.
 
@@ -434,7 +429,7 @@ def anchor_hits(words: DataFrame, template: DataFrame) -> DataFrame:
 def _offers(controls: DataFrame, words: DataFrame, asked: DataFrame) -> DataFrame:
     """Rows of controls with their candidate questions, best first: ``off``, ``place``, ``question``, ``score``, ``sure``."""
     form = _form(controls, asked)
-    row = [*form, "doc", "page", "control_type", "kind", "chain", "count", "y_center"]
+    row = [*form, "doc", "page", "control_type", "kind", "chain", "count", "y_center", "y_low", "y_high"]
     fits = asked.filter("takes_rows").select(*form, "kind", "question", "place", F.size("labels").alias("labels"))
     off = F.abs(F.col("labels") - F.col("count"))
     said = words.filter(norm_text(F.col("text")) != "").groupBy(*form, "doc", "page").agg(F.lit(True).alias("has_words"))
@@ -447,13 +442,13 @@ def _offers(controls: DataFrame, words: DataFrame, asked: DataFrame) -> DataFram
     return offered.withColumn("score", score).groupBy(*row).agg(best_first.alias("candidates"))
 
 
-def _assigned(offers: DataFrame, form: list[str], pages_at_once: int) -> DataFrame:
+def _assigned(offers: DataFrame, pages: DataFrame, form: list[str], pages_at_once: int) -> DataFrame:
     """Every offered row with the question it gets, in order of page and height.
 
     A row takes its best question that no earlier row has; if that one is sure it is gone for the rows below. What an
     ordered pass has to know is the list of questions gone and where, as long as the template. Boxes and circles never
     compete, so they pass apart; a document of more than ``pages_at_once`` pages passes in as many rounds, each
-    starting from the list of the one before.
+    starting from the list of the one before. ``pages`` (``page``) holds all pages that offers can lie on.
     """
     key = [*form, "doc", "kind"]
     block = F.floor(F.col("page") / pages_at_once)
@@ -467,11 +462,18 @@ def _assigned(offers: DataFrame, form: list[str], pages_at_once: int) -> DataFra
         mark = F.struct(line["page"].alias("page"), line["y_center"].alias("y_center"), best["question"].alias("question"))
         return F.when(best["sure"], F.array_append(gone, mark)).otherwise(gone)
 
-    blocks = [r[0] for r in offers.select(block.alias("block")).distinct().orderBy("block").collect()]
+    def blocks_of(frame: DataFrame) -> list[int]:
+        return [r[0] for r in frame.select(block.alias("block")).distinct().orderBy("block").collect()]
+
+    # Most forms have fewer pages than a round takes; only where some have more are the offers worked out to find their rounds.
+    blocks = blocks_of(pages)
+    if len(blocks) > 1:
+        offers = stored(offers)
+        blocks = blocks_of(offers)
     known, found = None, []
     for number in blocks or [0]:
         part = offers if len(blocks) < 2 else offers.filter(block == number)
-        lines = F.array_sort(F.collect_list(F.struct("page", "y_center", "control_type", "chain", "count", "candidates")))
+        lines = F.array_sort(F.collect_list(F.struct("page", "y_center", "control_type", "chain", "count", "y_low", "y_high", "candidates")))
         passed = part.groupBy(*key).agg(lines.alias("lines"))
         before = F.array().cast(gone_type)
         if known is not None:
@@ -488,7 +490,7 @@ def _assigned(offers: DataFrame, form: list[str], pages_at_once: int) -> DataFra
             (g["page"] == F.col("line.page")) & (g["y_center"] < F.col("line.y_center"))))
         best = open_first(F.col("line"), above)
         found.append(line.select(*key, "line.page", "line.control_type", "line.chain", F.col("line.count").alias("controls"),
-                                 best.alias("best")))
+                                 "line.y_low", "line.y_high", best.alias("best")))
     return reduce(DataFrame.unionByName, found).filter(F.col("best").isNotNull())
 
 
@@ -496,15 +498,17 @@ def map_controls(controls: DataFrame, words: DataFrame, template: DataFrame, pag
     """Control rows to the questions of their form's template, document by document.
 
     One row for each question tried, and one for each that is left open in a document: ``doc``, ``question``, ``page``,
-    ``kind``, ``control_type``, ``chain`` (the row, as in ``row_members``), ``controls``, ``expected`` (its labels),
-    ``confidence``, ``resolved`` and ``reason``. With ``form_id`` on all sides, documents meet the template of their own
+    ``kind``, ``control_type``, ``chain`` (the row of the page), ``controls``, ``y_low``, ``y_high`` (its outermost centres),
+    ``expected`` (its labels), ``confidence``, ``resolved`` and ``reason``. With ``form_id`` on all sides, documents meet the template of their own
     form. ``template`` is as in ``usable_template``.
     """
     form = _form(controls, words, template)
     asked = usable_template(template)
-    tried = _assigned(_offers(controls, words, asked), form, pages_at_once).select(
-        *form, "doc", "best.question", "page", "kind", "control_type", "chain", "controls",
+    tried = _assigned(_offers(controls, words, asked), controls.select("page"), form, pages_at_once).select(
+        *form, "doc", "best.question", "page", "kind", "control_type", "chain", "controls", "y_low", "y_high",
         F.round("best.score", 3).alias("confidence"), F.col("best.sure").alias("resolved"))
+    # Read for itself and for what it leaves open, so the assignment is written out once.
+    tried = stored(tried)
     docs = controls.select(*form, "doc").unionByName(words.select(*form, "doc")).distinct()
     questions = asked.select(*form, "question", F.size("labels").alias("expected"))
     # A document has every question of its form once; without forms there is one template for all.
@@ -512,7 +516,7 @@ def map_controls(controls: DataFrame, words: DataFrame, template: DataFrame, pag
         questions.withColumn("one", F.lit(1)), "one").drop("one")
     done = tried.filter("resolved").select(*form, "doc", "question")
     left = due.join(done, [*form, "doc", "question"], "left_anti").select(
-        *form, "doc", "question", *[F.lit(None).cast(tried.schema[c].dataType).alias(c) for c in ("page", "kind", "control_type", "chain", "controls")],
+        *form, "doc", "question", *[F.lit(None).cast(tried.schema[c].dataType).alias(c) for c in ("page", "kind", "control_type", "chain", "controls", "y_low", "y_high")],
         F.lit(0.0).alias("confidence"), F.lit(False).alias("resolved"))
     lines = tried.unionByName(left).join(questions, [*form, "question"])
     return lines.withColumn("reason", F.when(F.col("resolved"), F.lit(None).cast("string")).when(
@@ -527,14 +531,14 @@ def mapped_labels(mapped: DataFrame, controls: DataFrame, template: DataFrame) -
     a control beyond the labels belongs to none. A resolved row holds at most one control more than its question has labels.
     """
     form = _form(mapped, controls, template)
-    known, keys, gap = _known_controls(controls)
-    members = row_members(known, keys, gap)
-    if not form:
-        members = members.drop("form_id")
-    row = [*form, "doc", "page", "control_type", "chain"]
-    resolved = mapped.filter("resolved").select(*row, "kind", "question", "confidence")
+    known = _known_controls(controls)[0]
+    place = [*form, "doc", "page", "control_type"]
+    row = [*place, "chain"]
+    resolved = mapped.filter("resolved").select(*row, "kind", "question", "confidence", "y_low", "y_high")
     across = Window.partitionBy(*row).orderBy("x0", "y0", "x1", "y1")
-    placed = members.select(*row, "x0", "x1", "y0", "y1").join(resolved, row) \
+    # A row holds all centres between its outermost, and a page has no more resolved rows than its form has questions.
+    placed = known.select(*place, "x0", "x1", "y0", "y1").join(resolved, place) \
+        .filter(_centre("y0", "y1").between(F.col("y_low"), F.col("y_high"))) \
         .withColumn("label_index", F.row_number().over(across) - 1)
     labels = usable_template(template).select(*form, "question", F.posexplode("labels").alias("label_index", "label"))
     return placed.join(labels, [*form, "question", "label_index"]).select(

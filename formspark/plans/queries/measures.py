@@ -273,7 +273,7 @@ SELECT al.form_id, doc, al.question, page, al.kind, n AS controls, CAST(len(labe
   CASE WHEN resolved THEN NULL WHEN page IS NULL THEN 'no high-confidence geometry match was found for this survey control' ELSE 'count/order matched but layout confidence stayed below threshold' END AS reason
 FROM al JOIN t ON t.form_id = al.form_id AND t.question = al.question""")
 def geometry_mapped_controls(v):
-    return _mapping(v)[0].drop("chain", "control_type")
+    return _mapping(v)[0].drop("chain", "control_type", "y_low", "y_high")
 
 
 @query("GEO-12", f"""
