@@ -345,32 +345,39 @@ def choose_layout(matches: DataFrame, targets: DataFrame, detected: DataFrame) -
     group, target = [*form, "question", "control_type", "page"], [*form, *TARGET]
     layouts = targets.groupBy(*target).agg(F.count("*").alias("layout_size"))
     offered = detected.select("doc", *form, "page").distinct().join(layouts, [*form, "page"])
-    scored = matches.groupBy("doc", *target).agg(F.count("*").alias("matches"), F.sum("delta").alias("total"))
+    scored = matches.groupBy("doc", *target).agg(
+        F.count("*").alias("matches"), F.sum("delta").alias("total"), F.max("delta").alias("farthest"))
     zero = offered.join(scored, ["doc", *target], "left").select(
         "doc", *target, "layout_size", F.coalesce("matches", F.lit(0).cast("bigint")).alias("matches"),
-        F.coalesce("total", F.lit(0.0)).alias("total"))
+        F.coalesce("total", F.lit(0.0)).alias("total"), "farthest")
     best = zero.groupBy("doc", *group).agg(
-        F.max(F.struct("matches", (-F.col("total")).alias("closeness"), "layout", "layout_size")).alias("best"),
+        F.max(F.struct("matches", (-F.col("total")).alias("closeness"), "layout", "layout_size", "farthest")).alias("best"),
         F.count("*").alias("layouts"))
     return best.select(
         "doc", *group, F.col("best.layout").alias("layout"), F.col("best.matches").alias("matches"),
-        (-F.col("best.closeness")).alias("total_delta"), F.col("best.layout_size").alias("layout_size"), "layouts")
+        (-F.col("best.closeness")).alias("total_delta"), F.col("best.layout_size").alias("layout_size"), "layouts",
+        F.col("best.farthest").alias("farthest_delta"))
 
 
 def match_metrics(chosen: DataFrame, matches: DataFrame, detected: DataFrame) -> DataFrame:
-    """Per document: expected, detected and matched controls, and centre distances."""
-    target = [*_form(chosen, matches), *TARGET]
-    kept = matches.join(chosen.select("doc", *target), ["doc", *target], "left_semi")
-    spread = kept.groupBy("doc").agg(
-        F.round(F.avg("delta"), 2).alias("mean_center_delta_px"), F.round(F.max("delta"), 2).alias("max_center_delta_px"))
+    """Per document: expected, detected and matched controls, and centre distances of the chosen layouts' matches.
+
+    Rows of ``choose_layout`` carry number, sum and largest of the distances; ``matches`` are met only where they don't.
+    """
+    if "farthest_delta" not in chosen.columns:
+        target = ["doc", *_form(chosen, matches), *TARGET]
+        spread = matches.groupBy(*target).agg(F.sum("delta").alias("total_delta"), F.max("delta").alias("farthest_delta"))
+        chosen = chosen.drop("total_delta").join(spread, target, "left")
     totals = chosen.groupBy("doc").agg(
         F.sum("layout_size").alias("expected_controls"), F.sum("layouts").alias("available_layout_candidates"),
-        F.sum("matches").alias("matched_controls"))
+        F.sum("matches").alias("matched_controls"),
+        F.round(F.sum("total_delta") / F.nullif(F.sum("matches"), F.lit(0)), 2).alias("mean_center_delta_px"),
+        F.round(F.max("farthest_delta"), 2).alias("max_center_delta_px"))
     seen = detected.groupBy("doc").agg(F.count("*").alias("detected_controls"))
     zero = F.lit(0).cast("bigint")
     counts = ["expected_controls", "available_layout_candidates", "matched_controls"]
     return (
-        seen.join(totals, "doc", "left").join(spread, "doc", "left")
+        seen.join(totals, "doc", "left")
         .withColumns({c: F.coalesce(c, zero) for c in counts})
         .withColumns({
             "unmatched_expected_controls": F.col("expected_controls") - F.col("matched_controls"),
