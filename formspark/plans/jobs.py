@@ -60,9 +60,11 @@ def audit_changes(issues: writers.KeyedTable, audited: writers.KeyedTable, manif
     """
     digests = aud.source_digests(manifest, sources, listing, verdicts, open_errors)
     with writers.saved(aud.changed_sources(digests, audited.read(), limit)) as due:
-        found = aud.audit(aud.of_sources(manifest, due), aud.of_sources(sources, due), listing, aud.of_sources(verdicts, due),
-                          bucket, prefix, pages_per_unit, open_errors)
-        issues.replace(writers.issue_rows(found).select(*issues.schema.names), due)
+        # The audit reads these rows several times over.
+        with writers.saved(aud.of_sources(manifest.select(*readers.AUDIT_COLUMNS), due)) as rows:
+            found = aud.audit(rows, aud.of_sources(sources, due), listing, aud.of_sources(verdicts, due),
+                              bucket, prefix, pages_per_unit, open_errors)
+            issues.replace(writers.issue_rows(found).select(*issues.schema.names), due)
         audited.replace(due)
         return due.count()
 

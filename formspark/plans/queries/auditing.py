@@ -144,6 +144,7 @@ _ISSUES = "source_gcs_uri string, source_page_range string, issues string"
 @query("AUD-07 SNK-08 AUD-08", ALL_ISSUES_SQL)
 def audit_changes(v):
     """Issues after two runs: before the first a share of the verdicts and files was missing, which the second sees."""
+    v.keep("fx_source", "fx_manifest", "fx_unit_verdict")
     base = scratch_dir(v.spark, "audit")
     issues = writers.KeyedTable(v.spark, f"{base}/issues", ["source_gcs_uri"], StructType.fromDDL(_ISSUES), buckets=16)
     audited = writers.KeyedTable(v.spark, f"{base}/audited", ["source_gcs_uri"], StructType.fromDDL("source_gcs_uri string, digest string"), buckets=16)

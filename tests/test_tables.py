@@ -562,3 +562,14 @@ def test_a_first_load_is_written_once(spark, folder, monkeypatch):
     assert table.replace(rows) == 4 and copies == []
     assert table.replace(rows.filter("k < 9").withColumn("v", F.lit("new"))) > 0 and copies == [1]
     assert table.read().filter("v = 'new'").count() == 9 and table.read().count() == 50
+
+
+def test_an_audit_reads_its_rows_from_a_copy(spark, folder, monkeypatch):
+    """The rows of the sources due are picked out once, not for each check."""
+    v, plans, audit = Views(spark, SMALL), [], aud.audit
+    monkeypatch.setattr(aud, "audit", lambda rows, *more: plans.append(
+        rows._jdf.queryExecution().optimizedPlan().toString()) or audit(rows.limit(0), *more))
+    table = [writers.KeyedTable(spark, f"{folder}/{name}", ["source_gcs_uri"], T.StructType.fromDDL(f"source_gcs_uri string, {rest}"), buckets=2)
+             for name, rest in (("issues", "source_page_range string, issues string"), ("audited", "digest string"))]
+    jobs.audit_changes(*table, v["fx_audited"], v["fx_source"], v["fx_listing"], v["fx_unit_verdict"], "bucket", "split/", 2)
+    assert len(plans) == 1 and "Join" not in plans[0]
