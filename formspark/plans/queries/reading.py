@@ -288,6 +288,7 @@ def intake_full_run(v):
 @query("MAN-11 MAN-07 MAN-04 SNK-02", _FULL_RUN)
 def intake_full_run_written(v):
     """The same run put into the manifest table, twice: the second run replaces its own rows."""
+    v.keep("fx_source", "fx_split_listing", "fx_unit_verdict")
     table = writers.KeyedTable(v.spark, scratch_dir(v.spark, "manifest"), man.KEY, layouts.struct_of(layouts.MANIFEST), buckets=16)
     for _run in range(2):
         jobs.run_intake(table, v["fx_source"].select("source_gcs_uri", "page_count"), v["fx_split_listing"], v["fx_unit_verdict"],
