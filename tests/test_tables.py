@@ -573,3 +573,14 @@ def test_an_audit_reads_its_rows_from_a_copy(spark, folder, monkeypatch):
              for name, rest in (("issues", "source_page_range string, issues string"), ("audited", "digest string"))]
     jobs.audit_changes(*table, v["fx_audited"], v["fx_source"], v["fx_listing"], v["fx_unit_verdict"], "bucket", "split/", 2)
     assert len(plans) == 1 and "Join" not in plans[0]
+
+
+def test_a_batch_goes_through_the_state_once(spark, folder):
+    v = Views(spark, SMALL)
+    table = writers.KeyedTable(spark, folder + "/manifest", man.KEY, layouts.struct_of(layouts.MANIFEST), buckets=4)
+    sources = v["fx_source"].select("source_gcs_uri", "page_count")
+    sources.coalesce(1).write.parquet(folder + "/landing")
+    q = stream.stream_intake(stream.new_inventory(spark, folder + "/landing", sources.schema), lambda: v["fx_unit_verdict"], table,
+                             folder + "/cp", "bucket", "split/", 2, now())
+    q.awaitTermination()
+    assert sum(p["numInputRows"] for p in q.recentProgress) == sources.count()
