@@ -6,9 +6,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from formspark import functions as fx
+from formspark.functions.text import OTHER_CATEGORY, OWN_ACCOUNT_CATEGORY, REVIEW_CATEGORIES
 
 FILE = ["folder_name", "file_name"]
 SEVERAL_NOTES = "several notes"
+# Every category that a note can have, in the order of the texts.
+CATEGORIES = sorted({*(category for _phrases, category in REVIEW_CATEGORIES), OWN_ACCOUNT_CATEGORY, OTHER_CATEGORY})
 
 
 def question_lookup(responses: DataFrame) -> DataFrame:
@@ -63,19 +66,25 @@ def file_quality(responses: DataFrame, refreshed_at: Column, pages: DataFrame |
     more than once carries its number. So the lists are as long as the form, however many answers a file has. A question
     with different notes says so; the notes themselves are the rows of ``file_issues``.
     """
-    counted = _numbered(responses, pages).groupBy(*FILE, "flagged", "qnum", "page", "note").agg(
-        F.count("*").alias("n"), F.min(_report_date(responses)).alias("report_date"))
-    per_category = counted.withColumn("category", F.when(F.col("flagged"), fx.review_category(F.col("note")))) \
-        .groupBy(*FILE, "flagged", "qnum", "page", "category").agg(
-            F.sum("n").alias("n"), F.min("note").alias("low"), F.max("note").alias("high"), F.min("report_date").alias("report_date"))
-    entry = F.struct(F.struct(fx.question_rank(F.col("qnum")).alias("rank"), "qnum", "page").alias("at"), "category", "n", "low", "high")
-    gathered = per_category.groupBy(*FILE).agg(
+    names = F.array(*[F.lit(name) for name in CATEGORIES])
+    category = F.array_position(names, fx.review_category(F.col("note"))).cast("int")
+    # Sorts compare the digest first: names alike in their first letters are then seldom read.
+    file = [F.xxhash64(*FILE).alias("file_digest"), *FILE]
+    per_category = _numbered(responses, pages).withColumn("category", F.when(F.col("flagged"), category)).groupBy(
+        *file, "qnum", "page", "category").agg(
+            F.count("*").alias("n"), F.min("note").alias("low"), F.max("note").alias("high"),
+            F.min(_report_date(responses)).alias("report_date"))
+    # What has a question number was flagged.
+    flagged, note = F.col("qnum").isNotNull(), F.when(F.col("low") == F.col("high"), F.col("low"))
+    issue = _times(F.concat(F.lit("Q"), F.col("qnum"), F.lit(": "), F.element_at(names, F.col("category"))), F.col("n"))
+    entry = F.struct(fx.question_rank(F.col("qnum")).alias("rank"), "qnum", "page", "category", "n", note.alias("note"),
+                     issue.alias("issue"), _area(F.col("qnum"), F.col("page"), note, F.col("n")).alias("area"))
+    gathered = per_category.groupBy("file_digest", *FILE).agg(
         F.sum("n").alias("total_question_count"),
-        F.coalesce(F.sum(F.when(F.col("flagged"), F.col("n"))), F.lit(0).cast("bigint")).alias("flagged_question_count"),
+        F.coalesce(F.sum(F.when(flagged, F.col("n"))), F.lit(0).cast("bigint")).alias("flagged_question_count"),
         F.min("report_date").alias("report_date"),
-        F.array_sort(F.collect_list(F.when(F.col("flagged"), entry))).alias("entries"),
+        F.sort_array(F.collect_list(F.when(flagged, entry))).alias("entries"),
     )
-    issues = F.transform("entries", lambda e: _times(F.concat(F.lit("Q"), e["at"]["qnum"], F.lit(": "), e["category"]), e["n"]))
     total, count = F.col("total_question_count").cast("string"), F.col("flagged_question_count").cast("string")
     summary = F.when(
         F.col("flagged_question_count") > 0,
@@ -83,24 +92,33 @@ def file_quality(responses: DataFrame, refreshed_at: Column, pages: DataFrame |
                  F.lit(": "), F.array_join("issues", "; "), F.lit(".")),
     ).otherwise(F.concat(F.lit("No issues detected in "), F.col("file_name"), F.lit(" - all "), total,
                          F.lit(" question(s) passed review.")))
-    return gathered.withColumn("issues", issues).select(
+    return gathered.withColumn("issues", F.col("entries.issue")).select(
         *FILE, "report_date", refreshed_at.alias("refreshed_at"), F.to_date(refreshed_at).alias("refreshed_date"),
         (F.col("flagged_question_count") > 0).alias("needs_review"), "flagged_question_count", "total_question_count",
         summary.alias("issue_summary"), "issues", _areas().alias("unreadable_areas"))
 
 
+def _area(number: Column, page: Column, note: Column, n: Column) -> Column:
+    """The text of a question and its page; a null note stands for several."""
+    place = F.coalesce(F.concat(F.lit("page "), page.cast("string")), F.lit("page unknown"))
+    return _times(F.concat(F.lit("Question "), number, F.lit(" ("), place, F.lit("): "), F.coalesce(note, F.lit(SEVERAL_NOTES))), n)
+
+
 def _areas() -> Column:
-    """One text per question and page of ``entries``, which lie in that order."""
+    """One text per question and page of ``entries``, which lie in that order; a question's categories are neighbours."""
+    entries = F.col("entries")
+
+    def same(a: Column, b: Column) -> Column:
+        return (a["qnum"] == b["qnum"]) & a["page"].eqNullSafe(b["page"])
 
-    def text(at: Column) -> Column:
-        own = F.filter("entries", lambda e: e["at"] == at)
-        low, high = F.array_min(F.transform(own, lambda e: e["low"])), F.array_max(F.transform(own, lambda e: e["high"]))
-        n = F.aggregate(own, F.lit(0).cast("bigint"), lambda a, e: a + e["n"])
-        place = F.coalesce(F.concat(F.lit("page "), at["page"].cast("string")), F.lit("page unknown"))
-        note = F.when(low == high, low).otherwise(F.lit(SEVERAL_NOTES))
-        return _times(F.concat(F.lit("Question "), at["qnum"], F.lit(" ("), place, F.lit("): "), note), n)
+    def text(e: Column, i: Column) -> Column:
+        own = F.filter(F.slice(entries, i + 1, len(CATEGORIES)), lambda other: same(other, e))
+        note = F.when(F.forall(own, lambda other: other["note"].eqNullSafe(e["note"])), e["note"])
+        n = F.aggregate(own, F.lit(0).cast("bigint"), lambda a, other: a + other["n"])
+        return F.when((i == 0) | ~same(F.get(entries, i - 1), e), _area(e["qnum"], e["page"], note, n))
 
-    return F.transform(F.array_distinct(F.transform("entries", lambda e: e["at"])), text)
+    once = F.size(F.array_distinct("entries.qnum")) == F.size(entries)
+    return F.when(once, F.col("entries.area")).otherwise(F.array_compact(F.transform(entries, text)))
 
 
 def quality_totals(responses: DataFrame) -> DataFrame:

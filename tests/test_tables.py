@@ -255,6 +255,29 @@ def test_one_question_with_several_notes(spark):
     assert row.unreadable_areas[0].endswith("): several notes (x2)") and row.unreadable_areas[1].endswith("): alone")
 
 
+def test_roll_up_meets_the_answers_twice(spark):
+    """Two exchanges, by question and by file; the texts are made from rows, not by walking a file's list for each question."""
+    rows = [("d", "f.pdf", None, q, "a", True, n) for q, n in [
+        ("10. q", "self-reported confidence low"), ("2) q", "no answer text"), ("2) q", "something"), ("2) q", "no answer text"), ("2) q", None),
+        ("h1. q", "seen by Cloud Vision"), ("no number", "self-reported confidence low")]]
+    frame = _answers(spark, [*rows, ("d", "f.pdf", dt.date(2025, 2, 1), "2) q", "a", False, "no answer text"), ("d", "f.pdf", None, "30. q", "a", None, "x"),
+                             (None, "f.pdf", None, "30. q", "a", True, "x"), (None, None, None, None, None, None, None)])
+    rolled = rollup.file_quality(frame, now())
+    assert rolled._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 2
+    found = {(r.folder_name, r.file_name): r for r in rolled.collect()}
+    low, own, other = "low model confidence", "model self-inconsistent (answer vs. mark position)", "flagged for review"
+    vision = "independent OCR cross-check disagreement (Vision couldn't confirm the model's written-text answer)"
+    row = found["d", "f.pdf"]
+    assert row.issues == [f"QH1: {vision}", f"Q2: {other} (x2)", f"Q2: {own} (x2)", f"Q10: {low}", f"Q?: {low}"]
+    assert row.unreadable_areas == ["Question H1 (page 1): seen by Cloud Vision", "Question 2 (page 1): several notes (x4)",
+                                    "Question 10 (page 1): self-reported confidence low", "Question ? (page unknown): self-reported confidence low"]
+    assert (row.flagged_question_count, row.total_question_count, row.report_date) == (7, 9, dt.date(2025, 2, 1))
+    assert row.issue_summary == f"7 of 9 question(s) flagged for review in f.pdf: {'; '.join(row.issues)}."
+    assert found[None, "f.pdf"].unreadable_areas == ["Question 30 (page 2): x"] and found[None, "f.pdf"].issues == [f"Q30: {other}"]
+    clean = found[None, None]
+    assert (clean.issues, clean.unreadable_areas, clean.needs_review, clean.total_question_count) == ([], [], False, 1)
+
+
 def test_sources_without_pages_are_rejected(spark):
     sources = spark.createDataFrame([("gs://b/zero.pdf", 0), ("gs://b/null.pdf", None), ("gs://b/odd.pdf", 3), ("gs://b/ok.pdf", 4)],
                                     "source_gcs_uri string, page_count int")
